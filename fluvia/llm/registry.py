@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .bpe import op9_bpe
 from .langid import op5_langid
+from .quality import OP6_SQL, op6_quality
 from .simhash import op4_simhash
 
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_langid": op5_langid,
+    "op6_quality": op6_quality,
+    "op9_bpe": op9_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_quality": OP6_SQL,
+}
