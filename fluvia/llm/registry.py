@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from .ann import op7_permutation
 from .bpe import op9_bpe
 from .langid import op5_langid
+from .mixing import op2_mixing
 from .quality import OP6_SQL, op6_quality
 from .simhash import op4_simhash
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op4_simhash": op4_simhash,
     "op5_langid": op5_langid,
     "op6_quality": op6_quality,
+    "op7_permutation": op7_permutation,
     "op9_bpe": op9_bpe,
 }
 
