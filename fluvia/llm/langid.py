@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_bucket, read_table, slices
 
-UNKNOWN, SIZE, LONGEST, PER_LANGUAGE, CODE_BITS = "und", 300, 5, 2000, 40
+UNKNOWN, SIZE, LONGEST, PER_LANGUAGE, CODE_BITS, BROADCAST_LANGUAGES = "und", 300, 5, 2000, 40, 10_000
 
 
 @functools.lru_cache(maxsize=1)
@@ -102,6 +102,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size:
     """{language: codes by rank}: at most `size` codes of each language reach the driver."""
     docs = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
     counts = docs.groupBy("lang").count()
+    if counts.count() <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     part = docs.join(counts, "lang").filter(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < F.lit(float(per_language)) / F.col("count") * (1 << 30)).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
