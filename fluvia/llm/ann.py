@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from .common import read_table, staged
 
-TOP, PIVOTS, PREFIX, POST, PROBE, RERANK, LEAST_RERANK, FILE_ROWS, QUERY_ROWS, EVERY = 10, 128, 64, 16, 16, 0.2, 200, 20_000, 2_000, 100
+TOP, PIVOTS, PREFIX, POST, PROBE, RERANK, LEAST_RERANK, FILE_ROWS, QUERY_ROWS, EVERY = 10, 128, 64, 16, 16, 0.3, 200, 20_000, 2_000, 100
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
