@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import crc_bucket, read_table, slices
 
@@ -136,32 +137,28 @@ def distances(texts: list[str | None], profiles: dict[str, list[int]], size: int
     return out, np.bincount(owner, minlength=len(texts))
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str], text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """The columns `keep` of docs, then lang_pred and score: 1 at no distance, 0 at the greatest."""
-    names = list(profiles)
-    kept = docs.select(*(F.col(c) for c in keep), F.col(text_col).cast("string").alias("_text"))
-    fields = kept.drop("_text").schema
+def predict(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text", size: int = SIZE, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the predicted language and a score: 1 at no distance, 0 at the greatest."""
+    known, at, columns = list(profiles), docs.columns.index(text_col), [*docs.columns, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", 1 << 20):
-            texts = batch.column(len(keep)).to_pylist()
-            if names:
+        for batch in slices(batches, text_col, 1 << 20):
+            texts = batch.column(at).to_pylist()
+            if known:
                 gap, n = distances(texts, profiles, size)
                 best = gap.argmin(axis=1)
-                known = n > 0
-                score = np.where(known, 1 - gap[np.arange(len(texts)), best] / np.maximum(1, n * size), 0.0)
-                found = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
+                score = np.where(n > 0, 1 - gap[np.arange(len(texts)), best] / np.maximum(1, n * size), 0.0)
+                found = [known[b] if k else UNKNOWN for b, k in zip(best, n > 0)]
             else:
                 found, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(found, pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(score)], columns)
 
-    schema = fields.add("lang_pred", "string").add("score", "double")
-    return kept.mapInArrow(run, schema)
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))
 
 
 def op5_langid(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = F.coalesce(crc_bucket(F.col("doc_id"), 3) == 1, F.lit(False))
     profiles = learn(docs.filter(F.col("doc_id").isNotNull() & ~held))
-    out = predict(docs.select("doc_id", "text"), profiles, ["doc_id"])
+    out = predict(docs.select("doc_id", "text"), profiles)
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")

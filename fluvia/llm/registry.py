@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .ann import op7_permutation
 from .bpe import op9_bpe
+from .editcount import op8_edits
 from .langid import op5_langid
+from .linededup import op10_lines
 from .mixing import op2_mixing
 from .quality import OP6_SQL, op6_quality
 from .simhash import op4_simhash
@@ -15,7 +17,9 @@ QUERIES = {
     "op5_langid": op5_langid,
     "op6_quality": op6_quality,
     "op7_permutation": op7_permutation,
+    "op8_edits": op8_edits,
     "op9_bpe": op9_bpe,
+    "op10_lines": op10_lines,
 }
 
 ORACLES: dict[str, str] = {
