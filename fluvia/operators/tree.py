@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvia.functions.scalars import indent
+from fluvia.sources.staging import staged
 
 
 def recover_parents(rows: DataFrame, keys: list[str], row_no: str = "row_no", name: str = "name", taxid: str = "taxid", levels: int = 40) -> DataFrame:
@@ -44,12 +45,15 @@ def clade_counts(direct: DataFrame, taxonomy: DataFrame, keys: list[str], reads:
 
 def depth_first(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows (keys, taxid, parent, cumul, ...) with row_no and depth: roots (no parent, own parent, parent missing) and
-    siblings by cumul downwards, then taxid as text; rows on a cycle come last by taxid."""
+    siblings by cumul downwards, then taxid as text; rows on a cycle come last by taxid.
+
+    The rows are staged once: the recursion reads its edges again at each level.
+    """
     key = F.concat_ws("\x01", *keys) if keys else F.lit("")
-    base = rows.withColumn("_key", key)
+    base = staged(rows.withColumn("_key", key), "tree")
     known = base.select("_key", F.col("taxid").alias("_p")).distinct()
     linked = base.join(known, (base["_key"] == known["_key"]) & (F.col("parent") == F.col("_p")) & (F.col("parent") != F.col("taxid")), "left").select(base["*"], "_p")
-    edges = linked.select("_key", "taxid", F.col("_p").alias("parent"), "cumul")
+    edges = staged(linked.select("_key", "taxid", F.col("_p").alias("parent"), "cumul"), "tree-edges")
     walked = rows.sparkSession.sql(
         """
         WITH RECURSIVE walk(_key, taxid, depth, path) AS (
