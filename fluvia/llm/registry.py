@@ -5,6 +5,7 @@ from __future__ import annotations
 from .ann import op7_permutation
 from .bpe import op9_bpe
 from .editcount import op8_edits
+from .katz import op3_katz
 from .langid import op5_langid
 from .linededup import op10_lines
 from .mixing import op2_mixing
@@ -13,6 +14,7 @@ from .simhash import op4_simhash
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_katz": op3_katz,
     "op4_simhash": op4_simhash,
     "op5_langid": op5_langid,
     "op6_quality": op6_quality,
