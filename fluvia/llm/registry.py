@@ -10,9 +10,11 @@ from .langid import op5_langid
 from .linededup import op10_lines
 from .mixing import op2_mixing
 from .quality import OP6_SQL, op6_quality
+from .repeats import op1_repeats
 from .simhash import op4_simhash
 
 QUERIES = {
+    "op1_repeats": op1_repeats,
     "op2_mixing": op2_mixing,
     "op3_katz": op3_katz,
     "op4_simhash": op4_simhash,
