@@ -67,7 +67,7 @@ def ngrams(texts: list[str | None], longest: int = LONGEST) -> tuple[np.ndarray,
                 inner = inner & ~blank[n - 2 : len(s) - 1]
         if not len(h):
             break
-        ok = inner & ~blank[: len(h)] if n == 1 else inner & ~(blank[: len(h)] & blank[n - 1 :])
+        ok = ~blank if n == 1 else inner  # two blanks are never next to each other
         mix = h[ok] ^ (h[ok] >> np.uint64(29))
         codes.append((mix * np.uint64(0xC4CEB9FE1A85EC53)) >> np.uint64(64 - CODE_BITS))
         owners.append(first[: len(h)][ok])
