@@ -87,7 +87,7 @@ class Automaton:
         key = p * self.size + x
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 1 << 20:
+            if len(self.table) > 1 << 18:
                 self.table.clear()
             known = self.table[key] = self._arc(p, x, 1 << 60)
         return known
@@ -139,7 +139,7 @@ class Automaton:
 class _Words(dict):
     """Encodings of recent words as little-endian 32-bit ids: at most twice `most` of them."""
 
-    def __init__(self, automaton: Automaton, most: int = 1 << 17):
+    def __init__(self, automaton: Automaton, most: int = 1 << 16):
         self.automaton, self.most, self.older = automaton, most, {}
 
     def __missing__(self, word: str) -> bytes:

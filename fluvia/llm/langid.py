@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import crc_bucket, read_table, slices
 
-UNKNOWN, SIZE, LONGEST, PER_LANGUAGE, CODE_BITS, BROADCAST_LANGUAGES = "und", 300, 5, 2000, 40, 10_000
+UNKNOWN, SIZE, LONGEST, PER_LANGUAGE, CODE_BITS, BROADCAST_LANGUAGES, SLICE_BYTES = "und", 300, 5, 2000, 40, 10_000, 1 << 18
 
 
 @functools.lru_cache(maxsize=1)
@@ -108,7 +108,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size:
     part = docs.join(counts, "lang").filter(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < F.lit(float(per_language)) / F.col("count") * (1 << 30)).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=SLICE_BYTES):
             names = batch.column(0).to_pylist()
             index = {x: i for i, x in enumerate(dict.fromkeys(names))}
             owner, code = ngrams(batch.column(1).to_pylist())
@@ -142,7 +142,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "te
     known, at, columns = list(profiles), docs.columns.index(text_col), [*docs.columns, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 1 << 20):
+        for batch in slices(batches, text_col, SLICE_BYTES):
             texts = batch.column(at).to_pylist()
             if known:
                 gap, n = distances(texts, profiles, size)
