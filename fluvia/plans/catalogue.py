@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fluvia.functions import scalars
 from fluvia.operators import aggregates, joins, reads, tree, validation, windows
+from fluvia.streaming import batches
 
 from . import adapters as A
 
@@ -518,3 +519,26 @@ def benchmark_regressions(spark, d):
 def coverage_rollup(spark, d):
     p = A.table(spark, d, "part").select(F.col("p_brand").alias("component"), F.when(F.col("p_size") < 17, "P0").when(F.col("p_size") < 34, "P1").otherwise("P2").alias("priority"), (F.col("p_partkey") % 3 == 0).alias("hit"))
     return p.rollup("component", "priority").agg(F.count("*").alias("tests"), F.count_if("hit").alias("covered")).na.fill("all", ["component", "priority"])
+
+
+# Streams ----------------------------------------------------------------------------------------------------------
+
+
+def _event_stream(spark, d):
+    """The table's files as a stream, whether the table is one file or a folder of them."""
+    at = f"{d}/events.parquet"
+    table = spark.read.parquet(at)
+    if table.inputFiles()[0].endswith("/events.parquet"):
+        return batches.watch(spark, d, table.schema, names="events.parquet")
+    return batches.watch(spark, at, table.schema)
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def stream_running_counts(spark, d):
+    return batches.finished(batches.running_counts(_event_stream(spark, d), ["event_type"]))
+
+
+@query("SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT AS hour, event_type, count(*) AS n, max(value) AS most FROM events GROUP BY ALL")
+def stream_hourly_windows(spark, d):
+    out = batches.windowed(_event_stream(spark, d), F.col("ts"), ["event_type"], [F.count("*").alias("n"), F.max("value").alias("most")], "1 hour", "30 days")
+    return batches.finished(out).select(F.unix_timestamp("window_start").alias("hour"), "event_type", "n", "most")

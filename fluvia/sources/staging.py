@@ -17,7 +17,11 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, what: str) -> str:
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, what: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
