@@ -38,7 +38,8 @@ def classify(reads: DataFrame, table: DataFrame, taxonomy: DataFrame, k: int, co
     depth = up.groupBy("taxid").agg(F.count("*").alias("depth"))
     scores = votes.select("read_id", "taxid", "total", "groups").join(up, "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "n"), ["read_id", "ancestor"])
     scores = scores.groupBy("read_id", "taxid", "total").agg(F.sum("n").alias("score"), F.max("groups").alias("groups")).join(depth, "taxid")
-    best = scores.groupBy("read_id").agg(F.max_by(F.struct("taxid", "score", "total"), F.struct("score", "depth", F.negative(F.xxhash64("taxid")))).alias("b"), F.sum("groups").alias("groups"))
+    order = F.struct(F.negative("score"), F.negative("depth"), F.col("taxid"))
+    best = scores.groupBy("read_id").agg(F.min_by(F.struct("taxid", "score", "total"), order).alias("b"), F.sum("groups").alias("groups"))
     good = (F.col("b.score") >= F.col("b.total") * confidence) & (F.col("groups") >= min_hit_groups)
     out = reads.select("read_id").join(best, "read_id", "left")
     ok = F.coalesce(good, F.lit(False))

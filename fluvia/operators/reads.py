@@ -103,9 +103,8 @@ def trim_adapters(reads: DataFrame, adapters: list[str], least: int = 8) -> Data
     return out.withColumns({"sequence": cut(F.col("sequence")), "quality": cut(F.col("quality"))}).drop("_head", "_tail")
 
 
-def read_summary(reads: DataFrame, keys: list[str], quality: str = "mean_q") -> DataFrame:
-    """Mean and median of length and quality, N50, and the reads above the usual quality marks."""
+def read_summary(reads: DataFrame, keys: list[str], quality: str = "mean_q", marks: tuple[int, ...] = (5, 7, 10, 12, 15)) -> DataFrame:
+    """Mean and median of length, median quality, N50, and the reads above the quality marks."""
     n = reads.withColumn("length", F.length("sequence"))
-    marks = (5, 7, 10, 12, 15)
     agg = n.groupBy(*keys).agg(F.count("*").alias("reads"), F.sum("length").alias("bases"), F.avg("length").alias("mean_length"), F.percentile("length", 0.5).alias("median_length"), F.percentile(quality, 0.5).alias("median_quality"), *(F.count_if(F.col(quality) > m).alias(f"above_q{m}") for m in marks))
     return agg.join(half_mass(n, keys).select(*keys, "n50"), keys, "left")

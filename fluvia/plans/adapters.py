@@ -14,8 +14,12 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def read_assignment(spark: SparkSession, d: str) -> DataFrame:
+    return assigned(table(spark, d, "lineitem"))
+
+
+def assigned(lineitem: DataFrame) -> DataFrame:
     u = F.col("l_returnflag") == "R"
-    return table(spark, d, "lineitem").select(
+    return lineitem.select(
         F.col("l_linestatus").alias("sample_id"), ((F.year("l_shipdate") - 1995) * 12 + F.month("l_shipdate")).cast("long").alias("batch_id"), F.when(u, "U").otherwise("C").alias("status"),
         F.concat_ws("_", "l_orderkey", "l_linenumber").alias("read_id"), F.when(u, "0").otherwise((F.col("l_suppkey") + 1000).cast("string")).alias("taxid"), (F.col("l_quantity") * 100).cast("long").alias("length"),
     )

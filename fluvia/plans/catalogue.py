@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluvia.functions import scalars
-from fluvia.operators import aggregates, joins, reads, tree, validation, windows
+from fluvia.operators import aggregates, joins, kmer, reads, tree, validation, windows
+from fluvia.sources import sinks
 from fluvia.streaming import batches
 
 from . import adapters as A
@@ -521,18 +522,118 @@ def coverage_rollup(spark, d):
     return p.rollup("component", "priority").agg(F.count("*").alias("tests"), F.count_if("hit").alias("covered")).na.fill("all", ["component", "priority"])
 
 
+# Classification by k-mers, trimming, outputs ------------------------------------------------------------------------
+
+_LETTERS = ("0123456789abcdef", "ACGTACGTACGTACGT")
+_K = 8
+
+
+def _letters(text: Column) -> Column:
+    return F.translate(F.md5(text.cast("string").cast("binary")), *_LETTERS)
+
+
+def _dna(x: str) -> str:
+    return "translate(md5({}), '{}', '{}')".format(x, *_LETTERS)
+
+
+@query(f"""WITH RECURSIVE {A.UP}, g AS (SELECT (1000 + s_suppkey)::VARCHAR AS taxid, {_dna('s_suppkey::VARCHAR')} AS s FROM supplier), gk AS (SELECT DISTINCT taxid, substring(s, i::INT, {_K}) AS kmer FROM g, range(1, 26) r(i)),
+dp AS (SELECT taxid AS ancestor, count(*) AS depth FROM up GROUP BY 1), nn AS (SELECT kmer, count(*) AS n FROM gk GROUP BY 1), sh AS (SELECT kmer, ancestor, count(*) AS m FROM gk JOIN up USING (taxid) GROUP BY ALL),
+kt AS (SELECT kmer, arg_max(ancestor, depth) AS taxid FROM sh JOIN nn USING (kmer) JOIN dp USING (ancestor) WHERE m = n GROUP BY 1),
+rd AS (SELECT o_orderkey::VARCHAR AS read_id, CASE WHEN o_orderkey % 5 = 0 THEN substring({_dna("'x' || o_orderkey")}, 1, 26) ELSE substring({_dna('(o_orderkey % 10 + 1)::VARCHAR')}, (o_orderkey % 7 + 1)::INT, 20) || substring({_dna('o_orderkey::VARCHAR')}, 1, 6) END AS s FROM orders),
+rk AS (SELECT read_id, substring(s, i::INT, {_K}) AS kmer FROM rd, range(1, 20) r(i)), vt AS (SELECT read_id, taxid, count(*) AS n FROM rk JOIN kt USING (kmer) GROUP BY ALL),
+sc AS (SELECT v.read_id, v.taxid, sum(w.n) AS score FROM vt v JOIN up ON up.taxid = v.taxid JOIN vt w ON w.read_id = v.read_id AND w.taxid = up.ancestor GROUP BY ALL),
+bs AS (SELECT read_id, sc.taxid, score >= 19 * 0.3 AS ok FROM sc JOIN dp ON dp.ancestor = sc.taxid QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, depth DESC, sc.taxid) = 1)
+SELECT read_id, CASE WHEN ok THEN 'C' ELSE 'U' END AS status, CASE WHEN ok THEN taxid ELSE '0' END AS taxid FROM rd LEFT JOIN bs USING (read_id)""")
+def kmer_classification(spark, d):
+    k = F.col("o_orderkey")
+    own = F.concat(F.substring(_letters(k % 10 + 1), (k % 7 + 1).cast("int"), F.lit(20)), F.substring(_letters(k), 1, 6))
+    noise = F.substring(_letters(F.concat(F.lit("x"), k)), 1, 26)
+    own_reads = A.table(spark, d, "orders").select(k.cast("string").alias("read_id"), F.when(k % 5 == 0, noise).otherwise(own).alias("sequence"))
+    genomes = A.table(spark, d, "supplier").select((F.col("s_suppkey") + 1000).cast("string").alias("taxid"), _letters(F.col("s_suppkey")).alias("sequence"))
+    tax = A.taxonomy(spark, d)
+    return kmer.classify(own_reads, kmer.build_table(genomes, tax, _K), tax, _K, confidence=0.3)
+
+
+_ADAPTER = "AATGTACTTCG"
+_CUTS = sorted({_ADAPTER[i:] for i in range(4)}, key=len, reverse=True), sorted({_ADAPTER[: 11 - i] for i in range(4)}, key=len, reverse=True)
+
+
+@query(f"WITH r AS (SELECT p_partkey AS read_id, substring('{_ADAPTER}', (p_partkey % 11 + 1)::INT) || 'CCGGTTAACC' || substring('{_ADAPTER}', 1, (p_partkey % 12)::INT) AS s FROM part) SELECT read_id, regexp_replace(regexp_replace(s, '^(?:{'|'.join(_CUTS[0])})', ''), '(?:{'|'.join(_CUTS[1])})$', '') AS sequence FROM r")
+def adapter_trimming(spark, d):
+    k = F.col("p_partkey")
+    a = F.lit(_ADAPTER)
+    s = F.concat(F.substring(a, (k % 11 + 1).cast("int"), F.lit(11)), F.lit("CCGGTTAACC"), F.substring(a, F.lit(1), (k % 12).cast("int")))
+    r = A.table(spark, d, "part").select(k.alias("read_id"), s.alias("sequence"), s.alias("quality"))
+    return reads.trim_adapters(r, [_ADAPTER]).select("read_id", "sequence")
+
+
+@query("WITH c AS (SELECT p_partkey AS contig, repeat('N', (p_partkey % 4)::INT) || 'AC' || repeat('N', (p_partkey % 3)::INT) || 'GT' || repeat('N', (p_partkey % 5)::INT) AS s FROM part), t AS (SELECT contig, regexp_replace(s, '^N+|N+$', '', 'g') AS s FROM c) SELECT contig, s AS sequence, length(s) - length(replace(s, 'N', '')) AS masked FROM t")
+def masked_consensus(spark, d):
+    k = F.col("p_partkey")
+    n = lambda m: F.repeat(F.lit("N"), (k % m).cast("int"))
+    t = A.table(spark, d, "part").select(k.alias("contig"), windows.trim_masked(F.concat(n(4), F.lit("AC"), n(3), F.lit("GT"), n(5))).alias("sequence"))
+    return t.select("contig", "sequence", reads.base_count(F.col("sequence"), "N").cast("long").alias("masked"))
+
+
+_MQ = "list_sum(list_transform(string_split(quality, ''), lambda c: ascii(c) - 33)) / length(quality)::DOUBLE"
+
+
+@query(f"WITH {A.READS}, q AS (SELECT sample_id, read_id, length(sequence) AS length, {_MQ} AS mq FROM reads), h AS ({_HALF.format(t='q', id='read_id', n='max(length) AS n50')}) SELECT q.sample_id, count(*) AS reads, sum(length)::BIGINT AS bases, quantile_cont(length, 0.5)::DOUBLE AS median_length, count(*) FILTER (mq > 66) AS above_q66, any_value(n50) AS n50 FROM q JOIN h USING (sample_id) GROUP BY 1")
+def read_summary(spark, d):
+    r = A.reads(spark, d).withColumn("mean_q", reads.arithmetic_quality(F.col("quality")))
+    return reads.read_summary(r, ["sample_id"], marks=(66,)).select("sample_id", "reads", "bases", "median_length", "above_q66", "n50")
+
+
+@query(f"WITH {A.FM}, c AS (SELECT batch_id, watch_dir, count(*) AS files FROM fm GROUP BY ALL) SELECT *, (sum(files) OVER (PARTITION BY watch_dir ORDER BY batch_id ROWS UNBOUNDED PRECEDING))::BIGINT AS total_files FROM c")
+def directory_running_totals(spark, d):
+    return windows.running_totals(aggregates.directory_counts(A.files(spark, d)), ["watch_dir"], "batch_id", ["files"])
+
+
+@query(f"WITH {A.FM} SELECT sample_id, max(file_size) >= 90000000 AS passed FROM fm GROUP BY 1")
+def non_empty_samples(spark, d):
+    return A.files(spark, d).groupBy("sample_id").agg((F.max("file_size") >= 90_000_000).alias("passed"))
+
+
+@query(f"WITH RECURSIVE {A.KR}, m AS (SELECT sample_id, (sum(cumul) FILTER (taxid IN ('0', '1')))::BIGINT AS n FROM kr GROUP BY 1), h AS (SELECT kr.*, (cumul * 20000 + n) // (n * 2) AS h FROM kr JOIN m USING (sample_id)) SELECT sample_id, row_no, concat_ws(chr(9), (h // 100) || '.' || lpad((h % 100)::VARCHAR, 2, '0'), cumul::VARCHAR, reads::VARCHAR, rank, taxid, name) AS value FROM h")
+def kreport_text(spark, d):
+    rows = A.report(spark, d)
+    n = rows.filter("taxid in ('0', '1')").groupBy("sample_id").agg(F.sum("cumul").alias("total"))
+    return sinks.kreport_lines(rows.join(n, "sample_id"), ["sample_id"])
+
+
+@query("""WITH c AS (SELECT c_nationkey AS run_id, c_mktsegment || (c_custkey % 5) AS sample_id, c_acctbal AS b FROM customer), own AS (SELECT run_id, list(DISTINCT sample_id ORDER BY sample_id) AS s FROM c GROUP BY 1),
+made AS (SELECT run_id, list(DISTINCT sample_id) AS m FROM c WHERE b > 3000 AND run_id % 3 > 0 GROUP BY 1)
+SELECT run_id, coalesce(n_name, 'now') AS started_at, array_to_string(s, ',') AS samples, array_to_string(list_sort(list_concat(list_transform(s, lambda x: x || '.report.txt'), list_transform(s, lambda x: x || '.stats.tsv'))), ',') AS files,
+  CASE WHEN m IS NOT NULL THEN array_to_string(list_filter(s, lambda x: NOT list_contains(m, x)), ',') WHEN n_name IS NOT NULL THEN 'old' END AS failed
+FROM own LEFT JOIN made USING (run_id) LEFT JOIN (SELECT n_nationkey AS run_id, n_name FROM nation WHERE n_regionkey < 3) p USING (run_id)""")
+def run_manifest(spark, d):
+    c = A.table(spark, d, "customer").select(F.col("c_nationkey").alias("run_id"), F.concat("c_mktsegment", F.col("c_custkey") % 5).alias("sample_id"), "c_acctbal")
+    old = A.table(spark, d, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("run_id"), F.col("n_name").alias("started_at"), F.array(F.lit("old")).alias("failed"))
+    m = sinks.manifest(c, c.filter("c_acctbal > 3000 and run_id % 3 > 0"), [".report.txt", ".stats.tsv"], F.lit("now"), old)
+    return m.select("run_id", "started_at", *(F.array_join(x, ",").alias(x) for x in ("samples", "files", "failed")))
+
+
 # Streams ----------------------------------------------------------------------------------------------------------
 
 
-def _event_stream(spark, d):
+def _stream(spark, d, name):
     """The table's files as a stream, whether the table is one file or a folder of them."""
-    at = f"{d}/events.parquet"
+    at = f"{d}/{name}.parquet"
     table = spark.read.parquet(at)
-    if table.inputFiles()[0].endswith("/events.parquet"):
-        return batches.watch(spark, d, table.schema, names="events.parquet")
+    if table.inputFiles()[0].endswith(f"/{name}.parquet"):
+        return batches.watch(spark, d, table.schema, names=f"{name}.parquet")
     return batches.watch(spark, at, table.schema)
 
 
+def _event_stream(spark, d):
+    return _stream(spark, d, "events")
+
+
+@query(f"WITH {A.RA} SELECT sample_id, taxid, count(*) AS n FROM ra WHERE status = 'C' GROUP BY ALL")
+def stream_cumulative_equals_batch(spark, d):
+    return batches.finished(batches.running_counts(A.assigned(_stream(spark, d, "lineitem")).filter("status = 'C'"), ["sample_id", "taxid"]))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_running_counts(spark, d):
     return batches.finished(batches.running_counts(_event_stream(spark, d), ["event_type"]))
