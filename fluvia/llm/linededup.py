@@ -1,6 +1,12 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup: repeated passages of two or more lines, and a coarser form by content-defined chunks.
 
-A document's lines are hashed; a rolling hash over the last WINDOW line hashes ends a chunk where it is 0 modulo
+dedup_passages(), which op10_lines and the pipeline use, takes every two neighbouring lines with a word, and the blank
+lines between them, as a window. A window whose bytes stand earlier too (smaller doc_id, then position), in the same
+document or another, is a copy, and the lines of all copies go. As a repeated run of any length is the union of its
+windows, runs are found whole wherever they start and end; the first occurrence of every line stays. Occurrences may
+overlap: of one line three times in a row, one is left.
+
+dedup_lines() removes whole chunks only. A document's lines are hashed; a rolling hash over the last WINDOW line hashes ends a chunk where it is 0 modulo
 DIVISOR, so that boundaries depend on nearby lines only and the same lines are cut alike wherever they stand. A chunk
 that holds at least LEAST_LINES lines with a word and stands elsewhere too, in the same document or another, is removed
 everywhere but where it comes first (smallest doc_id, then position). Chunks are grouped by hash and size first; the
@@ -8,7 +14,7 @@ bytes of those that meet are then compared: only chunks with equal text are copi
 
 Defined cases: a null text stays null and an empty text empty; rows whose id is null keep their text and make nothing
 else a copy; repeated rows (same id and text) count as one document, so they do not remove each other's lines but keep
-one row each; a document whose chunks all go has an empty text. Columns of docs stay, extra ones included.
+one row each; a document whose lines all go has an empty text. Columns of docs stay, extra ones included.
 """
 
 from __future__ import annotations
@@ -48,6 +54,18 @@ def chunks(text: bytes, window: int = WINDOW, divisor: int = DIVISOR) -> list[tu
     return list(zip(at[starts].tolist(), at[ends].tolist(), (worded[ends] - worded[starts]).tolist()))
 
 
+def pairs(text: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, 2) of each two neighbouring lines with a word, as byte offsets without the newline at the end."""
+    out, at, before = [], 0, None
+    for line in text.split(b"\n"):
+        if line.strip(b" \t\n\r\x0b\x0c"):
+            if before is not None:
+                out.append((before, at + len(line), 2))
+            before = at
+        at += len(line) + 1
+    return out
+
+
 def body(chunk: bytes) -> bytes:
     """A chunk's lines without the newline at its end, so that the last lines of a text can equal lines inside another."""
     return chunk[:-1] if chunk.endswith(b"\n") else chunk
@@ -58,15 +76,15 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(row_key(F.col(id_col).cast("long"), text).alias("_key"), F.col(id_col).cast("long").alias("_id"), text.alias("_text"))
 
 
-def cut(docs: DataFrame, window: int, divisor: int, least_lines: int) -> DataFrame:
-    """(h, size, _id, _key, start): one row for each chunk that could be removed."""
+def cut(docs: DataFrame, parts, least_lines: int) -> DataFrame:
+    """(h, size, _id, _key, start): one row for each piece, of those that parts() gives, that could be removed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text"):
             out = [[], [], [], [], []]
             for key, ident, text in zip(*(c.to_pylist() for c in part.columns)):
                 raw = text.encode()
-                for s, e, n in chunks(raw, window, divisor):
+                for s, e, n in parts(raw):
                     if n >= least_lines:
                         b = body(raw[s:e])
                         for column, x in zip(out, (xxhash.xxh3_64_intdigest(b), len(b), ident, key, s)):
@@ -76,9 +94,9 @@ def cut(docs: DataFrame, window: int, divisor: int, least_lines: int) -> DataFra
     return docs.filter("_id is not null and _text is not null").mapInArrow(run, "h long, size long, _id long, _key long, start long")
 
 
-def repeated(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, least_lines: int = LEAST_LINES) -> DataFrame:
-    """(_key, starts): the chunks to remove from each text of docs (_key, _id, _text)."""
-    pieces = staged(cut(docs, window, divisor, least_lines).dropDuplicates(["_key", "start"]), "lines-chunks")
+def repeated(docs: DataFrame, parts, least_lines: int = LEAST_LINES) -> DataFrame:
+    """(_key, spans): the pieces (start, size), in order, to remove from each text of docs (_key, _id, _text)."""
+    pieces = staged(cut(docs, parts, least_lines).dropDuplicates(["_key", "start"]), "lines-chunks")
     common = pieces.groupBy("h", "size").agg(F.count("*").alias("n")).filter("n > 1").select("h", "size")
     # Rows of one hash can be a third of all, so the copies are found by joins and combined minima, never gathered.
     meet = pieces.join(common, ["h", "size"]).groupBy("_key", "_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
@@ -102,34 +120,49 @@ def repeated(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, leas
     first = found.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.xxhash64("body").alias("b"), F.length("body").alias("size"), "body", "first")
     again = found.withColumns({"b": F.xxhash64("body"), "size": F.length("body")}).join(first.withColumnRenamed("body", "_body"), ["b", "size"])
     again = again.filter((F.col("body") == F.col("_body")) & (place != F.col("first")))
-    return again.groupBy("_key").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+    return again.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("start", again["size"].alias("size")))).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, least_lines: int = LEAST_LINES, counts: bool = False) -> DataFrame:
-    """docs with the copies of line chunks taken out of their texts; with counts also _chunks and _removed_bytes."""
-    rows = _rows(docs, id_col, text_col)
-    gone = repeated(rows, window, divisor, least_lines).withColumnsRenamed({"_key": "_k", "starts": "_starts"})
+def _without(docs: DataFrame, id_col: str, text_col: str, parts, least_lines: int, merged: bool, counts: bool) -> DataFrame:
+    """docs without the pieces that are copies. merged: pieces that overlap or touch count as one."""
+    gone = repeated(_rows(docs, id_col, text_col), parts, least_lines).withColumnsRenamed({"_key": "_k", "spans": "_spans"})
     keyed = docs.withColumn("_key", row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
     joined = keyed.join(gone, F.col("_key") == F.col("_k"), "left")
+    joined = joined.withColumns({"_starts": F.col("_spans.start"), "_ends": F.transform("_spans", lambda x: x["start"] + x["size"])})
 
     @F.pandas_udf("string")
-    def without(text, starts):
+    def without(text, starts, ends):
         out = text.astype(object).copy()
-        for i, (t, at) in enumerate(zip(text, starts)):
-            if t is not None and at is not None:
-                drop, raw = set(at), t.encode()
-                left = b"".join(raw[s:e] for s, e, _ in chunks(raw, window, divisor) if s not in drop)
-                out.iat[i] = left.decode()
+        for i, (t, begin, end) in enumerate(zip(text, starts, ends)):
+            if t is not None and begin is not None:
+                raw, left, at = t.encode(), [], 0
+                for s, e in zip(begin, end):
+                    left.append(raw[at:s])
+                    at = max(at, e + (raw[e : e + 1] == b"\n"))  # a piece goes with the newline after it
+                out.iat[i] = b"".join([*left, raw[at:]]).decode()
         return out
 
-    text = F.when(F.col("_starts").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("_starts")))
+    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("_starts"), F.col("_ends")))
     if not counts:
         return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
-    out = joined.select(*docs.columns, text.alias("_left"), F.coalesce(F.size("_starts"), F.lit(0)).alias("_chunks"))
+    new = F.filter(F.arrays_zip("_starts", F.concat(F.array(F.lit(-2).cast("long")), "_ends").alias("_before")), lambda x: x["_starts"] > x["_before"] + 1)
+    n = F.size(new if merged else F.col("_spans"))
+    out = joined.select(*docs.columns, text.alias("_left"), F.when(F.col("_spans").isNull(), 0).otherwise(n).alias("_chunks"))
     return out.select(*(F.col("_left").alias(c) if c == text_col else F.col(c) for c in docs.columns), "_chunks", (F.octet_length(text_col) - F.octet_length("_left")).alias("_removed_bytes"))
 
 
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, least_lines: int = LEAST_LINES, counts: bool = False) -> DataFrame:
+    """docs with the copies of line chunks taken out of their texts; with counts also _chunks and _removed_bytes."""
+    return _without(docs, id_col, text_col, lambda raw: chunks(raw, window, divisor), least_lines, False, counts)
+
+
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
+    """docs with the copies of runs of two or more lines taken out; with counts also _chunks, the runs of lines taken
+    out of a text, and _removed_bytes."""
+    return _without(docs, id_col, text_col, pairs, 2, True, counts)
+
+
 def op10_lines(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = dedup_lines(docs, counts=True)
+    out = dedup_passages(docs, counts=True)
     return out.select("doc_id", F.col("_chunks").cast("long").alias("removed_chunks"), F.coalesce("_removed_bytes", F.lit(0)).cast("long").alias("removed_bytes"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

@@ -97,3 +97,44 @@ def test_a_budget_is_met_at_the_weights(spark, mixture):
     for r in mixing.weights(sources, a).collect():
         if r.weight:
             assert got[r.source] == pytest.approx(r.weight * 6000, abs=200)
+
+
+def without_copies(rows):
+    """By hand: a line goes if it and a worded neighbour, with what is between, stand earlier too."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        worded = [k for k, x in enumerate(lines) if x.strip()]
+        gone = set()
+        for a, b in zip(worded, worded[1:]):
+            window = tuple(lines[a : b + 1])
+            if window in seen:
+                gone |= set(range(a, b + 1))
+            seen.add(window)
+        ends = ["\n"] * (len(lines) - 1) + [""]
+        out[i] = "".join(x + e for k, (x, e) in enumerate(zip(lines, ends)) if k not in gone)
+    return out
+
+
+def test_planted_runs_of_any_length_go(spark):
+    rng = random.Random(17)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(5))
+    rows, planted = [], {}
+    for n in range(2, 11):
+        for k in range(10):
+            run = [line() for _ in range(n)]
+            if k % 3 == 0:
+                run.insert(1, "")
+            for copy in range(2):
+                own = [line() for _ in range(rng.randint(0, 5))], [line() for _ in range(rng.randint(0, 5))]
+                rows.append((len(rows), "\n".join([*own[0], *run, *own[1]])))
+                if copy:
+                    planted[len(rows) - 1] = len(run), "\n".join([*own[0], *own[1]])
+    rows += [(900, "x y\nx y\nx y\nz"), (901, "a b\nc d\n\ne f"), (902, "c d\n\ne f\ng h\n"), (903, "")]
+    docs = spark.createDataFrame([*rows, rows[1]], "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in linededup.dedup_passages(docs, counts=True).collect()}
+    expected = without_copies(rows)
+    assert {i: r.text for i, r in found.items()} == expected
+    assert all(found[i].text.strip("\n") == own for i, (_, own) in planted.items())
+    assert all(found[i]._chunks == 1 and found[i]._removed_bytes == len(dict(rows)[i]) - len(found[i].text) for i in planted)
+    assert found[900].text == "x y\nz" and found[900]._chunks == 1 and found[902].text == "g h\n" and found[901]._chunks == 0
