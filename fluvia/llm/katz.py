@@ -6,14 +6,17 @@ and what they give up goes to what was not seen:
 - P(w) = f * d(c) * c / N for a word seen, the rest for the unknown word, one class as in the baseline;
 - P(w | h) = f(h) * d(c) * c(h, w) / c(h) for a pair seen, else a(h) * P(w), with a(h) such that P(. | h) adds up to 1.
 f and f(h) are 1, but where no count is discounted (then one count's share is kept back) and where every class was seen
-after h (then nothing is kept back). The `vocabulary` most frequent words have pairs of their own; all others share one
-class in pairs, P(w | h) = P(class | h) * P(w) / P(class), and keep their own counts in P(w). The word before a text's
-first one is the end.
+after h (then nothing is kept back). Every word that occurs in the training texts has pairs of its own, and all that
+do not share one class in pairs. Where `vocabulary` is given, only so many of the most frequent words have pairs of
+their own; the others share the class too, P(w | h) = P(class | h) * P(w) / P(class), and keep their own counts in P(w).
+The word before a text's first one is the end.
 
 Texts are read in slices of about `slice_bytes`, each kept as a row of the table "katz-slices" with its words and token
 sequence. Counts are tables partitioned by a hash of the key: a slice posts each of its distinct keys once, as packed
-blocks; a partition adds them up, keeps its totals and answers each slice with the totals of its keys. Only sums over
-counts, the vocabulary and one row for each of its words reach the driver.
+blocks; a partition adds them up, keeps its totals and answers each slice with the totals of its keys. Words get
+numbers there, the frequent ones small ones, and a pair's key is the numbers of both words. What a word needs as a
+history is summed up in a table partitioned by history, which answers the slices in the same way. Only sums over counts
+reach the driver.
 
 Defined cases: a null or empty text has one token, its end; a row whose id is null is scored, is not held out and
 teaches nothing; repeated rows count and are returned as often as they occur; with nothing to learn from, every score is
@@ -23,7 +26,7 @@ teaches nothing; repeated rows count and are returned as often as they occur; wi
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_bucket, mixed, read_table, slices, staged
 
-CUTOFF, VOCABULARY, SLICE_BYTES = 5, 1 << 17, 8 << 20
+CUTOFF, SLICE_BYTES, LOW = 5, 8 << 20, np.uint64(0xFFFFFFFF)
 
 
 class _Index(dict):
@@ -127,28 +130,60 @@ def posts(one: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordB
 
 
 _POST = "bucket long, slice long, keys binary, n binary"
+_PAIRS = _POST + ", next binary"
 
 
-def add_up(posted: DataFrame) -> DataFrame:
-    """Totals and answers: (bucket, slice, keys, n), slice null for a bucket's totals, keys null for an answer."""
+def add_up(posted: DataFrame, buckets: int) -> DataFrame:
+    """Totals and answers of words: (bucket, slice, keys, n), slice null for a bucket's totals; an answer's keys are the
+    words' numbers, from 1, by falling count within the bucket."""
 
     def run(group: pa.Table) -> pa.Table:
         keys = [unpack(x) for x in group.column("keys").to_pylist()]
         n = [unpack(x, np.uint32) for x in group.column("n").to_pylist()]
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, np.concatenate(n).astype(float), len(found)).astype(np.uint64)
+        rank = np.empty(len(found), np.uint64)
+        rank[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(found), dtype=np.uint64)
+        bucket = group.column("bucket")[0].as_py()
+        number = rank * np.uint64(buckets) + np.uint64(bucket + 1)
+        if len(number) and number.max() > LOW:
+            raise OverflowError("more words than 32 bits can number")
+        bounds = np.cumsum([0, *map(len, keys)])
+        own = [at[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
+        seen = total > 0
+        return pa.table({
+            "bucket": pa.array([bucket] * (len(keys) + 1), pa.int64()),
+            "slice": pa.array([*group.column("slice").to_pylist(), None], pa.int64()),
+            "keys": pa.array([*(pack(number[x]) for x in own), pack(found[seen])], pa.binary()),
+            "n": pa.array([*(pack(total[x]) for x in own), pack(total[seen])], pa.binary()),
+        })
+
+    return posted.groupBy("bucket").applyInArrow(run, _POST)
+
+
+def add_pairs(posted: DataFrame) -> DataFrame:
+    """The same for pairs: (bucket, slice, keys, n, next), keys and next null for an answer. next: the counts of the
+    distinct second words of the keys, by their numbers."""
+
+    def run(group: pa.Table) -> pa.Table:
+        keys = [unpack(x) for x in group.column("keys").to_pylist()]
+        n = [unpack(x, np.uint32) for x in group.column("n").to_pylist()]
+        second, first_at = np.unique(np.concatenate([np.unique(k & LOW) for k in keys]), return_index=True)
+        counts = np.concatenate([unpack(x) for x in group.column("next").to_pylist()])[first_at]
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, np.concatenate(n).astype(float), len(found)).astype(np.uint64)
         bounds = np.cumsum([0, *map(len, keys)])
-        answers = [pack(total[at[s:e]]) for s, e in zip(bounds[:-1], bounds[1:])]
         seen = total > 0
         size = len(keys) + 1
         return pa.table({
             "bucket": pa.array([group.column("bucket")[0].as_py()] * size, pa.int64()),
             "slice": pa.array([*group.column("slice").to_pylist(), None], pa.int64()),
             "keys": pa.array([*[None] * len(keys), pack(found[seen])], pa.binary()),
-            "n": pa.array([*answers, pack(total[seen])], pa.binary()),
+            "n": pa.array([*(pack(total[at[s:e]]) for s, e in zip(bounds[:-1], bounds[1:])), pack(total[seen])], pa.binary()),
+            "next": pa.array([*[None] * len(keys), pack(counts[np.searchsorted(second, np.unique(found[seen] & LOW))])], pa.binary()),
         })
 
-    return posted.groupBy("bucket").applyInArrow(run, _POST)
+    return posted.groupBy("bucket").applyInArrow(run, _PAIRS)
 
 
 def level(n: np.ndarray) -> np.ndarray:
@@ -170,28 +205,15 @@ def levels(totals: DataFrame) -> dict[int, tuple[int, int]]:
     return {r.level: (r.keys, r.n) for r in rows.collect()}
 
 
-def frequent(totals: DataFrame, sizes: dict[int, tuple[int, int]], most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of the highest levels that hold `most` keys together at most, sorted, and their counts."""
-    least, n = None, 0
+def least_level(sizes: dict[int, tuple[int, int]], most: int | None) -> int:
+    """The lowest of the highest levels that hold `most` keys together at most; the lowest of all without a limit."""
+    least, n = 1 << 62, 0
     for x in sorted(sizes, reverse=True):
         n += sizes[x][0]
-        if n > most:
+        if most is not None and n > most:
             break
         least = x
-    if least is None:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, data in zip(*(c.to_pylist() for c in batch.columns)):
-                n = unpack(data)
-                keep = level(n) >= least
-                yield pa.RecordBatch.from_arrays([pa.array(unpack(keys)[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["key", "n"])
-
-    found = totals.select("keys", "n").mapInArrow(run, "key long, n long").toArrow()
-    keys = found.column("key").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], found.column("n").to_numpy().astype(np.uint64)[order]
+    return least
 
 
 def discounts(sizes: dict[int, tuple[int, int]], cutoff: int = CUTOFF) -> np.ndarray:
@@ -219,69 +241,92 @@ def mass(total: int, sizes: dict[int, tuple[int, int]], small: np.ndarray) -> fl
 
 @dataclass
 class Model:
-    """words: the vocabulary's hashes, sorted; a word's class is its place + 1, 0 the class of all others."""
+    """A word's class in pairs is its number, or 0 where it occurs too seldom."""
 
     tokens: int
     distinct: int
     small: np.ndarray  # d(c) * c of words
     share: float  # f / N
     unknown: float  # P of the unknown word
-    words: np.ndarray
-    prior: np.ndarray  # P of each class
+    least: int  # the lowest level of words with a class of their own
+    classes: int
+    rest: float  # P of class 0
     pairs: np.ndarray | None = None  # d(c) * c of pairs
-    seen: np.ndarray | None = None  # log10(f(h) / c(h)) of each class
-    unseen: np.ndarray | None = None  # log10 a(h)
 
-    def classes(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), np.uint64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at + 1, 0).astype(np.uint64)
+    def own(self, numbers: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The classes of words by their numbers and counts."""
+        return np.where((n > 0) & (level(n.astype(np.int64)) >= self.least), numbers, 0).astype(np.uint64)
 
     def word(self, n: np.ndarray) -> np.ndarray:
         """P of words by their counts."""
         return np.where(n > 0, self.share * discounted(n, self.small), self.unknown)
 
+    def prior(self, own: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """P of classes, by the counts of those that are words."""
+        return np.where(own > 0, self.word(n), self.rest)
+
     def baseline(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n.astype(float) + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
 
-END = np.uint64(xxhash.xxh3_64_intdigest(b""))
-
-
-def unigrams(totals: DataFrame, vocabulary: int = VOCABULARY, cutoff: int = CUTOFF) -> Model:
+def unigrams(totals: DataFrame, vocabulary: int | None = None, cutoff: int = CUTOFF) -> Model:
     sizes = levels(totals)
     tokens, distinct = sum(n for _, n in sizes.values()), sum(k for k, _ in sizes.values())
     small = discounts(sizes, cutoff)
     held = mass(tokens, sizes, small) / max(tokens, 1)
     f = 1.0 if held < 1 - 1e-12 else tokens / (tokens + 1) / held
-    words, n = frequent(totals, sizes, vocabulary)
-    model = Model(tokens, distinct, small, f / max(tokens, 1), 1 - f * held, words, np.empty(0))
-    own = model.word(n)
-    model.prior = np.concatenate([[max(model.unknown, 1 - own.sum())], own])
-    return model
+    share, unknown, least = f / max(tokens, 1), 1 - f * held, least_level(sizes, vocabulary)
+    with_pairs = {x: v for x, v in sizes.items() if x >= least}
+    own = share * mass(sum(n for _, n in with_pairs.values()), with_pairs, small)
+    return Model(tokens, distinct, small, share, unknown, least, 1 + sum(k for k, _ in with_pairs.values()), max(unknown, 1 - own))
 
 
-def pair_keys(model: Model, words: np.ndarray, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The class of each token, the distinct pairs of a slice (class before * classes + class), each token's pair."""
-    own = model.classes(words)[tokens]
+def pair_keys(own: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs (class before * 2**32 + class) of a slice's tokens, given by their classes, and each token's pair."""
     before = np.empty_like(own)
     before[1:] = own[:-1]
-    before[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = model.classes(END[None])[0]
-    keys, at = np.unique(before * np.uint64(len(model.prior)) + own, return_inverse=True)
-    return own, keys, at
+    before[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = own[int(ends[0]) - 1]
+    return np.unique(before << np.uint64(32) | own, return_inverse=True)
 
 
-def post_pairs(parts: DataFrame, model, buckets: int) -> DataFrame:
+def looked_up(parts: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """parts with the numbers and counts of their words instead of the hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for one, words, tokens, ends, teaches in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens = _tokens(tokens)
-                _, keys, at = pair_keys(model.value, unpack(words), tokens, unpack(ends))
-                taught = np.unpackbits(np.frombuffer(zstandard.decompress(teaches), np.uint8), count=len(tokens)).astype(bool)
-                yield posts(one, keys, np.bincount(at[taught], minlength=len(keys)).astype(np.uint32), buckets)
+        for row, part in _one_by_one(batches):
+            hashes = unpack(row["words"])
+            found = [_in_order(row["answers"], hashes, buckets, x) for x in ("keys", "n")]
+            yield pa.RecordBatch.from_arrays([*(part.column(x) for x in ("slice", "ids", "held_out", "tokens", "ends", "teaches")), *(pa.array([pack(x)], pa.binary()) for x in found)], ["slice", "ids", "held_out", "tokens", "ends", "teaches", "numbers", "n"])
+
+    found = parts.join(_answers(words, "answers", "keys", "n"), "slice").select("slice", "ids", "held_out", "tokens", "ends", "teaches", "words", "answers")
+    return found.mapInArrow(run, "slice long, ids array<long>, held_out array<boolean>, tokens binary, ends binary, teaches binary, numbers binary, n binary")
+
+
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.RecordBatch]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            part = batch.slice(i, 1)
+            yield part.to_pylist()[0], part
+
+
+def counts_of(own: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The counts of wanted classes, given all words' classes and counts; 0 for class 0."""
+    order = np.argsort(own)
+    return np.where(wanted > 0, n[order][np.searchsorted(own[order], wanted)], 0).astype(np.uint64)
+
 
-    return parts.select("slice", "words", "tokens", "ends", "teaches").mapInArrow(run, _POST)
+def post_pairs(known: DataFrame, model: Model, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, _ in _one_by_one(batches):
+            tokens, n = _tokens(row["tokens"]), unpack(row["n"])
+            own = model.own(unpack(row["numbers"]), n)
+            keys, at = pair_keys(own[tokens], unpack(row["ends"]))
+            taught = np.unpackbits(np.frombuffer(zstandard.decompress(row["teaches"]), np.uint8), count=len(tokens)).astype(bool)
+            out = posts(row["slice"], keys, np.bincount(at[taught], minlength=len(keys)).astype(np.uint32), buckets)
+            after = [pack(counts_of(own, n, np.unique(unpack(x) & LOW))) for x in out.column("keys").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(after, pa.binary())], ["bucket", "slice", "keys", "n", "next"])
+
+    return known.select("slice", "tokens", "ends", "teaches", "numbers", "n").mapInArrow(run, _PAIRS)
 
 
 def post_words(parts: DataFrame, buckets: int) -> DataFrame:
@@ -293,78 +338,137 @@ def post_words(parts: DataFrame, buckets: int) -> DataFrame:
     return parts.select("slice", "words", "taught").mapInArrow(run, _POST)
 
 
-def backoff(totals: DataFrame, model: Model, shared, cutoff: int = CUTOFF) -> Model:
-    """The model with its weights of pairs: one row for each class reaches the driver."""
-    small = discounts(levels(totals), cutoff)
+_SUMS = ("n", "kept", "prior", "kinds")
+_HISTORIES = "bucket long, slice long, keys binary, " + ", ".join(f"{x} binary" for x in _SUMS)
+
+
+def _floats(x: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(x.astype(float).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _from_floats(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(float).ravel()
+
+
+def post_histories(totals: DataFrame, model: Model, buckets: int) -> DataFrame:
+    """Sums over the pairs of each history, from each bucket of pairs: counts, what discounts leave, P of the second
+    words, and kinds of second words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prior = shared.value.prior
-        for batch in batches:
-            for keys, data in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, n = unpack(keys), unpack(data)
-                h, w = keys // np.uint64(len(prior)), (keys % np.uint64(len(prior))).astype(np.int64)
-                found, at = np.unique(h, return_inverse=True)
-                sums = [np.bincount(at, x, len(found)) for x in (n.astype(float), discounted(n, small), prior[w], np.ones(len(w)))]
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), *map(pa.array, sums)], ["h", "n", "kept", "prior", "kinds"])
-
-    per = totals.select("keys", "n").mapInArrow(run, "h long, n double, kept double, prior double, kinds double").groupBy("h").agg(*(F.sum(x).alias(x) for x in ("n", "kept", "prior", "kinds"))).toArrow()
-    h, n, kept, prior, kinds = (per.column(x).to_numpy() for x in ("h", "n", "kept", "prior", "kinds"))
-    held, whole = kept / n, kinds >= len(model.prior)
-    f = np.where(whole, 1 / held, np.where(held < 1 - 1e-12, 1.0, n / (n + 1) / held))
-    rest = np.where(whole, 1.0, np.maximum(1 - f * held, 1e-300) / np.maximum(1 - prior, 1e-300))
-    model.pairs, model.seen, model.unseen = small, np.zeros(len(model.prior)), np.zeros(len(model.prior))
-    model.seen[h], model.unseen[h] = np.log10(f / n), np.log10(rest)
-    return model
-
-
-def _answers(counts: DataFrame, name: str) -> DataFrame:
+        for row, _ in _one_by_one(batches):
+            keys, n = unpack(row["keys"]), unpack(row["n"])
+            second, which = np.unique(keys & LOW, return_inverse=True)
+            found, at = np.unique(keys >> np.uint64(32), return_inverse=True)
+            prior = model.prior(second, unpack(row["next"]))[which]
+            sums = [np.bincount(at, x, len(found)) for x in (n.astype(float), discounted(n, model.pairs), prior, np.ones(len(keys)))]
+            order, bounds = bucketed(found, buckets)
+            full = np.flatnonzero(np.diff(bounds))
+            cut = [order[bounds[b] : bounds[b + 1]] for b in full]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int64()), pa.nulls(len(full), pa.int64()), pa.array([pack(found[x]) for x in cut], pa.binary()), *(pa.array([_floats(v[x]) for x in cut], pa.binary()) for v in sums)], ["bucket", "slice", "keys", *_SUMS]
+            )
+
+    return totals.select("keys", "n", "next").mapInArrow(run, _HISTORIES)
+
+
+def ask_histories(known: DataFrame, model: Model, buckets: int) -> DataFrame:
+    """Each slice's classes, all of which are histories in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, _ in _one_by_one(batches):
+            own = np.unique(model.own(unpack(row["numbers"]), unpack(row["n"])))
+            order, bounds = bucketed(own, buckets)
+            full = np.flatnonzero(np.diff(bounds))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int64()), pa.array([row["slice"]] * len(full), pa.int64()), pa.array([pack(own[order[bounds[b] : bounds[b + 1]]]) for b in full], pa.binary()), *(pa.nulls(len(full), pa.binary()) for _ in _SUMS)],
+                ["bucket", "slice", "keys", *_SUMS],
+            )
+
+    return known.select("slice", "numbers", "n").mapInArrow(run, _HISTORIES)
+
+
+def backoff(posted: DataFrame, classes: int) -> DataFrame:
+    """(bucket, slice, seen, unseen): log10(f(h) / c(h)) and log10 a(h) of a slice's histories; 0 for those never seen."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        sums = [r for r in rows if r["slice"] is None]
+        asked = [r for r in rows if r["slice"] is not None]
+        h = np.concatenate([np.empty(0, np.uint64), *(unpack(r["keys"]) for r in sums)])
+        found, at = np.unique(h, return_inverse=True)
+        n, kept, prior, kinds = (np.bincount(at, np.concatenate([np.empty(0), *(_from_floats(r[x]) for r in sums)]), len(found)) for x in _SUMS)
+        held, whole = kept / n, kinds >= classes
+        f = np.where(whole, 1 / held, np.where(held < 1 - 1e-12, 1.0, n / (n + 1) / held))
+        rest = np.where(whole, 1.0, np.maximum(1 - f * held, 1e-300) / np.maximum(1 - prior, 1e-300))
+        seen, unseen = np.append(np.log10(f / n), 0.0), np.append(np.log10(rest), 0.0)
+        answers = []
+        for r in asked:
+            keys = unpack(r["keys"])
+            place = np.searchsorted(found, keys)
+            hit = np.append(found, LOW + np.uint64(1))[place] == keys
+            answers.append(np.where(hit, place, len(found)))
+        return pa.table({
+            "bucket": pa.array([r["bucket"] for r in asked], pa.int64()),
+            "slice": pa.array([r["slice"] for r in asked], pa.int64()),
+            "seen": pa.array([_floats(seen[x]) for x in answers], pa.binary()),
+            "unseen": pa.array([_floats(unseen[x]) for x in answers], pa.binary()),
+        })
+
+    return posted.groupBy("bucket").applyInArrow(run, "bucket long, slice long, seen binary, unseen binary")
+
+
+def _answers(counts: DataFrame, name: str, *fields: str) -> DataFrame:
     """(slice, name): a slice's answers by bucket. They are as large as the slice."""
-    return counts.filter("slice is not null").groupBy("slice").agg(F.collect_list(F.struct("bucket", "n")).alias(name))
+    return counts.filter("slice is not null").groupBy("slice").agg(F.collect_list(F.struct("bucket", *fields)).alias(name))
 
 
-def _in_order(answers: list[dict], keys: np.ndarray, buckets: int) -> np.ndarray:
+def _in_order(answers: list[dict], keys: np.ndarray, buckets: int, field: str = "n", read=unpack) -> np.ndarray:
     order, _ = bucketed(keys, buckets)
-    out = np.empty(len(keys), np.uint64)
-    out[order] = np.concatenate([unpack(x["n"]) for x in sorted(answers, key=lambda x: x["bucket"])])
+    found = np.concatenate([read(x[field]) for x in sorted(answers, key=lambda x: x["bucket"])])
+    out = np.empty(len(keys), found.dtype)
+    out[order] = found
     return out
 
 
-def evaluate(parts: DataFrame, words: DataFrame, pairs: DataFrame, model, buckets: int) -> DataFrame:
+def evaluate(known: DataFrame, pairs: DataFrame, histories: DataFrame, model: Model, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                hashes, tokens, ends = unpack(row["words"]), _tokens(row["tokens"]), unpack(row["ends"])
-                own, keys, at = pair_keys(m, hashes, tokens, ends)
-                n = _in_order(row["word_answers"], hashes, buckets)
-                both = _in_order(row["pair_answers"], keys, buckets)
-                h, w = (keys // np.uint64(len(m.prior))).astype(np.int64), (keys % np.uint64(len(m.prior))).astype(np.int64)
-                value = np.where(both > 0, np.log10(np.maximum(discounted(both, m.pairs), 1e-300)) + m.seen[h], m.unseen[h] + np.log10(m.prior[w]))
-                score = value[at] + np.where(own == 0, np.log10(m.word(n))[tokens] - np.log10(m.prior[0]), 0.0)
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                sums = [np.add.reduceat(x, starts) for x in (m.baseline(n)[tokens], score)]
-                known = np.add.reduceat((n > 0)[tokens].astype(np.int64), starts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(ends, prepend=np.uint64(0)).astype(np.int64)), pa.array(known), pa.array([m.tokens] * len(ends), pa.int64()), *map(pa.array, sums)],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
-    found = parts.drop("taught", "teaches").join(_answers(words, "word_answers"), "slice").join(_answers(pairs, "pair_answers"), "slice")
+        for row, _ in _one_by_one(batches):
+            tokens, ends, n = _tokens(row["tokens"]), unpack(row["ends"]), unpack(row["n"])
+            classes = model.own(unpack(row["numbers"]), n)
+            own = classes[tokens]
+            keys, at = pair_keys(own, ends)
+            both = _in_order(row["pair_answers"], keys, buckets)
+            first = np.unique(classes)
+            seen, unseen = (_in_order(row["history_answers"], first, buckets, x, _from_floats) for x in ("seen", "unseen"))
+            h, w = np.searchsorted(first, keys >> np.uint64(32)), keys & LOW
+            value = np.where(both > 0, np.log10(np.maximum(discounted(both, model.pairs), 1e-300)) + seen[h], unseen[h] + np.log10(model.prior(w, counts_of(classes, n, w))))
+            score = value[at] + np.where(own == 0, np.log10(model.word(n))[tokens] - np.log10(model.rest), 0.0)
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            sums = [np.add.reduceat(x, starts) for x in (model.baseline(n)[tokens], score)]
+            taught = np.add.reduceat((n > 0)[tokens].astype(np.int64), starts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(ends, prepend=np.uint64(0)).astype(np.int64)), pa.array(taught), pa.array([model.tokens] * len(ends), pa.int64()), *map(pa.array, sums)],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    found = known.drop("teaches").join(_answers(pairs, "pair_answers", "n"), "slice").join(_answers(histories, "history_answers", "seen", "unseen"), "slice")
     return found.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY, cutoff: int = CUTOFF, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = None, cutoff: int = CUTOFF, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of docs; held_out: a column."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(~held_out, F.lit(False)).alias("teaches"))
     parts = staged(read_slices(docs, slice_bytes), "katz-slices")
-    words = staged(add_up(post_words(parts, buckets)), "katz-words")
+    words = staged(add_up(post_words(parts, buckets), buckets), "katz-words")
     model = unigrams(words.filter("slice is null"), vocabulary, cutoff)
-    shared = spark.sparkContext.broadcast(model)
-    pairs = staged(add_up(post_pairs(parts, shared, buckets)), "katz-pairs")
-    model = backoff(pairs.filter("slice is null"), model, shared, cutoff)
-    return evaluate(parts, words, pairs, spark.sparkContext.broadcast(model), buckets)
+    known = staged(looked_up(parts, words, buckets), "katz-known")
+    pairs = staged(add_pairs(post_pairs(known, model, buckets)), "katz-pairs")
+    totals = pairs.filter("slice is null")
+    model = replace(model, pairs=discounts(levels(totals), cutoff))
+    histories = backoff(post_histories(totals, model, buckets).unionByName(ask_histories(known, model, buckets)), model.classes)
+    return evaluate(known, pairs, histories, model, buckets)
 
 
 def op3_katz(spark, sf_dir: str) -> DataFrame:

@@ -120,3 +120,16 @@ def test_packed_integers_come_back():
         x = np.array([5, 3, 2**31, 0, 7], kind)
         assert (katz.unpack(katz.pack(x), kind) == x).all()
         assert len(katz.unpack(katz.pack(x[:0]), kind)) == 0
+
+
+def test_every_taught_word_has_pairs_of_its_own(spark):
+    rng, fresh, rows = random.Random(5), iter(range(10**9)), []
+    for i in range(64):  # over 2**17 distinct taught words
+        own = [f"w{next(fresh)}" for _ in range(2400)]
+        rows.append((i, " ".join([*own, *own[:300], *rng.choices(["a", "b", "c"], k=50)])))
+    assert sum(2400 for i, _ in rows if zlib.crc32(str(i).encode()) % 10) > 1 << 17
+    rows += [(100 + i, " ".join(rows[i][1].split()[k : k + 40])) for i in range(30) for k in (0, 2380)][::7]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.n_tokens): r.score for r in katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=100_000).collect()}
+    for (i, t), (_, score, _, _) in zip(rows, brute(rows, 10**9)):
+        assert math.isclose(found[i, len(t.split()) + 1], score, rel_tol=1e-9), i
