@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import row_key, slices, staged
 
 RADIUS, BITS, SEED, SHINGLE = 4, 64, 42, 4
 
@@ -45,12 +45,12 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            fp = np.array([fingerprint(x) for x in part.column(1).to_pylist()], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(x, words) for x in part.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["doc_id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -186,9 +186,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, max_bucket: int = 20_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, max_bucket: int = 20_000, words: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) of every row of docs."""
-    fps = staged(fingerprints(docs, id_col, text_col), "simhash")
+    fps = staged(fingerprints(docs, id_col, text_col, words), "simhash")
     distinct = fps.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id"))
     # Each document of a fingerprint is linked to all others of it; its smallest id stands for it.
     found = components(links(distinct, radius, max_bucket))
@@ -196,6 +196,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, max_bucket: int = 20_000, words: int = SHINGLE) -> DataFrame:
+    """(key): the row_key() of the row to keep of each group of linked texts, the first by id, then by key.
+
+    Groups are of fingerprints, so that rows of one id whose texts do not link stay in groups of their own. Rows whose
+    id is null are in no group.
+    """
+    ident, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), text.alias("text"))
+    fps = staged(fingerprints(rows, "key", "text", words).withColumnRenamed("doc_id", "key"), "simhash")
+    distinct = fps.select("fp", F.col("fp").alias("id")).distinct()
+    found = components(links(distinct, radius, max_bucket))
+    # Fingerprints first: of a large group of equal ones a single row goes on.
+    least = fps.distinct().join(rows.select("key", "ident").distinct(), "key").groupBy("fp").agg(F.min(F.struct("ident", "key")).alias("first"))
+    least = least.join(found, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("first").alias("first"))
+    return least.select(F.col("first.key").alias("key"))
+
+
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     from .common import read_table
 

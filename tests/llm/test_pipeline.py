@@ -53,3 +53,17 @@ def test_odd_tables(spark, tmp_path, name):
     assert 2 in {r.doc_id for r in out.select("doc_id").collect()}
     assert name == "bpe" or out.columns == odd.columns
     assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0
+
+
+def test_unrelated_texts_of_one_id_stay(spark, tmp_path):
+    texts = [f"{x} one two three {x * 7} four five {x * x} six seven eight {x + 3}" for x in range(5)]
+    rows = [(1, texts[0], "web"), (1, texts[1], "web"), (2, texts[1], "web"), (3, texts[2], "web"), (3, texts[2], "web"), (0, texts[3], "web"), (9, texts[3], "news"), (None, texts[3], "web")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted((_id(r), r.text) for r in out) == sorted([(-1, texts[3]), (0, texts[3]), (1, texts[0]), (1, texts[1]), (3, texts[2])])
+
+
+def test_shingles_can_be_chosen(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    (row,) = simhash.near_duplicates(docs, words=5).collect()
+    assert row.fp % 2**64 == simhash.fingerprint("a b c d e f g", 5) != simhash.fingerprint("a b c d e f g")
