@@ -9,12 +9,13 @@ from fluvia.functions.scalars import indent
 from fluvia.sources.staging import staged
 
 
-def recover_parents(rows: DataFrame, keys: list[str], row_no: str = "row_no", name: str = "name", taxid: str = "taxid", levels: int = 40) -> DataFrame:
+def recover_parents(rows: DataFrame, keys: list[str], row_no: str = "row_no", name: str = "name", taxid: str = "taxid") -> DataFrame:
     """The nearest earlier row of less indentation is a row's parent; null for roots.
 
-    One window carries the last row seen at each level (two blanks each, up to `levels`), so no pair of rows is joined.
+    One window carries the last row seen at each level (two blanks each) above the deepest, so no pair of rows is joined.
     """
     marked = rows.withColumn("_level", F.floor(indent(F.col(name)) / 2).cast("int"))
+    levels = max(1, marked.agg(F.max("_level")).first()[0] or 0)
     w = Window.partitionBy(*keys).orderBy(row_no).rowsBetween(Window.unboundedPreceding, -1)
     last = F.array(*(F.max(F.when(F.col("_level") == i, F.struct(F.col(row_no), F.col(taxid)))).over(w) for i in range(levels)))
     lower = F.slice(last, 1, F.greatest(F.lit(0), F.col("_level")))
@@ -22,17 +23,21 @@ def recover_parents(rows: DataFrame, keys: list[str], row_no: str = "row_no", na
 
 
 def ancestors(taxonomy: DataFrame) -> DataFrame:
-    """(taxid, ancestor): each taxon with itself and everything above it. taxonomy: (taxid, parent)."""
-    return taxonomy.sparkSession.sql(
-        """
-        WITH RECURSIVE up(taxid, ancestor) AS (
-            SELECT taxid, taxid FROM {t}
-            UNION ALL
-            SELECT u.taxid, t.parent FROM up u JOIN {t} t ON t.taxid = u.ancestor WHERE t.parent IS NOT NULL AND t.parent <> t.taxid
-        ) SELECT taxid, ancestor FROM up
-        """,
-        t=taxonomy.select("taxid", "parent"),
-    )
+    """(taxid, ancestor): each taxon with itself and everything above it. taxonomy: (taxid, parent).
+
+    By pointer doubling: after k rounds the ancestors nearer than 2**k are known, and jumps lead 2**k upwards.
+    """
+    taxa = staged(taxonomy.select("taxid", "parent").distinct(), "taxa")
+    jump = taxa.filter("parent is not null and parent <> taxid").select("taxid", F.col("parent").alias("_to"))
+    nodes = taxa.select("taxid").unionByName(jump.select(F.col("_to").alias("taxid"))).distinct()
+    found = staged(nodes.select("taxid", F.col("taxid").alias("ancestor")), "ancestors")
+    while not jump.isEmpty():
+        new = staged(jump.join(found.withColumnRenamed("taxid", "_to"), "_to").select("taxid", "ancestor"), "ancestors")
+        if not new.filter("taxid = ancestor").isEmpty():
+            raise ValueError("a taxon is its own ancestor")
+        found = found.unionByName(new)
+        jump = staged(jump.join(jump.select(F.col("taxid").alias("_to"), F.col("_to").alias("_next")), "_to").select("taxid", F.col("_next").alias("_to")), "jumps")
+    return found.join(taxa.select("taxid").distinct(), "taxid", "left_semi")
 
 
 def clade_counts(direct: DataFrame, taxonomy: DataFrame, keys: list[str], reads: str = "reads") -> DataFrame:
