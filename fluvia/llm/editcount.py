@@ -1,7 +1,9 @@
 """Token counts kept under edits.
 
-A document keeps a segment tree over its pre-tokens: the leaves hold runs of pre-tokens with their token counts, each
-node the characters and tokens below it. An edit (at, drop, put) replaces `drop` characters at character `at` by `put`.
+A document's state is its text and a segment tree over its pre-tokens: the leaves hold runs of pre-tokens with their
+token counts, each node the characters, pre-tokens and tokens below it. keep() makes the table of states once, with the
+lengths and counts of the pre-tokens in order; edit() takes such a table with edits and gives the table of the states
+after them, which takes the next edits. An edit (at, drop, put) replaces `drop` characters at character `at` by `put`.
 Splitting reads left to right and a pre-token depends on its own characters and two more at most, so the pre-tokens
 that end two characters or more before the edit stay; from there the new text is split anew until a boundary behind
 the edit falls on an old one, from which on all is as before. Only what lies between is encoded; the subtrees beside it
@@ -9,36 +11,46 @@ are kept and the sums on the way to the root are renewed.
 
 Edits of a document apply in order, each to the text that the one before left. Positions beyond the end are the end,
 negative ones the start. Defined cases: a null text is empty; null or no edits change nothing; a null put is empty;
-repeated rows get one row each; extra columns are ignored.
+repeated rows get one row each; extra columns are ignored. Special tokens count as ordinary text, so that counts can
+differ from those of encode() where a text spells one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import PATTERN, Codec, _codec, default_path
-from .common import read_table, slices
+from .bpe import _SPLIT, Codec, _codec, default_path, split
+from .common import read_table, slices, staged
 
 LEAF, REACH = 64, 2
-_SPLIT = regex.compile(PATTERN)
+STATE = "doc_id long, text string, lengths binary, counts binary"
 
 
 class Node:
-    """chars and tokens of a subtree; a leaf has items, lists of lengths and of counts, else there are two sides."""
+    """chars, items and tokens of a subtree; a leaf has lists of lengths and of counts, else there are two sides."""
 
-    __slots__ = ("chars", "counts", "left", "lengths", "right", "tokens")
+    __slots__ = ("chars", "counts", "items", "left", "lengths", "right", "tokens")
 
     def __init__(self, lengths=None, counts=None, left=None, right=None):
         self.lengths, self.counts, self.left, self.right = lengths, counts, left, right
         if left is None:
-            self.chars, self.tokens = sum(lengths), sum(counts)
+            self.chars, self.items, self.tokens = sum(lengths), len(lengths), sum(counts)
         else:
-            self.chars, self.tokens = left.chars + right.chars, left.tokens + right.tokens
+            self.chars, self.items, self.tokens = left.chars + right.chars, left.items + right.items, left.tokens + right.tokens
+
+    def leaves(self) -> Iterator[Node]:
+        todo = [self]
+        while todo:
+            node = todo.pop()
+            if node.left is None:
+                yield node
+            else:
+                todo += (node.right, node.left)
 
 
 def build(lengths: list[int], counts: list[int]) -> Node:
@@ -103,13 +115,16 @@ def boundaries(node: Node, start: int, base: int = 0) -> Iterator[int]:
 
 
 class Document:
-    def __init__(self, codec: Codec, text: str):
-        self.codec, self.text, self.encoded = codec, text, 0
-        words = codec.split(text)
-        self.tree = build([len(w) for w in words], [self.count(w) for w in words])
+    def __init__(self, codec: Codec, text: str, lengths: list[int], counts: list[int]):
+        self.codec, self.text, self.encoded, self.unknown = codec, text, 0, []
+        self.tree = build(lengths, counts)
 
     def count(self, word: str) -> int:
-        return len(self.codec.words[word]) // 4
+        ids = self.codec.words.get(word)
+        if ids is None:
+            self.unknown.append(word)
+            return 0
+        return len(ids) // 4
 
     def edit(self, at: int, drop: int, put: str) -> None:
         at = min(max(at, 0), len(self.text))
@@ -134,34 +149,70 @@ class Document:
         self.text = text
 
 
-def edited_counts(docs: DataFrame, edits: str = "edits", path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_before, n_after, n_pretokens, n_encoded, text) after the edits in the column `edits`, an array of
-    structs (at, drop, put). n_encoded: pre-tokens encoded for the edits. Special tokens count as ordinary text."""
+def _spec(docs: DataFrame, path: str | None):
     with open(path or default_path(), "rb") as f:
-        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+        return docs.sparkSession.sparkContext.broadcast(f.read())
+
+
+def keep(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, lengths, counts): the states of the documents, lengths and counts as little-endian 32-bit integers."""
+    spec = _spec(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(spec.value)
+        for part in slices(batches):
+            texts = [x or "" for x in part.column("text").to_pylist()]
+            words = [split(x) for x in texts]
+            codec.learn(words)
+            lengths = [np.fromiter(map(len, x), "<u4", len(x)).tobytes() for x in words]
+            counts = [(np.fromiter(map(len, map(codec.words.__getitem__, x)), "<u4", len(x)) // 4).astype("<u4").tobytes() for x in words]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array(lengths, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "text", "lengths", "counts"])
+
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return docs.mapInArrow(run, STATE)
+
+
+def edit(states: DataFrame, edits: str = "edits", path: str | None = None) -> DataFrame:
+    """The states after the edits in the column `edits`, an array of structs (at, drop, put), with n_before, n_after,
+    n_pretokens, n_encoded; n_encoded: pre-tokens encoded for the edits."""
+    spec = _spec(states, path)
+
+    def edited(codec: Codec, text: str, lengths: np.ndarray, counts: np.ndarray, changes: list[dict]) -> Document:
+        d = Document(codec, text, lengths.tolist(), counts.tolist())
+        for c in changes:
+            d.edit(c["at"] or 0, c["drop"] or 0, c["put"] or "")
+        return d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(spec.value)
         for part in slices(batches):
-            rows = []
-            for ident, text, changes in zip(*(c.to_pylist() for c in part.columns)):
-                d = Document(codec, text or "")
-                first = d.tree.tokens
-                for c in changes or []:
-                    if c is not None:
-                        d.edit(c["at"] or 0, c["drop"] or 0, c["put"] or "")
-                rows.append((ident, first, d.tree.tokens, sum(1 for _ in boundaries(d.tree, 0)), d.encoded, d.text))
-            names = ["doc_id", "n_before", "n_after", "n_pretokens", "n_encoded", "text"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string() if n == "text" else pa.int64()) for n, x in zip(names, zip(*rows))], names)
-
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(edits).alias("edits"))
-    return docs.mapInArrow(run, "doc_id long, n_before long, n_after long, n_pretokens long, n_encoded long, text string")
-
-
-def with_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs with the column `edits` from a table (doc_id, seq, at, drop, put); a document's edits apply by seq."""
+            rows, unknown = [], []
+            for ident, text, lengths, counts, changes in zip(*(c.to_pylist() for c in part.columns)):
+                lengths, counts = np.frombuffer(lengths, "<u4"), np.frombuffer(counts, "<u4")
+                d = edited(codec, text, lengths, counts, [c for c in changes or [] if c is not None])
+                unknown += d.unknown
+                rows.append([ident, text, lengths, counts, changes, d])
+            # Where pre-tokens were met that are not known, these are encoded for all such texts together. Which
+            # pre-tokens an edit meets does not depend on their counts, so that a second run knows all of them.
+            if unknown:
+                codec.learn([unknown])
+            out = []
+            for ident, text, lengths, counts, changes, d in rows:
+                if d.unknown:
+                    d = edited(codec, text, lengths, counts, [c for c in changes if c is not None])
+                leaves = list(d.tree.leaves()) if d.encoded or d.text != text else []
+                after = [np.array([x for n in leaves for x in getattr(n, k)], "<u4") if leaves else v for k, v in (("lengths", lengths), ("counts", counts))]
+                out.append((ident, d.text, *(x.tobytes() for x in after), int(counts.sum()), d.tree.tokens, d.tree.items, d.encoded))
+            kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for k, x in zip(kinds, zip(*out))], ["doc_id", "text", "lengths", "counts", "n_before", "n_after", "n_pretokens", "n_encoded"])
+
+    return states.select("doc_id", "text", "lengths", "counts", F.col(edits).alias("edits")).mapInArrow(run, STATE + ", n_before long, n_after long, n_pretokens long, n_encoded long")
+
+
+def with_edits(states: DataFrame, edits: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """states with the column `edits` from a table (doc_id, seq, at, drop, put); a document's edits apply by seq."""
     own = edits.groupBy(F.col("doc_id").alias("_d")).agg(F.sort_array(F.collect_list(F.struct("seq", "at", "drop", "put"))).alias("edits"))
-    return docs.join(own, F.col(id_col) == F.col("_d"), "left").drop("_d")
+    return states.join(own, F.col(id_col) == F.col("_d"), "left").drop("_d")
 
 
 def sample_edits(text: Column) -> Column:
@@ -172,5 +223,6 @@ def sample_edits(text: Column) -> Column:
 
 
 def op8_edits(spark, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", sample_edits(F.col("text")).alias("edits"))
-    return edited_counts(docs).select("doc_id", "n_before", "n_after", "n_pretokens", "n_encoded", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    states = staged(keep(read_table(spark, sf_dir, "documents")), "edit-states")
+    out = edit(states.withColumn("edits", sample_edits(F.col("text"))))
+    return out.select("doc_id", "n_before", "n_after", "n_pretokens", "n_encoded", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))

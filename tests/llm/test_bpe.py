@@ -49,11 +49,62 @@ def test_counts_after_edits(spark, library):
         rows.append((i, t, edits))
         after.append(now)
     docs = spark.createDataFrame(rows, "doc_id long, text string, edits array<struct<at:int,drop:int,put:string>>")
-    found = {r.doc_id: r for r in editcount.edited_counts(docs).collect()}
+    states = editcount.keep(docs).join(docs.select("doc_id", "edits"), "doc_id")
+    found = {r.doc_id: r for r in editcount.edit(states).collect()}
     library.encode_special_tokens = True
     for i, (t, now) in enumerate(zip(texts, after)):
         count = lambda x: len(library.encode(x, add_special_tokens=False).ids)
         assert (found[i].text, found[i].n_before, found[i].n_after) == (now, count(t or ""), count(now)), i
     library.encode_special_tokens = False
     assert found[60].n_encoded < 100 < found[60].n_pretokens
-    assert editcount.edited_counts(docs.limit(0)).count() == 0
+    assert editcount.edit(states.limit(0)).count() == 0
+
+
+def test_states_take_edits_again_without_encoding_the_rest(spark, library):
+    text = "".join(f"word{i} of {i * 7919 % 1000}\n" for i in range(4000))
+    states = editcount.keep(spark.createDataFrame([(1, text), (2, "kept as it is"), (None, None)], "doc_id long, text string"))
+    kept = {r.doc_id: r for r in states.collect()}
+    library.encode_special_tokens = True
+    for round, (at, drop, put) in enumerate([(20000, 3, " one"), (20010, 0, "'ll"), (5, 900, "")]):
+        edits = spark.createDataFrame([(1, 0, at, drop, put)], "doc_id long, seq int, at int, drop int, put string")
+        states = editcount.edit(editcount.with_edits(states, edits)).select("doc_id", "text", "lengths", "counts", "n_before", "n_after", "n_pretokens", "n_encoded")
+        rows = {r.doc_id: r for r in states.collect()}
+        text = text[:at] + put + text[at + drop :]
+        r = rows[1]
+        words = [w for w, _ in library.pre_tokenizer.pre_tokenize_str(text)]
+        assert (r.text, r.n_after, r.n_pretokens) == (text, len(library.encode(text, add_special_tokens=False).ids), len(words))
+        assert np.frombuffer(r.lengths, "<u4").sum() == len(text) and np.frombuffer(r.counts, "<u4").sum() == r.n_after
+        assert 0 < r.n_encoded < 20, round
+        assert (rows[2].text, rows[2].counts, rows[2].n_encoded) == (kept[2].text, kept[2].counts, 0)
+        assert (rows[None].text, rows[None].n_after) == ("", 0)
+        states = spark.createDataFrame(states.collect(), states.schema).select("doc_id", "text", "lengths", "counts")
+    library.encode_special_tokens = False
+
+
+def test_long_words_and_slices_agree(library):
+    """Words read side by side, by the plain loop, and by the library are the same."""
+    codec = bpe._codec(open(bpe.default_path(), "rb").read())
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abeinorst'", k=rng.randint(1, 90))) for _ in range(400)] + ["aaaa" * n for n in range(1, 20)] + [""]
+    raw = [w.encode() for w in words]
+    for w, side_by_side in zip(words, codec.automaton.encode_words(raw)):
+        assert side_by_side == codec.automaton.encode_long(w.encode())
+        if "'" not in w:
+            assert np.frombuffer(side_by_side, "<u4").tolist() == library.encode(w, add_special_tokens=False).ids
+    assert codec.automaton.encode_words([]) == []
+
+
+def test_patterns_agree():
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choices("ab é'srtvel1\u0663 \n\t .!_\u00a0\u0345\uff41\u4e2d\u00bd\x1c\U0001f600\U00010330", k=12))
+        assert bpe.split(text) == bpe._SPLIT.findall(text)
+
+
+def test_other_tokenizer_files_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(bpe.default_path()))
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}):
+        with pytest.raises(ValueError, match="not supported"):
+            bpe.Codec(json.dumps(spec | change).encode())
