@@ -38,6 +38,15 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed_table(df: DataFrame, what: str, by: str, n: int | None = None) -> DataFrame:
+    """The same as a table bucketed by a column, so that grouping and joining by it moves no row of it again."""
+    spark = df.sparkSession
+    name = f"{what}-{uuid.uuid4().hex}"
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, by).option("path", f"{shared_dir(spark)}/{name}").option("compression", "uncompressed").saveAsTable(name.replace("-", "_"))
+    return spark.table(name.replace("-", "_"))
+
+
 def crc_bucket(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 

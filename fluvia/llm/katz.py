@@ -1,22 +1,25 @@
-"""Language-model scoring by Katz backoff over word bigrams.
+"""Language-model scoring by Katz backoff over word trigrams.
 
 Tokens are the words of a text (A-Z lower-cased), then one end. Counts come from the training texts. Counts up to
 CUTOFF are discounted by Good-Turing ratios (by an absolute discount where the counts of counts give no valid ratios),
-and what they give up goes to what was not seen:
+and what they give up goes to what was not seen, order by order:
 - P(w) = f * d(c) * c / N for a word seen, the rest for the unknown word, one class as in the baseline;
-- P(w | h) = f(h) * d(c) * c(h, w) / c(h) for a pair seen, else a(h) * P(w), with a(h) such that P(. | h) adds up to 1.
-f and f(h) are 1, but where no count is discounted (then one count's share is kept back) and where every class was seen
-after h (then nothing is kept back). Every word that occurs in the training texts has pairs of its own, and all that
-do not share one class in pairs. Where `vocabulary` is given, only so many of the most frequent words have pairs of
-their own; the others share the class too, P(w | h) = P(class | h) * P(w) / P(class), and keep their own counts in P(w).
-The word before a text's first one is the end.
-
-Texts are read in slices of about `slice_bytes`, each kept as a row of the table "katz-slices" with its words and token
-sequence. Counts are tables partitioned by a hash of the key: a slice posts each of its distinct keys once, as packed
-blocks; a partition adds them up, keeps its totals and answers each slice with the totals of its keys. Words get
-numbers there, the frequent ones small ones, and a pair's key is the numbers of both words. What a word needs as a
-history is summed up in a table partitioned by history, which answers the slices in the same way. Only sums over counts
-reach the driver.
+- P(w | v) = f(v) * d(c) * c(v, w) / c(v) for a pair seen, else a(v) * P(w);
+- P(w | u v) = f(u v) * d(c) * c(u, v, w) / c(u, v) for a triple seen, else a(u v) * P(w | v),
+with a() such that each P(. | history) adds up to 1, and 1 for a history never seen. f is 1, but where no count is
+discounted (then one count's share is kept back). Before a text's first word stands the end, alone: that word has no
+triple. No vocabulary is cut off: every word taught has counts, pairs and triples of its own.
+
+Texts are read in slices of about `slice_bytes`, each a row of the table "katz-slices". Words are counted in a table
+partitioned by their hash, which answers each slice with its words' counts and places among equal counts; from the
+counts of counts these give every word a number from which its count can be read off. A slice then posts each token with
+the two before it to the bucket of the token before (v). That bucket holds all pairs and triples around v, so one task
+has all that P(w | u v) needs, and gives back sums per document. Words v with more than half a bucket's share of all
+tokens are dealt by (v, u) instead; their pairs are added up in a table of their own, and the bucket asks for them. A
+history (u, v) is never split. There are so many buckets that each holds about `bucket_bytes` of text.
+
+Reaching the driver: how many words have each count (at most sqrt(2 N) different counts), counts of counts up to CUTOFF
++ 1, and two sums for each split word (2 * buckets of them at most).
 
 Defined cases: a null or empty text has one token, its end; a row whose id is null is scored, is not held out and
 teaches nothing; repeated rows count and are returned as often as they occur; with nothing to learn from, every score is
@@ -26,7 +29,7 @@ teaches nothing; repeated rows count and are returned as often as they occur; wi
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, mixed, read_table, slices, staged
+from .common import bucketed_table, crc_bucket, mixed, read_table, slices, staged
 
-CUTOFF, SLICE_BYTES, LOW = 5, 8 << 20, np.uint64(0xFFFFFFFF)
+CUTOFF, SLICE_BYTES, BUCKET_BYTES, LEVEL = 5, 8 << 20, 16 << 20, 3
+NONE = 0xFFFFFFFF  # in place of the word before a text's first history
 
 
 class _Index(dict):
@@ -49,24 +53,32 @@ class _Index(dict):
         return n
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Integers, best sorted or small: differences, their bytes by place, compressed."""
-    d = np.diff(values, prepend=values.dtype.type(0))
-    return zstandard.compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes(), 1)
+def pack(values: np.ndarray, differences: bool = False) -> bytes:
+    """Numbers as their bytes by place, compressed. differences: of each to the one before, for sorted integers."""
+    d = np.diff(values, prepend=values.dtype.type(0)) if differences else values
+    return zstandard.compress(np.ascontiguousarray(np.ascontiguousarray(d).view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes(), LEVEL)
 
 
-def unpack(data: bytes, kind=np.uint64) -> np.ndarray:
+def unpack(data: bytes, kind, differences: bool = False) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    flat = np.frombuffer(zstandard.decompress(data) if data else b"", np.uint8)
-    return np.cumsum(np.ascontiguousarray(flat.reshape(size, -1).T).view(kind).ravel(), dtype=kind)
+    out = np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.cumsum(out, dtype=kind) if differences else out
 
 
-def read_slices(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """docs (doc_id, text, held_out, teaches) as rows (slice, ids, held_out, words, tokens, ends, taught).
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mixed(keys.astype(np.uint64)) >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
 
-    words: the hashes of the slice's distinct words, sorted; tokens: the place of each token's word there; ends: each
-    text's end in tokens; taught: how often each word occurs in texts that teach.
-    """
+
+def cuts(own: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of rows by bucket (own), and (bucket, start, end) of each that has rows in that order."""
+    order = np.argsort(own, kind="stable")
+    bounds = np.searchsorted(own[order], np.arange(buckets + 1))
+    return order, [(b, int(bounds[b]), int(bounds[b + 1])) for b in np.flatnonzero(np.diff(bounds)).tolist()]
+
+
+def read_slices(docs: DataFrame, buckets: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """docs (doc_id, text, held_out, teaches) as slices: the hashes of their distinct words, by bucket, and how often each
+    is taught; the place of each token's word among them; each text's end in tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = TaskContext.get().partitionId() << 32
@@ -79,20 +91,21 @@ def read_slices(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
                 rows.append(np.zeros(1, np.uint32))
             tokens = np.concatenate(rows)
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
-            order = np.argsort(hashes, kind="stable")
+            order = np.lexsort((hashes, bucket_of(hashes, buckets)))
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             tokens = place[tokens]
-            teaches = np.repeat(np.array(part.column("teaches").to_pylist(), bool), lengths)
-            taught = np.bincount(tokens[teaches], minlength=len(index)).astype(np.uint32)
-            blobs = [pack(hashes[order]), zstandard.compress(np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 4).T).tobytes(), 1), pack(np.cumsum(lengths).astype(np.uint64)), pack(taught), zstandard.compress(np.packbits(teaches).tobytes(), 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n]), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([part.column("held_out").to_pylist()], pa.list_(pa.bool_())), *(pa.array([b], pa.binary()) for b in blobs)],
-                ["slice", "ids", "held_out", "words", "tokens", "ends", "taught", "teaches"],
-            )
+            teaches = np.array(part.column("teaches").to_pylist(), bool)
+            taught = np.bincount(tokens[np.repeat(teaches, lengths)], minlength=len(index)).astype(np.uint32)
+            row = {"slice": n, "ids": part.column("doc_id").to_pylist(), "held_out": part.column("held_out").to_pylist(), "teaches": teaches.tolist()}
+            row |= {"words": pack(hashes[order]), "taught": pack(taught), "tokens": pack(tokens), "ends": pack(np.cumsum(lengths).astype(np.uint64), True)}
+            yield pa.RecordBatch.from_pylist([row], _SLICE)
             n += 1
 
-    return docs.select("doc_id", "text", "held_out", "teaches").mapInArrow(run, "slice long, ids array<long>, held_out array<boolean>, words binary, tokens binary, ends binary, taught binary, teaches binary")
+    return docs.select("doc_id", "text", "held_out", "teaches").mapInArrow(run, "slice long, ids array<long>, held_out array<boolean>, teaches array<boolean>, words binary, taught binary, tokens binary, ends binary")
+
+
+_SLICE = pa.schema([("slice", pa.int64()), ("ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("teaches", pa.list_(pa.bool_())), *((k, pa.binary()) for k in ("words", "taught", "tokens", "ends"))])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
@@ -108,117 +121,51 @@ def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
-def _tokens(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
-
-
-def bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of sorted keys by bucket and the bounds of the buckets in it."""
-    own = (mixed(keys.astype(np.uint64)) >> np.uint64(8)) % np.uint64(buckets)
-    order = np.argsort(own, kind="stable")
-    return order, np.searchsorted(own[order], np.arange(buckets + 1))
-
-
-def posts(one: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A slice's sorted distinct keys with their counts as one row for each bucket."""
-    order, bounds = bucketed(keys, buckets)
-    full = np.flatnonzero(np.diff(bounds))
-    cut = [order[bounds[b] : bounds[b + 1]] for b in full]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(full, pa.int64()), pa.array([one] * len(full), pa.int64()), pa.array([pack(keys[x]) for x in cut], pa.binary()), pa.array([pack(n[x]) for x in cut], pa.binary())], ["bucket", "slice", "keys", "n"]
-    )
-
-
-_POST = "bucket long, slice long, keys binary, n binary"
-_PAIRS = _POST + ", next binary"
-
-
-def add_up(posted: DataFrame, buckets: int) -> DataFrame:
-    """Totals and answers of words: (bucket, slice, keys, n), slice null for a bucket's totals; an answer's keys are the
-    words' numbers, from 1, by falling count within the bucket."""
-
-    def run(group: pa.Table) -> pa.Table:
-        keys = [unpack(x) for x in group.column("keys").to_pylist()]
-        n = [unpack(x, np.uint32) for x in group.column("n").to_pylist()]
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, np.concatenate(n).astype(float), len(found)).astype(np.uint64)
-        rank = np.empty(len(found), np.uint64)
-        rank[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(found), dtype=np.uint64)
-        bucket = group.column("bucket")[0].as_py()
-        number = rank * np.uint64(buckets) + np.uint64(bucket + 1)
-        if len(number) and number.max() > LOW:
-            raise OverflowError("more words than 32 bits can number")
-        bounds = np.cumsum([0, *map(len, keys)])
-        own = [at[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
-        seen = total > 0
-        return pa.table({
-            "bucket": pa.array([bucket] * (len(keys) + 1), pa.int64()),
-            "slice": pa.array([*group.column("slice").to_pylist(), None], pa.int64()),
-            "keys": pa.array([*(pack(number[x]) for x in own), pack(found[seen])], pa.binary()),
-            "n": pa.array([*(pack(total[x]) for x in own), pack(total[seen])], pa.binary()),
-        })
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
-    return posted.groupBy("bucket").applyInArrow(run, _POST)
 
+def count_words(parts: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, slice, counts, places) for each slice's words of the bucket, in order: how often they are taught, and
+    their places among the bucket's words of that count; slice null, counts and places: the different counts and how
+    many words have each."""
 
-def add_pairs(posted: DataFrame) -> DataFrame:
-    """The same for pairs: (bucket, slice, keys, n, next), keys and next null for an answer. next: the counts of the
-    distinct second words of the keys, by their numbers."""
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            hashes, taught = unpack(row["words"], np.uint64), unpack(row["taught"], np.uint32)
+            own = bucket_of(hashes, buckets)
+            bounds = np.searchsorted(own, np.arange(buckets + 1))
+            cut = [(b, bounds[b], bounds[b + 1]) for b in np.flatnonzero(np.diff(bounds)).tolist()]
+            columns = [pa.array([b for b, _, _ in cut], pa.int64()), pa.array([row["slice"]] * len(cut), pa.int64()), *(pa.array([pack(x[s:e], d) for _, s, e in cut], pa.binary()) for x, d in ((hashes, True), (taught, False)))]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "slice", "words", "taught"])
 
     def run(group: pa.Table) -> pa.Table:
-        keys = [unpack(x) for x in group.column("keys").to_pylist()]
-        n = [unpack(x, np.uint32) for x in group.column("n").to_pylist()]
-        second, first_at = np.unique(np.concatenate([np.unique(k & LOW) for k in keys]), return_index=True)
-        counts = np.concatenate([unpack(x) for x in group.column("next").to_pylist()])[first_at]
-        found, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, np.concatenate(n).astype(float), len(found)).astype(np.uint64)
-        bounds = np.cumsum([0, *map(len, keys)])
-        seen = total > 0
-        size = len(keys) + 1
+        words = [unpack(x, np.uint64, True) for x in group.column("words").to_pylist()]
+        taught = [unpack(x, np.uint32) for x in group.column("taught").to_pylist()]
+        found, at = np.unique(np.concatenate(words), return_inverse=True)
+        total = np.bincount(at, np.concatenate(taught).astype(float), len(found)).astype(np.uint64)
+        order = np.argsort(total, kind="stable")
+        kinds, first, many = np.unique(total[order], return_index=True, return_counts=True)
+        place = np.empty(len(found), np.uint32)
+        place[order] = np.arange(len(found)) - np.repeat(first, many)
+        ends = np.cumsum([0, *map(len, words)])
+        own = [at[s:e] for s, e in zip(ends, ends[1:])]
         return pa.table({
-            "bucket": pa.array([group.column("bucket")[0].as_py()] * size, pa.int64()),
+            "bucket": pa.array([group.column("bucket")[0].as_py()] * (len(own) + 1), pa.int64()),
             "slice": pa.array([*group.column("slice").to_pylist(), None], pa.int64()),
-            "keys": pa.array([*[None] * len(keys), pack(found[seen])], pa.binary()),
-            "n": pa.array([*(pack(total[at[s:e]]) for s, e in zip(bounds[:-1], bounds[1:])), pack(total[seen])], pa.binary()),
-            "next": pa.array([*[None] * len(keys), pack(counts[np.searchsorted(second, np.unique(found[seen] & LOW))])], pa.binary()),
+            "counts": pa.array([*(pack(total[x]) for x in own), pack(kinds)], pa.binary()),
+            "places": pa.array([*(pack(place[x]) for x in own), pack(many.astype(np.uint32))], pa.binary()),
         })
 
-    return posted.groupBy("bucket").applyInArrow(run, _PAIRS)
-
-
-def level(n: np.ndarray) -> np.ndarray:
-    """Counts by size: each up to 1024 on its own, then 64 to a doubling."""
-    return np.where(n <= 1024, n, 1024 + np.ceil(64 * np.log2(np.maximum(n, 1024) / 1024))).astype(np.int64)
-
-
-def levels(totals: DataFrame) -> dict[int, tuple[int, int]]:
-    """{level: (keys, their counts)}: some thousand rows at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                n = unpack(data)
-                own, at = np.unique(level(n), return_inverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.bincount(at)), pa.array(np.bincount(at, n.astype(float)).astype(np.int64))], ["level", "keys", "n"])
-
-    rows = totals.select("n").mapInArrow(run, "level long, keys long, n long").groupBy("level").agg(F.sum("keys").alias("keys"), F.sum("n").alias("n"))
-    return {r.level: (r.keys, r.n) for r in rows.collect()}
-
+    posted = parts.select("slice", "words", "taught").mapInArrow(post, "bucket long, slice long, words binary, taught binary")
+    return posted.groupBy("bucket").applyInArrow(run, "bucket long, slice long, counts binary, places binary")
 
-def least_level(sizes: dict[int, tuple[int, int]], most: int | None) -> int:
-    """The lowest of the highest levels that hold `most` keys together at most; the lowest of all without a limit."""
-    least, n = 1 << 62, 0
-    for x in sorted(sizes, reverse=True):
-        n += sizes[x][0]
-        if most is not None and n > most:
-            break
-        least = x
-    return least
 
-
-def discounts(sizes: dict[int, tuple[int, int]], cutoff: int = CUTOFF) -> np.ndarray:
-    """d(c) * c for counts 0 .. cutoff by Good-Turing, or c less an absolute discount where that gives no valid ratio."""
-    n = [0, *(sizes.get(r, (0, 0))[0] for r in range(1, cutoff + 2))]
+def discounts(n: list[int], cutoff: int = CUTOFF) -> np.ndarray:
+    """d(c) * c for counts 0 .. cutoff by Good-Turing, or c less an absolute discount where that gives no valid ratio.
+    n: how many have count r, for r = 0 .. cutoff + 1."""
     out = np.arange(cutoff + 1, dtype=float)
     if all(n[1:]):
         top = (cutoff + 1) * n[cutoff + 1] / n[1]
@@ -234,241 +181,221 @@ def discounted(n: np.ndarray, small: np.ndarray) -> np.ndarray:
     return np.where(n < len(small), small[np.minimum(n, len(small) - 1).astype(np.int64)], n.astype(float))
 
 
-def mass(total: int, sizes: dict[int, tuple[int, int]], small: np.ndarray) -> float:
-    """The sum of d(c) * c over all keys."""
-    return total - sum(sizes.get(r, (0, 0))[0] * (r - small[r]) for r in range(1, len(small)))
+def leftover(n: np.ndarray, kept: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """f / n and a() of histories with n counts, of which discounts leave `kept`; prior: what was seen has by the lower
+    order. 0 and 1 where n is 0."""
+    some = np.maximum(n, 1)
+    held = kept / some
+    f = np.where(held < 1 - 1e-12, 1.0, n / (n + 1) / np.maximum(held, 1e-300))
+    return np.where(n > 0, f / some, 0.0), np.where(n > 0, np.maximum(1 - f * held, 1e-300) / np.maximum(1 - prior, 1e-300), 1.0)
 
 
 @dataclass
-class Model:
-    """A word's class in pairs is its number, or 0 where it occurs too seldom."""
+class Words:
+    """Numbers of words by falling count: those of counts[i] are from starts[i] on."""
 
+    counts: np.ndarray
+    starts: np.ndarray
     tokens: int
     distinct: int
-    small: np.ndarray  # d(c) * c of words
-    share: float  # f / N
-    unknown: float  # P of the unknown word
-    least: int  # the lowest level of words with a class of their own
-    classes: int
-    rest: float  # P of class 0
-    pairs: np.ndarray | None = None  # d(c) * c of pairs
-
-    def own(self, numbers: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The classes of words by their numbers and counts."""
-        return np.where((n > 0) & (level(n.astype(np.int64)) >= self.least), numbers, 0).astype(np.uint64)
-
-    def word(self, n: np.ndarray) -> np.ndarray:
-        """P of words by their counts."""
-        return np.where(n > 0, self.share * discounted(n, self.small), self.unknown)
-
-    def prior(self, own: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """P of classes, by the counts of those that are words."""
-        return np.where(own > 0, self.word(n), self.rest)
-
-    def baseline(self, n: np.ndarray) -> np.ndarray:
-        return np.log10((n.astype(float) + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
-
-
-def unigrams(totals: DataFrame, vocabulary: int | None = None, cutoff: int = CUTOFF) -> Model:
-    sizes = levels(totals)
-    tokens, distinct = sum(n for _, n in sizes.values()), sum(k for k, _ in sizes.values())
-    small = discounts(sizes, cutoff)
-    held = mass(tokens, sizes, small) / max(tokens, 1)
-    f = 1.0 if held < 1 - 1e-12 else tokens / (tokens + 1) / held
-    share, unknown, least = f / max(tokens, 1), 1 - f * held, least_level(sizes, vocabulary)
-    with_pairs = {x: v for x, v in sizes.items() if x >= least}
-    own = share * mass(sum(n for _, n in with_pairs.values()), with_pairs, small)
-    return Model(tokens, distinct, small, share, unknown, least, 1 + sum(k for k, _ in with_pairs.values()), max(unknown, 1 - own))
-
-
-def pair_keys(own: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs (class before * 2**32 + class) of a slice's tokens, given by their classes, and each token's pair."""
-    before = np.empty_like(own)
-    before[1:] = own[:-1]
-    before[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = own[int(ends[0]) - 1]
-    return np.unique(before << np.uint64(32) | own, return_inverse=True)
-
-
-def looked_up(parts: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
-    """parts with the numbers and counts of their words instead of the hashes."""
+    prior: np.ndarray  # P(w) of words of each count
+    buckets: int
+    small: dict[int, np.ndarray] = field(default_factory=dict)  # d(c) * c of pairs (2) and triples (3)
+    split: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # words dealt by (v, u), by number
+    split_sums: np.ndarray = field(default_factory=lambda: np.empty((2, 0)))  # kept, prior of these
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, part in _one_by_one(batches):
-            hashes = unpack(row["words"])
-            found = [_in_order(row["answers"], hashes, buckets, x) for x in ("keys", "n")]
-            yield pa.RecordBatch.from_arrays([*(part.column(x) for x in ("slice", "ids", "held_out", "tokens", "ends", "teaches")), *(pa.array([pack(x)], pa.binary()) for x in found)], ["slice", "ids", "held_out", "tokens", "ends", "teaches", "numbers", "n"])
-
-    found = parts.join(_answers(words, "answers", "keys", "n"), "slice").select("slice", "ids", "held_out", "tokens", "ends", "teaches", "words", "answers")
-    return found.mapInArrow(run, "slice long, ids array<long>, held_out array<boolean>, tokens binary, ends binary, teaches binary, numbers binary, n binary")
-
-
-def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.RecordBatch]]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            part = batch.slice(i, 1)
-            yield part.to_pylist()[0], part
-
-
-def counts_of(own: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The counts of wanted classes, given all words' classes and counts; 0 for class 0."""
-    order = np.argsort(own)
-    return np.where(wanted > 0, n[order][np.searchsorted(own[order], wanted)], 0).astype(np.uint64)
+    def number(self, counts: np.ndarray, places: np.ndarray, bucket: int) -> np.ndarray:
+        return self.starts[len(self.counts) - 1 - np.searchsorted(self.counts[::-1], counts)] + places.astype(np.int64) * self.buckets + bucket
 
+    def level(self, numbers: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, numbers, "right") - 1
 
-def post_pairs(known: DataFrame, model: Model, buckets: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, _ in _one_by_one(batches):
-            tokens, n = _tokens(row["tokens"]), unpack(row["n"])
-            own = model.own(unpack(row["numbers"]), n)
-            keys, at = pair_keys(own[tokens], unpack(row["ends"]))
-            taught = np.unpackbits(np.frombuffer(zstandard.decompress(row["teaches"]), np.uint8), count=len(tokens)).astype(bool)
-            out = posts(row["slice"], keys, np.bincount(at[taught], minlength=len(keys)).astype(np.uint32), buckets)
-            after = [pack(counts_of(own, n, np.unique(unpack(x) & LOW))) for x in out.column("keys").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(after, pa.binary())], ["bucket", "slice", "keys", "n", "next"])
-
-    return known.select("slice", "tokens", "ends", "teaches", "numbers", "n").mapInArrow(run, _PAIRS)
+    def hot(self, numbers: np.ndarray) -> np.ndarray:
+        return self.counts[self.level(numbers)].astype(float) * 2 * self.buckets > self.tokens
 
 
-def post_words(parts: DataFrame, buckets: int) -> DataFrame:
+def numbered(words: DataFrame, buckets: int, cutoff: int = CUTOFF) -> Words:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for one, words, n in zip(*(c.to_pylist() for c in batch.columns)):
-                yield posts(one, unpack(words), unpack(n, np.uint32), buckets)
-
-    return parts.select("slice", "words", "taught").mapInArrow(run, _POST)
-
-
-_SUMS = ("n", "kept", "prior", "kinds")
-_HISTORIES = "bucket long, slice long, keys binary, " + ", ".join(f"{x} binary" for x in _SUMS)
-
-
-def _floats(x: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(x.astype(float).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
-
-
-def _from_floats(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(float).ravel()
-
-
-def post_histories(totals: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """Sums over the pairs of each history, from each bucket of pairs: counts, what discounts leave, P of the second
-    words, and kinds of second words."""
+        for row in _rows(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(unpack(row["counts"], np.uint64).astype(np.int64)), pa.array(unpack(row["places"], np.uint32).astype(np.int64))], ["c", "words"])
+
+    per = words.filter("slice is null").select("counts", "places").mapInArrow(run, "c long, words long")
+    rows = sorted((r.c, r.n, r.most) for r in per.groupBy("c").agg(F.sum("words").alias("n"), F.max("words").alias("most")).collect())[::-1]
+    counts, n, most = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    starts = np.cumsum(most * buckets) - most * buckets
+    if len(rows) and starts[-1] + most[-1] * buckets >= NONE:
+        raise OverflowError("more words than 32 bits can number")
+    tokens, distinct = int((counts * n).sum()), int(n[counts > 0].sum())
+    by = dict(zip(counts.tolist(), n.tolist()))
+    small = discounts([by.get(r, 0) for r in range(cutoff + 2)], cutoff)
+    kept = discounted(counts, small)
+    held = float((kept * n)[counts > 0].sum()) / max(tokens, 1)
+    f = 1.0 if held < 1 - 1e-12 else tokens / (tokens + 1) / held
+    return Words(counts, starts, tokens, distinct, np.where(counts > 0, f / max(tokens, 1) * kept, 1 - f * held), buckets)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, _ in _one_by_one(batches):
-            keys, n = unpack(row["keys"]), unpack(row["n"])
-            second, which = np.unique(keys & LOW, return_inverse=True)
-            found, at = np.unique(keys >> np.uint64(32), return_inverse=True)
-            prior = model.prior(second, unpack(row["next"]))[which]
-            sums = [np.bincount(at, x, len(found)) for x in (n.astype(float), discounted(n, model.pairs), prior, np.ones(len(keys)))]
-            order, bounds = bucketed(found, buckets)
-            full = np.flatnonzero(np.diff(bounds))
-            cut = [order[bounds[b] : bounds[b + 1]] for b in full]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int64()), pa.nulls(len(full), pa.int64()), pa.array([pack(found[x]) for x in cut], pa.binary()), *(pa.array([_floats(v[x]) for x in cut], pa.binary()) for v in sums)], ["bucket", "slice", "keys", *_SUMS]
-            )
 
-    return totals.select("keys", "n", "next").mapInArrow(run, _HISTORIES)
+_POST = [("bucket", pa.int64()), ("slice", pa.int64()), ("docs", pa.binary()), ("v", pa.binary()), ("u", pa.binary()), ("w", pa.binary()), ("ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64()))]
+_POST_SQL = "bucket long, slice long, docs binary, v binary, u binary, w binary, ids array<long>, held_out array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>"
 
 
-def ask_histories(known: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """Each slice's classes, all of which are histories in it."""
+def post_tokens(parts: DataFrame, words: DataFrame, model: Words) -> DataFrame:
+    """Rows (bucket, slice, docs, v, u, w): the slice's tokens w after u v that the bucket deals with; docs: twice the
+    text's place in the slice, and one if it teaches. One row a slice, without tokens, has the texts' ids and base
+    scores instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, _ in _one_by_one(batches):
-            own = np.unique(model.own(unpack(row["numbers"]), unpack(row["n"])))
-            order, bounds = bucketed(own, buckets)
-            full = np.flatnonzero(np.diff(bounds))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int64()), pa.array([row["slice"]] * len(full), pa.int64()), pa.array([pack(own[order[bounds[b] : bounds[b + 1]]]) for b in full], pa.binary()), *(pa.nulls(len(full), pa.binary()) for _ in _SUMS)],
-                ["bucket", "slice", "keys", *_SUMS],
-            )
-
-    return known.select("slice", "numbers", "n").mapInArrow(run, _HISTORIES)
-
-
-def backoff(posted: DataFrame, classes: int) -> DataFrame:
-    """(bucket, slice, seen, unseen): log10(f(h) / c(h)) and log10 a(h) of a slice's histories; 0 for those never seen."""
+        for row in _rows(batches):
+            numbers = np.concatenate([model.number(unpack(x["counts"], np.uint64), unpack(x["places"], np.uint32), x["bucket"]) for x in sorted(row["answers"], key=lambda x: x["bucket"])])
+            w, ends = numbers[unpack(row["tokens"], np.uint32)], unpack(row["ends"], np.uint64, True).astype(np.int64)
+            starts = np.append(0, ends[:-1])
+            docs = np.repeat(np.arange(len(ends)) * 2 + np.array(row["teaches"], np.int64), ends - starts)
+            v, u = np.append(0, w[:-1]), np.concatenate([[0, 0], w[:-2]])[: len(w)]
+            v[starts] = w[ends[0] - 1]
+            second = starts[ends - starts > 1] + 1
+            u[second], u[starts] = w[ends[0] - 1], NONE
+            hot = model.hot(v)
+            # Where no triple is, the pair may go anywhere.
+            deal = np.where(hot, v * 0x9E3779B1 + np.where(u == NONE, w + 1, u) * 0x85EBCA77, v)
+            order, cut = cuts(bucket_of(deal, model.buckets), model.buckets)
+            docs, v, u, w = docs[order].astype(np.uint32), v[order].astype(np.uint32), u[order].astype(np.uint32), w[order]
+            level = model.level(w)
+            c = model.counts[level]
+            own = docs >> 1
+            base = np.bincount(own, np.log10((c + 0.1) / (model.tokens + 0.1 * (model.distinct + 1))), len(ends))
+            known = np.bincount(own, c > 0, len(ends)).astype(np.int64)
+            rows = [{"bucket": b, "slice": row["slice"], "docs": pack(docs[s:e], True), "v": pack(v[s:e]), "u": pack(u[s:e]), "w": pack(w[s:e].astype(np.uint32))} for b, s, e in cut]
+            rows.append({"bucket": row["slice"] % model.buckets, "slice": row["slice"], "ids": row["ids"], "held_out": row["held_out"], "n_tokens": (ends - starts).tolist(), "n_known": known.tolist(), "base": base.tolist()})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema(_POST))
+
+    # A slice's answers are as large as its words.
+    answers = words.filter("slice is not null").groupBy("slice").agg(F.collect_list(F.struct("bucket", "counts", "places")).alias("answers"))
+    return parts.select("slice", "ids", "held_out", "teaches", "tokens", "ends").join(answers, "slice").mapInArrow(run, _POST_SQL)
+
+
+class _Bucket:
+    """A bucket's tokens: distinct pairs (v, w) and triples (u, pair) with their counts."""
+
+    def __init__(self, group: pa.Table):
+        rows = [r for r in group.select(["slice", "docs", "v", "u", "w"]).to_pylist() if r["v"] is not None]
+        docs = [unpack(r["docs"], np.uint32, True) for r in rows]
+        self.slices = [(r["slice"], d >> 1) for r, d in zip(rows, docs)]
+        whole = lambda k: np.concatenate([np.empty(0, np.uint32), *(unpack(r[k], np.uint32) for r in rows)]).astype(np.uint64)
+        teaches = np.concatenate([np.empty(0, np.uint32), *docs]) & 1 == 1
+        pairs, of_pair = np.unique(whole("v") << np.uint64(32) | whole("w"), return_inverse=True)
+        self.v, self.w = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(NONE)).astype(np.int64)
+        self.pairs, self.c2 = pairs, np.bincount(of_pair[teaches], minlength=len(pairs))
+        triples, self.of_triple = np.unique(of_pair.astype(np.uint64) << np.uint64(32) | whole("u"), return_inverse=True)
+        self.pair, self.u = (triples >> np.uint64(32)).astype(np.int64), (triples & np.uint64(NONE)).astype(np.int64)
+        self.c3 = np.bincount(self.of_triple[teaches], minlength=len(triples))
+        self.first = self.u == NONE
+
+
+def counts_of_counts(posts: DataFrame, model: Words, cutoff: int) -> DataFrame:
+    """(n, c, many, v, w, part): many n-grams of each count up to cutoff + 1, from the buckets that hold them whole; of
+    words that are split, each pair (n = 0) with the bucket's part of its count."""
 
+    def run(group: pa.Table) -> pa.Table:
+        b = _Bucket(group)
+        hot = model.hot(b.v)
+        ask = np.flatnonzero(hot)
+        out = [(3, c, int(n)) for c, n in enumerate(np.bincount(np.minimum(b.c3[~b.first], cutoff + 2), minlength=cutoff + 3)[: cutoff + 2])]
+        out += [(2, c, int(n)) for c, n in enumerate(np.bincount(np.minimum(b.c2[~hot], cutoff + 2), minlength=cutoff + 3)[: cutoff + 2])]
+        n, c, many = zip(*out)
+        zero, none = np.zeros(len(ask), np.int64), np.zeros(len(out), np.int64)
+        columns = [np.append(n, zero), np.append(c, zero), np.append(many, zero), np.append(none, b.v[ask]), np.append(none, b.w[ask]), np.append(none, b.c2[ask])]
+        return pa.table([pa.array(np.full(len(columns[0]), group.column("bucket")[0].as_py())), *map(pa.array, columns)], ["bucket", "n", "c", "many", "v", "w", "part"])
+
+    return posts.groupBy("bucket").applyInArrow(run, "bucket long, n long, c long, many long, v long, w long, part long")
+
+
+def evaluated(posts: DataFrame, asked: DataFrame, model: Words) -> DataFrame:
+    """(slice, docs, score, ...): sums of log10 P(w | u v) over the tokens of each text in a bucket; the rows without
+    tokens as they are. asked (bucket, v, w, total): the counts of pairs of split words."""
+
+    def run(group: pa.Table, answers: pa.Table) -> pa.Table:
+        b = _Bucket(group)
+        prior1 = model.prior[model.level(b.w)]
+        hot = model.hot(b.v)
+        keys = answers.column("v").to_numpy().astype(np.uint64) << np.uint64(32) | answers.column("w").to_numpy().astype(np.uint64)
+        b.c2[np.searchsorted(b.pairs, keys)] = answers.column("total").to_numpy()
+        words, of_word = np.unique(b.v, return_inverse=True)
+        seen = b.c2 > 0
+        kept, prior = (np.bincount(of_word[seen], x[seen], len(words)) for x in (discounted(b.c2, model.small[2]), prior1))
+        if hot.any():
+            at = np.flatnonzero(model.hot(words))
+            kept[at], prior[at] = model.split_sums[:, np.searchsorted(model.split, words[at])]
+        share, rest = leftover(model.counts[model.level(words)], kept, prior)
+        p2 = np.where(seen, share[of_word] * discounted(b.c2, model.small[2]), rest[of_word] * prior1)
+        _, of_history = np.unique(b.u.astype(np.uint64) << np.uint64(32) | b.v[b.pair].astype(np.uint64), return_inverse=True)
+        seen = b.c3 > 0
+        kept3 = discounted(b.c3, model.small[3])
+        sums = [np.bincount(of_history[seen], x[seen]) for x in (b.c3, kept3, p2[b.pair])]
+        sums = [np.append(x, np.zeros(of_history.max(initial=-1) + 1 - len(x))) for x in sums]
+        share, rest = leftover(*sums)
+        p3 = np.where(seen, share[of_history] * kept3, rest[of_history] * p2[b.pair])
+        value = np.log10(np.where(b.first, p2[b.pair], p3))[b.of_triple]
+        out, at = [], 0
+        for one, docs in b.slices:
+            own = np.unique(docs)
+            out.append({"slice": one, "docs": pack(own, True), "score": pack(np.bincount(docs, value[at : at + len(docs)])[own])})
+            at += len(docs)
+        out += [r for r in group.drop_columns(["bucket", "v", "u", "w"]).to_pylist() if r["ids"] is not None]
+        return pa.Table.from_pylist(out, pa.schema([_POST[1], _POST[2], ("score", pa.binary()), *_POST[6:]]))
+
+    return posts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(run, _POST_SQL.replace("bucket long, ", "").replace("v binary, u binary, w binary", "score binary"))
+
+
+def added_up(sums: DataFrame, tokens: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        sums = [r for r in rows if r["slice"] is None]
-        asked = [r for r in rows if r["slice"] is not None]
-        h = np.concatenate([np.empty(0, np.uint64), *(unpack(r["keys"]) for r in sums)])
-        found, at = np.unique(h, return_inverse=True)
-        n, kept, prior, kinds = (np.bincount(at, np.concatenate([np.empty(0), *(_from_floats(r[x]) for r in sums)]), len(found)) for x in _SUMS)
-        held, whole = kept / n, kinds >= classes
-        f = np.where(whole, 1 / held, np.where(held < 1 - 1e-12, 1.0, n / (n + 1) / held))
-        rest = np.where(whole, 1.0, np.maximum(1 - f * held, 1e-300) / np.maximum(1 - prior, 1e-300))
-        seen, unseen = np.append(np.log10(f / n), 0.0), np.append(np.log10(rest), 0.0)
-        answers = []
-        for r in asked:
-            keys = unpack(r["keys"])
-            place = np.searchsorted(found, keys)
-            hit = np.append(found, LOW + np.uint64(1))[place] == keys
-            answers.append(np.where(hit, place, len(found)))
-        return pa.table({
-            "bucket": pa.array([r["bucket"] for r in asked], pa.int64()),
-            "slice": pa.array([r["slice"] for r in asked], pa.int64()),
-            "seen": pa.array([_floats(seen[x]) for x in answers], pa.binary()),
-            "unseen": pa.array([_floats(unseen[x]) for x in answers], pa.binary()),
-        })
+        (meta,) = (r for r in rows if r["ids"] is not None)
+        score = np.zeros(len(meta["ids"]))
+        for r in rows:
+            if r["ids"] is None:
+                score[unpack(r["docs"], np.uint32, True)] += unpack(r["score"], float)
+        columns = [meta["ids"], meta["held_out"], meta["n_tokens"], meta["n_known"], [tokens] * len(score), meta["base"], score]
+        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return posted.groupBy("bucket").applyInArrow(run, "bucket long, slice long, seen binary, unseen binary")
+    return sums.groupBy("slice").applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _answers(counts: DataFrame, name: str, *fields: str) -> DataFrame:
-    """(slice, name): a slice's answers by bucket. They are as large as the slice."""
-    return counts.filter("slice is not null").groupBy("slice").agg(F.collect_list(F.struct("bucket", *fields)).alias(name))
-
-
-def _in_order(answers: list[dict], keys: np.ndarray, buckets: int, field: str = "n", read=unpack) -> np.ndarray:
-    order, _ = bucketed(keys, buckets)
-    found = np.concatenate([read(x[field]) for x in sorted(answers, key=lambda x: x["bucket"])])
-    out = np.empty(len(keys), found.dtype)
-    out[order] = found
-    return out
-
-
-def evaluate(known: DataFrame, pairs: DataFrame, histories: DataFrame, model: Model, buckets: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, _ in _one_by_one(batches):
-            tokens, ends, n = _tokens(row["tokens"]), unpack(row["ends"]), unpack(row["n"])
-            classes = model.own(unpack(row["numbers"]), n)
-            own = classes[tokens]
-            keys, at = pair_keys(own, ends)
-            both = _in_order(row["pair_answers"], keys, buckets)
-            first = np.unique(classes)
-            seen, unseen = (_in_order(row["history_answers"], first, buckets, x, _from_floats) for x in ("seen", "unseen"))
-            h, w = np.searchsorted(first, keys >> np.uint64(32)), keys & LOW
-            value = np.where(both > 0, np.log10(np.maximum(discounted(both, model.pairs), 1e-300)) + seen[h], unseen[h] + np.log10(model.prior(w, counts_of(classes, n, w))))
-            score = value[at] + np.where(own == 0, np.log10(model.word(n))[tokens] - np.log10(model.rest), 0.0)
-            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            sums = [np.add.reduceat(x, starts) for x in (model.baseline(n)[tokens], score)]
-            taught = np.add.reduceat((n > 0)[tokens].astype(np.int64), starts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row["ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(ends, prepend=np.uint64(0)).astype(np.int64)), pa.array(taught), pa.array([model.tokens] * len(ends), pa.int64()), *map(pa.array, sums)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-    found = known.drop("teaches").join(_answers(pairs, "pair_answers", "n"), "slice").join(_answers(histories, "history_answers", "seen", "unseen"), "slice")
-    return found.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = None, cutoff: int = CUTOFF, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", cutoff: int = CUTOFF, slice_bytes: int = SLICE_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of docs; held_out: a column."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(~held_out, F.lit(False)).alias("teaches"))
-    parts = staged(read_slices(docs, slice_bytes), "katz-slices")
-    words = staged(add_up(post_words(parts, buckets), buckets), "katz-words")
-    model = unigrams(words.filter("slice is null"), vocabulary, cutoff)
-    known = staged(looked_up(parts, words, buckets), "katz-known")
-    pairs = staged(add_pairs(post_pairs(known, model, buckets)), "katz-pairs")
-    totals = pairs.filter("slice is null")
-    model = replace(model, pairs=discounts(levels(totals), cutoff))
-    histories = backoff(post_histories(totals, model, buckets).unionByName(ask_histories(known, model, buckets)), model.classes)
-    return evaluate(known, pairs, histories, model, buckets)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    parts = bucketed_table(read_slices(docs, buckets, slice_bytes), "katz-slices", "slice")
+    words = staged(count_words(parts, buckets), "katz-words")
+    model = numbered(words, buckets, cutoff)
+    posts = bucketed_table(post_tokens(parts, words, model), "katz-posts", "bucket", buckets)
+    found = staged(counts_of_counts(posts, model, cutoff), "katz-counts")
+    many = {(r.n, r.c): r.many for r in found.filter("n > 0").groupBy("n", "c").agg(F.sum("many").alias("many")).collect()}
+    parted = found.filter("n = 0").select("bucket", "v", "w", "part")
+    pairs = staged(parted.groupBy("v", "w").agg(F.sum("part").alias("total")), "katz-pairs")
+    for r in pairs.filter(F.col("total").between(1, cutoff + 1)).groupBy("total").count().collect():
+        many[2, r.total] = many.get((2, r.total), 0) + r["count"]
+    for n in (2, 3):
+        model.small[n] = discounts([many.get((n, c), 0) for c in range(cutoff + 2)], cutoff)
+    model.split, model.split_sums = split_words(pairs, model)
+    asked = parted.join(pairs, ["v", "w"]).select("bucket", "v", "w", "total")
+    return added_up(evaluated(posts, asked, model), model.tokens)
+
+
+def split_words(pairs: DataFrame, model: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The split words by number, and of each what discounts leave of its pairs and their P(w)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, at = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            total = batch.column(2).to_numpy()
+            sums = [np.bincount(at, x, len(v)) for x in (discounted(total, model.small[2]), model.prior[model.level(batch.column(1).to_numpy())])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (v, *sums)], ["v", "kept", "prior"])
+
+    sums = pairs.filter("total > 0").select("v", "w", "total").mapInArrow(run, "v long, kept double, prior double").groupBy("v").agg(F.sum("kept").alias("kept"), F.sum("prior").alias("prior"))
+    rows = sorted((r.v, r.kept, r.prior) for r in sums.collect())
+    return np.array([r[0] for r in rows], np.int64), np.array([r[1:] for r in rows]).reshape(-1, 2).T
 
 
 def op3_katz(spark, sf_dir: str) -> DataFrame:

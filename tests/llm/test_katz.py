@@ -28,8 +28,8 @@ def ratios(counts, k=5):
     return {r: r - cut for r in range(1, k + 1)}
 
 
-def brute(rows, vocabulary):
-    """{row number: (base, score)}; every probability is looked up token by token."""
+def brute(rows):
+    """[(base, score, known, tokens)] by row; every probability is looked up token by token, order by order."""
     held = [i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
     train = [tokens_of(t) for (i, t), h in zip(rows, held) if i is not None and not h]
     c = Counter(w for t in train for w in t)
@@ -38,50 +38,52 @@ def brute(rows, vocabulary):
     kept = sum(small.get(x, x) for x in c.values()) / max(total, 1)
     f = 1 if kept < 1 - 1e-12 else total / (total + 1) / kept
     p = lambda w: f * small.get(c[w], c[w]) / total if c[w] else 1 - f * kept
-    sizes, own, n = Counter(c.values()), set(), 0
-    for x in sorted(sizes, reverse=True):
-        n += sizes[x]
-        if n > vocabulary:
-            break
-        own |= {w for w in c if c[w] == x}
-    cls = lambda w: w if w in own else None
-    prior = {w: p(w) for w in own}
-    prior[None] = max(1 - f * kept, 1 - sum(prior.values()))
-    pairs = Counter()
+    pairs, triples = Counter(), Counter()
     for t in train:
-        before = cls(b"")
+        past = [b""]
         for w in t:
-            pairs[before, cls(w)] += 1
-            before = cls(w)
-    small2 = ratios(pairs)
-    after = defaultdict(dict)
-    for (h, w), x in pairs.items():
-        after[h][w] = x
+            pairs[past[-1:][0], w] += 1
+            if len(past) > 1:
+                triples[past[-2], past[-1], w] += 1
+            past.append(w)
+    tables = {}
+    for n, grams in ((1, pairs), (2, triples)):
+        after = defaultdict(dict)
+        for g, x in grams.items():
+            after[g[:-1]][g[-1]] = x
+        tables[n] = (ratios(grams), after)
+
+    known = {}
 
     def conditional(h, w):
-        seen = after.get(h, {})
+        """P(w | h), by the lower order where h w was not seen."""
+        if not h:
+            return p(w)
+        small, after = tables[len(h)]
+        seen = after.get(h)
         if not seen:
-            return prior[w]
-        n = sum(seen.values())
-        kept = sum(small2.get(x, x) for x in seen.values()) / n
-        if len(seen) == len(prior):
-            f = 1 / kept
-        else:
+            return conditional(h[1:], w)
+        if h not in known:
+            n = sum(seen.values())
+            kept = sum(small.get(x, x) for x in seen.values()) / n
             f = 1 if kept < 1 - 1e-12 else n / (n + 1) / kept
-        if w in seen:
-            return f * small2.get(seen[w], seen[w]) / n
-        return (1 - f * kept) / (1 - sum(prior[x] for x in seen)) * prior[w]
-
-    for h in list(after)[:20]:
-        assert math.isclose(sum(conditional(h, w) for w in prior), 1, rel_tol=1e-9)
+            known[h] = n, f, (1 - f * kept) / (1 - sum(conditional(h[1:], x) for x in seen))
+        n, f, rest = known[h]
+        return f * small.get(seen[w], seen[w]) / n if w in seen else rest * conditional(h[1:], w)
+
+    unknown = object()
+    c[unknown] = 0
+    for n in (1, 2):
+        for h in list(tables[n][1])[:8]:
+            assert math.isclose(sum(conditional(h, w) for w in c), 1, rel_tol=1e-8)
+    del c[unknown]
     out = []
     for _, t in rows:
-        before, score, base = cls(b""), 0.0, 0.0
+        past, score, base = [b""], 0.0, 0.0
         for w in tokens_of(t):
-            x = conditional(before, cls(w))
-            score += math.log10(x) + (0 if w in own else math.log10(p(w)) - math.log10(prior[None]))
+            score += math.log10(conditional(tuple(past[-2:]), w))
             base += math.log10((c[w] + 0.1) / (total + 0.1 * (len(c) + 1)))
-            before = cls(w)
+            past.append(w)
         out.append((base, score, sum(c[w] > 0 for w in tokens_of(t)), total))
     return out
 
@@ -93,13 +95,14 @@ def rows_of(n, seed=3):
     return out + [(n, None), (n + 1, ""), (n + 2, "A  b\tC d Ä unseenword"), (None, "a b c"), (1, out[1][1])]
 
 
-@pytest.mark.parametrize("vocabulary", [10, 1000])
-def test_scores_equal_the_recursion(spark, vocabulary):
-    rows = rows_of(150)
+@pytest.mark.parametrize(("n", "bucket_bytes"), [(150, 16 << 20), (150, 500), (3, 500)])
+def test_scores_equal_the_recursion(spark, n, bucket_bytes):
+    """With few buckets, with many (so that frequent words are split), and with hardly any text."""
+    rows = rows_of(n)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, vocabulary=vocabulary, slice_bytes=2000).collect()
+    found = katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=2000, bucket_bytes=bucket_bytes).collect()
     expected = defaultdict(list)
-    for (i, _), x in zip(rows, brute(rows, vocabulary)):
+    for (i, _), x in zip(rows, brute(rows)):
         expected[i].append(x)
     assert len(found) == len(rows)
     for r in found:
@@ -116,10 +119,11 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_packed_integers_come_back():
-    for kind in (np.uint32, np.uint64):
-        x = np.array([5, 3, 2**31, 0, 7], kind)
-        assert (katz.unpack(katz.pack(x), kind) == x).all()
-        assert len(katz.unpack(katz.pack(x[:0]), kind)) == 0
+    for kind in (np.uint32, np.uint64, float):
+        for differences in (False, True)[: 1 + (kind is not float)]:
+            x = np.array([5, 3, 2**31, 0, 7], kind)
+            assert (katz.unpack(katz.pack(x, differences), kind, differences) == x).all()
+            assert len(katz.unpack(katz.pack(x[:0], differences), kind, differences)) == 0
 
 
 def test_every_taught_word_has_pairs_of_its_own(spark):
@@ -131,5 +135,5 @@ def test_every_taught_word_has_pairs_of_its_own(spark):
     rows += [(100 + i, " ".join(rows[i][1].split()[k : k + 40])) for i in range(30) for k in (0, 2380)][::7]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = {(r.doc_id, r.n_tokens): r.score for r in katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=100_000).collect()}
-    for (i, t), (_, score, _, _) in zip(rows, brute(rows, 10**9)):
+    for (i, t), (_, score, _, _) in zip(rows, brute(rows)):
         assert math.isclose(found[i, len(t.split()) + 1], score, rel_tol=1e-9), i
