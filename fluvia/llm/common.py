@@ -22,9 +22,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, a temporary one, on a single machine
+    only: on a cluster each executor would write to a disk of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = getattr(spark, "_fluvia_shared", None) or tempfile.mkdtemp(prefix="fluvia-")
         spark._fluvia_shared = at
     return at.rstrip("/")
@@ -47,6 +50,14 @@ def bucketed_table(df: DataFrame, what: str, by: str, n: int | None = None) -> D
     return spark.table(name.replace("-", "_"))
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, with as many underscores before them as keep them apart from the columns of df."""
+    taken = {c.lower() for c in df.columns}
+    while any(n.lower() in taken for n in names):
+        names = tuple("_" + n for n in names)
+    return names
+
+
 def crc_bucket(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, row_key, slices, staged
+from .common import fresh, read_table, row_key, slices, staged
 
 WINDOW, DIVISOR, LEAST_LINES = 2, 4, 2
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -97,8 +97,9 @@ def cut(docs: DataFrame, parts, least_lines: int) -> DataFrame:
 def repeated(docs: DataFrame, parts, least_lines: int = LEAST_LINES) -> DataFrame:
     """(_key, spans): the pieces (start, size), in order, to remove from each text of docs (_key, _id, _text)."""
     pieces = staged(cut(docs, parts, least_lines).dropDuplicates(["_key", "start"]), "lines-chunks")
-    common = pieces.groupBy("h", "size").agg(F.count("*").alias("n")).filter("n > 1").select("h", "size")
-    # Rows of one hash can be a third of all, so the copies are found by joins and combined minima, never gathered.
+    common = staged(pieces.groupBy("h", "size").agg(F.count("*").alias("n")).filter("n > 1").select("h", "size"), "lines-common")
+    # Rows of one hash can be a third of all, so the copies are found by joins and combined minima, never gathered. The
+    # other side is a table of its own, so that a join's skewed partitions can be split.
     meet = pieces.join(common, ["h", "size"]).groupBy("_key", "_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     texts = docs.select("_key", "_text")
 
@@ -118,17 +119,20 @@ def repeated(docs: DataFrame, parts, least_lines: int = LEAST_LINES) -> DataFram
     found = staged(found.dropDuplicates(["_key", "start"]), "lines-bodies")
     place = F.struct("_id", "_key", "start")
     first = found.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.xxhash64("body").alias("b"), F.length("body").alias("size"), "body", "first")
+    first = staged(first, "lines-first")
     again = found.withColumns({"b": F.xxhash64("body"), "size": F.length("body")}).join(first.withColumnRenamed("body", "_body"), ["b", "size"])
     again = again.filter((F.col("body") == F.col("_body")) & (place != F.col("first")))
     return again.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("start", again["size"].alias("size")))).alias("spans"))
 
 
-def _without(docs: DataFrame, id_col: str, text_col: str, parts, least_lines: int, merged: bool, counts: bool) -> DataFrame:
-    """docs without the pieces that are copies. merged: pieces that overlap or touch count as one."""
-    gone = repeated(_rows(docs, id_col, text_col), parts, least_lines).withColumnsRenamed({"_key": "_k", "spans": "_spans"})
-    keyed = docs.withColumn("_key", row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
-    joined = keyed.join(gone, F.col("_key") == F.col("_k"), "left")
-    joined = joined.withColumns({"_starts": F.col("_spans.start"), "_ends": F.transform("_spans", lambda x: x["start"] + x["size"])})
+def _without(docs: DataFrame, id_col: str, text_col: str, parts, least_lines: int, merged: bool, counts: tuple[str, str] | None) -> DataFrame:
+    """docs without the pieces that are copies. merged: pieces that overlap or touch count as one. counts: names of two
+    more columns, the pieces removed and their bytes."""
+    own, key, spans, starts, ends, left = fresh(docs, "_own", "_k", "_spans", "_starts", "_ends", "_left")
+    gone = repeated(_rows(docs, id_col, text_col), parts, least_lines).withColumnsRenamed({"_key": key, "spans": spans})
+    keyed = docs.withColumn(own, row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
+    joined = keyed.join(gone, F.col(own) == F.col(key), "left")
+    joined = joined.withColumns({starts: F.col(spans)["start"], ends: F.transform(spans, lambda x: x["start"] + x["size"])})
 
     @F.pandas_udf("string")
     def without(text, starts, ends):
@@ -142,27 +146,28 @@ def _without(docs: DataFrame, id_col: str, text_col: str, parts, least_lines: in
                 out.iat[i] = b"".join([*left, raw[at:]]).decode()
         return out
 
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("_starts"), F.col("_ends")))
+    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col(starts), F.col(ends)))
     if not counts:
         return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
-    new = F.filter(F.arrays_zip("_starts", F.concat(F.array(F.lit(-2).cast("long")), "_ends").alias("_before")), lambda x: x["_starts"] > x["_before"] + 1)
-    n = F.size(new if merged else F.col("_spans"))
-    out = joined.select(*docs.columns, text.alias("_left"), F.when(F.col("_spans").isNull(), 0).otherwise(n).alias("_chunks"))
-    return out.select(*(F.col("_left").alias(c) if c == text_col else F.col(c) for c in docs.columns), "_chunks", (F.octet_length(text_col) - F.octet_length("_left")).alias("_removed_bytes"))
+    before = F.concat(F.array(F.lit(-2).cast("long")), ends)
+    new = F.filter(F.zip_with(starts, before, lambda s, e: s > e + 1), lambda x: x)
+    n = F.size(new if merged else F.col(spans))
+    out = joined.select(*docs.columns, text.alias(left), F.when(F.col(spans).isNull(), 0).otherwise(n).alias(counts[0]))
+    return out.select(*(F.col(left).alias(c) if c == text_col else F.col(c) for c in docs.columns), counts[0], (F.octet_length(text_col) - F.octet_length(left)).alias(counts[1]))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, least_lines: int = LEAST_LINES, counts: bool = False) -> DataFrame:
-    """docs with the copies of line chunks taken out of their texts; with counts also _chunks and _removed_bytes."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, least_lines: int = LEAST_LINES, counts: tuple[str, str] | None = None) -> DataFrame:
+    """docs with the copies of line chunks taken out of their texts; counts: names for two more columns, the chunks taken out and their bytes."""
     return _without(docs, id_col, text_col, lambda raw: chunks(raw, window, divisor), least_lines, False, counts)
 
 
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
-    """docs with the copies of runs of two or more lines taken out; with counts also _chunks, the runs of lines taken
-    out of a text, and _removed_bytes."""
+def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
+    """docs with the copies of runs of two or more lines taken out; counts: names for two more columns, the
+    runs of lines taken out of a text and their bytes."""
     return _without(docs, id_col, text_col, pairs, 2, True, counts)
 
 
 def op10_lines(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = dedup_passages(docs, counts=True)
-    return out.select("doc_id", F.col("_chunks").cast("long").alias("removed_chunks"), F.coalesce("_removed_bytes", F.lit(0)).cast("long").alias("removed_bytes"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    out = dedup_passages(docs, counts=("chunks", "bytes"))
+    return out.select("doc_id", F.col("chunks").cast("long").alias("removed_chunks"), F.coalesce("bytes", F.lit(0)).cast("long").alias("removed_bytes"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

@@ -3,8 +3,8 @@
 A source's share p of all tokens becomes the weight p**a / sum(p**a). A smaller exponent a flattens the mixture: its
 entropy grows, and so do the repetitions of small sources. fit() bisects a in [0, 1] for the greatest a whose entropy
 (nats) is at least `entropy` (if no a reaches it, 0), or the smallest a at which no source is repeated more than
-`most_repeats` times, or, given both, the smallest a that the limit allows if that is the greater. Each step of the
-search evaluates many exponents in one aggregate over the totals, so that the driver sees sums alone.
+`most_repeats` times, or, given both, the smallest a that the limit allows if that is the greater. One aggregate over the
+totals evaluates all exponents that the next LEVELS halvings can come to, so that the driver sees sums alone and few jobs.
 
 realise() deals each source's documents to `blocks` blocks by a hash of the document. An epoch visits a source's
 blocks in an order hashed from the epoch's number; a source takes whole blocks until its part of the budget, weight *
@@ -14,7 +14,9 @@ a place in [0, 1), spread evenly over the source's quota, so ordering by place i
 
 Defined cases: a null source is a source of its own; a null or empty text has no tokens and is dealt as any other; a
 source without any token has weight 0 and is taken once; repeated rows count and are dealt as often as they occur; an
-empty table gives no rows. Columns of docs stay; the new ones are _epoch, _block and _place.
+empty table gives no rows. Columns of docs stay; the new ones are _epoch, _block and _place, with as many underscores
+before all three as keep them apart from the columns of docs. Draws are broadcast where they are BROADCAST_ROWS at most;
+results do not depend on it.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, read_table, staged
+from .common import WORD, fresh, read_table, staged
 
-BLOCKS, STEPS, GRID, BROADCAST_ROWS = 256, 12, 16, 50_000
+BLOCKS, ROUNDS, LEVELS, BROADCAST_ROWS = 256, 8, 6, 50_000
 #: The production targets: an entropy of 0.95 of the greatest, no source more than twice.
 ENTROPY_SHARE, MOST_REPEATS = 0.95, 2.0
 
@@ -45,15 +47,17 @@ def block_of(docs: DataFrame, blocks: int, id_col: str = "doc_id", text_col: str
     return F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).cast("int")
 
 
-def _search(lo: float, hi: float, measure, enough) -> float:
+def _bisect(lo: float, hi: float, measure, enough) -> float:
     """The greatest value for which enough(measure) holds, where it holds up to some point; lo if nowhere."""
-    for _ in range(STEPS):
-        grid = [lo + (hi - lo) * i / GRID for i in range(1, GRID)]
-        good = [a for a, m in zip(grid, measure(grid)) if enough(m)]
-        bad = [a for a in grid if a not in good]
-        lo, hi = max([lo, *good]), min([hi, *(b for b in bad if b > max([lo, *good]))])
-        if hi - lo < 1e-12:
-            break
+    steps = 1 << LEVELS
+    for _ in range(ROUNDS):
+        grid = [lo + (hi - lo) * i / steps for i in range(steps + 1)]
+        found = measure(grid[1:-1])
+        a, b = 0, steps
+        while b - a > 1:
+            half = (a + b) // 2
+            a, b = (half, b) if enough(found[half - 1]) else (a, half)
+        lo, hi = grid[a], grid[b]
     return lo
 
 
@@ -78,12 +82,12 @@ def fit(sources: DataFrame, budget: float | None = None, entropy: float | None =
 
     a = 1.0
     if entropy is not None and entropies([1.0])[0] < entropy:
-        a = _search(0.0, 1.0, entropies, lambda h: h >= entropy)
+        a = _bisect(0.0, 1.0, entropies, lambda h: h >= entropy)
     elif entropy is None:
         a = 0.0
     if most_repeats is not None and repeats([a])[0] > most_repeats:
         # repeats fall as a grows: search 1 - a
-        b = _search(0.0, 1 - a, lambda g: repeats([1 - x for x in g]), lambda r: r <= most_repeats)
+        b = _bisect(0.0, 1 - a, lambda g: repeats([1 - x for x in g]), lambda r: r <= most_repeats)
         a = 1 - b
     return a
 
@@ -108,7 +112,8 @@ def draws(blocks: DataFrame, weighted: DataFrame, budget: float, seed: int = 0)
 
 
 def mix(docs: DataFrame, budget: float | None = None, entropy_share: float | None = ENTROPY_SHARE, most_repeats: float | None = MOST_REPEATS, source_col: str = "source", text_col: str = "text", blocks: int = BLOCKS, seed: int = 0) -> DataFrame:
-    """Rows of docs as often as their blocks are drawn, with _epoch, _block and _place."""
+    """Rows of docs as often as their blocks are drawn, with fresh(docs, "_epoch", "_block", "_place")."""
+    epoch, block, place, of_source, of_block, all_draws, draw = fresh(docs, "_epoch", "_block", "_place", "_s", "_b", "_draws", "_draw")
     per_block = staged(totals(docs, source_col, text_col, blocks), "mix-totals")
     sources = per_block.groupBy("source").agg(F.sum("tokens").alias("tokens"))
     whole = sources.agg(F.sum("tokens"), F.sum((F.col("tokens") > 0).cast("long"))).first()
@@ -120,14 +125,14 @@ def mix(docs: DataFrame, budget: float | None = None, entropy_share: float | Non
     drawn = draws(per_block, weighted, float(budget), seed)
     # A source's blocks are apart already, so no key of the join holds more than a block's share of it; what is
     # drawn of a block comes as one row.
-    drawn = drawn.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("epoch", "place"))).alias("_draws")).withColumnsRenamed({"source": "_s", "block": "_b"})
+    drawn = drawn.groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("epoch", "place"))).alias(all_draws)).withColumnsRenamed({"source": of_source, "block": of_block})
     drawn = staged(drawn, "mix-draws")
     if drawn.count() <= BROADCAST_ROWS:
         drawn = F.broadcast(drawn)
-    rows = docs.withColumn("_block", block_of(docs, blocks, text_col=text_col))
-    out = rows.join(drawn, F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
-    out = out.withColumn("_draw", F.explode("_draws"))
-    return out.select(*docs.columns, F.col("_draw.epoch").alias("_epoch"), "_block", F.col("_draw.place").alias("_place"))
+    rows = docs.withColumn(block, block_of(docs, blocks, text_col=text_col))
+    out = rows.join(drawn, F.col(source_col).eqNullSafe(F.col(of_source)) & (F.col(block) == F.col(of_block)))
+    out = out.withColumn(draw, F.explode(all_draws))
+    return out.select(*docs.columns, F.col(draw)["epoch"].alias(epoch), block, F.col(draw)["place"].alias(place))
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

@@ -48,6 +48,7 @@ def test_repeated_chunks_go(spark):
         assert expected.get((i, t), t) in got[i], i
     assert sum(map(len, got.values())) == len(rows) and any(expected[k] != k[1] for k in expected)
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
+    assert {r._key for r in found.collect()} == {5}
 
 
 def test_boundaries_resist_shifts():
@@ -132,9 +133,73 @@ def test_planted_runs_of_any_length_go(spark):
                     planted[len(rows) - 1] = len(run), "\n".join([*own[0], *own[1]])
     rows += [(900, "x y\nx y\nx y\nz"), (901, "a b\nc d\n\ne f"), (902, "c d\n\ne f\ng h\n"), (903, "")]
     docs = spark.createDataFrame([*rows, rows[1]], "doc_id long, text string").repartition(3)
-    found = {r.doc_id: r for r in linededup.dedup_passages(docs, counts=True).collect()}
+    found = {r.doc_id: r for r in linededup.dedup_passages(docs, counts=("_chunks", "_removed_bytes")).collect()}
     expected = without_copies(rows)
     assert {i: r.text for i, r in found.items()} == expected
     assert all(found[i].text.strip("\n") == own for i, (_, own) in planted.items())
     assert all(found[i]._chunks == 1 and found[i]._removed_bytes == len(dict(rows)[i]) - len(found[i].text) for i in planted)
     assert found[900].text == "x y\nz" and found[900]._chunks == 1 and found[902].text == "g h\n" and found[901]._chunks == 0
+
+
+CLASHING = ("_key", "_k", "_own", "_spans", "_starts", "_ends", "_left", "_s", "_b", "_draws", "_draw", "_block", "_epoch", "_place", "_id", "_text")
+
+
+def test_columns_of_any_name_keep_their_values(spark):
+    rows = [(i, "one line here\nanother line\nthird " + str(i % 3), "ab"[i % 2], *(100 * i + j for j in range(len(CLASHING)))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} int" for c in CLASHING))
+    for found in (linededup.dedup_passages(docs), linededup.dedup_lines(docs), mixing.mix(docs).select(*docs.columns).distinct()):
+        assert found.schema == docs.schema
+        assert sorted((r.doc_id, *(r[c] for c in CLASHING)) for r in found.collect()) == sorted((r[0], *r[3:]) for r in rows)
+    assert mixing.mix(docs).columns[-3:] == ["__epoch", "__block", "__place"]
+
+
+def test_a_mixture_is_that_of_a_plain_version(spark):
+    rng = random.Random(23)
+    rows = [(i, rng.choices("abcd", [40, 9, 3, 1])[0], "w " * rng.randint(0, 40)) for i in range(500)]
+    rows += [(i, s, t) for i, s, t in rows[:20]] + [(999, None, "some words of no source"), (998, "a", "w " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    blocks = 16
+    named = {(r.doc_id, r.text): r.b for r in docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("b")).collect()}
+    order = {(r.e, r.b): r.h for r in spark.sql(f"select e, b, xxhash64(7, e, b) as h from (select cast(id as int) e from range(40)) cross join (select cast(id as int) b from range({blocks}))").collect()}
+    tokens = Counter()
+    for i, s, t in rows:
+        tokens[s, named[i, t]] += len(t.split())
+    total = Counter()
+    for (s, _), n in tokens.items():
+        total[s] += n
+    p = {s: n / sum(total.values()) for s, n in total.items()}
+    power = lambda a: {s: x**a / sum(y**a for y in p.values()) for s, x in p.items()}
+    lo, hi = 0.0, 1.0
+    for _ in range(60):  # the greatest exponent whose entropy is high enough
+        a = (lo + hi) / 2
+        lo, hi = (a, hi) if -sum(w * math.log(w) for w in power(a).values()) >= 0.95 * math.log(len(p)) else (lo, a)
+    lo, hi = lo, 1.0
+    repeats = lambda a: max(power(a)[s] / p[s] for s in p) / min(power(a)[s] / p[s] for s in p)
+    if repeats(lo) > 2:
+        for _ in range(60):
+            a = (lo + hi) / 2
+            lo, hi = (lo, a) if repeats(a) <= 2 else (a, hi)
+        lo = hi
+    weight = power(lo)
+    budget = max(total[s] / weight[s] for s in total)
+    expected = Counter()
+    for s in total:
+        own = sorted(b for s2, b in tokens if s2 == s)
+        quota, before, epoch = weight[s] * budget, 0, 0
+        while before < quota * (1 - 1e-9) or epoch == 0:
+            for b in sorted(own, key=lambda b: (order[epoch, b], b)):
+                if before < quota * (1 - 1e-9) or before + tokens[s, b] <= quota * (1 + 1e-9):
+                    expected[s, b, epoch] += 1
+                before += tokens[s, b]
+            epoch += 1
+    found = mixing.mix(docs, blocks=blocks, seed=7).collect()
+    assert Counter((r.source, r._block, r._epoch) for r in found).keys() == expected.keys()
+    per = Counter((s, named[i, t], i, t) for i, s, t in rows)
+    assert Counter((r.source, r._block, r._epoch, r.doc_id, r.text) for r in found) == Counter({(s, b, e, i, t): n for s, b, e in expected for (s2, b2, i, t), n in per.items() if (s, b) == (s2, b2)})
+
+
+def test_a_first_pass_of_long_texts_and_ties(spark):
+    long = "\n".join(f"row {i} of the long text" for i in range(20000))
+    docs = spark.createDataFrame([(1, long), (2, "before\n" + long + "\nafter"), (3, "x y\nx y\nx y")], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in linededup.dedup_passages(docs).collect()}
+    assert found == {1: long, 2: "before\nafter", 3: "x y\n"}
