@@ -85,17 +85,18 @@ def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS) -> list[tuple
     return links
 
 
-def _bucket_links(radius: int, limit: int | None):
-    """For mapInArrow over rows (table, key, fp, id) sorted by (table, key): rows (a, b, table, key, fp, id).
+def _bucket_links(radius: int, limit: int):
+    """For mapInArrow over rows (table, key, fp, id, mask) sorted by (table, key): rows (a, b, table, key, fp, id, mask).
 
-    A bucket's links come as a, b. The rows of a bucket over the limit come back as they are, for finer keys.
+    A bucket's links come as a, b. The rows of a bucket over the limit come back as they are, for finer keys, but where
+    the mask leaves so few bits that all of them are linked.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held: list[list[np.ndarray]] = []
 
         def done(columns: list[np.ndarray], last: bool):
-            t, k, fp, ident = columns
+            t, k, fp, ident, mask = columns
             new = np.flatnonzero((t[1:] != t[:-1]) | (k[1:] != k[:-1])) + 1
             bounds = np.concatenate([[0], new, [len(t)]]) if len(t) else np.zeros(1, np.int64)
             stop = len(bounds) - 1 if last else len(bounds) - 2
@@ -103,7 +104,7 @@ def _bucket_links(radius: int, limit: int | None):
             links, back = [], []
             for b in np.flatnonzero(sizes[: max(stop, 0)] > 1):
                 lo, hi = bounds[b], bounds[b + 1]
-                if limit and hi - lo > limit:
+                if hi - lo > limit and BITS - int(mask[lo]).bit_count() > radius:
                     back.append(np.arange(lo, hi))
                 else:
                     links += forest(fp[lo:hi], ident[lo:hi], radius)
@@ -111,21 +112,25 @@ def _bucket_links(radius: int, limit: int | None):
             r = np.concatenate(back) if back else np.empty(0, np.int64)
             nulls = lambda n: pa.nulls(n, pa.int64())
             out = pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(x) for x in ([pa.array(a[:, 0]), nulls(len(r))], [pa.array(a[:, 1]), nulls(len(r))], *([nulls(len(a)), pa.array(c[r].view(np.int64))] for c in (t, k, fp, ident)))],
-                ["a", "b", "t", "k", "fp", "id"],
+                [pa.concat_arrays(x) for x in ([pa.array(a[:, 0]), nulls(len(r))], [pa.array(a[:, 1]), nulls(len(r))], *([nulls(len(a)), pa.array(c[r].view(np.int64))] for c in (t, k, fp, ident, mask)))],
+                ["a", "b", "t", "k", "fp", "id", "m"],
             )
             return out, [c[bounds[max(stop, 0)] :] for c in columns]
 
         for batch in batches:
-            if batch.num_rows:
-                columns = [np.asarray(c) for c in batch.columns]
-                columns[2] = columns[2].view(np.uint64)
-                held = columns if held is None else [np.concatenate(x) for x in zip(held, columns)]
-                out, held = done(held, False)
-                if out.num_rows:
-                    yield out
-        if held is not None and len(held[0]):
-            out, _ = done(held, True)
+            if not batch.num_rows:
+                continue
+            columns = [np.asarray(c) for c in batch.columns]
+            columns[2], columns[4] = columns[2].view(np.uint64), columns[4].view(np.uint64)
+            held.append(columns)
+            if all(held[0][i][0] == columns[i][-1] for i in (0, 1)):
+                continue  # one bucket so far
+            out, rest = done([np.concatenate(x) for x in zip(*held)], False)
+            held = [rest]
+            if out.num_rows:
+                yield out
+        if held:
+            out, _ = done([np.concatenate(x) for x in zip(*held)], True)
             if out.num_rows:
                 yield out
 
@@ -135,28 +140,27 @@ def _bucket_links(radius: int, limit: int | None):
 def links(distinct: DataFrame, radius: int = RADIUS, max_bucket: int = 20_000) -> DataFrame:
     """(a, b): a spanning set of the links between rows (fp, id) of distinct fingerprints.
 
-    A bucket over max_bucket is keyed anew: of radius + 1 blocks of the bits outside its mask, a linked pair
-    agrees in one at least, so nothing is lost.
+    A bucket over max_bucket is keyed anew, by finer masks: of radius + 1 blocks of the bits outside its mask, a linked
+    pair agrees in one at least, so nothing is lost. That goes on while buckets are over it and bits are left: a bucket of
+    distinct fingerprints that agree in all but n bits has 2**n rows at most.
     """
     masks = covering_masks(radius)
-    keyed = distinct.select("fp", "id", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks))).alias("t", "k"))
-
-    def bucketed(rows: DataFrame, limit: int | None) -> DataFrame:
-        rows = rows.select(F.col("t").cast("long").alias("t"), "k", "fp", "id").repartition("t", "k").sortWithinPartitions("t", "k")
-        return rows.mapInArrow(_bucket_links(radius, limit), "a long, b long, t long, k long, fp long, id long")
-
-    found = staged(bucketed(keyed, max_bucket), "simhash-links")
-    out = found.filter("a is not null").select("a", "b")
-    large = found.filter("a is null")
-    if not large.isEmpty():
-        blocks = []
-        for m in masks:
-            free = [i for i in range(BITS) if not m >> i & 1]
-            blocks.append([_signed(m | sum(1 << i for i in free[j :: radius + 1])) for j in range(radius + 1)])
-        table = F.array(*(F.array(*map(F.lit, b)) for b in blocks))
-        finer = large.select("fp", "id", "t", F.posexplode(table[F.col("t").cast("int")]).alias("j", "m"))
-        finer = finer.select((F.col("t") * (radius + 1) + F.col("j")).alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"), "fp", "id")
-        out = out.unionByName(bucketed(finer, None).select("a", "b"))
+    rows = distinct.select("fp", "id", F.posexplode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("t", "m"))
+    out = None
+    while True:
+        keyed = rows.select(F.col("t").cast("long").alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"), "fp", "id", "m")
+        keyed = keyed.repartition("t", "k").sortWithinPartitions("t", "k")
+        found = staged(keyed.select("t", "k", "fp", "id", "m").mapInArrow(_bucket_links(radius, max_bucket), "a long, b long, t long, k long, fp long, id long, m long"), "simhash-links")
+        links = found.filter("a is not null").select("a", "b")
+        out = links if out is None else out.unionByName(links)
+        large = found.filter("a is null")
+        if large.isEmpty():
+            break
+        # The blocks of the free bits, dealt in turn; a mask takes one more block than the one before.
+        free = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda i: F.getbit("m", i) == 0)
+        block = lambda j: F.aggregate(F.filter(free, lambda i, at: at % (radius + 1) == j), F.col("m"), lambda m, i: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+        rows = large.select("fp", "id", "t", F.posexplode(F.array(*(block(j) for j in range(radius + 1)))).alias("j", "m"))
+        rows = rows.select("fp", "id", (F.col("t") * (radius + 1) + F.col("j")).alias("t"), "m")
     return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -193,7 +197,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Each document of a fingerprint is linked to all others of it; its smallest id stands for it.
     found = components(links(distinct, radius, max_bucket))
     named = distinct.join(found, distinct.id == found.node, "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    # A table of its own, so that the join can split the partition of a very common fingerprint.
+    return fps.join(staged(named, "simhash-named"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, max_bucket: int = 20_000, words: int = SHINGLE) -> DataFrame:
@@ -205,7 +210,7 @@ def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ident, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), text.alias("text"))
     fps = staged(fingerprints(rows, "key", "text", words).withColumnRenamed("doc_id", "key"), "simhash")
-    distinct = fps.select("fp", F.col("fp").alias("id")).distinct()
+    distinct = staged(fps.select("fp", F.col("fp").alias("id")).distinct(), "simhash-distinct")
     found = components(links(distinct, radius, max_bucket))
     # Fingerprints first: of a large group of equal ones a single row goes on.
     least = fps.distinct().join(rows.select("key", "ident").distinct(), "key").groupBy("fp").agg(F.min(F.struct("ident", "key")).alias("first"))
