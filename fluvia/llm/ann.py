@@ -1,18 +1,20 @@
 """Approximate nearest neighbours by a permutation index.
 
 Pivots are a bounded, hash-chosen sample of distinct vectors. A vector is represented by the pivots in order of their
-distance to it, cut to the nearest `prefix`; every distinct vector is posted in the inverted files of its `post` nearest
-pivots. A query opens the files of its own `probe` nearest pivots and ranks the entries by the footrule distance of the
-two prefixes (the sum over pivots of the difference of their places, `prefix` for a pivot beyond it). The best `rerank`
-share of each file (LEAST_RERANK entries at least) is measured exactly on the original vectors, in double precision.
+distance to it, as each pivot's place, cut at `prefix`. The index is dealt into parts of about `part_rows` distinct
+vectors; in each part every vector is posted in the inverted files of its `post` nearest pivots. A query opens the files
+of its own `probe` nearest pivots in every part, ranks the union of their entries once by the footrule distance of the
+places (the sum over pivots of the difference of their places), and measures the best `rerank` share of the part's rows
+(LEAST_RERANK at least) exactly on the original vectors, in double precision. Queries meet a part in groups of
+`query_rows`.
 
 Equal vectors are one entry that carries its smallest TOP + 1 ids, which is all a list of TOP neighbours can take of
-them; nothing else is cut before the footrule ranking. A file that holds more than `file_rows` entries is salted into
-parts, and queries go to each part in groups of `query_rows`.
+them; nothing else is cut before the footrule ranking.
 
 Defined cases: null vectors, zero vectors and such with null or non-finite components take no part; vectors of another
-length than most are measured only against their like (they share no file with others); a null vec_id takes no part;
-repeated rows of one id count once; with fewer than TOP candidates, all reached are returned; an empty table gives none.
+length than most are measured exactly against their like alone; a null vec_id takes no part; repeated rows of one id
+count once; an id with several vectors is as near as its nearest and asks with the least in order; with fewer than TOP
+candidates, all reached are returned; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -23,11 +25,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import read_table, staged
 
-TOP, PIVOTS, PREFIX, POST, PROBE, RERANK, LEAST_RERANK, FILE_ROWS, QUERY_ROWS, EVERY = 10, 128, 64, 16, 16, 0.3, 200, 20_000, 2_000, 100
+TOP, PIVOTS, PREFIX, POST, PROBE, RERANK, LEAST_RERANK, PART_ROWS, QUERY_ROWS, EVERY = 10, 512, 255, 16, 16, 0.008, 40, 20_000, 2_000, 100
+BROADCAST_LENGTHS = 10_000
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -54,31 +57,28 @@ def pivots(distinct: DataFrame, n: int = PIVOTS) -> np.ndarray:
     return np.array([r.v for r in distinct.filter(F.size("v") == usual.d).orderBy(F.xxhash64("key"), "key").limit(n).collect()])
 
 
-def places(rows: np.ndarray, pivot: np.ndarray, prefix: int, files: int) -> tuple[np.ndarray, np.ndarray]:
-    """The place of each pivot in each row's order (ties to the first pivot), `prefix` from there on; the first pivots."""
+def places(rows: np.ndarray, pivot: np.ndarray, prefix: int) -> np.ndarray:
+    """The place of each pivot in each row's order (ties to the first pivot), `prefix` from there on."""
     gap = (rows * rows).sum(1)[:, None] - 2 * rows @ pivot.T + (pivot * pivot).sum(1)[None, :]
-    order = np.argsort(gap, axis=1, kind="stable")
-    place = np.empty(order.shape, np.int64)
-    np.put_along_axis(place, order, np.arange(len(pivot))[None, :], 1)
-    return np.minimum(place, prefix).astype(np.uint8), order[:, :files]
+    place = np.empty(gap.shape, np.int64)
+    np.put_along_axis(place, np.argsort(gap, axis=1, kind="stable"), np.arange(len(pivot))[None, :], 1)
+    return np.minimum(place, prefix).astype(np.uint8)
 
 
-def posted(vectors: DataFrame, pivot: np.ndarray, prefix: int, files: int) -> DataFrame:
-    """Rows with `place`, a byte for each pivot; one for each of the first `files` pivots, in `file`. Vectors of another
-    length than the pivots' are in file -length, without places."""
-    schema = StructType([*vectors.schema.fields, StructField("place", BinaryType()), StructField("files", ArrayType(IntegerType()))])
+def placed(vectors: DataFrame, pivot: np.ndarray, prefix: int) -> DataFrame:
+    """Rows with `place`, a byte for each pivot; none for vectors of another length than the pivots'."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            place, own = [b""] * len(part), [[-len(x)] for x in part.v]
+            place = [b""] * len(part)
             fits = np.flatnonzero([len(x) == pivot.shape[1] for x in part.v]) if len(pivot) else []
-            if len(fits):
-                p, first = places(np.stack(part.v.iloc[fits].to_list()).astype(float), pivot, prefix, files)
-                for i, x, f in zip(fits, p, first.tolist()):
-                    place[i], own[i] = x.tobytes(), f
-            yield part.assign(place=place, files=own)
+            for at in range(0, len(fits), 1024):
+                some = fits[at : at + 1024]
+                for i, x in zip(some, places(np.stack(part.v.iloc[some].to_list()).astype(float), pivot, prefix)):
+                    place[i] = x.tobytes()
+            yield part.assign(place=place)
 
-    return vectors.mapInPandas(run, schema).select("*", F.explode("files").alias("file")).drop("files")
+    return vectors.mapInPandas(run, StructType([*vectors.schema.fields, StructField("place", BinaryType())])).withColumn("d", F.size("v"))
 
 
 def footrule(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -86,24 +86,37 @@ def footrule(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.subtract(np.maximum(many, one), np.minimum(many, one)).sum(axis=1, dtype=np.int32)
 
 
-def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP, n_pivots: int = PIVOTS, prefix: int = PREFIX, post: int = POST, probe: int = PROBE, rerank: float = RERANK, file_rows: int = FILE_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+class _Files:
+    """The inverted files of one part: the entries by each of their `post` nearest pivots."""
+
+    def __init__(self, place: np.ndarray, post: int):
+        self.place = place
+        pivot, self.entries = np.nonzero((place < post).T)
+        self.bounds = np.searchsorted(pivot, np.arange(place.shape[1] + 1))
+
+    def ranked(self, place: np.ndarray, probe: int, n: int) -> np.ndarray:
+        """The n entries of the least footrule distance to a query in the files of its `probe` nearest pivots."""
+        opened = np.zeros(len(self.place), bool)
+        for p in np.flatnonzero(place < probe).tolist():
+            opened[self.entries[self.bounds[p] : self.bounds[p + 1]]] = True
+        found = np.flatnonzero(opened)
+        return found[np.argpartition(footrule(place, self.place[found]), n - 1)[:n]] if n < len(found) else found
+
+
+def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP, n_pivots: int = PIVOTS, prefix: int = PREFIX, post: int = POST, probe: int = PROBE, rerank: float = RERANK, least_rerank: int = LEAST_RERANK, part_rows: int = PART_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of `vectors` whose id satisfies is_query (a function of a column)."""
     v = usable(vectors, id_col, vec_col)
     distinct = staged(distinct_vectors(v, top), "ann-distinct")
     pivot = pivots(distinct, n_pivots)
-    entries = staged(posted(distinct, pivot, prefix, post), "ann-files")
-    # One row for a file: at most n_pivots of them and one for each odd length.
-    sizes = entries.groupBy("file").count().select("file", F.ceil(F.col("count") / file_rows).cast("int").alias("parts"))
-    asked = v.filter(is_query(F.col("id"))).dropDuplicates(["id"])
-    asked = posted(asked, pivot, prefix, probe)
-    asked = asked.join(sizes, "file").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    groups = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col("n") / query_rows)).cast("int"))
-    asked = staged(asked, "ann-queries")
-    counts = asked.groupBy("file", "part").agg(F.count("*").alias("n"))
-    asked = staged(asked.join(counts, ["file", "part"]).withColumn("group", groups.cast("int")), "ann-queries")
-    group_of = counts.select("file", "part", F.greatest(F.lit(1), F.ceil(F.col("n") / query_rows)).cast("int").alias("groups"))
-    entries = entries.join(sizes, "file").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
-    entries = entries.join(group_of, ["file", "part"]).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    entries = staged(placed(distinct, pivot, prefix), "ann-places")
+    asked = staged(placed(v.filter(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v")), pivot, prefix), "ann-queries")
+    # One row for each length of vectors.
+    parts = entries.groupBy("d").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts")).join(asked.groupBy("d").agg(F.ceil(F.count("*") / query_rows).cast("int").alias("groups")), "d")
+    parts = staged(parts, "ann-parts")
+    if parts.count() <= BROADCAST_LENGTHS:
+        parts = F.broadcast(parts)
+    entries = entries.join(parts, "d").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select("d", "part", "group", "v", "ids", "place")
+    asked = asked.join(parts, "d").withColumn("group", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("d", "part", "group", "v", "id", "place")
 
     def run(key, q: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -112,17 +125,19 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
             qp, ep = flat(q.place.to_list()), flat(e.place.to_list())
             qv, ev = np.stack(q.v.to_list()).astype(float), np.stack(e.v.to_list()).astype(float)
             ids = [np.asarray(x, np.int64) for x in e.ids]
-            n = len(e) if not ep.shape[1] else min(len(e), max(LEAST_RERANK, int(np.ceil(rerank * len(e)))))
-            for me, place, v in zip(q.id.to_list(), qp, qv):
-                near = np.argpartition(footrule(place, ep), n - 1)[:n] if n < len(e) else np.arange(n)
-                gap = np.sqrt(((ev[near] - v) ** 2).sum(1))
-                best = gap <= np.partition(gap, top)[top] if n > top + 1 else gap == gap
-                own = [(d, x) for d, b in zip(gap[best].tolist(), near[best]) for x in ids[b].tolist() if x != me]
-                out += [(me, x, d) for d, x in sorted(own)[:top]]
+            files = _Files(ep, post) if ep.shape[1] else None
+            n = max(least_rerank, int(np.ceil(rerank * len(e))))
+            for me, place, own in zip(q.id.to_list(), qp, qv):
+                near = files.ranked(place, probe, n) if files is not None else np.arange(len(e))
+                gap = np.sqrt(((ev[near] - own) ** 2).sum(1))
+                best = gap <= np.partition(gap, top)[top] if len(gap) > top + 1 else gap == gap
+                found = [(d, x) for d, b in zip(gap[best].tolist(), near[best]) for x in ids[b].tolist() if x != me]
+                out += [(me, x, d) for d, x in sorted(found)[:top]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    by = ["file", "part", "group"]
-    found = asked.groupBy(*by).cogroup(entries.groupBy(*by)).applyInPandas(run, "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
+    by = ["d", "part", "group"]
+    found = asked.groupBy(*by).cogroup(entries.groupBy(*by)).applyInPandas(run, "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 

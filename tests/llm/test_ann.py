@@ -23,7 +23,7 @@ def test_small_tables_are_exact(spark):
     v[20:45] = v[20]
     rows = [(i, x.tolist(), 1) for i, x in enumerate(v)] + [(100, None, 1), (200, [0.0] * 8, 1), (300, [float("nan")] * 8, 1), (400, [1.0, None], 1), (None, [1.0] * 8, 1), (0, v[0].tolist(), 1)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int").repartition(3)
-    found = ann.search(table, lambda i: i % 10 == 0, file_rows=16, query_rows=3).collect()
+    found = ann.search(table, lambda i: i % 10 == 0, part_rows=16, query_rows=3).collect()
     ids = list(range(60))
     for q in range(0, 60, 10):
         own = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q)
@@ -42,3 +42,22 @@ def test_recall(spark):
     found = ann.op7_permutation(spark, SF_DIR).groupBy("query_id").agg(F.collect_set("vec_id").alias("own")).collect()
     hit = [len(set(r.own) & {i for i, _ in nearest(ids, v, r.query_id)}) / 10 for r in found]
     assert len(found) == sum(i % 100 == 0 for i in ids) and np.mean(hit) >= 0.9
+
+
+def test_recall_where_footrule_decides(spark):
+    """20,000 clustered vectors in four parts: a query measures 200 of them exactly, a hundredth."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(200, 24))
+    v = centres[rng.integers(0, 200, 20_000)] + 0.6 * rng.normal(size=(20_000, 24))
+    table = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    found = ann.search(table, lambda i: i % 200 == 0, part_rows=5_000, rerank=0.01, least_rerank=10).groupBy("query_id").agg(F.collect_set("vec_id").alias("own")).collect()
+    ids = list(range(20_000))
+    hit = [len(set(r.own) & {i for i, _ in nearest(ids, v, r.query_id)}) / 10 for r in found]
+    assert len(found) == 100 and np.mean(hit) >= 0.9
+
+
+def test_ids_with_several_vectors_and_odd_lengths(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 20)] + [(5, [100.0, 1.0]), (0, [7.4, 1.0]), (0, [50.0, 1.0]), (30, [1.0, 2.0, 3.0]), (31, [1.0, 2.0, 4.0])]
+    found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 10 == 0, top=3).collect()
+    assert [(r.vec_id, round(r.score, 6)) for r in sorted(found, key=lambda r: r.rank) if r.query_id == 0] == [(7, 0.4), (8, 0.6), (6, 1.4)]
+    assert [(r.vec_id, r.score) for r in found if r.query_id == 30] == [(31, 1.0)]
