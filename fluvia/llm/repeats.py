@@ -11,9 +11,11 @@ Only common prefixes of `length` bytes matter here, so the documents of the cons
   order by symbol, and the common prefix of two neighbours is one more than the least between them was. A window is
   repeated where its suffix has `length` bytes in common with a neighbour. Equal windows start in the same column, so
   no other column's suffixes have to be compared.
-Equal pieces of an anchor take part once, and count as repeated; anchors that occur once are dropped before any text
-moves. An anchor with more than `hot` different pieces is not gathered: its windows are counted by their hashes. Each
-step's table is written to the shared folder and read in sequence by the next.
+Of equal pieces (by 64-bit hashes of anchor and piece) two take part, so that copies too are found by their bytes; anchors
+that occur once are dropped before any text moves. A group of more than `hot` pieces is split before it is gathered: a
+window holds the anchor and at least half of what else it needs on one side of it, so each piece goes to the group of
+those with the same bytes on the left and to that of those with the same bytes on the right, and so on while groups are
+too large. Each step's table is written to the shared folder and read in sequence by the next.
 
 Defined cases: a null text is empty; repeated rows are texts of their own, so they are removed as copies of each other;
 null ids stay null; texts shorter than `length` stay whole. Extra columns are ignored.
@@ -135,7 +137,8 @@ def columns(group: np.ndarray, data: np.ndarray, starts: np.ndarray, size: np.nd
 
 
 def repeated_windows(pieces: DataFrame, length: int, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(anchor, h, bits): the windows, one bit each, of pieces (anchor, h, off, body) that other pieces have too."""
+    """(anchor, h, bits): the windows, one bit each, of pieces (g, anchor, h, copy, off, body) that others of their group g
+    have too. Copies' own are left out: theirs are the pieces'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -145,8 +148,8 @@ def repeated_windows(pieces: DataFrame, length: int, batch_bytes: int = BATCH_BY
             size += batch.nbytes
             if size > batch_bytes:  # all groups but the last, which may go on
                 whole = pa.Table.from_batches(held).combine_chunks()
-                anchors = whole.column("anchor").to_numpy()
-                cut = int(np.searchsorted(anchors, anchors[-1]))
+                groups = whole.column("g").to_numpy()
+                cut = int(np.searchsorted(groups, groups[-1]))
                 if cut:
                     yield from done(whole.slice(0, cut))
                 held = whole.slice(cut).to_batches()
@@ -158,48 +161,50 @@ def repeated_windows(pieces: DataFrame, length: int, batch_bytes: int = BATCH_BY
         whole = whole.combine_chunks()
         if not whole.num_rows:
             return
-        _, group = np.unique(whole.column("anchor").to_numpy(), return_inverse=True)
+        _, group = np.unique(whole.column("g").to_numpy(), return_inverse=True)
         data, offsets = joined_bytes(whole.column("body").chunk(0))
         size = np.diff(offsets)
         met = columns(group, data, offsets[:-1], size, whole.column("off").to_numpy().astype(np.int64), length)
-        some = np.flatnonzero(met.any(axis=1))
+        some = np.flatnonzero(met.any(axis=1) & ~np.asarray(whole.column("copy")))
         bits = [x.tobytes() for x in np.packbits(met[some], axis=1)]
         table = whole.take(pa.array(some))
         for a, h, b in zip(*(c.chunks for c in pa.table({"anchor": table.column("anchor").combine_chunks(), "h": table.column("h").combine_chunks(), "bits": pa.array(bits, pa.binary())}).columns)):
             yield pa.RecordBatch.from_arrays([a, h, b], ["anchor", "h", "bits"])
 
-    rows = pieces.select("anchor", "h", "off", "body").repartition("anchor").sortWithinPartitions("anchor", "h")
+    rows = pieces.select("g", "anchor", "h", "copy", "off", "body").repartition("g").sortWithinPartitions("g", "h")
     return rows.mapInArrow(run, "anchor long, h long, bits binary")
 
 
-def hot_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many pieces: windows with one hash are counted, and the hits come back by joins."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(iter([batch]), "body", 1 << 18):
-                data, offsets = joined_bytes(part.column("body"))
-                n = np.maximum(np.diff(offsets) - length + 1, 0)
-                owner = np.repeat(np.arange(len(n)), n)
-                at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-                s = offsets[:-1][owner] + at
-                sums = prefix_sums(data)
-                anchor, h, off = (np.asarray(part.column(x))[owner] for x in ("anchor", "h", "off"))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(h), pa.array(at.astype(np.int32)), pa.array((off - at).astype(np.int32)), pa.array(spans(sums, s, s + length).view(np.int64))], ["anchor", "h", "at", "x", "w"])
-
-    windows = staged(pieces.select("anchor", "h", "off", "body").mapInArrow(run, "anchor long, h long, at int, x int, w long"), "repeats-windows")
-    twice = staged(windows.groupBy("anchor", "x", "w").agg(F.count("*").alias("c")).filter("c > 1").drop("c"), "repeats-windows")
-    hits = windows.join(twice, ["anchor", "x", "w"]).select("anchor", "h", "at")
-    # A piece has length - gram + 1 windows at most, so a few bytes of bits.
-    word = hits.groupBy("anchor", "h", (F.col("at") / 8).cast("int").alias("byte")).agg(F.bit_or(F.expr("shiftright(128, at % 8)")).alias("v"))
-    per = word.groupBy("anchor", "h").agg(F.map_from_entries(F.collect_list(F.struct("byte", "v"))).alias("m"), F.max("byte").alias("last"))
-    hexes = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.lpad(F.hex(F.coalesce(F.col("m")[i], F.lit(0))), 2, "0"))
-    return per.select("anchor", "h", F.unhex(F.array_join(hexes, "")).alias("bits"))
+def windows_by_groups(pieces: DataFrame, length: int, gram: int, hot: int, batch_bytes: int) -> DataFrame:
+    """repeated_windows() of pieces grouped by anchor, large groups split. lo, hi: what a group shares around the anchor."""
+    rows = pieces.select(F.col("anchor").alias("g"), "*", F.lit(0).alias("lo"), F.lit(gram).alias("hi"))
+    out = None
+    while True:
+        sizes = staged(rows.groupBy("g").agg(F.count("*").alias("c")).filter(F.col("c") > hot).select("g"), "repeats-large")
+        some = not sizes.isEmpty()
+        small = rows.join(sizes, "g", "left_anti") if some else rows
+        found = repeated_windows(small, length, batch_bytes)
+        out = found if out is None else out.unionByName(found)
+        if not some:
+            return out
+        large = rows.join(sizes, "g")
+        need = F.lit(length) - (F.col("hi") - F.col("lo"))
+        # Groups that share a whole window: their pieces have it if others of the very same bytes do.
+        whole = large.filter(need <= 0).withColumn("at", F.col("off") + F.col("lo")).withColumn("own", F.substring("body", F.col("at") + 1, F.lit(length)))
+        twice = staged(whole.groupBy("g", "own").agg(F.count("*").alias("c")).filter("c > 1").select("g", "own"), "repeats-whole")
+        bit = F.expr("unhex(concat(repeat('00', int(at / 8)), lpad(hex(shiftright(128, at % 8)), 2, '0')))")
+        out = out.unionByName(whole.join(twice, ["g", "own"]).filter("not copy").select("anchor", "h", bit.alias("bits")))
+        half = F.ceil(need / 2).cast("int")
+        sides = F.array(F.struct((F.col("lo") - half).alias("lo"), F.col("hi").alias("hi")), F.struct(F.col("lo").alias("lo"), (F.col("hi") + half).alias("hi")))
+        split = large.filter(need > 0).withColumn("side", F.explode(sides)).drop("lo", "hi").select("*", "side.lo", "side.hi").drop("side")
+        split = split.filter((F.col("off") + F.col("lo") >= 0) & (F.col("off") + F.col("hi") <= F.octet_length("body")))
+        shared = F.substring("body", F.col("off") + F.col("lo") + 1, F.col("hi") - F.col("lo"))
+        rows = staged(split.withColumn("g", F.xxhash64("g", "lo", "hi", shared)), "repeats-split")
 
 
 def bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, h, off, hot, body): the bytes of the pieces wanted (k1, k2, anchor, h, start, size, off, hot)."""
-    per = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "h", "start", "size", "off", "hot")).alias("wanted"))
+    """(anchor, h, off, copy, body): the bytes of the pieces wanted (k1, k2, anchor, h, start, size, off, copy)."""
+    per = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "h", "start", "size", "off", "copy")).alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -211,9 +216,9 @@ def bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(size)])
             own = np.arange(ends[-1]) + np.repeat(at - ends[:-1], size)
             body = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[own])])
-            yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("h"), flat.field("off"), flat.field("hot"), body], ["anchor", "h", "off", "hot", "body"])
+            yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("h"), flat.field("off"), flat.field("copy"), body], ["anchor", "h", "off", "copy", "body"])
 
-    return docs.join(per, ["k1", "k2"]).select("text", "wanted").mapInArrow(run, "anchor long, h long, off int, hot boolean, body binary")
+    return docs.join(per, ["k1", "k2"]).select("text", "wanted").mapInArrow(run, "anchor long, h long, off int, copy boolean, body binary")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -222,24 +227,23 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def found(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(k1, k2, runs): the repeated windows of each text that has some, by pieces (start, size, n, bits); bits null: all."""
+    """(k1, k2, runs): the repeated windows of each text that has some, by pieces (start, size, n, bits)."""
     pieces = staged(index(docs.select("k1", "k2", "text"), length, gram), "repeats-pieces")
-    anchors = pieces.groupBy("anchor").agg(F.sum("n").alias("c"), (F.min("h") != F.max("h")).alias("various")).filter("c > 1").drop("c")
+    anchors = pieces.groupBy("anchor").agg(F.sum("n").alias("c")).filter("c > 1").drop("c")
     live = staged(pieces.join(staged(anchors, "repeats-anchors"), "anchor"), "repeats-live")
-    place = F.struct("k1", "k2", "start", "size", "off")
-    kinds = staged(live.filter("various").groupBy("anchor", "h").agg(F.sum("n").alias("c"), F.min(place).alias("p")), "repeats-kinds")
-    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > hot).select("anchor", F.lit(True).alias("hot"))
-    wanted = kinds.join(many, "anchor", "left").select("anchor", "h", "p.*", F.coalesce("hot", F.lit(False)).alias("hot"))
-    own = staged(bodies(docs, wanted).dropDuplicates(["anchor", "h"]), "repeats-bodies")
-    bits = repeated_windows(own.filter("not hot"), length, batch_bytes)
-    if not own.filter("hot").isEmpty():
-        bits = bits.unionByName(hot_windows(own.filter("hot"), length))
-    # Pieces that occur twice or more are repeated as they are, whatever windows others share with them.
-    verdicts = kinds.filter("c > 1").select("anchor", "h", F.lit(None).cast("binary").alias("bits"))
-    verdicts = staged(verdicts.unionByName(bits.join(kinds.filter("c = 1").select("anchor", "h"), ["anchor", "h"])), "repeats-verdicts")
-    hits = live.filter("various").join(verdicts, ["anchor", "h"]).select("k1", "k2", "start", "size", "n", "bits")
-    hits = hits.unionByName(live.filter("not various").select("k1", "k2", "start", "size", "n", F.lit(None).cast("binary").alias("bits")))
-    return hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "size", "n", "bits")).alias("runs"))
+    place = F.struct("k1", "k2", "start", "size", "off", "n")
+    kinds = live.groupBy("anchor", "h").agg(F.sum("n").alias("c"), F.min(place).alias("p"), F.max(place).alias("q"))
+    # The copy is the last one, or where that is the first, the next of a run of alike pieces, or another row of that text.
+    same = (F.col("p") == F.col("q")) & (F.col("p.n") > 1)
+    start = F.col("q.start") + F.when(same, F.col("q.size") - length + 1).otherwise(0)
+    copy = F.struct("q.k1", "q.k2", start.cast("int").alias("start"), "q.size", "q.off", F.lit(True).alias("copy"))
+    both = F.array(F.struct("p.k1", "p.k2", "p.start", "p.size", "p.off", F.lit(False).alias("copy")), F.when(F.col("c") > 1, copy))
+    wanted = kinds.select("anchor", "h", F.explode(F.array_compact(both)).alias("x")).select("anchor", "h", "x.*")
+    own = staged(bodies(docs, wanted).dropDuplicates(["anchor", "h", "copy"]), "repeats-bodies")
+    verdicts = staged(windows_by_groups(own, length, gram, hot, batch_bytes), "repeats-verdicts")
+    hits = live.join(verdicts, ["anchor", "h"]).select("k1", "k2", "start", "size", "n", "bits")
+    # Rows of one id and text have equal runs: as a set they are no more than one row's.
+    return hits.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "size", "n", "bits")).alias("runs"))
 
 
 def covered(n_bytes: int, runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
@@ -247,10 +251,6 @@ def covered(n_bytes: int, runs: list[dict] | None, length: int) -> list[tuple[in
     change = np.zeros(n_bytes + 1, np.int32)
     for r in runs or []:
         windows = r["size"] - length + 1
-        if r["bits"] is None:
-            change[r["start"]] += 1
-            change[r["start"] + r["n"] * windows + length - 1] -= 1
-            continue
         step = np.diff(np.unpackbits(np.frombuffer(r["bits"], np.uint8))[:windows].astype(np.int8), prepend=0, append=0)
         for k in range(r["n"]):
             at = r["start"] + k * windows

@@ -36,7 +36,7 @@ def texts_of(seed, length, n=60):
     return [*out, None, "", "x" * (length - 1), "a" * (5 * length), "ab" * (3 * length), out[0], out[0][3:]]
 
 
-@pytest.mark.parametrize(("length", "gram", "hot", "batch"), [(40, 8, 4096, 8 << 20), (40, 8, 3, 2000), (60, 12, 4096, 500)])
+@pytest.mark.parametrize(("length", "gram", "hot", "batch"), [(40, 8, 4096, 8 << 20), (40, 8, 3, 2000), (41, 9, 1, 2000), (60, 12, 4096, 500)])
 def test_removed_bytes(spark, length, gram, hot, batch):
     texts = texts_of(length + hot, length)
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, k1 int").repartition(5)
@@ -56,6 +56,13 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_many_rows_of_one_text_cost_one(spark):
+    text = " ".join(str(i * i) for i in range(1200))
+    docs = spark.createDataFrame([(None, text)] * 2000 + [(7, text)] * 100 + [(8, "own " + text[:300])], "doc_id long, text string").repartition(4)
+    found = repeats.remove_repeats(docs).collect()
+    assert len(found) == 2101 and sum(len(r.kept) for r in found) == 4 and {r.n_bytes for r in found} == {len(text), 304}
+
+
 def test_pieces_cover_each_window_once():
     data = np.frombuffer(("abcab" * 90 + "".join(map(str, range(300)))).encode(), np.uint8)
     p = repeats.pieces_of(data, np.array([0, 400, len(data)]), 50, 8)
