@@ -14,12 +14,13 @@ Texts are read in slices of about `slice_bytes`, each a row of the table "katz-s
 partitioned by their hash, which answers each slice with its words' counts and places among equal counts; from the
 counts of counts these give every word a number from which its count can be read off. A slice then posts each token with
 the two before it to the bucket of the token before (v). That bucket holds all pairs and triples around v, so one task
-has all that P(w | u v) needs, and gives back sums per document. Words v with more than half a bucket's share of all
-tokens are dealt by (v, u) instead; their pairs are added up in a table of their own, and the bucket asks for them. A
-history (u, v) is never split. There are so many buckets that each holds about `bucket_bytes` of text.
+has all that P(w | u v) needs, and gives back sums per document. Words v that are more than 1 / SPLIT of all tokens (or
+half a bucket's share, if that is less) are dealt by (v, u) instead; their pairs are added up in a table partitioned by
+pair, and the bucket asks for them. A history (u, v) is never split. There are so many buckets that each holds about
+`bucket_bytes` of text.
 
 Reaching the driver: how many words have each count (at most sqrt(2 N) different counts), counts of counts up to CUTOFF
-+ 1, and two sums for each split word (2 * buckets of them at most).
++ 1, and a row of sums for each split word (SPLIT or 2 * buckets of them at most).
 
 Defined cases: a null or empty text has one token, its end; a row whose id is null is scored, is not held out and
 teaches nothing; repeated rows count and are returned as often as they occur; with nothing to learn from, every score is
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import bucketed_table, crc_bucket, mixed, read_table, slices, staged
 
-CUTOFF, SLICE_BYTES, BUCKET_BYTES, LEVEL = 5, 8 << 20, 16 << 20, 3
+CUTOFF, SLICE_BYTES, BUCKET_BYTES, SPLIT, LEVEL = 5, 8 << 20, 10 << 20, 1024, 3
 NONE = 0xFFFFFFFF  # in place of the word before a text's first history
 
 
@@ -211,7 +212,7 @@ class Words:
         return np.searchsorted(self.starts, numbers, "right") - 1
 
     def hot(self, numbers: np.ndarray) -> np.ndarray:
-        return self.counts[self.level(numbers)].astype(float) * 2 * self.buckets > self.tokens
+        return self.counts[self.level(numbers)].astype(float) * max(SPLIT, 2 * self.buckets) > self.tokens
 
 
 def numbered(words: DataFrame, buckets: int, cutoff: int = CUTOFF) -> Words:
@@ -289,35 +290,65 @@ class _Bucket:
         self.c3 = np.bincount(self.of_triple[teaches], minlength=len(triples))
         self.first = self.u == NONE
 
+    def asked(self, model: Words) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The pairs of split words, by the bucket that adds them up, and the cuts between these."""
+        at = np.flatnonzero(model.hot(self.v))
+        order, cut = cuts(bucket_of(self.pairs[at], model.buckets), model.buckets)
+        return at[order], cut
+
+
+def counted(c: np.ndarray, cutoff: int) -> list[int]:
+    """How many of c are 0, 1, .. cutoff + 1."""
+    return np.bincount(np.minimum(c, cutoff + 2), minlength=cutoff + 3)[: cutoff + 2].tolist()
+
 
 def counts_of_counts(posts: DataFrame, model: Words, cutoff: int) -> DataFrame:
-    """(n, c, many, v, w, part): many n-grams of each count up to cutoff + 1, from the buckets that hold them whole; of
-    words that are split, each pair (n = 0) with the bucket's part of its count."""
+    """From each bucket: a row (bucket, n2, n3), how many whole pairs and triples have each count up to cutoff + 1, and a
+    row (bucket, to, keys, parts) of its parts of the counts of split words' pairs for each bucket that adds them up."""
 
     def run(group: pa.Table) -> pa.Table:
-        b = _Bucket(group)
-        hot = model.hot(b.v)
-        ask = np.flatnonzero(hot)
-        out = [(3, c, int(n)) for c, n in enumerate(np.bincount(np.minimum(b.c3[~b.first], cutoff + 2), minlength=cutoff + 3)[: cutoff + 2])]
-        out += [(2, c, int(n)) for c, n in enumerate(np.bincount(np.minimum(b.c2[~hot], cutoff + 2), minlength=cutoff + 3)[: cutoff + 2])]
-        n, c, many = zip(*out)
-        zero, none = np.zeros(len(ask), np.int64), np.zeros(len(out), np.int64)
-        columns = [np.append(n, zero), np.append(c, zero), np.append(many, zero), np.append(none, b.v[ask]), np.append(none, b.w[ask]), np.append(none, b.c2[ask])]
-        return pa.table([pa.array(np.full(len(columns[0]), group.column("bucket")[0].as_py())), *map(pa.array, columns)], ["bucket", "n", "c", "many", "v", "w", "part"])
+        b, bucket = _Bucket(group), group.column("bucket")[0].as_py()
+        order, cut = b.asked(model)
+        rows = [{"bucket": bucket, "n2": counted(b.c2[~model.hot(b.v)], cutoff), "n3": counted(b.c3[~b.first], cutoff)}]
+        rows += [{"bucket": bucket, "to": to, "keys": pack(b.pairs[order[s:e]], True), "parts": pack(b.c2[order[s:e]].astype(np.uint32))} for to, s, e in cut]
+        return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("n2", pa.list_(pa.int64())), ("n3", pa.list_(pa.int64())), ("to", pa.int64()), ("keys", pa.binary()), ("parts", pa.binary())]))
+
+    return posts.groupBy("bucket").applyInArrow(run, "bucket long, n2 array<long>, n3 array<long>, to long, keys binary, parts binary")
 
-    return posts.groupBy("bucket").applyInArrow(run, "bucket long, n long, c long, many long, v long, w long, part long")
 
+def pair_totals(parts: DataFrame, model: Words, cutoff: int) -> DataFrame:
+    """The answers (bucket, to, totals), the pairs in the order in which they were asked for; and of each split word v the
+    rows (v, prior, total, n2): sums over its pairs here of P(w) and counts, and how many have each count."""
 
-def evaluated(posts: DataFrame, asked: DataFrame, model: Words) -> DataFrame:
+    def run(group: pa.Table) -> pa.Table:
+        keys = [unpack(x, np.uint64, True) for x in group.column("keys").to_pylist()]
+        n = [unpack(x, np.uint32) for x in group.column("parts").to_pylist()]
+        found, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, np.concatenate(n).astype(float), len(found)).astype(np.int64)
+        ends = np.cumsum([0, *map(len, keys)])
+        rows = [{"bucket": b, "to": group.column("to")[0].as_py(), "totals": pack(total[at[s:e]].astype(np.uint64))} for b, s, e in zip(group.column("bucket").to_pylist(), ends, ends[1:])]
+        found, total = found[total > 0], total[total > 0]
+        words, of_word = np.unique((found >> np.uint64(32)).astype(np.int64), return_inverse=True)
+        prior = np.bincount(of_word, model.prior[model.level((found & np.uint64(NONE)).astype(np.int64))], len(words))
+        many = np.bincount(of_word * (cutoff + 3) + np.minimum(total, cutoff + 2), minlength=len(words) * (cutoff + 3)).reshape(-1, cutoff + 3)[:, : cutoff + 2]
+        sums = np.bincount(of_word, total.astype(float), len(words))
+        rows += [{"v": v, "prior": p, "total": int(t), "n2": m} for v, p, t, m in zip(words.tolist(), prior.tolist(), sums.tolist(), many.tolist())]
+        return pa.Table.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("to", pa.int64()), ("totals", pa.binary()), ("v", pa.int64()), ("prior", pa.float64()), ("total", pa.int64()), ("n2", pa.list_(pa.int64()))]))
+
+    return parts.groupBy("to").applyInArrow(run, "bucket long, to long, totals binary, v long, prior double, total long, n2 array<long>")
+
+
+def evaluated(posts: DataFrame, answers: DataFrame, model: Words) -> DataFrame:
     """(slice, docs, score, ...): sums of log10 P(w | u v) over the tokens of each text in a bucket; the rows without
-    tokens as they are. asked (bucket, v, w, total): the counts of pairs of split words."""
+    tokens as they are. answers (bucket, to, totals): the counts of pairs of split words."""
 
     def run(group: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Bucket(group)
         prior1 = model.prior[model.level(b.w)]
         hot = model.hot(b.v)
-        keys = answers.column("v").to_numpy().astype(np.uint64) << np.uint64(32) | answers.column("w").to_numpy().astype(np.uint64)
-        b.c2[np.searchsorted(b.pairs, keys)] = answers.column("total").to_numpy()
+        if answers.num_rows:
+            found = sorted(zip(answers.column("to").to_pylist(), answers.column("totals").to_pylist()))
+            b.c2[b.asked(model)[0]] = np.concatenate([unpack(x, np.uint64) for _, x in found])
         words, of_word = np.unique(b.v, return_inverse=True)
         seen = b.c2 > 0
         kept, prior = (np.bincount(of_word[seen], x[seen], len(words)) for x in (discounted(b.c2, model.small[2]), prior1))
@@ -342,7 +373,7 @@ def evaluated(posts: DataFrame, asked: DataFrame, model: Words) -> DataFrame:
         out += [r for r in group.drop_columns(["bucket", "v", "u", "w"]).to_pylist() if r["ids"] is not None]
         return pa.Table.from_pylist(out, pa.schema([_POST[1], _POST[2], ("score", pa.binary()), *_POST[6:]]))
 
-    return posts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(run, _POST_SQL.replace("bucket long, ", "").replace("v binary, u binary, w binary", "score binary"))
+    return posts.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(run, _POST_SQL.replace("bucket long, ", "").replace("v binary, u binary, w binary", "score binary"))
 
 
 def added_up(sums: DataFrame, tokens: int) -> DataFrame:
@@ -371,31 +402,18 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     model = numbered(words, buckets, cutoff)
     posts = bucketed_table(post_tokens(parts, words, model), "katz-posts", "bucket", buckets)
     found = staged(counts_of_counts(posts, model, cutoff), "katz-counts")
-    many = {(r.n, r.c): r.many for r in found.filter("n > 0").groupBy("n", "c").agg(F.sum("many").alias("many")).collect()}
-    parted = found.filter("n = 0").select("bucket", "v", "w", "part")
-    pairs = staged(parted.groupBy("v", "w").agg(F.sum("part").alias("total")), "katz-pairs")
-    for r in pairs.filter(F.col("total").between(1, cutoff + 1)).groupBy("total").count().collect():
-        many[2, r.total] = many.get((2, r.total), 0) + r["count"]
+    pairs = staged(pair_totals(found.filter("to is not null").select("bucket", "to", "keys", "parts"), model, cutoff), "katz-pairs")
+    whole = found.agg(*(F.sum(F.coalesce(F.col(x)[c], F.lit(0))) for x in ("n2", "n3") for c in range(cutoff + 2))).first()
+    split = pairs.filter("v is not null").groupBy("v").agg(F.sum("prior"), F.sum("total"), *(F.sum(F.col("n2")[c]) for c in range(cutoff + 2))).collect()
+    many = {n: np.array([x or 0 for x in whole[i * (cutoff + 2) : (i + 1) * (cutoff + 2)]]) for i, n in enumerate((2, 3))}
+    rows = sorted(tuple(r) for r in split)
+    of_split = np.array([r[3:] for r in rows], np.int64).reshape(-1, cutoff + 2)
+    many[2] = many[2] + of_split.sum(axis=0)
     for n in (2, 3):
-        model.small[n] = discounts([many.get((n, c), 0) for c in range(cutoff + 2)], cutoff)
-    model.split, model.split_sums = split_words(pairs, model)
-    asked = parted.join(pairs, ["v", "w"]).select("bucket", "v", "w", "total")
-    return added_up(evaluated(posts, asked, model), model.tokens)
-
-
-def split_words(pairs: DataFrame, model: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The split words by number, and of each what discounts leave of its pairs and their P(w)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v, at = np.unique(batch.column(0).to_numpy(), return_inverse=True)
-            total = batch.column(2).to_numpy()
-            sums = [np.bincount(at, x, len(v)) for x in (discounted(total, model.small[2]), model.prior[model.level(batch.column(1).to_numpy())])]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (v, *sums)], ["v", "kept", "prior"])
-
-    sums = pairs.filter("total > 0").select("v", "w", "total").mapInArrow(run, "v long, kept double, prior double").groupBy("v").agg(F.sum("kept").alias("kept"), F.sum("prior").alias("prior"))
-    rows = sorted((r.v, r.kept, r.prior) for r in sums.collect())
-    return np.array([r[0] for r in rows], np.int64), np.array([r[1:] for r in rows]).reshape(-1, 2).T
+        model.small[n] = discounts(many[n].tolist(), cutoff)
+    kept = np.array([r[2] for r in rows], float) - of_split[:, : cutoff + 1] @ (np.arange(cutoff + 1) - model.small[2])
+    model.split, model.split_sums = np.array([r[0] for r in rows], np.int64), np.array([kept, [r[1] for r in rows]])
+    return added_up(evaluated(posts, pairs.filter("to is not null").select("bucket", "to", "totals"), model), model.tokens)
 
 
 def op3_katz(spark, sf_dir: str) -> DataFrame:
