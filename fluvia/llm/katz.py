@@ -17,7 +17,7 @@ the two before it to the bucket of the token before (v). That bucket holds all p
 has all that P(w | u v) needs, and gives back sums per document. Words v that are more than 1 / SPLIT of all tokens (or
 half a bucket's share, if that is less) are dealt by (v, u) instead; their pairs are added up in a table partitioned by
 pair, and the bucket asks for them. A history (u, v) is never split. There are so many buckets that each holds about
-`bucket_bytes` of text.
+`bucket_bytes` of text, `least_buckets` at least.
 
 Reaching the driver: how many words have each count (at most sqrt(2 N) different counts), counts of counts up to CUTOFF
 + 1, and a row of sums for each split word (SPLIT or 2 * buckets of them at most).
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import bucketed_table, crc_bucket, mixed, read_table, slices, staged
 
-CUTOFF, SLICE_BYTES, BUCKET_BYTES, SPLIT, LEVEL = 5, 8 << 20, 10 << 20, 1024, 3
+CUTOFF, SLICE_BYTES, BUCKET_BYTES, LEAST_BUCKETS, SPLIT, LEVEL = 5, 8 << 20, 10 << 20, 64, 1024, 3
 NONE = 0xFFFFFFFF  # in place of the word before a text's first history
 
 
@@ -391,12 +391,12 @@ def added_up(sums: DataFrame, tokens: int) -> DataFrame:
     return sums.groupBy("slice").applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", cutoff: int = CUTOFF, slice_bytes: int = SLICE_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", cutoff: int = CUTOFF, slice_bytes: int = SLICE_BYTES, bucket_bytes: int = BUCKET_BYTES, least_buckets: int = LEAST_BUCKETS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of docs; held_out: a column."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(~held_out, F.lit(False)).alias("teaches"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    buckets = max(least_buckets, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
     parts = bucketed_table(read_slices(docs, buckets, slice_bytes), "katz-slices", "slice")
     words = staged(count_words(parts, buckets), "katz-words")
     model = numbered(words, buckets, cutoff)

@@ -138,7 +138,7 @@ def columns(group: np.ndarray, data: np.ndarray, starts: np.ndarray, size: np.nd
 
 def repeated_windows(pieces: DataFrame, length: int, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(anchor, h, bits): the windows, one bit each, of pieces (g, anchor, h, copy, off, body) that others of their group g
-    have too. Copies' own are left out: theirs are the pieces'."""
+    have too; bits null: all. Copies' own are left out: theirs are the pieces'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -166,7 +166,8 @@ def repeated_windows(pieces: DataFrame, length: int, batch_bytes: int = BATCH_BY
         size = np.diff(offsets)
         met = columns(group, data, offsets[:-1], size, whole.column("off").to_numpy().astype(np.int64), length)
         some = np.flatnonzero(met.any(axis=1) & ~np.asarray(whole.column("copy")))
-        bits = [x.tobytes() for x in np.packbits(met[some], axis=1)]
+        every = met[some].sum(axis=1) == size[some] - length + 1
+        bits = [None if e else x.tobytes() for e, x in zip(every.tolist(), np.packbits(met[some], axis=1))]
         table = whole.take(pa.array(some))
         for a, h, b in zip(*(c.chunks for c in pa.table({"anchor": table.column("anchor").combine_chunks(), "h": table.column("h").combine_chunks(), "bits": pa.array(bits, pa.binary())}).columns)):
             yield pa.RecordBatch.from_arrays([a, h, b], ["anchor", "h", "bits"])
@@ -227,7 +228,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def found(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(k1, k2, runs): the repeated windows of each text that has some, by pieces (start, size, n, bits)."""
+    """(k1, k2, runs): the repeated windows of each text that has some, by pieces (start, size, n, bits); bits null: all."""
     pieces = staged(index(docs.select("k1", "k2", "text"), length, gram), "repeats-pieces")
     anchors = pieces.groupBy("anchor").agg(F.sum("n").alias("c")).filter("c > 1").drop("c")
     live = staged(pieces.join(staged(anchors, "repeats-anchors"), "anchor"), "repeats-live")
@@ -251,6 +252,10 @@ def covered(n_bytes: int, runs: list[dict] | None, length: int) -> list[tuple[in
     change = np.zeros(n_bytes + 1, np.int32)
     for r in runs or []:
         windows = r["size"] - length + 1
+        if r["bits"] is None:
+            change[r["start"]] += 1
+            change[r["start"] + r["n"] * windows + length - 1] -= 1
+            continue
         step = np.diff(np.unpackbits(np.frombuffer(r["bits"], np.uint8))[:windows].astype(np.int8), prepend=0, append=0)
         for k in range(r["n"]):
             at = r["start"] + k * windows

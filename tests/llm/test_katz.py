@@ -100,7 +100,7 @@ def test_scores_equal_the_recursion(spark, n, bucket_bytes):
     """With few buckets, with many (so that frequent words are split), and with hardly any text."""
     rows = rows_of(n)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=2000, bucket_bytes=bucket_bytes).collect()
+    found = katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=2000, bucket_bytes=bucket_bytes, least_buckets=4).collect()
     expected = defaultdict(list)
     for (i, _), x in zip(rows, brute(rows)):
         expected[i].append(x)
@@ -114,8 +114,8 @@ def test_scores_equal_the_recursion(spark, n, bucket_bytes):
 
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
-    assert [r.score for r in katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0).collect()] == [0.0, 0.0]
-    assert katz.score(docs.limit(0), crc_bucket(F.col("doc_id"), 10) == 0).count() == 0
+    assert [r.score for r in katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, least_buckets=4).collect()] == [0.0, 0.0]
+    assert katz.score(docs.limit(0), crc_bucket(F.col("doc_id"), 10) == 0, least_buckets=4).count() == 0
 
 
 def test_packed_integers_come_back():
@@ -134,6 +134,6 @@ def test_every_taught_word_has_pairs_of_its_own(spark):
     assert sum(2400 for i, _ in rows if zlib.crc32(str(i).encode()) % 10) > 1 << 17
     rows += [(100 + i, " ".join(rows[i][1].split()[k : k + 40])) for i in range(30) for k in (0, 2380)][::7]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = {(r.doc_id, r.n_tokens): r.score for r in katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=100_000).collect()}
+    found = {(r.doc_id, r.n_tokens): r.score for r in katz.score(docs, crc_bucket(F.col("doc_id"), 10) == 0, slice_bytes=100_000, least_buckets=8).collect()}
     for (i, t), (_, score, _, _) in zip(rows, brute(rows)):
         assert math.isclose(found[i, len(t.split()) + 1], score, rel_tol=1e-9), i
