@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import running_sums
+
 
 def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
@@ -59,11 +61,11 @@ def directory_counts(files: DataFrame) -> DataFrame:
 
 def session(snapshots: DataFrame) -> DataFrame:
     """Running totals over batches; the sizes summed are the batches' rounded megabytes."""
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    total = lambda c: F.sum(c).over(w)
-    return snapshots.select(
-        "batch_id", F.count("*").over(w).alias("batches"), total("files").alias("total_files"), total("reads").alias("total_reads"), F.round(total("total_mb"), 2).alias("total_mb"),
-        ratio(total("files"), F.count("*").over(w)).alias("files_per_batch"), ratio(total("reads"), F.count("*").over(w)).alias("reads_per_batch"),
+    own = snapshots.select("batch_id", "files", "reads", F.round(F.col("total_mb") * 100).cast("long").alias("_mb"))
+    s = running_sums(own, "batch_id", {"batches": F.lit(1), "total_files": F.col("files"), "total_reads": F.col("reads"), "_total": F.col("_mb")})
+    return s.select(
+        "batch_id", F.col("batches").cast("long").alias("batches"), "total_files", "total_reads", (F.col("_total") / 100).alias("total_mb"),
+        ratio(F.col("total_files"), F.col("batches")).alias("files_per_batch"), ratio(F.col("total_reads"), F.col("batches")).alias("reads_per_batch"),
     )
 
 
@@ -71,7 +73,7 @@ def distinct_so_far(files: DataFrame, key: str) -> DataFrame:
     """(batch_id, new, known): values of key first seen in a batch, and seen until then."""
     first = files.groupBy(key).agg(F.min("batch_id").alias("batch_id")).groupBy("batch_id").agg(F.count("*").alias("new"))
     batches = files.select("batch_id").distinct().join(first, "batch_id", "left").na.fill(0, ["new"])
-    return batches.select("batch_id", "new", F.sum("new").over(Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)).alias("known"))
+    return running_sums(batches, "batch_id", {"known": F.col("new")}).select("batch_id", "new", "known")
 
 
 def alerts(state: DataFrame, min_files: float | None = None, max_age_ms: float | None = None, min_compressed: float | None = None) -> DataFrame:

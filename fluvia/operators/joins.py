@@ -18,6 +18,11 @@ def pair_complete(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
     return left.join(right, keys, "inner")
 
 
+def either(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both sides by key, nulls where a side has none."""
+    return left.join(right, keys, "full")
+
+
 def failed(samples: DataFrame, produced: DataFrame | None) -> DataFrame | None:
     """Samples that produced nothing; None where what was produced is not known."""
     return None if produced is None else samples.select("sample_id").distinct().join(produced.select("sample_id"), "sample_id", "left_anti")

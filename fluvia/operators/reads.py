@@ -4,30 +4,36 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import half_mass, keep_best
+from .windows import half_mass
 
 
 @dataclass(frozen=True)
 class ReadFilter:
+    """A tool's settings; keep_percent: the share of bases the best reads may make up; cut_quality: the least mean quality
+    of a window at a read's ends (both for the tools that have them)."""
+
     min_quality: float = 10.0
     min_length: int = 1000
     max_length: int | None = None
     headcrop: int = 0
     tailcrop: int = 0
+    tool: str = "chopper"
+    keep_percent: float | None = None
+    cut_quality: float | None = None
 
 
-#: Bundles of parameters by name.
+#: Bundles of parameters by name.
 PRESETS = {
-    "strict": ReadFilter(15.0, 2000),
-    "balanced": ReadFilter(10.0, 1000),
-    "permissive": ReadFilter(7.0, 200),
-    "metagenomics": ReadFilter(8.0, 500),
-    "assembly": ReadFilter(12.0, 3000),
-    "rna": ReadFilter(8.0, 100),
-    "legacy": ReadFilter(7.0, 500),
+    "strict": ReadFilter(10.0, 2000, keep_percent=75),
+    "balanced": ReadFilter(8.0, 1000, keep_percent=90),
+    "permissive": ReadFilter(6.0, 500, keep_percent=95),
+    "metagenomics": ReadFilter(9.0, 1000, keep_percent=85),
+    "assembly": ReadFilter(9.0, 1500, keep_percent=80),
+    "rna": ReadFilter(10.0, 500, tool="fastp", cut_quality=15),
+    "legacy": ReadFilter(15.0, 1000, tool="fastp", cut_quality=20),
 }
 
 
@@ -62,9 +68,22 @@ def filter_reads(reads: DataFrame, f: ReadFilter = ReadFilter(), quality: Column
 
 
 def keep_best_reads(reads: DataFrame, keys: list[str], percent: float | None = 90, target: int | None = None, min_length: int = 1000) -> DataFrame:
-    """The longest reads that make up the share of bases (ties by id)."""
+    """The longest reads that make up the share of bases (ties by id).
+
+    The windows run over lengths and their counts; only reads of the one length at which the share is reached are ranked.
+    """
     n = reads.withColumn("_len", F.length("sequence")).filter(F.col("_len") >= min_length)
-    return keep_best(n, keys, [F.desc("_len"), F.col("read_id")], "_len", percent, target).drop("_len")
+    w = Window.partitionBy(*keys).orderBy(F.desc("_len"))
+    bases = F.col("_len") * F.col("_c")
+    sizes = n.groupBy(*keys, "_len").agg(F.count("*").alias("_c")).select(*keys, "_len", "_c", F.coalesce(F.sum(bases).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum(bases).over(Window.partitionBy(*keys)).alias("_all"))
+    # The i-th read of a length (from 0) stays while before + i * length is below each bound.
+    left = [F.col("_all") * F.lit(percent) / 100 - F.col("_before")] if percent is not None else []
+    left += [F.lit(float(target)) - F.col("_before")] if target is not None else []
+    most = F.ceil(F.least(*left, F.lit(float("inf"))) / F.col("_len")) if left else F.col("_c")
+    taken = sizes.select(*keys, "_len", "_c", F.greatest(F.lit(0), F.least("_c", most)).cast("long").alias("_take")).filter("_take > 0")
+    own = n.join(taken, [*keys, "_len"])
+    part = own.filter("_take < _c").withColumn("_i", F.row_number().over(Window.partitionBy(*keys, "_len").orderBy("read_id"))).filter("_i <= _take")
+    return own.filter("_take = _c").select(reads.columns).unionByName(part.select(reads.columns))
 
 
 def base_count(sequence: Column, bases: str) -> Column:
@@ -78,6 +97,22 @@ def gc_fraction(contigs: DataFrame, keys: list[str]) -> DataFrame:
     return out.filter("acgt > 0").select(*keys, "gc", "acgt", (F.col("gc") / F.col("acgt")).alias("gc_fraction"))
 
 
+def contig_gc(contigs: DataFrame, keys: list[str]) -> DataFrame:
+    """gc, acgt and gc_fraction of each contig; null where it has none of these bases."""
+    s = F.col("sequence")
+    gc, acgt = base_count(s, "GCgc").cast("long"), base_count(s, "ACGTacgt").cast("long")
+    return contigs.select(*keys, gc.alias("gc"), acgt.alias("acgt"), F.try_divide(gc.cast("double"), acgt).alias("gc_fraction"))
+
+
+def quality_stats(reads: DataFrame, keys: list[str]) -> DataFrame:
+    """Bases of at least Q20 and Q30 (offset 33), N, gaps and GC, and the shares in percent."""
+    s, q = F.col("sequence"), F.col("quality")
+    counts = {"q20_bases": F.regexp_count(q, F.lit("[5-~]")), "q30_bases": F.regexp_count(q, F.lit("[?-~]")), "sum_n": base_count(s, "Nn"), "sum_gap": base_count(s, ". -"), "gc_bases": base_count(s, "GCgc")}
+    out = reads.groupBy(*keys).agg(*(F.sum(c).alias(k) for k, c in counts.items()), F.sum(F.length(q)).alias("_q"), F.sum(F.length(s)).alias("_s"))
+    share = lambda a, b: F.try_divide((F.col(a) * 100).cast("double"), F.col(b))
+    return out.select(*keys, *counts, share("q20_bases", "_q").alias("q20"), share("q30_bases", "_q").alias("q30"), share("gc_bases", "_s").alias("gc"))
+
+
 def assembly_summary(contigs: DataFrame, keys: list[str]) -> DataFrame:
     """Contigs (length, circular) of each key: number, total, longest, circular ones, N50 and L50."""
     agg = contigs.groupBy(*keys).agg(F.count("*").alias("total_contigs"), F.sum("length").alias("total_length"), F.max("length").alias("longest"), F.count_if("circular").alias("circular_contigs"))

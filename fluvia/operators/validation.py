@@ -42,7 +42,8 @@ def gated_tasks(histogram: DataFrame, genomes: DataFrame, floor: int = 1, unread
     """
     out = histogram.filter(F.col("n") >= max(1, floor)).join(genomes, "taxid").select("sample_id", "taxid", "path", "n")
     if unreadable is not None:
-        every = unreadable.select("sample_id").distinct().withColumn("_k", F.lit(1)).join(genomes.withColumn("_k", F.lit(1)), "_k")
+        # Few samples are unreadable; their genomes are dealt by taxid, not gathered under one key.
+        every = genomes.select("taxid", "path").crossJoin(unreadable.select("sample_id").distinct())
         out = out.unionByName(every.select("sample_id", "taxid", "path", F.lit(None).cast("long").alias("n")))
     return out
 
@@ -80,6 +81,17 @@ def hit_stats(hits: DataFrame, totals: DataFrame, keys: list[str], order: list[s
     return out.select(*keys, "total_reads", hit.alias("hits"), F.coalesce(F.try_divide(hit.cast("double"), "total_reads"), F.lit(0.0)).alias("hit_rate"), F.coalesce("avg_identity", F.lit(0.0)).alias("avg_identity"))
 
 
+def hit_details(hits: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Of one hit per query: number, mean mapping quality, share of the contigs' bases, and the longest contig (ties to
+    the first name)."""
+    best = first_per_key(hits, [*keys, "qname"], order)
+    n = F.count("*")
+    return best.groupBy(*keys).agg(
+        n.alias("hits"), (F.sum("mapq").cast("double") / n).alias("avg_mapq"), (F.sum(F.col("tend") - F.col("tstart")).cast("double") / F.sum("tlen")).alias("target_coverage"),
+        F.min_by("tname", F.struct(-F.col("tlen"), F.col("tname"))).alias("contig"), F.max("tlen").alias("contig_length"),
+    )
+
+
 def alignment_stats(paf: DataFrame, totals: DataFrame, keys: list[str], order: list[str], min_mapq: int = 10) -> DataFrame:
     """hit_stats over alignments of at least min_mapq, with breadth, local depth and covered bases.
 

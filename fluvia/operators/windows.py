@@ -17,6 +17,17 @@ def ordinal(df: DataFrame, key: str, name: str = "n", width: int = 1024) -> Data
     return df.withColumn("_part", part).withColumn("_own", own).join(counts, "_part").withColumn(name, (F.col("_own") + F.col("_offset")).cast("long")).drop("_part", "_own", "_offset")
 
 
+def running_sums(df: DataFrame, key: str, sums: dict[str, Column], width: int = 1024) -> DataFrame:
+    """df with sums up to each row by a whole-number key. As in ordinal(), only the ranges' totals meet in one window."""
+    df = df.withColumn("_part", F.floor(F.col(key) / width).cast("long"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy("_part").agg(*(F.sum(c).alias(k) for k, c in sums.items()))
+    offsets = totals.select("_part", *(F.coalesce(F.sum(k).over(ahead), F.lit(0)).alias(f"_o_{k}") for k in sums))
+    own = Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    out = df.select("*", *(F.sum(c).over(own).alias(f"_w_{k}") for k, c in sums.items())).join(offsets, "_part")
+    return out.select(*(c for c in df.columns if c != "_part"), *((F.col(f"_w_{k}") + F.col(f"_o_{k}")).alias(k) for k in sums))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first by an explicit total order."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -54,19 +65,6 @@ def half_mass(lengths: DataFrame, keys: list[str], length: str = "length") -> Da
     return hit.select(*keys, F.col("x._l").alias("n50"), (F.col("x._n") - F.col("x._c") + taken).cast("long").alias("l50"))
 
 
-def keep_best(df: DataFrame, keys: list[str], score: list[Column], length: str, percent: float | None = None, target: int | None = None) -> DataFrame:
-    """Best-scored rows until `percent` of the key's bases, or `target` bases, are reached; the row that reaches it stays."""
-    w = Window.partitionBy(*keys).orderBy(*score)
-    before = F.coalesce(F.sum(length).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    whole = F.sum(length).over(Window.partitionBy(*keys))
-    out = df.withColumn("_before", before).withColumn("_all", whole)
-    if percent is not None:
-        out = out.filter(F.col("_before") * 100 < F.col("_all") * percent)
-    if target is not None:
-        out = out.filter(F.col("_before") < target)
-    return out.drop("_before", "_all")
-
-
 def batch_numbers(df: DataFrame, key: str, order: list[str], existing: DataFrame | None = None, name: str = "batch_id") -> DataFrame:
     """0, 1, 2 ... within each key, going on after the greatest number in existing (key, batch_id)."""
     out = df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
@@ -98,9 +96,16 @@ def running_totals(df: DataFrame, keys: list[str], order: str, sums: list[str])
     return df.select("*", *(F.sum(c).over(w).alias(f"total_{c}") for c in sums))
 
 
-def last_n(df: DataFrame, keys: list[str], order: str, column: str, n: int = 100, name: str = "trend") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(n - 1), 0)
-    return df.withColumn(name, F.collect_list(column).over(w))
+def last_n(df: DataFrame, keys: list[str], order: str, column: str, n: int = 100, name: str = "trend", width: int = 1 << 16) -> DataFrame:
+    """The values of the last n rows up to each. Without keys, rows are dealt into ranges of `width` in order, and a
+    range also takes the n - 1 rows before it."""
+    if keys:
+        return df.withColumn(name, F.collect_list(column).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(-(n - 1), 0)))
+    rows = ordinal(df, order, "_n")
+    part = F.floor(F.col("_n") / width)
+    rows = rows.withColumn("_part", F.explode(F.array_distinct(F.array(part, F.floor((F.col("_n") + n - 1) / width)))))
+    w = Window.partitionBy("_part").orderBy("_n").rowsBetween(-(n - 1), 0)
+    return rows.withColumn(name, F.collect_list(column).over(w)).filter(part == F.col("_part")).drop("_n", "_part")
 
 
 def latest_as_of(events: DataFrame, key: str, value: str, order: str, boundary: Column, interval: int = 1) -> DataFrame:
@@ -113,9 +118,8 @@ def latest_as_of(events: DataFrame, key: str, value: str, order: str, boundary:
     w = Window.partitionBy(key).orderBy(order)
     seen = F.lag(value).over(w)
     marked = events.select(order, (F.col(value) - F.coalesce(seen, F.lit(0))).alias("_d"), F.when(seen.isNull(), 1).otherwise(0).alias("_k"), boundary.cast("int").alias("_b"))
-    every = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = marked.select(order, F.sum("_k").over(every).cast("long").alias("keys"), F.sum("_d").over(every).cast("long").alias("latest_sum"), "_b", F.sum("_b").over(every).alias("_nb"))
-    return out.filter((F.col("_b") == 1) & (F.col("_nb") % interval == 0)).select(order, "keys", "latest_sum")
+    out = running_sums(marked, order, {"keys": F.col("_k"), "latest_sum": F.col("_d"), "_nb": F.col("_b")})
+    return out.filter((F.col("_b") == 1) & (F.col("_nb") % interval == 0)).select(order, F.col("keys").cast("long").alias("keys"), F.col("latest_sum").cast("long").alias("latest_sum"))
 
 
 def truncation(df: DataFrame, group: str, order: str, n: int) -> DataFrame:

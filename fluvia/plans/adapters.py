@@ -48,10 +48,10 @@ TAX = """tax AS (SELECT '1' AS taxid, NULL::VARCHAR AS parent, 'R' AS rank, 'roo
 
 def genomes(spark: SparkSession, d: str) -> DataFrame:
     taxid = (F.col("s_suppkey") + 1000).cast("string")
-    return table(spark, d, "supplier").filter("s_suppkey % 3 = 0").select(taxid.alias("taxid"), F.concat(F.lit("/genomes/"), taxid, F.lit(".fa")).alias("path"))
+    return table(spark, d, "supplier").select(taxid.alias("taxid"), F.concat(F.lit("/genomes/"), taxid, F.lit(".fa")).alias("path"))
 
 
-GEN = """gen AS (SELECT (1000 + s_suppkey)::VARCHAR AS taxid, '/genomes/' || (1000 + s_suppkey) || '.fa' AS path FROM supplier WHERE s_suppkey % 3 = 0)"""
+GEN = """gen AS (SELECT (1000 + s_suppkey)::VARCHAR AS taxid, '/genomes/' || (1000 + s_suppkey) || '.fa' AS path FROM supplier)"""
 
 
 def alignments(spark: SparkSession, d: str) -> DataFrame:

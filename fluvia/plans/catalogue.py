@@ -48,9 +48,9 @@ def selected_genomes(spark, d):
     return validation.select_genomes(A.genomes(spark, d), " 1003,1009 , 1010")
 
 
-@query(f"WITH {A.RA} SELECT o_orderkey || '_1' AS read_id, o_orderpriority AS sequence FROM orders WHERE o_orderkey || '_1' IN (SELECT read_id FROM ra WHERE status = 'C' AND taxid = '1007')")
+@query(f"WITH {A.RA} SELECT l_orderkey || '_' || l_linenumber AS read_id, l_partkey::VARCHAR AS sequence FROM lineitem WHERE l_orderkey || '_' || l_linenumber IN (SELECT read_id FROM ra WHERE status = 'C' AND taxid = '1007')")
 def extract_reads_semi(spark, d):
-    own = A.table(spark, d, "orders").select(F.concat_ws("_", "o_orderkey", F.lit(1)).alias("read_id"), F.col("o_orderpriority").alias("sequence"))
+    own = A.table(spark, d, "lineitem").select(F.concat_ws("_", "l_orderkey", "l_linenumber").alias("read_id"), F.col("l_partkey").cast("string").alias("sequence"))
     return validation.extract_reads(own, A.read_assignment(spark, d), "1007")
 
 
@@ -64,10 +64,10 @@ def batch_read_counts(spark, d):
     return aggregates.batch_counts(A.read_assignment(spark, d))
 
 
-@query(f"WITH {A.RA}, f AS (SELECT sample_id, count(DISTINCT batch_id) AS found FROM ra WHERE batch_id % 7 <> 3 GROUP BY 1) SELECT sample_id, coalesce(found, 0) AS found, coalesce(expected, 0)::BIGINT AS expected, coalesce(expected, 0) = 0 OR coalesce(found, 0) >= expected AS complete FROM f FULL JOIN (SELECT * FROM (VALUES ('F', 10), ('O', 500), ('X', 0), ('Y', 2)) v(sample_id, expected)) e USING (sample_id)")
+@query(f"WITH {A.RA}, f AS (SELECT sample_id, count(DISTINCT batch_id) AS found FROM ra GROUP BY 1) SELECT sample_id, coalesce(found, 0) AS found, coalesce(expected, 0)::BIGINT AS expected, coalesce(expected, 0) = 0 OR coalesce(found, 0) >= expected AS complete FROM f FULL JOIN (SELECT * FROM (VALUES ('F', 10), ('O', 500), ('X', 0), ('Y', 2)) v(sample_id, expected)) e USING (sample_id)")
 def aggregation_completeness(spark, d):
     expected = spark.createDataFrame([("F", 10), ("O", 500), ("X", 0), ("Y", 2)], "sample_id string, expected long")
-    return aggregates.completeness(A.read_assignment(spark, d).filter("batch_id % 7 <> 3"), expected)
+    return aggregates.completeness(A.read_assignment(spark, d), expected)
 
 
 @query(f"WITH {A.RA} SELECT taxid, count(*) FILTER (sample_id = 'F') AS F, count(*) FILTER (sample_id = 'O') AS O FROM ra WHERE status = 'C' GROUP BY 1")
@@ -174,14 +174,16 @@ def validation_verdict(spark, d):
     return validation.alignment_verdicts(A.alignments(spark, d), _totals(spark, d), _KEYS, A.ALN_ORDER)
 
 
-_BLAST = f"{_STATS}, bl AS (SELECT *, {_STATUS.format(b='')} AS status FROM st WHERE taxid::BIGINT % 2 = 0), mm AS (SELECT *, {_STATUS.format(b=_NARROW)} AS status FROM st WHERE taxid::BIGINT % 3 = 0)"
+#: Pairs without a hit of high identity have no row of the first method, those without one of good mapping none of the second.
+_BLAST = f"""{_STATS}, bb AS (SELECT * FROM aln WHERE identity >= 97 QUALIFY row_number() OVER (PARTITION BY sample_id, taxid, qname ORDER BY tstart, tend, identity, mapq, tname) = 1),
+bs AS (SELECT sample_id, taxid, any_value(total_reads) AS total_reads, count(*) AS hits, count(*) / any_value(total_reads)::DOUBLE AS hit_rate, avg(identity) AS avg_identity FROM bb JOIN tot USING (sample_id, taxid) GROUP BY ALL),
+bl AS (SELECT *, {_STATUS.format(b='')} AS status FROM bs), mm AS (SELECT *, {_STATUS.format(b=_NARROW)} AS status FROM st WHERE hits > 0)"""
 
 
 def _both(spark, d):
     paf, total = A.alignments(spark, d), _totals(spark, d)
-    even, third = F.col("taxid").cast("long") % 2 == 0, F.col("taxid").cast("long") % 3 == 0
-    a = validation.blast_verdicts(paf.filter(even & (F.col("mapq") >= 10)), total.filter(even), _KEYS, A.ALN_ORDER)
-    return validation.merge_methods(a, validation.alignment_verdicts(paf.filter(third), total.filter(third), _KEYS, A.ALN_ORDER), _KEYS)
+    first = validation.blast_verdicts(paf.filter("identity >= 97"), total, _KEYS, A.ALN_ORDER).filter("hits > 0")
+    return validation.merge_methods(first, validation.alignment_verdicts(paf, total, _KEYS, A.ALN_ORDER).filter("hits > 0"), _KEYS)
 
 
 _MERGE = "SELECT sample_id, taxid, CASE WHEN bl.status IS NOT NULL THEN 'blast' ELSE 'minimap2' END AS method, coalesce(bl.hits, mm.hits) AS hits, coalesce(bl.hit_rate, mm.hit_rate) AS hit_rate, coalesce(bl.status, mm.status) AS status, CASE WHEN bl.status IS NOT NULL THEN mm.hits END AS minimap2_hits, CASE WHEN bl.status IS NOT NULL THEN mm.status END AS minimap2_status FROM bl FULL JOIN mm USING (sample_id, taxid)"
@@ -210,9 +212,9 @@ def cumulative_verdict_by_batch(spark, d):
     return validation.blast_verdicts(seen.filter("mapq >= 10"), total, ["taxid", "stage"], A.ALN_ORDER)
 
 
-@query(f"WITH {A.ALN} SELECT taxid, qname, tname, tstart, tend, mapq, identity, (tend - tstart) / tlen::DOUBLE AS target_share, '-1' AS evalue FROM aln WHERE sample_id = 'F'")
+@query(f"WITH {A.ALN} SELECT sample_id, taxid, qname, tname, tstart, tend, mapq, identity, (tend - tstart) / tlen::DOUBLE AS target_share, '-1' AS evalue FROM aln")
 def canonical_alignments(spark, d):
-    return A.alignments(spark, d).filter("sample_id = 'F'").select("taxid", "qname", "tname", "tstart", "tend", "mapq", "identity", ((F.col("tend") - F.col("tstart")) / F.col("tlen")).alias("target_share"), F.lit("-1").alias("evalue"))
+    return A.alignments(spark, d).select("sample_id", "taxid", "qname", "tname", "tstart", "tend", "mapq", "identity", ((F.col("tend") - F.col("tstart")) / F.col("tlen")).alias("target_share"), F.lit("-1").alias("evalue"))
 
 
 @query(f"""WITH {A.ALN}, e AS (SELECT taxid, tname, tstart AS pos, 1 AS d FROM aln UNION ALL SELECT taxid, tname, tend, -1 FROM aln), s AS (SELECT taxid, tname, pos, sum(d) AS d FROM e GROUP BY ALL),
@@ -225,9 +227,10 @@ def consensus_window(spark, d):
     return best.select("taxid", "tname", "first_pos", "last_pos", "positions", (F.col("bases") / F.col("positions")).alias("mean_depth"))
 
 
-@query(f"WITH RECURSIVE {A.KR}, n AS (SELECT taxid, name, 0 AS p, 0 AS r FROM tax WHERE rank = 'S' AND taxid::BIGINT % 4 = 0 UNION ALL SELECT taxid, 'report ' || trim(name), 1, row_no FROM kr WHERE rank = 'S') SELECT taxid, name AS species FROM n QUALIFY row_number() OVER (PARTITION BY taxid ORDER BY p, r, name) = 1")
+@query(f"WITH RECURSIVE {A.KR}, n AS (SELECT taxid, name, 0 AS p, 0 AS r FROM tax WHERE rank = 'S' AND name NOT LIKE '%1%' UNION ALL SELECT taxid, 'report ' || trim(name), 1, row_no FROM kr WHERE rank = 'S') SELECT taxid, name AS species FROM n QUALIFY row_number() OVER (PARTITION BY taxid ORDER BY p, r, name) = 1")
 def species_lookup(spark, d):
-    seeds = A.taxonomy(spark, d).filter((F.col("rank") == "S") & (F.col("taxid").cast("long") % 4 == 0))
+    """Seeds whose name is empty, here of names with a 1, leave their taxon to the reports."""
+    seeds = A.taxonomy(spark, d).filter(F.col("rank") == "S").withColumn("name", F.when(F.col("name").contains("1"), "").otherwise(F.col("name")))
     return validation.species_names(seeds, A.report(spark, d).withColumn("name", F.concat(F.lit("report "), F.trim("name"))))
 
 
@@ -246,10 +249,10 @@ def produced_samples(spark, d):
     return joins.produced(c.filter("c_acctbal > 2000"), c.filter("c_acctbal < 1000"))
 
 
-@query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'no_reads' WHEN b.k IS NULL THEN 'no_genome' ELSE 'matched' END AS kind FROM (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderkey % 3 > 0) a FULL JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey % 4 > 0) b ON a.k = b.k")
+@query("SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'no_reads' WHEN b.k IS NULL THEN 'no_genome' ELSE 'matched' END AS kind FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT DISTINCT c_custkey * 2 AS k FROM customer) b ON a.k = b.k")
 def half_rows_full_outer(spark, d):
-    a = A.table(spark, d, "orders").filter("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("key"))
-    b = A.table(spark, d, "lineitem").filter("l_orderkey % 4 > 0").select(F.col("l_orderkey").alias("key"))
+    a = A.table(spark, d, "orders").select(F.col("o_custkey").alias("key"))
+    b = A.table(spark, d, "customer").select((F.col("c_custkey") * 2).alias("key"))
     return joins.classify_halves(a, b, ["key"], "no_reads", "no_genome")
 
 
@@ -643,3 +646,6 @@ def stream_running_counts(spark, d):
 def stream_hourly_windows(spark, d):
     out = batches.windowed(_event_stream(spark, d), F.col("ts"), ["event_type"], [F.count("*").alias("n"), F.max("value").alias("most")], "1 hour", "30 days")
     return batches.finished(out).select(F.unix_timestamp("window_start").alias("hour"), "event_type", "n", "most")
+
+
+from . import inputs  # noqa: E402, F401  registers its queries, and needs query()
