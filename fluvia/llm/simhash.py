@@ -7,6 +7,12 @@ orthogonal to all of their vectors, so in v's table, keyed by fingerprint & mask
 linked pair is lost. A table's bucket is reduced to a spanning forest of its true links (never all pairs),
 the forests of all tables meet in connected components over distinct fingerprints.
 
+Wide links are for a similarity of 0.8 or more: there fingerprints differ in about 10 bits. The bits are dealt
+into WIDE_PARTS parts with a covering family each; fingerprints that differ in WIDE_PARTS * (RADIUS + 1) - 1
+bits or fewer have a part with RADIUS or fewer, so they collide. Of what collides, pairs of WIDE_RADIUS bits
+or fewer are compared by a second word of 64 one-bit min-hashes of the same shingles, which also tells short
+texts apart; pairs link if at most SKETCH_RADIUS of these differ.
+
 Defined cases: a null text counts as empty; an empty text has fingerprint zero and links like any other;
 repeated rows get one row each and the same result; a row whose id is null gets a fingerprint and the
 component of its text's linked documents (null if no linked document has an id). Extra columns are ignored.
@@ -26,49 +32,86 @@ from pyspark.sql import functions as F
 from .common import row_key, slices, staged
 
 RADIUS, BITS, SEED, SHINGLE = 4, 64, 42, 4
+WIDE_PARTS, WIDE_RADIUS, SKETCH_RADIUS = 2, 14, 9
 
+_FACTORS, _ADDENDS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BITS), np.uint64)
+_FACTORS |= np.uint64(1)
 
-def fingerprint(text: str | None, words: int = SHINGLE) -> int:
-    """Unsigned 64-bit SimHash over word shingles, repeats included; 0 without words."""
+
+def shingle_hashes(text: str | None, words: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hashes of a text's word shingles, repeats included; none without words."""
     found = (text or "").encode().lower().split()
     if not found:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(found)
     ends = list(accumulate(map(len, found), lambda a, n: a + n + 1))
     n = max(1, len(found) - words + 1)
     starts = [0, *(e + 1 for e in ends[: n - 1])]
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, ends[min(words, len(found)) - 1 :])), np.uint64, n)
+    return np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, ends[min(words, len(found)) - 1 :])), np.uint64, n)
+
+
+def _word(bits: np.ndarray) -> int:
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
+def majority(h: np.ndarray) -> int:
+    """Unsigned 64-bit SimHash of hashes: the bits set in over half of them; 0 of none."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, 8192):
+    for at in range(0, len(h), 8192):
         ones += np.unpackbits(h[at : at + 8192].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
+    return _word(2 * ones > len(h))
+
 
+def minima(h: np.ndarray) -> int:
+    """64 one-bit min-hashes of hashes; two sets of similarity j agree in a bit with probability (1 + j) / 2. 0 of none."""
+    least = np.full(BITS, np.iinfo(np.uint64).max)
+    for at in range(0, len(h), 1024):
+        np.minimum(least, (h[at : at + 1024, None] * _FACTORS + _ADDENDS).min(axis=0), out=least)
+    return _word((least >> np.uint64(30)) & np.uint64(1) == 1) if len(h) else 0
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+
+def fingerprint(text: str | None, words: int = SHINGLE) -> int:
+    """Unsigned 64-bit SimHash over word shingles, repeats included; 0 without words."""
+    return majority(shingle_hashes(text, words))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, wide: bool = False) -> DataFrame:
+    """(doc_id, fp), with wide (doc_id, fp, sketch): the fingerprint and the one-bit min-hashes as signed longs."""
+    parts = [majority, minima] if wide else [majority]
+    names = ["fp", "sketch"][: len(parts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            fp = np.array([fingerprint(x, words) for x in part.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["doc_id", "fp"])
+            found = np.array([[f(h) for f in parts] for h in (shingle_hashes(x, words) for x in part.column(1).to_pylist())], np.uint64)
+            found = found.reshape(-1, len(parts)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[:, i]) for i in range(len(parts)))], ["doc_id", *names])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, ", ".join(f"{x} long" for x in ("doc_id", *names)))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
+def covering_masks(radius: int = RADIUS, bits: int = BITS, parts: int = 1) -> list[int]:
+    """2**(radius + 1) - 1 masks of each part of the bits.
 
-def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
-    """2**(radius + 1) - 1 masks; each pair within the radius agrees on all bits of some mask."""
-    top = (1 << (radius + 1)) - 1
-    vectors = [1 + i % top for i in range(bits)]
-    return [sum(1 << i for i, m in enumerate(vectors) if (m & v).bit_count() % 2) for v in range(1, top + 1)]
+    Each pair within the radius in some part, so each that differs in parts * (radius + 1) - 1 bits or fewer, agrees on
+    all bits of some mask.
+    """
+    top, size = (1 << (radius + 1)) - 1, bits // parts
+    vectors = [1 + i % top for i in range(size)]
+    masks = [sum(1 << i for i, m in enumerate(vectors) if (m & v).bit_count() % 2) for v in range(1, top + 1)]
+    return [m << size * j for j in range(parts) for m in masks]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Links that join the same ids as all pairs of fps within the radius do, at most len(ids) - 1 of them."""
+def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS, sketches: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join the same ids as all pairs of fps within the radius do, at most len(ids) - 1 of them.
+
+    With sketches, pairs must be within SKETCH_RADIUS by these too.
+    """
     links, rest = [], np.arange(1, len(fps))
     todo = [0]
     while len(rest):
@@ -77,6 +120,8 @@ def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS) -> list[tuple
             continue
         at = todo.pop()
         near = np.bitwise_count(fps[rest] ^ fps[at]) <= radius
+        if sketches is not None:
+            near &= np.bitwise_count(sketches[rest] ^ sketches[at]) <= SKETCH_RADIUS
         if near.any():
             new = rest[near]
             links += [(int(ids[at]), int(ids[x])) for x in new]
@@ -85,43 +130,68 @@ def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS) -> list[tuple
     return links
 
 
-def _bucket_links(radius: int, limit: int):
-    """For mapInArrow over rows (table, key, fp, id, mask) sorted by (table, key): rows (a, b, table, key, fp, id, mask).
+def linked_rows(ends: np.ndarray, fps: np.ndarray, radius: int, sketches: np.ndarray | None = None) -> np.ndarray:
+    """Whether each row has a link in its bucket; rows of a bucket are neighbours, ends is the end of each row's bucket."""
+    found = np.zeros(len(fps), bool)
+    rows, step = np.flatnonzero(ends > np.arange(len(fps)) + 1), 1
+    while len(rows):
+        near = rows[np.bitwise_count(fps[rows] ^ fps[rows + step]) <= radius]
+        if sketches is not None:
+            near = near[np.bitwise_count(sketches[near] ^ sketches[near + step]) <= SKETCH_RADIUS]
+        found[near] = found[near + step] = True
+        step += 1
+        rows = rows[ends[rows] > rows + step]
+    return found
+
+
+_ROW = ("t", "k", "fp", "id", "m", "s")
+#: Up to this size a bucket's rows are all compared, by vector operations over many buckets; the links found do not depend on it.
+SMALL = 1024
+
+
+def _bucket_links(radius: int, limit: int | None, wide: bool):
+    """For mapInArrow over rows (table, key, fp, id, mask[, sketch]) sorted by (table, key): rows (a, b, and these).
 
     A bucket's links come as a, b. The rows of a bucket over the limit come back as they are, for finer keys, but where
-    the mask leaves so few bits that all of them are linked.
+    the mask leaves so few bits that all of them are linked; without a limit, none does.
     """
+    names = _ROW if wide else _ROW[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def done(columns: list[np.ndarray], last: bool):
-            t, k, fp, ident, mask = columns
+            t, k, fp, ident, mask = columns[:5]
+            sketch = columns[5] if wide else None
             new = np.flatnonzero((t[1:] != t[:-1]) | (k[1:] != k[:-1])) + 1
             bounds = np.concatenate([[0], new, [len(t)]]) if len(t) else np.zeros(1, np.int64)
-            stop = len(bounds) - 1 if last else len(bounds) - 2
-            sizes = np.diff(bounds)
-            links, back = [], []
-            for b in np.flatnonzero(sizes[: max(stop, 0)] > 1):
-                lo, hi = bounds[b], bounds[b + 1]
-                if hi - lo > limit and BITS - int(mask[lo]).bit_count() > radius:
-                    back.append(np.arange(lo, hi))
-                else:
-                    links += forest(fp[lo:hi], ident[lo:hi], radius)
+            stop = max(len(bounds) - 1 if last else len(bounds) - 2, 0)
+            sizes, starts = np.diff(bounds)[:stop], bounds[:stop]
+            large = (sizes > limit) & (BITS - np.bitwise_count(mask[starts]) > radius) if limit else np.zeros(stop, bool)
+            r = np.flatnonzero(np.repeat(large, sizes))
+            # Rows of small buckets without a link there are told first, for all buckets at once.
+            small = sizes <= SMALL
+            ends = np.repeat(np.where(small & ~large, starts + sizes, 0), sizes)
+            hit = linked_rows(ends, fp[: len(ends)], radius, sketch) | np.repeat(~small & ~large, sizes)
+            hit = np.flatnonzero(hit)
+            bucket = np.repeat(np.arange(stop), sizes)[hit]
+            links = []
+            for rows in np.split(hit, np.flatnonzero(np.diff(bucket)) + 1):
+                links += forest(fp[rows], ident[rows], radius, sketch[rows] if wide else None)
             a = np.array(links, np.int64).reshape(-1, 2)
-            r = np.concatenate(back) if back else np.empty(0, np.int64)
             nulls = lambda n: pa.nulls(n, pa.int64())
             out = pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(x) for x in ([pa.array(a[:, 0]), nulls(len(r))], [pa.array(a[:, 1]), nulls(len(r))], *([nulls(len(a)), pa.array(c[r].view(np.int64))] for c in (t, k, fp, ident, mask)))],
-                ["a", "b", "t", "k", "fp", "id", "m"],
+                [pa.concat_arrays(x) for x in ([pa.array(a[:, 0]), nulls(len(r))], [pa.array(a[:, 1]), nulls(len(r))], *([nulls(len(a)), pa.array(c[r].view(np.int64))] for c in columns))],
+                ["a", "b", *names],
             )
-            return out, [c[bounds[max(stop, 0)] :] for c in columns]
+            return out, [c[bounds[stop] :] for c in columns]
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             columns = [np.asarray(c) for c in batch.columns]
-            columns[2], columns[4] = columns[2].view(np.uint64), columns[4].view(np.uint64)
+            for i in (2, 4, 5)[: len(columns) - 3]:
+                columns[i] = columns[i].view(np.uint64)
             held.append(columns)
             if all(held[0][i][0] == columns[i][-1] for i in (0, 1)):
                 continue  # one bucket so far
@@ -137,30 +207,36 @@ def _bucket_links(radius: int, limit: int):
     return run
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, max_bucket: int = 20_000) -> DataFrame:
-    """(a, b): a spanning set of the links between rows (fp, id) of distinct fingerprints.
+def links(distinct: DataFrame, radius: int = RADIUS, max_bucket: int = 20_000, wide: bool = False) -> DataFrame:
+    """(a, b): a spanning set of the links between rows (fp, id), with wide (fp, id, s), of distinct fingerprints.
 
     A bucket over max_bucket is keyed anew, by finer masks: of radius + 1 blocks of the bits outside its mask, a linked
-    pair agrees in one at least, so nothing is lost. That goes on while buckets are over it and bits are left: a bucket of
-    distinct fingerprints that agree in all but n bits has 2**n rows at most.
+    pair agrees in one at least, so nothing is lost (wide: no pair that the covering is sure to find). That goes on while
+    buckets are over it and bits are left: a bucket of distinct fingerprints that agree in all but n bits has 2**n rows
+    at most. Wide links take more blocks and have more bits left, so they are keyed anew once: what is still over the limit
+    are mostly near copies of each other, and a forest takes all rows near its first one out at once.
     """
-    masks = covering_masks(radius)
-    rows = distinct.select("fp", "id", F.posexplode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("t", "m"))
-    out = None
+    masks = covering_masks(RADIUS, parts=WIDE_PARTS) if wide else covering_masks(radius)
+    sure = WIDE_PARTS * (RADIUS + 1) - 1 if wide else radius
+    names, more = (_ROW, ["s"]) if wide else (_ROW[:-1], [])
+    rows = distinct.select("fp", "id", *more, F.posexplode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("t", "m"))
+    out, again = None, True
     while True:
-        keyed = rows.select(F.col("t").cast("long").alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"), "fp", "id", "m")
+        keyed = rows.select(F.col("t").cast("long").alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"), "fp", "id", "m", *more)
         keyed = keyed.repartition("t", "k").sortWithinPartitions("t", "k")
-        found = staged(keyed.select("t", "k", "fp", "id", "m").mapInArrow(_bucket_links(radius, max_bucket), "a long, b long, t long, k long, fp long, id long, m long"), "simhash-links")
+        schema = ", ".join(f"{x} long" for x in ("a", "b", *names))
+        found = staged(keyed.select(*names).mapInArrow(_bucket_links(WIDE_RADIUS if wide else radius, max_bucket if again else None, wide), schema), "simhash-links")
         links = found.filter("a is not null").select("a", "b")
         out = links if out is None else out.unionByName(links)
         large = found.filter("a is null")
-        if large.isEmpty():
+        if not again or large.isEmpty():
             break
+        again = not wide
         # The blocks of the free bits, dealt in turn; a mask takes one more block than the one before.
         free = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda i: F.getbit("m", i) == 0)
-        block = lambda j: F.aggregate(F.filter(free, lambda i, at: at % (radius + 1) == j), F.col("m"), lambda m, i: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
-        rows = large.select("fp", "id", "t", F.posexplode(F.array(*(block(j) for j in range(radius + 1)))).alias("j", "m"))
-        rows = rows.select("fp", "id", (F.col("t") * (radius + 1) + F.col("j")).alias("t"), "m")
+        block = lambda j: F.aggregate(F.filter(free, lambda i, at: at % (sure + 1) == j), F.col("m"), lambda m, i: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+        rows = large.select("fp", "id", *more, "t", F.posexplode(F.array(*(block(j) for j in range(sure + 1)))).alias("j", "m"))
+        rows = rows.select("fp", "id", *more, (F.col("t") * (sure + 1) + F.col("j")).alias("t"), "m")
     return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -201,19 +277,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(staged(named, "simhash-named"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, max_bucket: int = 20_000, words: int = SHINGLE) -> DataFrame:
-    """(key): the row_key() of the row to keep of each group of linked texts, the first by id, then by key.
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bucket: int = 20_000, words: int = 5) -> DataFrame:
+    """(key): the row_key() of the row to keep of each group of texts with wide links, the first by id, then by key.
 
     Groups are of fingerprints, so that rows of one id whose texts do not link stay in groups of their own. Rows whose
     id is null are in no group.
     """
     ident, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), text.alias("text"))
-    fps = staged(fingerprints(rows, "key", "text", words).withColumnRenamed("doc_id", "key"), "simhash")
-    distinct = staged(fps.select("fp", F.col("fp").alias("id")).distinct(), "simhash-distinct")
-    found = components(links(distinct, radius, max_bucket))
+    fps = staged(fingerprints(rows, "key", "text", words, wide=True).withColumnRenamed("doc_id", "key"), "simhash")
+    # Texts of one fingerprint are in one group; the least of their sketches stands for them.
+    distinct = staged(fps.groupBy("fp").agg(F.min("sketch").alias("s")).select("fp", F.col("fp").alias("id"), "s"), "simhash-distinct")
+    found = components(links(distinct, max_bucket=max_bucket, wide=True))
     # Fingerprints first: of a large group of equal ones a single row goes on.
-    least = fps.distinct().join(rows.select("key", "ident").distinct(), "key").groupBy("fp").agg(F.min(F.struct("ident", "key")).alias("first"))
+    least = fps.select("key", "fp").distinct().join(rows.select("key", "ident").distinct(), "key").groupBy("fp").agg(F.min(F.struct("ident", "key")).alias("first"))
     least = least.join(found, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("first").alias("first"))
     return least.select(F.col("first.key").alias("key"))
 

@@ -60,3 +60,39 @@ def test_null_ids_repeated_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (None, "q r s t u v w")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(docs).collect()) == [(0, 0), (0, 3), (3, 3), (3, 3)]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_wide_links_equal_all_pairs(spark):
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(400)]
+    bases = [rng.choices(vocabulary, k=n) for n in (6, 7, 30, 120, 300, 300)]
+    texts = []
+    for _ in range(160):
+        t = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 5])):
+            t[rng.randrange(len(t))] = rng.choice(vocabulary)
+        texts.append(" ".join(t))
+    texts += [" ".join(rng.choices(vocabulary, k=rng.randint(1, 9))) for _ in range(100)]
+    hashes = {simhash.majority(h): h for h in (simhash.shingle_hashes(t, 5) for t in texts)}
+    rows = [(simhash._signed(fp), i, simhash._signed(simhash.minima(h))) for i, (fp, h) in enumerate(hashes.items())]
+    for limit in (20_000, 5):
+        linked = spark.createDataFrame(rows, "fp long, id long, s long").repartition(3)
+        found = [(r.a, r.b) for r in simhash.links(linked, max_bucket=limit, wide=True).collect()]
+        group = list(range(len(rows)))
+        for a, b in found:
+            (fa, _, sa), (fb, _, sb) = rows[a], rows[b]
+            assert ((fa ^ fb) % 2**64).bit_count() <= simhash.WIDE_RADIUS and ((sa ^ sb) % 2**64).bit_count() <= simhash.SKETCH_RADIUS
+            old, new = max(group[a], group[b]), min(group[a], group[b])
+            group = [new if g == old else g for g in group]
+        for a in range(len(rows)):
+            for b in range(a):
+                (fa, _, sa), (fb, _, sb) = rows[a], rows[b]
+                if ((fa ^ fb) % 2**64).bit_count() <= 9 and ((sa ^ sb) % 2**64).bit_count() <= simhash.SKETCH_RADIUS:
+                    assert group[a] == group[b]
+
+
+def test_one_bit_minima_tell_short_texts_apart():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10_000)}" for _ in range(rng.randint(1, 7))) for _ in range(300)]
+    s = [simhash.minima(simhash.shingle_hashes(t, 5)) for t in texts]
+    assert all((a ^ b).bit_count() > simhash.SKETCH_RADIUS for i, a in enumerate(s) for b in s[:i])
