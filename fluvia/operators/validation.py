@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .windows import covered, first_per_key
@@ -116,6 +116,27 @@ def blast_verdicts(hits: DataFrame, totals: DataFrame, keys: list[str], order: l
     return s.withColumn("status", verdict(F.col("hit_rate"), F.col("avg_identity"), F.col("hits"), t))
 
 
+def verdicts_by_stage(rows: DataFrame, counted: Column, keys: list[str], stage: str, order: list[str], t: Thresholds = Thresholds()) -> DataFrame:
+    """blast_verdicts over the rows so far, at each stage that a key has rows of: (keys, stage, total_reads, hits,
+    hit_rate, avg_identity, status). counted: which rows can be hits.
+
+    A query's hit changes at few stages. Each change is carried as differences of (hits, identity) at its stage, and
+    sums of these run over a key's stages, so that no row is repeated for later stages.
+    """
+    own = rows.filter(counted).groupBy(*keys, "qname", stage).agg(F.min(F.struct(*order, F.col("identity").alias("_identity"))).alias("_best"))
+    seen = Window.partitionBy(*keys, "qname").orderBy(stage)
+    now = own.withColumn("_best", F.min("_best").over(seen.rowsBetween(Window.unboundedPreceding, 0)))
+    before = F.lag("_best").over(seen)
+    change = now.select(*keys, stage, F.when(before.isNull(), 1).otherwise(0).alias("_hit"), (F.col("_best._identity") - F.coalesce(before["_identity"], F.lit(0.0))).alias("_gain"))
+    change = change.groupBy(*keys, stage).agg(F.sum("_hit").alias("_hit"), F.sum("_gain").alias("_gain"))
+    so_far = Window.partitionBy(*keys).orderBy(stage).rowsBetween(Window.unboundedPreceding, 0)
+    run = lambda c: F.sum(F.coalesce(c, F.lit(0))).over(so_far)
+    steps = rows.groupBy(*keys, stage).agg(F.count("*").alias("_rows")).join(change, [*keys, stage], "left")
+    s = steps.select(*keys, stage, run("_rows").alias("total_reads"), run("_hit").alias("hits"), run("_gain").alias("_sum"))
+    s = s.withColumns({"hit_rate": F.col("hits").cast("double") / F.col("total_reads"), "avg_identity": F.coalesce(F.try_divide("_sum", "hits"), F.lit(0.0))}).drop("_sum")
+    return s.withColumn("status", verdict(F.col("hit_rate"), F.col("avg_identity"), F.col("hits"), t))
+
+
 def merge_methods(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
     """Both methods' verdicts side by side. The first owns the row; where it is missing the second does."""
     a = first.select(*keys, F.struct("hits", "hit_rate", "status").alias("_a"))

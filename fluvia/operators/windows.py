@@ -34,13 +34,23 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def interval_islands(df: DataFrame, keys: list[str], start: str = "tstart", end: str = "tend") -> DataFrame:
-    """(keys, lo, hi): half-open intervals merged where they overlap or touch."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("_new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0))
+def _merged(spans: DataFrame, keys: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy("lo", "hi")
+    reach = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("_new", F.when(reach.isNull() | (F.col("lo") > reach), 1).otherwise(0))
     marked = marked.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*keys, "_island").agg(F.min(start).alias("lo"), F.max(end).alias("hi")).drop("_island")
+    return marked.groupBy(*keys, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_island")
+
+
+def interval_islands(df: DataFrame, keys: list[str], start: str = "tstart", end: str = "tend", width: int = 1 << 14) -> DataFrame:
+    """(keys, lo, hi): half-open intervals merged where they overlap or touch.
+
+    Of equal starts the longest is kept before the shuffle, and intervals are merged within ranges of `width` starts
+    first, so a key with many intervals is not one task's: only the ranges' islands meet in a window for each key.
+    """
+    spans = df.groupBy(*keys, F.col(start).alias("lo")).agg(F.max(end).alias("hi"))
+    near = _merged(spans.withColumn("_range", F.floor(F.col("lo") / width)), [*keys, "_range"]).drop("_range")
+    return _merged(near, keys)
 
 
 def covered(df: DataFrame, keys: list[str], start: str = "tstart", end: str = "tend") -> DataFrame:

@@ -204,12 +204,9 @@ t AS (SELECT taxid, stage, count(*) AS total_reads FROM c GROUP BY ALL), h AS (S
 g AS (SELECT taxid, stage, count(*) AS hits, avg(identity) AS avg_identity FROM h GROUP BY ALL),
 s AS (SELECT t.*, coalesce(hits, 0) AS hits, coalesce(hits, 0) / total_reads::DOUBLE AS hit_rate, coalesce(avg_identity, 0.0::DOUBLE) AS avg_identity FROM t LEFT JOIN g USING (taxid, stage)) SELECT *, {_STATUS.format(b='')} AS status FROM s""")
 def cumulative_verdict_by_batch(spark, d):
-    """Each year's verdict over all batches so far. Stages are few; every row goes to the stages that see it."""
-    paf = A.alignments(spark, d).withColumn("own", F.floor(F.col("batch_id") / 12).cast("long"))
-    stages = paf.groupBy("taxid").agg(F.array_sort(F.collect_set("own")).alias("stages"))
-    seen = paf.join(stages, "taxid").withColumn("stage", F.explode(F.filter("stages", lambda s: s >= F.col("own"))))
-    total = seen.groupBy("taxid", "stage").agg(F.count("*").alias("total_reads"))
-    return validation.blast_verdicts(seen.filter("mapq >= 10"), total, ["taxid", "stage"], A.ALN_ORDER)
+    """Each year's verdict over all batches so far."""
+    paf = A.alignments(spark, d).withColumn("stage", F.floor(F.col("batch_id") / 12).cast("long"))
+    return validation.verdicts_by_stage(paf, F.col("mapq") >= 10, ["taxid"], "stage", A.ALN_ORDER)
 
 
 @query(f"WITH {A.ALN} SELECT sample_id, taxid, qname, tname, tstart, tend, mapq, identity, (tend - tstart) / tlen::DOUBLE AS target_share, '-1' AS evalue FROM aln")

@@ -6,7 +6,7 @@ Every reader works on a DataFrame of lines (path, line_no, value), which lines()
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluvia.functions import scalars
@@ -119,9 +119,19 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select("path", F.element_at(F.split(F.trim(head), r"\s+"), 1).alias("name"), F.regexp_replace(F.substr("v", F.length(head) + 1), r"\s", "").alias("sequence"))
 
 
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_no, value) of text files of any size. Files are read in splits; the lines of a split are numbered as
+    they are read, and counts of the splits before it are added. Lines end in \\n, \\r\\n or \\r; empty ones count too."""
+    own = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"), "value")
+    counts = own.groupBy("path", "split").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    ahead = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
+    return own.join(counts, ["path", "split"]).select("path", (F.col("id") - F.col("first") + F.col("ahead")).alias("line_no"), "value")
+
+
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(path, read_id, sequence, quality) of four-line records. Records are cut at a header that follows a quality line."""
-    whole = lines(spark, path).filter("value <> ''").withColumn("record", F.floor(F.col("line_no") / 4))
+    """(path, read_id, sequence, quality) of four-line records, also such as cross the splits of a large file."""
+    whole = numbered(spark, path).filter("value <> ''").withColumn("record", F.floor(F.col("line_no") / 4))
     part = lambda i: F.max(F.when(F.col("line_no") % 4 == i, F.col("value")))
     got = whole.groupBy("path", "record").agg(part(0).alias("h"), part(1).alias("sequence"), part(3).alias("quality"))
     return got.filter(F.col("h").startswith("@") & (F.length("sequence") == F.length("quality"))).select("path", F.regexp_extract("h", r"^@(\S+)", 1).alias("read_id"), "sequence", "quality")

@@ -55,6 +55,20 @@ def test_sequences(spark, tmp_path):
     assert sorted((r.read_id, r.sequence, r.quality) for r in formats.fastq(spark, q).collect()) == [("r1", "ACG", "!!!"), ("r2", "A", "@")]
 
 
+def test_large_fastq_is_read_in_splits(spark, tmp_path):
+    made = [(f"r{i}", "ACGT" * (i % 9 + 1), "@+!I" * (i % 9 + 1)) for i in range(2000)]
+    q = write(tmp_path / "q.fastq", "".join(f"@{a} x\n{s}\n+\n{c}\n" for a, s, c in made))
+    write(tmp_path / "p.fastq", "@other\nA\n+\n!\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        found = formats.fastq(spark, str(tmp_path))
+        assert formats.numbered(spark, q).rdd.getNumPartitions() > 1
+        assert sorted((r.read_id, r.sequence, r.quality) for r in found.collect()) == sorted([*made, ("other", "A", "!")])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_maps_and_sheets(spark, tmp_path):
     g = write(tmp_path / "g.json", '{"562": "/a/x.fa", "9": "y.fa"}')
     found = {r.taxid: r.genome for r in formats.genome_map(spark, g).collect()}
