@@ -642,7 +642,7 @@ def stream_running_counts(spark, d):
 @query("SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT AS hour, event_type, count(*) AS n, max(value) AS most FROM events GROUP BY ALL")
 def stream_hourly_windows(spark, d):
     out = batches.windowed(_event_stream(spark, d), F.col("ts"), ["event_type"], [F.count("*").alias("n"), F.max("value").alias("most")], "1 hour", "30 days")
-    return batches.finished(out).select(F.unix_timestamp("window_start").alias("hour"), "event_type", "n", "most")
+    return batches.upserted(out, ["window_start", "event_type"]).select(F.unix_timestamp("window_start").alias("hour"), "event_type", "n", "most")
 
 
 from . import inputs  # noqa: E402, F401  registers its queries, and needs query()

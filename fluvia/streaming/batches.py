@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
+from fluvia.operators.windows import first_per_key
 from fluvia.sources.staging import fresh_path
 
 
@@ -62,3 +63,20 @@ def finished(stream: DataFrame) -> DataFrame:
     query = stream.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def upserted(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """Run a stream in update mode over what is there: a table of each key's last row. The watermark is in force: state
+    behind it is given up, and rows that come later than it, as it stood one micro-batch before, are left out. The rows that a micro-batch changed are a
+    partition of their own, which a batch that runs again replaces. A stream without rows gives an empty table."""
+    spark = stream.sparkSession
+    path = fresh_path(spark, "stream")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/table/batch_id={batch_id}")
+
+    write(spark.createDataFrame([], stream.schema), -1)
+    query = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    changed = spark.read.schema(StructType([*stream.schema.fields, StructField("batch_id", LongType())])).option("basePath", f"{path}/table").parquet(f"{path}/table")
+    return first_per_key(changed, keys, [F.desc("batch_id")]).drop("batch_id")
