@@ -3,10 +3,10 @@
 Pivots are a bounded, hash-chosen sample of distinct vectors. A vector is represented by the pivots in order of their
 distance to it, as each pivot's place, cut at `prefix`. The index is dealt into parts of about `part_rows` distinct
 vectors; in each part every vector is posted in the inverted files of its `post` nearest pivots. A query opens the files
-of its own `probe` nearest pivots in every part, ranks the union of their entries once by the footrule distance of the
-places (the sum over pivots of the difference of their places), and measures the best `rerank` share of the part's rows
-(LEAST_RERANK at least) exactly on the original vectors, in double precision. Queries meet a part in groups of
-`query_rows`.
+of its own `probe` nearest pivots in every part and counts how often it meets each entry; those met `shared` times at
+least, or else the most often met, are ranked once by the footrule distance of the places (the sum over pivots of the
+difference of their places), and the best `rerank` share of the part's rows (LEAST_RERANK at least) is measured exactly on
+the original vectors, in double precision. Queries meet a part in groups of `query_rows`.
 
 Equal vectors are one entry that carries its smallest TOP + 1 ids, which is all a list of TOP neighbours can take of
 them; nothing else is cut before the footrule ranking.
@@ -29,7 +29,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import read_table, staged
 
-TOP, PIVOTS, PREFIX, POST, PROBE, RERANK, LEAST_RERANK, PART_ROWS, QUERY_ROWS, EVERY = 10, 512, 255, 16, 16, 0.008, 40, 20_000, 2_000, 100
+TOP, PIVOTS, PREFIX, POST, PROBE, SHARED, RERANK, LEAST_RERANK, PART_ROWS, QUERY_ROWS, EVERY = 10, 512, 255, 32, 32, 3, 0.008, 200, 20_000, 2_000, 100
 BROADCAST_LENGTHS = 10_000
 
 
@@ -94,16 +94,21 @@ class _Files:
         pivot, self.entries = np.nonzero((place < post).T)
         self.bounds = np.searchsorted(pivot, np.arange(place.shape[1] + 1))
 
-    def ranked(self, place: np.ndarray, probe: int, n: int) -> np.ndarray:
-        """The n entries of the least footrule distance to a query in the files of its `probe` nearest pivots."""
-        opened = np.zeros(len(self.place), bool)
+    def ranked(self, place: np.ndarray, probe: int, shared: int, n: int) -> np.ndarray:
+        """The n entries of the least footrule distance to a query, of those in `shared` of the files of its `probe`
+        nearest pivots; where these are fewer than n, the n that are in most of the files."""
+        met = np.zeros(len(self.place), np.int16)
         for p in np.flatnonzero(place < probe).tolist():
-            opened[self.entries[self.bounds[p] : self.bounds[p + 1]]] = True
-        found = np.flatnonzero(opened)
+            met[self.entries[self.bounds[p] : self.bounds[p + 1]]] += 1  # an entry stands once in a file
+        found = np.flatnonzero(met >= shared)
+        if len(found) < n < len(met):
+            return np.argpartition(-met, n - 1)[:n]
+        if len(found) < n:
+            return np.arange(len(met))
         return found[np.argpartition(footrule(place, self.place[found]), n - 1)[:n]] if n < len(found) else found
 
 
-def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP, n_pivots: int = PIVOTS, prefix: int = PREFIX, post: int = POST, probe: int = PROBE, rerank: float = RERANK, least_rerank: int = LEAST_RERANK, part_rows: int = PART_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP, n_pivots: int = PIVOTS, prefix: int = PREFIX, post: int = POST, probe: int = PROBE, shared: int = SHARED, rerank: float = RERANK, least_rerank: int = LEAST_RERANK, part_rows: int = PART_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of `vectors` whose id satisfies is_query (a function of a column)."""
     v = usable(vectors, id_col, vec_col)
     distinct = staged(distinct_vectors(v, top), "ann-distinct")
@@ -128,7 +133,7 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
             files = _Files(ep, post) if ep.shape[1] else None
             n = max(least_rerank, int(np.ceil(rerank * len(e))))
             for me, place, own in zip(q.id.to_list(), qp, qv):
-                near = files.ranked(place, probe, n) if files is not None else np.arange(len(e))
+                near = files.ranked(place, probe, shared, n) if files is not None else np.arange(len(e))
                 gap = np.sqrt(((ev[near] - own) ** 2).sum(1))
                 best = gap <= np.partition(gap, top)[top] if len(gap) > top + 1 else gap == gap
                 found = [(d, x) for d, b in zip(gap[best].tolist(), near[best]) for x in ids[b].tolist() if x != me]

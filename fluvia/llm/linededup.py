@@ -1,16 +1,18 @@
-"""Line dedup: repeated passages of two or more lines, and a coarser form by content-defined chunks.
-
-dedup_passages(), which op10_lines and the pipeline use, takes every two neighbouring lines with a word, and the blank
-lines between them, as a window. A window whose bytes stand earlier too (smaller doc_id, then position), in the same
-document or another, is a copy, and the lines of all copies go. As a repeated run of any length is the union of its
-windows, runs are found whole wherever they start and end; the first occurrence of every line stays. Occurrences may
-overlap: of one line three times in a row, one is left.
-
-dedup_lines() removes whole chunks only. A document's lines are hashed; a rolling hash over the last WINDOW line hashes ends a chunk where it is 0 modulo
-DIVISOR, so that boundaries depend on nearby lines only and the same lines are cut alike wherever they stand. A chunk
-that holds at least LEAST_LINES lines with a word and stands elsewhere too, in the same document or another, is removed
-everywhere but where it comes first (smallest doc_id, then position). Chunks are grouped by hash and size first; the
-bytes of those that meet are then compared: only chunks with equal text are copies.
+"""Line dedup by content-defined chunks, whose edges are then told line by line.
+
+A document's lines with a word are hashed; a rolling hash over the last WINDOW line hashes ends a chunk where it is 0
+modulo DIVISOR, so that boundaries depend on nearby lines only and the same lines are cut alike wherever they stand. A
+chunk of two lines or more that stands earlier too (smaller doc_id, then position), in the same document or another, is a
+copy and goes. A repeated passage begins and ends within chunks, so its edges, and passages too short to hold a boundary,
+are in no chunk that repeats. They are found by pieces of two neighbouring lines, which are posted for all lines but those
+in a chunk that is a copy: what stands there stands in the chunk's first occurrence too. Pieces that stand earlier too go
+as well. As a repeated run of any length is the union of such pieces, every repeated run of two or more lines is found
+whole wherever it starts and ends, and the first occurrence of its lines stays; of a document's whole copies the chunks
+take nearly all rows, a fraction of the lines.
+
+Chunks and pieces are first grouped by hash and size. Then the bytes of those that meet are read from the texts and
+compared: only equal bytes are copies. (A chunk that shares hash and size with other bytes stays, its lines included.)
+Occurrences may overlap: of one line three times in a row, one is left. Blank lines go with the lines around them.
 
 Defined cases: a null text stays null and an empty text empty; rows whose id is null keep their text and make nothing
 else a copy; repeated rows (same id and text) count as one document, so they do not remove each other's lines but keep
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh, read_table, row_key, slices, staged
 
-WINDOW, DIVISOR, LEAST_LINES = 2, 4, 2
+WINDOW, DIVISOR = 2, 4
+CHUNK, PAIR = 0, 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,32 +46,33 @@ def chunk_ends(hashes: np.ndarray, window: int = WINDOW, divisor: int = DIVISOR)
     return np.union1d(np.flatnonzero((rolled * _M >> np.uint64(20)) % np.uint64(divisor) == 0) + 1, [n])
 
 
-def chunks(text: bytes, window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int, int]]:
-    """(start, end, lines with a word) of each chunk, as byte offsets that cover the text."""
-    lines = text.split(b"\n")
-    digest = xxhash.xxh64_intdigest
-    ends = chunk_ends(np.fromiter(map(digest, lines), np.uint64, len(lines)), window, divisor)
-    at = np.minimum(np.concatenate([[0], np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)]), len(text))
-    worded = np.concatenate([[0], np.cumsum([bool(x.strip(b" \t\n\r\x0b\x0c")) for x in lines])])
-    starts = np.concatenate([[0], ends[:-1]])
-    return list(zip(at[starts].tolist(), at[ends].tolist(), (worded[ends] - worded[starts]).tolist()))
-
-
-def pairs(text: bytes) -> list[tuple[int, int, int]]:
-    """(start, end, 2) of each two neighbouring lines with a word, as byte offsets without the newline at the end."""
-    out, at, before = [], 0, None
+def worded(text: bytes) -> list[tuple[int, int]]:
+    """(start, end) of each line with a word, without its newline."""
+    out, at = [], 0
     for line in text.split(b"\n"):
         if line.strip(b" \t\n\r\x0b\x0c"):
-            if before is not None:
-                out.append((before, at + len(line), 2))
-            before = at
+            out.append((at, at + len(line)))
         at += len(line) + 1
     return out
 
 
-def body(chunk: bytes) -> bytes:
-    """A chunk's lines without the newline at its end, so that the last lines of a text can equal lines inside another."""
-    return chunk[:-1] if chunk.endswith(b"\n") else chunk
+def pieces(text: bytes, window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int, int, int]]:
+    """(kind, start, end, chunk): chunks of two or more lines, and each two neighbouring lines; chunk is the start of
+    the chunk that holds a piece, -1 if it lies in two of them."""
+    lines = worded(text)
+    if len(lines) < 2:
+        return []
+    ends = chunk_ends(np.fromiter((xxhash.xxh64_intdigest(text[s:e]) for s, e in lines), np.uint64, len(lines)), window, divisor)
+    out, first = [], 0
+    for end in ends.tolist():
+        chunk = lines[first][0]
+        if end - first > 1:
+            out.append((CHUNK, chunk, lines[end - 1][1], chunk))
+        out += [(PAIR, lines[i][0], lines[i + 1][1], chunk) for i in range(first, end - 1)]
+        if end < len(lines):
+            out.append((PAIR, lines[end - 1][0], lines[end][1], -1))
+        first = end
+    return out
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,31 +80,37 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(row_key(F.col(id_col).cast("long"), text).alias("_key"), F.col(id_col).cast("long").alias("_id"), text.alias("_text"))
 
 
-def cut(docs: DataFrame, parts, least_lines: int) -> DataFrame:
-    """(h, size, _id, _key, start): one row for each piece, of those that parts() gives, that could be removed."""
+def cut(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
+    """(kind, h, size, _id, _key, start, chunk): one row for each of pieces()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text"):
-            out = [[], [], [], [], []]
+            out = [[] for _ in range(7)]
             for key, ident, text in zip(*(c.to_pylist() for c in part.columns)):
                 raw = text.encode()
-                for s, e, n in parts(raw):
-                    if n >= least_lines:
-                        b = body(raw[s:e])
-                        for column, x in zip(out, (xxhash.xxh3_64_intdigest(b), len(b), ident, key, s)):
-                            column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(out[0], np.uint64).view(np.int64)), *(pa.array(x, pa.int64()) for x in out[1:])], ["h", "size", "_id", "_key", "start"])
+                for kind, s, e, chunk in pieces(raw, window, divisor):
+                    for column, x in zip(out, (kind, xxhash.xxh3_64_intdigest(raw[s:e]), e - s, ident, key, s, chunk)):
+                        column.append(x)
+            arrays = [pa.array(out[0], pa.int8()), pa.array(np.array(out[1], np.uint64).view(np.int64)), *(pa.array(x, pa.int64()) for x in out[2:])]
+            yield pa.RecordBatch.from_arrays(arrays, ["kind", "h", "size", "_id", "_key", "start", "chunk"])
 
-    return docs.filter("_id is not null and _text is not null").mapInArrow(run, "h long, size long, _id long, _key long, start long")
+    return docs.filter("_id is not null and _text is not null").mapInArrow(run, "kind byte, h long, size long, _id long, _key long, start long, chunk long")
 
 
-def repeated(docs: DataFrame, parts, least_lines: int = LEAST_LINES) -> DataFrame:
+def repeated(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """(_key, spans): the pieces (start, size), in order, to remove from each text of docs (_key, _id, _text)."""
-    pieces = staged(cut(docs, parts, least_lines).dropDuplicates(["_key", "start"]), "lines-chunks")
-    common = staged(pieces.groupBy("h", "size").agg(F.count("*").alias("n")).filter("n > 1").select("h", "size"), "lines-common")
-    # Rows of one hash can be a third of all, so the copies are found by joins and combined minima, never gathered. The
-    # other side is a table of its own, so that a join's skewed partitions can be split.
-    meet = pieces.join(common, ["h", "size"]).groupBy("_key", "_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    place = F.struct("_id", "_key", "start")
+    found = staged(cut(docs, window, divisor).dropDuplicates(["_key", "start", "kind"]), "lines-pieces")
+    # Rows of one hash can be a third of all, so copies are found by joins and combined minima, never gathered. The other
+    # side is a table of its own, so that a join's skewed partitions can be split.
+    common = lambda rows, what: staged(rows.groupBy("h", "size").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select("h", "size", "first"), what)
+    chunks = found.filter(F.col("kind") == CHUNK)
+    chunks = staged(chunks.join(common(chunks, "lines-chunks"), ["h", "size"]).select("_key", "_id", "start", "size", (place != F.col("first")).alias("copy")), "lines-common-chunks")
+    copies = chunks.filter("copy").select("_key", F.col("start").alias("chunk"))
+    pairs = found.filter(F.col("kind") == PAIR).join(copies, ["_key", "chunk"], "left_anti")
+    pairs = staged(pairs.select("h", "size", "_id", "_key", "start"), "lines-pairs")
+    pairs = pairs.join(common(pairs, "lines-common"), ["h", "size"]).select("_key", "_id", "start", "size")
+    meet = chunks.drop("copy").unionByName(pairs).groupBy("_key", "_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     texts = docs.select("_key", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,21 +125,21 @@ def repeated(docs: DataFrame, parts, least_lines: int = LEAST_LINES) -> DataFram
                     bodies.append(raw[x["start"] : x["start"] + x["size"]])
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, idents, starts)] + [pa.array(bodies, pa.binary())], ["_key", "_id", "start", "body"])
 
-    found = meet.join(texts, "_key").select("_key", "_id", "spans", "_text").mapInArrow(run, "_key long, _id long, start long, body binary")
-    found = staged(found.dropDuplicates(["_key", "start"]), "lines-bodies")
-    place = F.struct("_id", "_key", "start")
-    first = found.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.xxhash64("body").alias("b"), F.length("body").alias("size"), "body", "first")
+    bodies = meet.join(texts, "_key").select("_key", "_id", "spans", "_text").mapInArrow(run, "_key long, _id long, start long, body binary")
+    bodies = bodies.withColumns({"b": F.xxhash64("body"), "size": F.length("body")})
+    bodies = staged(bodies.dropDuplicates(["_key", "start", "size"]), "lines-bodies")
+    first = bodies.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.xxhash64("body").alias("b"), F.length("body").alias("size"), "body", "first")
     first = staged(first, "lines-first")
-    again = found.withColumns({"b": F.xxhash64("body"), "size": F.length("body")}).join(first.withColumnRenamed("body", "_body"), ["b", "size"])
+    again = bodies.join(first.withColumnRenamed("body", "_body"), ["b", "size"])
     again = again.filter((F.col("body") == F.col("_body")) & (place != F.col("first")))
-    return again.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("start", again["size"].alias("size")))).alias("spans"))
+    return again.groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("start", again["size"].alias("size")))).alias("spans"))
 
 
-def _without(docs: DataFrame, id_col: str, text_col: str, parts, least_lines: int, merged: bool, counts: tuple[str, str] | None) -> DataFrame:
-    """docs without the pieces that are copies. merged: pieces that overlap or touch count as one. counts: names of two
-    more columns, the pieces removed and their bytes."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, counts: tuple[str, str] | None = None) -> DataFrame:
+    """docs with the copies of runs of two or more lines taken out of their texts; counts: names for two more columns,
+    the runs of lines taken out of a text and their bytes."""
     own, key, spans, starts, ends, left = fresh(docs, "_own", "_k", "_spans", "_starts", "_ends", "_left")
-    gone = repeated(_rows(docs, id_col, text_col), parts, least_lines).withColumnsRenamed({"_key": key, "spans": spans})
+    gone = repeated(_rows(docs, id_col, text_col), window, divisor).withColumnsRenamed({"_key": key, "spans": spans})
     keyed = docs.withColumn(own, row_key(F.col(id_col).cast("long"), F.col(text_col).cast("string")))
     joined = keyed.join(gone, F.col(own) == F.col(key), "left")
     joined = joined.withColumns({starts: F.col(spans)["start"], ends: F.transform(spans, lambda x: x["start"] + x["size"])})
@@ -151,23 +161,12 @@ def _without(docs: DataFrame, id_col: str, text_col: str, parts, least_lines: in
         return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
     before = F.concat(F.array(F.lit(-2).cast("long")), ends)
     new = F.filter(F.zip_with(starts, before, lambda s, e: s > e + 1), lambda x: x)
-    n = F.size(new if merged else F.col(spans))
+    n = F.size(new)
     out = joined.select(*docs.columns, text.alias(left), F.when(F.col(spans).isNull(), 0).otherwise(n).alias(counts[0]))
     return out.select(*(F.col(left).alias(c) if c == text_col else F.col(c) for c in docs.columns), counts[0], (F.octet_length(text_col) - F.octet_length(left)).alias(counts[1]))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, least_lines: int = LEAST_LINES, counts: tuple[str, str] | None = None) -> DataFrame:
-    """docs with the copies of line chunks taken out of their texts; counts: names for two more columns, the chunks taken out and their bytes."""
-    return _without(docs, id_col, text_col, lambda raw: chunks(raw, window, divisor), least_lines, False, counts)
-
-
-def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
-    """docs with the copies of runs of two or more lines taken out; counts: names for two more columns, the
-    runs of lines taken out of a text and their bytes."""
-    return _without(docs, id_col, text_col, pairs, 2, True, counts)
-
-
 def op10_lines(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = dedup_passages(docs, counts=("chunks", "bytes"))
+    out = dedup_lines(docs, counts=("chunks", "bytes"))
     return out.select("doc_id", F.col("chunks").cast("long").alias("removed_chunks"), F.coalesce("bytes", F.lit(0)).cast("long").alias("removed_bytes"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

@@ -10,22 +10,6 @@ from pyspark.sql import functions as F
 from fluvia.llm import linededup, mixing
 
 
-def brute(rows):
-    own = {}
-    for i, t in rows:
-        if i is not None and t is not None:
-            raw = t.encode()
-            own[i, t] = [(s, e, linededup.body(raw[s:e]), n) for s, e, n in linededup.chunks(raw)]
-    first, count = {}, Counter()
-    for (i, t), parts in sorted(own.items()):
-        for s, _, b, n in parts:
-            if n >= linededup.LEAST_LINES:
-                count[b] += 1
-                first.setdefault(b, (i, s))
-    gone = {k: {s for s, _, b, n in parts if n >= linededup.LEAST_LINES and count[b] > 1 and (k[0], s) != first[b]} for k, parts in own.items()}
-    return {k: b"".join(k[1].encode()[s:e] for s, e, _, _ in parts if s not in gone[k]).decode() for k, parts in own.items()}
-
-
 def test_repeated_chunks_go(spark):
     rng = random.Random(11)
     line = lambda: " ".join(rng.choices(["ab", "cd", "é", "x", "yz"], k=rng.randint(0, 8)))
@@ -40,7 +24,8 @@ def test_repeated_chunks_go(spark):
     docs = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, _key int").repartition(4)
     found = linededup.dedup_lines(docs)
     assert found.columns == docs.columns
-    expected = brute(rows)
+    plain = without_copies({(i, t) for i, t in rows if i is not None and t})
+    expected = {(i, t): plain[i] for i, t in rows if i in plain}
     got = defaultdict(list)
     for r in found.collect():
         got[r.doc_id].append(r.text)
@@ -53,8 +38,38 @@ def test_repeated_chunks_go(spark):
 
 def test_boundaries_resist_shifts():
     lines = [f"line {i * i % 97}".encode() for i in range(200)]
-    cut = lambda x: {linededup.body(b"\n".join(x)[s:e]) for s, e, _ in linededup.chunks(b"\n".join(x))}
-    assert len(cut(lines) & cut([b"one more", *lines])) >= len(cut(lines)) - 2
+
+    def cut(x):
+        text = b"\n".join(x)
+        return {text[s:e] for kind, s, e, _ in linededup.pieces(text) if kind == linededup.CHUNK}
+
+    assert len(cut(lines)) > 10 and len(cut(lines) & cut([b"one more", *lines])) >= len(cut(lines)) - 2
+
+
+def test_chunks_and_pairs_cover_each_other():
+    """Each two neighbouring lines are one piece, in the chunk that holds both or in none."""
+    text = "\n".join(["", "a", "b", " ", "c"] + [f"row {i}" for i in range(100)]).encode()
+    lines = linededup.worded(text)
+    found = linededup.pieces(text)
+    chunks = {s: e for kind, s, e, _ in found if kind == linededup.CHUNK}
+    pairs = [(s, e, c) for kind, s, e, c in found if kind == linededup.PAIR]
+    assert [p[:2] for p in pairs] == [(a[0], b[1]) for a, b in zip(lines, lines[1:])]
+    assert all(c == -1 or (c <= s and e <= chunks[c]) for s, e, c in pairs) and all(not any(c <= s and e <= d for c, d in chunks.items()) for s, e, x in pairs if x == -1)
+
+
+@pytest.mark.parametrize("window, divisor", [(1, 1), (1, 2), (2, 3), (3, 1000)])
+def test_result_does_not_depend_on_boundaries(spark, window, divisor):
+    rng = random.Random(divisor)
+    line = lambda: f"w{rng.randrange(12)}"
+    passages = [[line() for _ in range(rng.randint(2, 12))] for _ in range(6)]
+    rows = []
+    for i in range(80):
+        parts = [line() for _ in range(rng.randint(0, 3))]
+        for _ in range(rng.randint(1, 3)):
+            parts += rng.choice(passages) + [line() + str(rng.randrange(50))]
+        rows.append((i, "\n".join(parts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(docs, window=window, divisor=divisor).collect()} == without_copies(rows)
 
 
 @pytest.fixture(scope="module")
@@ -133,7 +148,7 @@ def test_planted_runs_of_any_length_go(spark):
                     planted[len(rows) - 1] = len(run), "\n".join([*own[0], *own[1]])
     rows += [(900, "x y\nx y\nx y\nz"), (901, "a b\nc d\n\ne f"), (902, "c d\n\ne f\ng h\n"), (903, "")]
     docs = spark.createDataFrame([*rows, rows[1]], "doc_id long, text string").repartition(3)
-    found = {r.doc_id: r for r in linededup.dedup_passages(docs, counts=("_chunks", "_removed_bytes")).collect()}
+    found = {r.doc_id: r for r in linededup.dedup_lines(docs, counts=("_chunks", "_removed_bytes")).collect()}
     expected = without_copies(rows)
     assert {i: r.text for i, r in found.items()} == expected
     assert all(found[i].text.strip("\n") == own for i, (_, own) in planted.items())
@@ -147,7 +162,7 @@ CLASHING = ("_key", "_k", "_own", "_spans", "_starts", "_ends", "_left", "_s", "
 def test_columns_of_any_name_keep_their_values(spark):
     rows = [(i, "one line here\nanother line\nthird " + str(i % 3), "ab"[i % 2], *(100 * i + j for j in range(len(CLASHING)))) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} int" for c in CLASHING))
-    for found in (linededup.dedup_passages(docs), linededup.dedup_lines(docs), mixing.mix(docs).select(*docs.columns).distinct()):
+    for found in (linededup.dedup_lines(docs), mixing.mix(docs).select(*docs.columns).distinct()):
         assert found.schema == docs.schema
         assert sorted((r.doc_id, *(r[c] for c in CLASHING)) for r in found.collect()) == sorted((r[0], *r[3:]) for r in rows)
     assert mixing.mix(docs).columns[-3:] == ["__epoch", "__block", "__place"]
@@ -201,5 +216,5 @@ def test_a_mixture_is_that_of_a_plain_version(spark):
 def test_a_first_pass_of_long_texts_and_ties(spark):
     long = "\n".join(f"row {i} of the long text" for i in range(20000))
     docs = spark.createDataFrame([(1, long), (2, "before\n" + long + "\nafter"), (3, "x y\nx y\nx y")], "doc_id long, text string")
-    found = {r.doc_id: r.text for r in linededup.dedup_passages(docs).collect()}
+    found = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
     assert found == {1: long, 2: "before\nafter", 3: "x y\n"}
