@@ -11,7 +11,10 @@ Wide links are for a similarity of 0.8 or more: there fingerprints differ in abo
 into WIDE_PARTS parts with a covering family each; fingerprints that differ in WIDE_PARTS * (RADIUS + 1) - 1
 bits or fewer have a part with RADIUS or fewer, so they collide. Of what collides, pairs of WIDE_RADIUS bits
 or fewer are compared by a second word of 64 one-bit min-hashes of the same shingles, which also tells short
-texts apart; pairs link if at most SKETCH_RADIUS of these differ.
+texts apart; pairs are candidates if at most SKETCH_RADIUS of these differ. A bucket gives the spanning forest of its
+candidates that takes the least differing ones first, so that texts which are truly similar hang together by
+similar ones. first_rows() then compares the shingle sets of each link's two texts, and only pairs of a Jaccard
+similarity of LEAST_SIMILARITY or more stay linked: each row it drops has a partner of that similarity in its group.
 
 Defined cases: a null text counts as empty; an empty text has fingerprint zero and links like any other;
 repeated rows get one row each and the same result; a row whose id is null gets a fingerprint and the
@@ -32,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import row_key, slices, staged
 
 RADIUS, BITS, SEED, SHINGLE = 4, 64, 42, 4
-WIDE_PARTS, WIDE_RADIUS, SKETCH_RADIUS = 2, 14, 9
+WIDE_PARTS, WIDE_RADIUS, SKETCH_RADIUS = 2, 15, 13
+LEAST_SIMILARITY = (4, 5)
 
 _FACTORS, _ADDENDS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BITS), np.uint64)
 _FACTORS |= np.uint64(1)
@@ -107,11 +111,8 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS, sketches: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that join the same ids as all pairs of fps within the radius do, at most len(ids) - 1 of them.
-
-    With sketches, pairs must be within SKETCH_RADIUS by these too.
-    """
+def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
+    """Links that join the same ids as all pairs of fps within the radius do, at most len(ids) - 1 of them."""
     links, rest = [], np.arange(1, len(fps))
     todo = [0]
     while len(rest):
@@ -120,8 +121,6 @@ def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS, sketches: np.
             continue
         at = todo.pop()
         near = np.bitwise_count(fps[rest] ^ fps[at]) <= radius
-        if sketches is not None:
-            near &= np.bitwise_count(sketches[rest] ^ sketches[at]) <= SKETCH_RADIUS
         if near.any():
             new = rest[near]
             links += [(int(ids[at]), int(ids[x])) for x in new]
@@ -130,6 +129,26 @@ def forest(fps: np.ndarray, ids: np.ndarray, radius: int = RADIUS, sketches: np.
     return links
 
 
+def nearest_forest(fps: np.ndarray, ids: np.ndarray, sketches: np.ndarray, radius: int = WIDE_RADIUS) -> list[tuple[int, int]]:
+    """The same for pairs within the radius and SKETCH_RADIUS, by the links of the fewest differing bits."""
+    links, far = [], np.uint16(1 << 15)
+    rest = np.arange(1, len(fps))  # not in the forest yet, with the least bits to it and the row these are to
+    bits, to, at = np.full(len(rest), far), np.zeros(len(rest), np.int64), 0
+    while len(rest):
+        a, b = np.bitwise_count(fps[rest] ^ fps[at]), np.bitwise_count(sketches[rest] ^ sketches[at])
+        new = np.where((a <= radius) & (b <= SKETCH_RADIUS), a + np.uint16(2) * b, far)
+        less = new < bits
+        bits[less], to[less] = new[less], at
+        i = int(bits.argmin())
+        at = int(rest[i])
+        if bits[i] < far:
+            links.append((int(ids[to[i]]), int(ids[at])))
+        for x in (rest, bits, to):
+            x[i] = x[-1]
+        rest, bits, to = rest[:-1], bits[:-1], to[:-1]
+    return links
+
+
 def linked_rows(ends: np.ndarray, fps: np.ndarray, radius: int, sketches: np.ndarray | None = None) -> np.ndarray:
     """Whether each row has a link in its bucket; rows of a bucket are neighbours, ends is the end of each row's bucket."""
     found = np.zeros(len(fps), bool)
@@ -177,7 +196,7 @@ def _bucket_links(radius: int, limit: int | None, wide: bool):
             bucket = np.repeat(np.arange(stop), sizes)[hit]
             links = []
             for rows in np.split(hit, np.flatnonzero(np.diff(bucket)) + 1):
-                links += forest(fp[rows], ident[rows], radius, sketch[rows] if wide else None)
+                links += nearest_forest(fp[rows], ident[rows], sketch[rows], radius) if wide else forest(fp[rows], ident[rows], radius)
             a = np.array(links, np.int64).reshape(-1, 2)
             nulls = lambda n: pa.nulls(n, pa.int64())
             out = pa.RecordBatch.from_arrays(
@@ -277,21 +296,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(staged(named, "simhash-named"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def confirmed(links: DataFrame, texts: DataFrame, words: int, least: tuple[int, int] = LEAST_SIMILARITY) -> DataFrame:
+    """The links (a, b) between texts (node, text) whose sets of word shingles have a Jaccard similarity of `least`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [np.unique(shingle_hashes(x, words)).view(np.int64) for x in part.column(1).to_pylist()]
+            bounds = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(found)))], ["node", "h"])
+
+    links = staged(links, "simhash-candidates")
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = staged(texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(run, "node long, h array<long>"), "simhash-sets")
+    one, two = (sets.select(F.col("node").alias(x), F.col("h").alias(f"h{x}")) for x in "ab")
+    both = F.size(F.array_intersect("ha", "hb"))
+    pairs = links.join(one, "a").join(two, "b").withColumn("both", both)
+    return pairs.filter(least[1] * F.col("both") >= least[0] * (F.size("ha") + F.size("hb") - F.col("both"))).select("a", "b")
+
+
 def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bucket: int = 20_000, words: int = 5) -> DataFrame:
-    """(key): the row_key() of the row to keep of each group of texts with wide links, the first by id, then by key.
+    """(key): the row_key() of the row to keep of each group of texts with confirmed links, the first by id, then by key.
 
-    Groups are of fingerprints, so that rows of one id whose texts do not link stay in groups of their own. Rows whose
+    Groups are of texts, so that rows of one id whose texts do not link stay in groups of their own. Rows whose
     id is null are in no group.
     """
     ident, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), text.alias("text"))
-    fps = staged(fingerprints(rows, "key", "text", words, wide=True).withColumnRenamed("doc_id", "key"), "simhash")
-    # Texts of one fingerprint are in one group; the least of their sketches stands for them.
-    distinct = staged(fps.groupBy("fp").agg(F.min("sketch").alias("s")).select("fp", F.col("fp").alias("id"), "s"), "simhash-distinct")
-    found = components(links(distinct, max_bucket=max_bucket, wide=True))
-    # Fingerprints first: of a large group of equal ones a single row goes on.
-    least = fps.select("key", "fp").distinct().join(rows.select("key", "ident").distinct(), "key").groupBy("fp").agg(F.min(F.struct("ident", "key")).alias("first"))
-    least = least.join(found, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp").alias("group")).agg(F.min("first").alias("first"))
+    rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), F.coalesce(text, F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
+    # Of a large group of one text a single row goes on.
+    first = staged(rows.groupBy("node").agg(F.min(F.struct("ident", "key")).alias("first")), "simhash-nodes")
+    keys = first.select(F.col("first.key").alias("key"))
+    texts = rows.join(keys, "key", "left_semi").select("node", "text").dropDuplicates(["node"])
+    fps = staged(fingerprints(texts, "node", "text", words, wide=True).withColumnRenamed("doc_id", "node"), "simhash")
+    # A text of each fingerprint is compared with the others of it, and stands for them in the buckets.
+    distinct = staged(fps.groupBy("fp").agg(F.min(F.struct("node", "sketch")).alias("x")).select("fp", F.col("x.node").alias("id"), F.col("x.sketch").alias("s")), "simhash-distinct")
+    same = fps.join(distinct, "fp").filter("node <> id").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
+    found = components(confirmed(links(distinct, max_bucket=max_bucket, wide=True).unionByName(same), texts, words))
+    least = first.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("first").alias("first"))
     return least.select(F.col("first.key").alias("key"))
 
 

@@ -1,5 +1,7 @@
 """The pipeline's stages one by one, on a small fixture and on odd tables."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -39,9 +41,36 @@ def test_stages(spark, tmp_path):
     codec = bpe.Codec(open(bpe.default_path(), "rb").read())
     own = {r.doc_id: codec.decode(r.ids) for r in whole}
     assert own[None] == EN + " x" and all(r.n_tokens == len(np.frombuffer(r.ids, "<u4")) for r in whole)
-    fps = {i: simhash.shingle_hashes(t, 5) for i, t in own.items() if i is not None}
-    fps = {i: (simhash.majority(h), simhash.minima(h)) for i, h in fps.items()}
-    assert all((fps[a][0] ^ fps[b][0]).bit_count() > 9 or (fps[a][1] ^ fps[b][1]).bit_count() > simhash.SKETCH_RADIUS for a in fps for b in fps if a < b)
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in own.items() if i is not None}
+    assert all(len(sets[a] & sets[b]) < 0.8 * len(sets[a] | sets[b]) for a in sets for b in sets if a < b)
+
+
+def test_near_duplicates_are_confirmed(spark, tmp_path):
+    """No row goes without a partner of 0.8 in its group, and nearly no such pair stays."""
+    rng = random.Random(31)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    rows = []
+    for n in (3, 8, 40, 120, 120, 300, 300, 600):
+        base = rng.choices(vocabulary, k=n)
+        for k in range(40):
+            t = list(base)
+            for _ in range(rng.randint(0, max(1, n // 20))):
+                t[rng.randrange(n)] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(t)))
+    rows += [(500, None), (501, ""), (502, " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()}
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in rows}
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    group = {i: i for i in sets}
+    close = [(a, b) for a in sets for b in sets if a < b and near(a, b)]
+    for a, b in close:
+        old, new = max(group[a], group[b]), min(group[a], group[b])
+        if old != new:
+            group = {i: new if g == old else g for i, g in group.items()}
+    assert {group[i] for i in kept} == set(group.values())  # each true group keeps one at least
+    assert all(any(near(i, j) for j in sets if j != i) for i in sets if i not in kept)
+    assert len(kept) <= 1.05 * len(set(group.values())) and sum(a in kept and b in kept for a, b in close) <= 0.01 * len(close)
 
 
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
