@@ -80,6 +80,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int
             to = max(at + 1, int(np.searchsorted(ends, base + max_bytes, "right")))
             yield batch.slice(at, to - at)
             at = to
+        del batch, column
+        pa.default_memory_pool().release_unused()  # else a worker keeps what its largest batches took
 
 
 def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
