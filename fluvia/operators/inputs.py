@@ -22,12 +22,17 @@ def visible_reads(files: DataFrame) -> DataFrame:
     return files.filter(F.col("path").rlike(FASTQ) & ~basename(F.col("path")).startswith("."))
 
 
-def structure(files: DataFrame) -> DataFrame:
+def structure(files: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """(root, structure): barcode_subdirs where a folder of the root that is named like a barcode holds read files, else
-    flat. root: the folder above a file's folder."""
-    root = F.regexp_replace("path", "/?[^/]*/[^/]*$", "")
-    barcode = F.col("path").rlike(FASTQ) & parent_dir(F.col("path")).rlike(BARCODE_DIR)
-    return files.groupBy(root.alias("root")).agg(F.when(F.bool_or(barcode), "barcode_subdirs").otherwise("flat").alias("structure"))
+    flat. Of given roots (root), folders without a slash at the end, each has a row, whatever lies in it or deeper; without
+    them the root is the folder above a barcode's folder, or else a file's own folder."""
+    folder, above = F.regexp_replace("path", "/?[^/]*$", ""), F.regexp_replace("path", "/?[^/]*/[^/]*$", "")
+    named = parent_dir(F.col("path")).rlike(BARCODE_DIR)
+    if roots is None:
+        found = files.groupBy(F.when(named, above).otherwise(folder).alias("root"))
+        return found.agg(F.when(F.bool_or(named & F.col("path").rlike(FASTQ)), "barcode_subdirs").otherwise("flat").alias("structure"))
+    barcodes = files.filter(named & F.col("path").rlike(FASTQ)).select(above.alias("root"), F.lit(True).alias("_b")).distinct()
+    return roots.select("root").distinct().join(barcodes, "root", "left").select("root", F.when(F.col("_b"), "barcode_subdirs").otherwise("flat").alias("structure"))
 
 
 def by_sample(files: DataFrame, sample: Column) -> DataFrame:
@@ -96,11 +101,11 @@ def count_or_timer_batches(rows: DataFrame, ts: str, order: str, n: int, seconds
     return rows.withColumn("tick", tick).withColumn("batch_in_tick", F.floor((F.row_number().over(w) - 1) / n).cast("long"))
 
 
-def within_budget(rows: DataFrame, ts: str, minutes: float, grace: float = 0) -> DataFrame:
-    """Rows that come within minutes + grace of the first."""
-    start = rows.agg(F.min(ts).alias("_start"))
-    seconds = int((minutes + grace) * 60)
-    return rows.join(F.broadcast(start), F.col(ts) <= F.timestamp_seconds(F.unix_timestamp("_start") + seconds)).drop("_start")
+def within_budget(rows: DataFrame, ts: str, minutes: float, grace: float = 0, start: Column | None = None) -> DataFrame:
+    """Rows that come within minutes + grace of the run's start, or else of the first row; to the microsecond."""
+    first = rows.agg(F.min(ts).cast("timestamp").alias("_start")) if start is None else rows.sparkSession.range(1).select(start.cast("timestamp").alias("_start"))
+    end = F.timestamp_micros(F.unix_micros("_start") + round((minutes + grace) * 60_000_000))
+    return rows.join(F.broadcast(first), F.col(ts).cast("timestamp") <= end).drop("_start")
 
 
 def with_fallback(stats: DataFrame, counts: DataFrame, keys: list[str], column: str, fallback: str) -> DataFrame:

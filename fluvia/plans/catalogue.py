@@ -260,11 +260,10 @@ def branch_split(spark, d):
     return joins.union_all(yes.select(F.col("n_nationkey").alias("item"), F.lit(True).alias("passed")), no.select(F.col("n_nationkey").alias("item"), F.lit(False).alias("passed")))
 
 
-@query("SELECT n_name AS process, string_agg(DISTINCT r_name || ': ' || n_regionkey, chr(10) ORDER BY r_name || ': ' || n_regionkey) AS versions FROM nation, region WHERE (n_nationkey + r_regionkey) % 2 = 0 GROUP BY 1")
+@query("SELECT n_name AS process, string_agg(DISTINCT c_mktsegment || ': ' || (c_custkey % 5), chr(10) ORDER BY c_mktsegment || ': ' || (c_custkey % 5)) AS versions FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1")
 def versions_collation(spark, d):
-    n, r = A.table(spark, d, "nation"), A.table(spark, d, "region")
-    rows = n.join(r, (F.col("n_nationkey") + F.col("r_regionkey")) % 2 == 0)
-    return aggregates.collate_versions(rows.select(F.concat(F.lit("MAIN:SUB:"), "n_name").alias("process"), F.col("r_name").alias("tool"), F.col("n_regionkey").cast("string").alias("version")))
+    rows = A.table(spark, d, "customer").join(A.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return aggregates.collate_versions(rows.select(F.concat(F.lit("MAIN:SUB:"), "n_name").alias("process"), F.col("c_mktsegment").alias("tool"), (F.col("c_custkey") % 5).cast("string").alias("version")))
 
 
 # Files, batches, sessions -----------------------------------------------------------------------------------------
@@ -335,10 +334,10 @@ def priority_routing(spark, d):
     return A.files(spark, d).select("event_id", F.when(hit, "priority").otherwise("normal").alias("route"))
 
 
-@query(f"WITH {A.FM}, e AS (SELECT sample_id, max(arrival) % 5 + 1 AS nx FROM fm GROUP BY 1) SELECT event_id, fm.sample_id, (row_number() OVER (PARTITION BY fm.sample_id ORDER BY event_id) - 1 + CASE WHEN sample_id::BIGINT % 3 = 0 THEN nx ELSE 0 END)::BIGINT AS batch_no FROM fm JOIN e USING (sample_id)")
+@query(f"WITH {A.FM}, e AS (SELECT sample_id, max(arrival) % 5 + 1 AS nx FROM fm GROUP BY 1 HAVING max(file_size) > 220000000) SELECT event_id, fm.sample_id, (row_number() OVER (PARTITION BY fm.sample_id ORDER BY event_id) - 1 + coalesce(nx, 0))::BIGINT AS batch_no FROM fm LEFT JOIN e USING (sample_id)")
 def batch_numbering(spark, d):
     f = A.files(spark, d)
-    existing = f.groupBy("sample_id").agg((F.max("arrival") % 5).alias("batch_id")).filter(F.col("sample_id").cast("long") % 3 == 0)
+    existing = f.groupBy("sample_id").agg((F.max("arrival") % 5).alias("batch_id"), F.max("file_size").alias("largest")).filter("largest > 220000000")
     return windows.batch_numbers(f, "sample_id", ["event_id"], existing, "batch_no").select("event_id", "sample_id", "batch_no")
 
 
@@ -602,14 +601,15 @@ def kreport_text(spark, d):
 
 
 @query("""WITH c AS (SELECT c_nationkey AS run_id, c_mktsegment || (c_custkey % 5) AS sample_id, c_acctbal AS b FROM customer), own AS (SELECT run_id, list(DISTINCT sample_id ORDER BY sample_id) AS s FROM c GROUP BY 1),
-made AS (SELECT run_id, list(DISTINCT sample_id) AS m FROM c WHERE b > 3000 AND run_id % 3 > 0 GROUP BY 1)
+made AS (SELECT run_id, list(DISTINCT sample_id) AS m FROM c WHERE b > 9900 GROUP BY 1)
 SELECT run_id, coalesce(n_name, 'now') AS started_at, array_to_string(s, ',') AS samples, array_to_string(list_sort(list_concat(list_transform(s, lambda x: x || '.report.txt'), list_transform(s, lambda x: x || '.stats.tsv'))), ',') AS files,
   CASE WHEN m IS NOT NULL THEN array_to_string(list_filter(s, lambda x: NOT list_contains(m, x)), ',') WHEN n_name IS NOT NULL THEN 'old' END AS failed
-FROM own LEFT JOIN made USING (run_id) LEFT JOIN (SELECT n_nationkey AS run_id, n_name FROM nation WHERE n_regionkey < 3) p USING (run_id)""")
+FROM own LEFT JOIN made USING (run_id) LEFT JOIN (SELECT n_nationkey AS run_id, n_name FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)) p USING (run_id)""")
 def run_manifest(spark, d):
     c = A.table(spark, d, "customer").select(F.col("c_nationkey").alias("run_id"), F.concat("c_mktsegment", F.col("c_custkey") % 5).alias("sample_id"), "c_acctbal")
-    old = A.table(spark, d, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("run_id"), F.col("n_name").alias("started_at"), F.array(F.lit("old")).alias("failed"))
-    m = sinks.manifest(c, c.filter("c_acctbal > 3000 and run_id % 3 > 0"), [".report.txt", ".stats.tsv"], F.lit("now"), old)
+    known = A.table(spark, d, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("n_nationkey"))
+    old = A.table(spark, d, "nation").join(known, "n_nationkey", "left_semi").select(F.col("n_nationkey").alias("run_id"), F.col("n_name").alias("started_at"), F.array(F.lit("old")).alias("failed"))
+    m = sinks.manifest(c, c.filter("c_acctbal > 9900"), [".report.txt", ".stats.tsv"], F.lit("now"), old)
     return m.select("run_id", "started_at", *(F.array_join(x, ",").alias(x) for x in ("samples", "files", "failed")))
 
 

@@ -16,7 +16,7 @@ _SHOWN = _READ + " AND NOT starts_with(split_part(path, '/', -1), '.')"
 _PARENT = "split_part(path, '/', -2)"
 
 
-@query(rf"WITH {A.PATHS} SELECT regexp_replace(path, '/?[^/]*/[^/]*$', '') AS root, CASE WHEN bool_or({_READ} AND regexp_matches({_PARENT}, '^barcode\d+$')) THEN 'barcode_subdirs' ELSE 'flat' END AS structure FROM paths GROUP BY 1")
+@query(rf"WITH {A.PATHS} SELECT CASE WHEN regexp_matches({_PARENT}, '^barcode\d+$') THEN regexp_replace(path, '/?[^/]*/[^/]*$', '') ELSE regexp_replace(path, '/?[^/]*$', '') END AS root, CASE WHEN bool_or({_READ} AND regexp_matches({_PARENT}, '^barcode\d+$')) THEN 'barcode_subdirs' ELSE 'flat' END AS structure FROM paths GROUP BY 1")
 def input_structure(spark, d):
     return inputs.structure(A.paths(spark, d))
 
@@ -78,9 +78,9 @@ def count_or_timer_batches(spark, d):
     return inputs.count_or_timer_batches(A.table(spark, d, "events"), "ts", "event_id", 4, 3600).select("event_id", "tick", "batch_in_tick")
 
 
-@query("SELECT event_id FROM events WHERE floor(epoch(ts)) <= (SELECT floor(epoch(min(ts))) FROM events) + 7 * 24 * 3600")
+@query("SELECT event_id FROM events WHERE ts <= (SELECT min(ts) FROM events) + INTERVAL 7 DAY")
 def stop_on_time_budget(spark, d):
-    e = A.table(spark, d, "events").select("event_id", F.date_trunc("second", "ts").alias("ts"))
+    e = A.table(spark, d, "events").select("event_id", "ts")
     return inputs.within_budget(e, "ts", 7 * 24 * 60 - 30, 30).select("event_id")
 
 

@@ -11,7 +11,7 @@ from . import adapters as A
 from .catalogue import _MERGED, _event_stream, query
 
 
-@query("WITH e AS (SELECT event_type AS stream, event_id AS item, epoch_ms(ts)::BIGINT AS at FROM events), t AS (SELECT *, (at - min(at) OVER (PARTITION BY stream)) // 3600000 AS tick FROM e), p AS (SELECT *, (row_number() OVER (PARTITION BY stream, tick ORDER BY at, item) - 1) // 4 AS part FROM t) SELECT stream, item, (dense_rank() OVER (PARTITION BY stream ORDER BY tick, part) - 1)::BIGINT AS number FROM p")
+@query("WITH e AS (SELECT event_type AS stream, event_id AS item, epoch_ms(ts)::BIGINT AS ms FROM events), t AS (SELECT *, (ms - min(ms) OVER (PARTITION BY stream)) // 3600000 AS tick FROM e), p AS (SELECT *, (row_number() OVER (PARTITION BY stream, tick ORDER BY ms, item) - 1) // 4 AS part FROM t) SELECT stream, item, (dense_rank() OVER (PARTITION BY stream ORDER BY tick, part) - 1)::BIGINT AS number FROM p")
 def stream_count_or_tick(spark, d):
     rows = _event_stream(spark, d).select(F.col("event_type").alias("stream"), "ts", F.col("event_id").alias("item"))
     return stateful.batched(rows, 4, 3600, late="30 days").select("stream", "item", "number")
@@ -27,10 +27,10 @@ _EVERY = 20
 
 
 @query(f"""WITH RECURSIVE {_MERGED}, nb AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY batch_id) AS batches, count(*) OVER (PARTITION BY sample_id) AS last FROM (SELECT DISTINCT sample_id, batch_id FROM bc)),
-at AS (SELECT * FROM nb WHERE batches = 1 OR batches % {_EVERY} = 0 OR batches = last),
+due AS (SELECT * FROM nb WHERE batches = 1 OR batches % {_EVERY} = 0 OR batches = last),
 own AS (SELECT bc.sample_id, nb.batches AS b, bc.taxid, coalesce(bd.reads, 0) AS reads, bc.cumul FROM bc JOIN nb USING (sample_id, batch_id) LEFT JOIN bd USING (sample_id, batch_id, taxid))
-SELECT at.sample_id, at.batches, own.taxid, sum(own.reads)::BIGINT AS reads, sum(own.cumul)::BIGINT AS cumul, any_value(tax.rank) AS rank, any_value(tax.name) AS name, any_value(tax.parent) AS parent
-FROM at JOIN own ON own.sample_id = at.sample_id AND own.b <= at.batches JOIN tax ON tax.taxid = own.taxid GROUP BY ALL""")
+SELECT due.sample_id, due.batches, own.taxid, sum(own.reads)::BIGINT AS reads, sum(own.cumul)::BIGINT AS cumul, any_value(tax.rank) AS rank, any_value(tax.name) AS name, any_value(tax.parent) AS parent
+FROM due JOIN own ON own.sample_id = due.sample_id AND own.b <= due.batches JOIN tax ON tax.taxid = own.taxid GROUP BY ALL""")
 def stream_running_taxa(spark, d):
     path = fresh_path(spark, "batch-reports")
     A.batch_reports(spark, d).drop("row_no").write.parquet(path)
