@@ -123,6 +123,21 @@ def recommendations(compared: DataFrame) -> DataFrame:
     return compared.select("tool", F.explode(F.array_compact(F.array(*(F.when(c, F.lit(t)) for c, t in rules)))).alias("advice"))
 
 
+def advice(compared: DataFrame) -> DataFrame:
+    """(tool, advice) by each tool's own rules from (tool, retention, quality_delta, quality_after, q30); advice that needs
+    both tools, or none, has no tool. An unknown or zero quality or share says nothing."""
+    t = lambda name: F.col("tool") == name
+    some = lambda c: F.col(c).isNotNull() & (F.col(c) != 0)
+    rules = [
+        (t("fastp") & (F.col("retention") < 0.7), "relax_filters"), (t("fastp") & (F.col("quality_delta") < 0.05), "little_gain"),
+        (t("chopper") & some("quality_after") & (F.col("quality_after") > 12), "good_default"), (t("chopper") & some("q30") & (F.col("q30") < 50), "low_q30"),
+    ]
+    own = compared.select("tool", F.explode(F.array_compact(F.array(*(F.when(c, F.lit(x)) for c, x in rules)))).alias("advice"))
+    both = compared.agg((F.bool_or(t("chopper")) & F.bool_or(t("fastp"))).alias("both"))
+    general = F.concat(F.when(F.col("both"), F.array(F.lit("chopper_is_faster"), F.lit("prefer_native_tools"))).otherwise(F.array().cast("array<string>")), F.array(F.lit("monitor_resources"), F.lit("choose_by_aim")))
+    return own.unionByName(both.select(F.lit(None).cast("string").alias("tool"), F.explode(general).alias("advice")))
+
+
 def regressions(baseline: DataFrame, current: DataFrame, threshold: float = 0.1) -> DataFrame:
     """(name, delta, verdict) of tests in both runs; a baseline of 0 is left out."""
     out = baseline.select("name", F.col("value").alias("_b")).join(current.select("name", F.col("value").alias("_c")), "name").filter("_b <> 0")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +88,40 @@ def keep_best_reads(reads: DataFrame, keys: list[str], percent: float | None = 9
     return own.filter("_take = _c").select(reads.columns).unionByName(part.select(reads.columns))
 
 
+def cut_ends(reads: DataFrame, quality: float, window: int = 4) -> DataFrame:
+    """Cut reads at both ends up to the first and the last window of `window` letters whose mean score reaches `quality`.
+    A read without such a window is cut to nothing; one shorter than the window is a window of its own.
+
+    Windows are told from prefix sums of the scores, over Arrow batches: a built-in expression would sum anew at each place.
+    """
+
+    @F.pandas_udf("start int, size int")
+    def kept(text: pd.Series) -> pd.DataFrame:
+        out = np.zeros((len(text), 2), np.int32)
+        for i, x in enumerate(text):
+            if x:
+                q = np.frombuffer(x.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+                w = min(window, len(q))
+                sums = np.append(0, np.cumsum(q))
+                good = np.flatnonzero(sums[w:] - sums[:-w] >= w * quality)
+                if len(good):
+                    out[i] = good[0] + 1, good[-1] + w - good[0]
+        return pd.DataFrame(out, columns=["start", "size"])
+
+    out = reads.withColumn("_kept", kept("quality"))
+    return out.withColumns({c: F.substring(c, F.col("_kept.start"), F.col("_kept.size")) for c in ("sequence", "quality")}).drop("_kept")
+
+
+def apply_preset(reads: DataFrame, keys: list[str], f: ReadFilter | str) -> DataFrame:
+    """All that a preset asks for, in its tool's order: ends cut by quality, reads filtered by length and mean quality,
+    and of each key's the best that make up keep_percent of the bases."""
+    f = PRESETS[f] if isinstance(f, str) else f
+    if f.tool == "fastp" and f.cut_quality is not None:
+        reads = cut_ends(reads, f.cut_quality)
+    kept = filter_reads(reads, f)
+    return keep_best_reads(kept, keys, f.keep_percent, min_length=0) if f.keep_percent is not None else kept
+
+
 def base_count(sequence: Column, bases: str) -> Column:
     return F.length(sequence) - F.length(F.translate(sequence, bases, ""))
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import covered, first_per_key
+from .windows import covered, first_per_key, interval_islands
 
 
 @dataclass(frozen=True)
@@ -92,6 +92,49 @@ def hit_details(hits: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     )
 
 
+def mapping_stats(paf: DataFrame, totals: DataFrame, keys: list[str], order: list[str], min_mapq: int = 10, t: Thresholds = Thresholds()) -> DataFrame:
+    """All figures of a mapping verdict, from rows (keys, qname, qlen, qstart, qend, tname, tlen, tstart, tend, mapq,
+    identity): total_reads, hits, hit_rate, avg_mapq, avg_identity, avg_coverage, covered, aligned, breadth, depth, contig,
+    contig_length, status. totals: (keys, total_reads); keys without a row stay.
+
+    A query's hit is its first row by `order` of those of min_mapq; its coverage is of its own length, whichever way it
+    lies. Intervals count for all rows of min_mapq that lie in their contig. contig is the longest of all rows, of any
+    mapq, of equal ones the first by `order`; 'unknown' without rows. Rows are read once for the sums of a key and once
+    for its hits, each as a combined aggregate; no window holds a key.
+    """
+    good = F.col("mapq") >= min_mapq
+    inside = good & (F.col("tend") > F.col("tstart")) & (F.col("tend") <= F.col("tlen"))
+    span, size = F.abs(F.col("qend") - F.col("qstart")).cast("double"), F.nullif(F.greatest("qlen", F.lit(0)), F.lit(0))
+    whole = paf.groupBy(*keys).agg(
+        F.sum(F.when(inside, F.col("tend") - F.col("tstart"))).alias("_aligned"), F.max("tlen").alias("_length"), F.min_by("tname", F.struct((-F.col("tlen")).alias("_n"), *order)).alias("_contig"),
+    )
+    best = paf.filter(good).groupBy(*keys, "qname").agg(F.min_by(F.struct("mapq", "identity", (span / size).alias("coverage")), F.struct(*order)).alias("_b"))
+    hits = best.groupBy(*keys).agg(F.count("*").alias("_hits"), *(F.avg(f"_b.{c}").alias(f"_{c}") for c in ("mapq", "identity", "coverage")))
+    islands = interval_islands(paf.filter(inside), keys).groupBy(*keys).agg(F.sum(F.col("hi") - F.col("lo")).alias("_covered"))
+    out = totals.join(whole, keys, "left").join(hits, keys, "left").join(islands, keys, "left")
+    n = lambda c: F.coalesce(c, F.lit(0))
+    share = lambda a, b: F.coalesce(F.try_divide(n(a).cast("double"), b), F.lit(0.0))
+    out = out.select(
+        *keys, "total_reads", n("_hits").alias("hits"), share("_hits", F.col("total_reads")).alias("hit_rate"), *(F.coalesce(f"_{c}", F.lit(0.0)).alias(f"avg_{c}") for c in ("mapq", "identity", "coverage")),
+        n("_covered").alias("covered"), n("_aligned").alias("aligned"), share("_covered", F.col("_length")).alias("breadth"), share("_aligned", F.col("_covered")).alias("depth"),
+        F.coalesce("_contig", F.lit("unknown")).alias("contig"), n("_length").alias("contig_length"),
+    )
+    return out.withColumn("status", verdict(F.col("hit_rate"), F.col("avg_identity"), F.col("hits"), t, F.col("breadth"), F.col("depth"), F.col("covered")))
+
+
+def blast_stats(hits: DataFrame, totals: DataFrame, keys: list[str], order: list[str], t: Thresholds = Thresholds()) -> DataFrame:
+    """All figures of a BLAST verdict from rows (keys, qname, identity, qcovs in percent, evalue): total_reads, hits,
+    hit_rate, avg_identity, avg_coverage, min_evalue (1 without hits), status. A query counts by its first row by order."""
+    best = hits.groupBy(*keys, "qname").agg(F.min_by(F.struct("identity", "qcovs", "evalue"), F.struct(*order)).alias("_b"))
+    agg = best.groupBy(*keys).agg(F.count("*").alias("_hits"), F.avg("_b.identity").alias("_identity"), (F.avg("_b.qcovs") / 100.0).alias("_coverage"), F.min("_b.evalue").alias("_evalue"))
+    hit = F.coalesce("_hits", F.lit(0))
+    out = totals.join(agg, keys, "left").select(
+        *keys, "total_reads", hit.alias("hits"), F.coalesce(F.try_divide(hit.cast("double"), "total_reads"), F.lit(0.0)).alias("hit_rate"), F.coalesce("_identity", F.lit(0.0)).alias("avg_identity"),
+        F.coalesce("_coverage", F.lit(0.0)).alias("avg_coverage"), F.coalesce("_evalue", F.lit(1.0)).alias("min_evalue"),
+    )
+    return out.withColumn("status", verdict(F.col("hit_rate"), F.col("avg_identity"), F.col("hits"), t))
+
+
 def alignment_stats(paf: DataFrame, totals: DataFrame, keys: list[str], order: list[str], min_mapq: int = 10) -> DataFrame:
     """hit_stats over alignments of at least min_mapq, with breadth, local depth and covered bases.
 

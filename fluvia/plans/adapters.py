@@ -67,6 +67,27 @@ def alignments(spark: SparkSession, d: str) -> DataFrame:
 ALN = """aln AS (SELECT l_linestatus AS sample_id, ((year(l_shipdate) - 1995) * 12 + month(l_shipdate))::BIGINT AS batch_id, (1000 + l_suppkey)::VARCHAR AS taxid, l_orderkey || '_' || l_linenumber AS qname,
   'contig' || (l_partkey % 7) AS tname, 100000::BIGINT AS tlen, ((l_partkey % 1900) * 50)::BIGINT AS tstart, ((l_partkey % 1900) * 50 + l_quantity::BIGINT * 10)::BIGINT AS tend,
   (l_linenumber * 10 - (l_suppkey % 8) * 10)::BIGINT AS mapq, 100.0::DOUBLE - round(l_discount * 100) - (l_suppkey % 10) * 2 AS identity FROM lineitem)"""
+
+
+def mappings(spark: SparkSession, d: str) -> DataFrame:
+    """Alignments with their queries' coordinates, contigs of several lengths and both strands."""
+    c, line = F.col, table(spark, d, "lineitem")
+    contig, size = c("l_partkey") % 7, c("l_quantity").cast("long") * 10
+    lo, hi = c("l_linenumber").cast("long") * 2, c("l_linenumber").cast("long") * 2 + F.floor(size * (10 - c("l_linenumber")) / 10)
+    own = {"tlen": 90_000 + (contig * 3 % 7) * 4_000, "qlen": 1024 * (1 + c("l_partkey") % 2), "qstart": F.when(c("l_suppkey") % 2 == 0, hi).otherwise(lo), "qend": F.when(c("l_suppkey") % 2 == 0, lo).otherwise(hi)}
+    names = {"sample_id": c("l_linestatus"), "taxid": (c("l_suppkey") + 1000).cast("string"), "qname": F.concat_ws("_", "l_orderkey", "l_linenumber"), "tname": F.concat(F.lit("contig"), contig)}
+    start = (c("l_partkey") % 1900) * 50
+    rest = {"tstart": start.cast("long"), "tend": (start + size).cast("long"), "mapq": (c("l_linenumber") * 10 - (c("l_suppkey") % 8) * 10).cast("long"), "identity": F.lit(100.0) - F.round(c("l_discount") * 100) - (c("l_suppkey") % 10) * 2}
+    hit = {"qcovs": (50 + c("l_quantity")).cast("double"), "evalue": c("l_linenumber") * 1e-12}
+    return line.select(*(v.cast("long").alias(k) for k, v in own.items()), *(v.alias(k) for k, v in {**names, **rest, **hit}.items()))
+
+
+MAP = """mp AS (SELECT (90000 + ((l_partkey % 7) * 3 % 7) * 4000)::BIGINT AS tlen, (1024 * (1 + l_partkey % 2))::BIGINT AS qlen,
+  CASE WHEN l_suppkey % 2 = 0 THEN hi ELSE lo END AS qstart, CASE WHEN l_suppkey % 2 = 0 THEN lo ELSE hi END AS qend,
+  l_linestatus AS sample_id, (1000 + l_suppkey)::VARCHAR AS taxid, l_orderkey || '_' || l_linenumber AS qname, 'contig' || (l_partkey % 7) AS tname,
+  ((l_partkey % 1900) * 50)::BIGINT AS tstart, ((l_partkey % 1900) * 50 + l_quantity::BIGINT * 10)::BIGINT AS tend, (l_linenumber * 10 - (l_suppkey % 8) * 10)::BIGINT AS mapq,
+  100.0::DOUBLE - round(l_discount * 100) - (l_suppkey % 10) * 2 AS identity, (50 + l_quantity)::DOUBLE AS qcovs, l_linenumber * 1e-12::DOUBLE AS evalue
+  FROM (SELECT *, l_linenumber::BIGINT * 2 AS lo, l_linenumber::BIGINT * 2 + (l_quantity::BIGINT * 10 * (10 - l_linenumber)) // 10 AS hi FROM lineitem))"""
 #: A total order of a query's alignments, up to equal rows.
 ALN_ORDER = ["tstart", "tend", "identity", "mapq", "tname"]
 

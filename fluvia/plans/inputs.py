@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fluvia.functions.scalars import basename
-from fluvia.operators import inputs, joins, reads, validation
+from fluvia.operators import aggregates, inputs, joins, reads, validation
 from fluvia.sources import sinks
 
 from . import adapters as A
@@ -141,3 +141,66 @@ def reads_with_overlaps(spark, d):
     a = A.table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("contig")).agg(F.count("*").alias("n_reads"))
     b = A.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("contig")).agg(F.count("*").alias("n_overlaps"))
     return joins.either(a, b, ["contig"])
+
+
+_ORDER = "tstart, tend, identity, mapq, tname, qstart, qcovs, evalue"
+_TOT = "tot AS (SELECT l_linestatus AS sample_id, (1000 + l_suppkey)::VARCHAR AS taxid, count(*) AS total_reads FROM lineitem GROUP BY ALL)"
+
+
+def _totals(spark, d):
+    return A.table(spark, d, "lineitem").groupBy(F.col("l_linestatus").alias("sample_id"), (F.col("l_suppkey") + 1000).cast("string").alias("taxid")).agg(F.count("*").alias("total_reads"))
+
+
+@query(f"""WITH {A.MAP}, {_TOT}, fine AS (SELECT * FROM mp WHERE mapq >= 10), ins AS (SELECT * FROM fine WHERE tend > tstart AND tend <= tlen),
+best AS (SELECT * FROM fine QUALIFY row_number() OVER (PARTITION BY sample_id, taxid, qname ORDER BY {_ORDER}) = 1),
+hs AS (SELECT sample_id, taxid, count(*) AS hits, avg(mapq) AS avg_mapq, avg(identity) AS avg_identity, avg(abs(qend - qstart) / qlen::DOUBLE) AS avg_coverage FROM best GROUP BY ALL),
+mk AS (SELECT *, CASE WHEN tstart <= max(tend) OVER (PARTITION BY sample_id, taxid ORDER BY tstart, tend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM ins),
+il AS (SELECT *, sum(fresh) OVER (PARTITION BY sample_id, taxid ORDER BY tstart, tend ROWS UNBOUNDED PRECEDING) AS island FROM mk),
+cv AS (SELECT sample_id, taxid, sum(hi - lo)::BIGINT AS covered FROM (SELECT sample_id, taxid, island, min(tstart) AS lo, max(tend) AS hi FROM il GROUP BY ALL) GROUP BY ALL),
+al AS (SELECT sample_id, taxid, sum(tend - tstart)::BIGINT AS aligned FROM ins GROUP BY ALL),
+lg AS (SELECT sample_id, taxid, tname AS contig, tlen AS contig_length FROM mp QUALIFY row_number() OVER (PARTITION BY sample_id, taxid ORDER BY tlen DESC, {_ORDER}) = 1),
+s AS (SELECT sample_id, taxid, total_reads, coalesce(hits, 0) AS hits, coalesce(hits, 0) / total_reads::DOUBLE AS hit_rate, coalesce(avg_mapq, 0) AS avg_mapq, coalesce(avg_identity, 0) AS avg_identity, coalesce(avg_coverage, 0) AS avg_coverage,
+  coalesce(covered, 0) AS covered, coalesce(aligned, 0) AS aligned, coalesce(covered, 0) / contig_length::DOUBLE AS breadth, coalesce(aligned / nullif(covered, 0)::DOUBLE, 0) AS depth, contig, contig_length
+  FROM tot LEFT JOIN hs USING (sample_id, taxid) LEFT JOIN cv USING (sample_id, taxid) LEFT JOIN al USING (sample_id, taxid) LEFT JOIN lg USING (sample_id, taxid))
+SELECT *, CASE WHEN hit_rate >= 0.5 AND avg_identity >= 90 AND hits >= 10 AND (breadth >= 0.05 OR (breadth <= 0.05 AND depth >= 10 AND covered >= 200)) THEN 'confirmed' WHEN hit_rate >= 0.25 OR avg_identity >= 81 THEN 'uncertain' ELSE 'rejected' END AS status FROM s""")
+def mapping_verdicts(spark, d):
+    return validation.mapping_stats(A.mappings(spark, d), _totals(spark, d), ["sample_id", "taxid"], _ORDER.split(", "))
+
+
+@query(f"""WITH {A.MAP}, {_TOT}, best AS (SELECT * FROM mp WHERE evalue < 6.5e-12 QUALIFY row_number() OVER (PARTITION BY sample_id, taxid, qname ORDER BY {_ORDER}) = 1),
+hs AS (SELECT sample_id, taxid, count(*) AS hits, avg(identity) AS avg_identity, avg(qcovs) / 100.0::DOUBLE AS avg_coverage, min(evalue) AS min_evalue FROM best GROUP BY ALL),
+s AS (SELECT sample_id, taxid, total_reads, coalesce(hits, 0) AS hits, coalesce(hits, 0) / total_reads::DOUBLE AS hit_rate, coalesce(avg_identity, 0) AS avg_identity, coalesce(avg_coverage, 0) AS avg_coverage, coalesce(min_evalue, 1) AS min_evalue FROM tot LEFT JOIN hs USING (sample_id, taxid))
+SELECT *, CASE WHEN hit_rate >= 0.5 AND avg_identity >= 90 AND hits >= 10 THEN 'confirmed' WHEN hit_rate >= 0.25 OR avg_identity >= 81 THEN 'uncertain' ELSE 'rejected' END AS status FROM s""")
+def blast_figures(spark, d):
+    return validation.blast_stats(A.mappings(spark, d).filter("evalue < 6.5e-12"), _totals(spark, d), ["sample_id", "taxid"], _ORDER.split(", "))
+
+
+_Q = "list_transform(list_filter(string_split(quality, ''), lambda c: c <> ''), lambda c: ascii(c) - 33)"
+
+
+@query(f"""WITH {A.READS}, p AS (SELECT read_id, unnest({_Q}) AS q, generate_subscripts({_Q}, 1) AS pos, length(quality) AS n FROM reads),
+w AS (SELECT read_id, pos, n, sum(q) OVER (PARTITION BY read_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS s FROM p),
+g AS (SELECT read_id, min(pos) AS lo, max(pos + least(4, n)) AS hi FROM w WHERE pos <= greatest(n - 3, 1) AND s >= least(4, n) * 70 GROUP BY 1)
+SELECT sample_id, read_id, CASE WHEN lo IS NULL THEN '' ELSE substring(sequence, lo, hi - lo) END AS sequence FROM reads LEFT JOIN g USING (read_id)""")
+def quality_cut_reads(spark, d):
+    return reads.cut_ends(A.reads(spark, d), 70).select("sample_id", "read_id", "sequence")
+
+
+@query(f"""WITH {A.READS}, m AS (SELECT sample_id, read_id, length(sequence) AS n, -10 * log10(list_sum(list_transform({_Q}, lambda x: pow(10.0, x / -10.0))) / length(quality)) AS mq FROM reads WHERE length(sequence) >= 1000),
+k AS (SELECT * FROM m WHERE mq >= 9), c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY sample_id ORDER BY n DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY sample_id) AS al FROM k) SELECT sample_id, read_id FROM c WHERE before * 100 < al * 85""")
+def preset_reads(spark, d):
+    return reads.apply_preset(A.reads(spark, d), ["sample_id"], "metagenomics").select("sample_id", "read_id")
+
+
+@query("""WITH t AS (SELECT CASE l_returnflag WHEN 'A' THEN 'fastp' WHEN 'N' THEN 'chopper' ELSE 'filtlong' END AS tool, l_quantity > 15 AS k, l_linenumber * 3 AS q, l_discount < 0.04 AS h FROM lineitem),
+c AS (SELECT tool, count(*) FILTER (k) / count(*)::DOUBLE AS retention, avg(q) FILTER (k) - avg(q) AS gain, avg(q) FILTER (k) AS q, count(*) FILTER (k AND h) * 100 / count(*) FILTER (k)::DOUBLE AS q30 FROM t GROUP BY 1)
+SELECT tool, 'relax_filters' AS advice FROM c WHERE tool = 'fastp' AND retention < 0.7 UNION ALL SELECT tool, 'little_gain' FROM c WHERE tool = 'fastp' AND gain < 0.05
+UNION ALL SELECT tool, 'good_default' FROM c WHERE tool = 'chopper' AND q > 12 UNION ALL SELECT tool, 'low_q30' FROM c WHERE tool = 'chopper' AND q30 < 50 AND q30 <> 0
+UNION ALL SELECT NULL, unnest(['chopper_is_faster', 'prefer_native_tools']) FROM (SELECT count(DISTINCT tool) AS n FROM c WHERE tool IN ('chopper', 'fastp')) WHERE n = 2 UNION ALL SELECT NULL, unnest(['monitor_resources', 'choose_by_aim'])""")
+def qc_advice_by_tool(spark, d):
+    keep, q = F.col("l_quantity") > 15, F.col("l_linenumber") * 3
+    tool = F.when(F.col("l_returnflag") == "A", "fastp").when(F.col("l_returnflag") == "N", "chopper").otherwise("filtlong")
+    s = A.table(spark, d, "lineitem").groupBy(tool.alias("tool")).agg(
+        (F.count_if(keep) / F.count("*")).alias("retention"), (F.avg(F.when(keep, q)) - F.avg(q)).alias("quality_delta"), F.avg(F.when(keep, q)).alias("quality_after"), (F.count_if(keep & (F.col("l_discount") < 0.04)) * 100 / F.count_if(keep)).alias("q30")
+    )
+    return aggregates.advice(s)
