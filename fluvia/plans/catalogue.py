@@ -544,13 +544,43 @@ sc AS (SELECT v.read_id, v.taxid, sum(w.n) AS score FROM vt v JOIN up ON up.taxi
 bs AS (SELECT read_id, sc.taxid, score >= 19 * 0.3 AS ok FROM sc JOIN dp ON dp.ancestor = sc.taxid QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, depth DESC, sc.taxid) = 1)
 SELECT read_id, CASE WHEN ok THEN 'C' ELSE 'U' END AS status, CASE WHEN ok THEN taxid ELSE '0' END AS taxid FROM rd LEFT JOIN bs USING (read_id)""")
 def kmer_classification(spark, d):
+    own_reads, genomes, tax = _short_reads(spark, d)
+    return kmer.classify(own_reads, kmer.build_table(genomes, tax, _K), tax, _K, confidence=0.3)
+
+
+def _short_reads(spark, d):
+    """Reads of 26 letters, genomes of 32 and their taxonomy."""
     k = F.col("o_orderkey")
     own = F.concat(F.substring(_letters(k % 10 + 1), (k % 7 + 1).cast("int"), F.lit(20)), F.substring(_letters(k), 1, 6))
     noise = F.substring(_letters(F.concat(F.lit("x"), k)), 1, 26)
     own_reads = A.table(spark, d, "orders").select(k.cast("string").alias("read_id"), F.when(k % 5 == 0, noise).otherwise(own).alias("sequence"))
     genomes = A.table(spark, d, "supplier").select((F.col("s_suppkey") + 1000).cast("string").alias("taxid"), _letters(F.col("s_suppkey")).alias("sequence"))
-    tax = A.taxonomy(spark, d)
-    return kmer.classify(own_reads, kmer.build_table(genomes, tax, _K), tax, _K, confidence=0.3)
+    return own_reads, genomes, A.taxonomy(spark, d)
+
+
+_M = kmer.Minimizers(k=11, l=8, spaces=2)
+
+
+def _minimizer_sql(source: str, ids: str, size: int) -> str:
+    """(ids, pos, m): the minimizer of each k-mer of strings `s` of `size` letters, letter by letter."""
+    code = lambda x, back: " + ".join(f"(strpos('{'TGCA' if back else 'ACGT'}', substring({x}, {i + 1}, 1)) - 1)::BIGINT * {4 ** (i if back else _M.l - 1 - i)}" for i in range(_M.l))
+    least = f"xor(least({code('w', False)}, {code('w', True)}) & {_M.mask}::BIGINT, {_M.toggle & _M.mask}::BIGINT)"
+    words = f"(SELECT {ids}, i, substring(s, i::INT, {_M.l}) AS w FROM {source}, range(1, {size - _M.l + 2}) r(i))"
+    return f"SELECT {ids}, pos, min(c) AS m FROM (SELECT {ids}, i, {least} AS c FROM {words}), range(1, {size - _M.k + 2}) q(pos) WHERE i BETWEEN pos AND pos + {_M.k - _M.l} GROUP BY ALL"
+
+
+@query(f"""WITH RECURSIVE {A.UP}, g AS (SELECT (1000 + s_suppkey)::VARCHAR AS taxid, {_dna('s_suppkey::VARCHAR')} AS s FROM supplier), gk AS (SELECT DISTINCT taxid, m FROM ({_minimizer_sql('g', 'taxid', 32)})),
+dp AS (SELECT taxid AS ancestor, count(*) AS depth FROM up GROUP BY 1), nn AS (SELECT m, count(*) AS n FROM gk GROUP BY 1), sh AS (SELECT m, ancestor, count(*) AS c FROM gk JOIN up USING (taxid) GROUP BY ALL),
+kt AS (SELECT m, arg_max(ancestor, depth) AS taxid FROM sh JOIN nn USING (m) JOIN dp USING (ancestor) WHERE c = n GROUP BY 1),
+rd AS (SELECT o_orderkey::VARCHAR AS read_id, CASE WHEN o_orderkey % 5 = 0 THEN substring({_dna("'x' || o_orderkey")}, 1, 26) ELSE substring({_dna('(o_orderkey % 10 + 1)::VARCHAR')}, (o_orderkey % 7 + 1)::INT, 20) || substring({_dna('o_orderkey::VARCHAR')}, 1, 6) END AS s FROM orders),
+rk AS ({_minimizer_sql('rd', 'read_id', 26)}), rl AS (SELECT *, CASE WHEN m = lag(m) OVER (PARTITION BY read_id ORDER BY pos) THEN 0 ELSE 1 END AS first FROM rk),
+vt AS (SELECT read_id, taxid, count(*) AS n, sum(first) AS runs FROM rl JOIN kt USING (m) GROUP BY ALL), gr AS (SELECT read_id, sum(runs) AS hits FROM vt GROUP BY 1),
+sc AS (SELECT v.read_id, v.taxid, sum(w.n) AS score FROM vt v JOIN up ON up.taxid = v.taxid JOIN vt w ON w.read_id = v.read_id AND w.taxid = up.ancestor GROUP BY ALL),
+bs AS (SELECT read_id, sc.taxid, score >= 16 * 0.3 AND hits >= 2 AS ok FROM sc JOIN gr USING (read_id) JOIN dp ON dp.ancestor = sc.taxid QUALIFY row_number() OVER (PARTITION BY read_id ORDER BY score DESC, depth DESC, sc.taxid) = 1)
+SELECT read_id, CASE WHEN ok THEN 'C' ELSE 'U' END AS status, CASE WHEN ok THEN taxid ELSE '0' END AS taxid FROM rd LEFT JOIN bs USING (read_id)""")
+def minimizer_classification(spark, d):
+    own_reads, genomes, tax = _short_reads(spark, d)
+    return kmer.classify_minimizers(own_reads, kmer.build_minimizer_table(genomes, tax, _M), tax, _M, confidence=0.3, min_hit_groups=2)
 
 
 _ADAPTER = "AATGTACTTCG"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fluvia.functions.scalars import basename
-from fluvia.operators import aggregates, inputs, joins, reads, validation
+from fluvia.operators import aggregates, inputs, joins, reads, scores, trimming, validation
 from fluvia.sources import sinks
 
 from . import adapters as A
@@ -204,3 +204,36 @@ def qc_advice_by_tool(spark, d):
         (F.count_if(keep) / F.count("*")).alias("retention"), (F.avg(F.when(keep, q)) - F.avg(q)).alias("quality_delta"), F.avg(F.when(keep, q)).alias("quality_after"), (F.count_if(keep & (F.col("l_discount") < 0.04)) * 100 / F.count_if(keep)).alias("q30")
     )
     return aggregates.advice(s)
+
+
+_SCORED = f"""WITH {A.READS}, u AS (SELECT sample_id, read_id, length(sequence) AS n, unnest(string_split(quality, '')) AS c, generate_subscripts(string_split(quality, ''), 1) AS i FROM reads WHERE sequence <> ''),
+e AS (SELECT *, least({scores.UNIT}, round({scores.UNIT} * power(10::DOUBLE, (33 - ascii(c)) / 10::DOUBLE)))::BIGINT AS p FROM u),
+w AS (SELECT *, sum(p) OVER (PARTITION BY read_id ORDER BY i ROWS 249 PRECEDING) AS s FROM e),
+t AS (SELECT sample_id, read_id, n, sum(p)::DOUBLE AS total, max(s) FILTER (i >= least(250, n))::DOUBLE AS worst FROM w GROUP BY ALL),
+q AS (SELECT sample_id, read_id, n, 100.0::DOUBLE - total / n / {scores.UNIT / 100}::DOUBLE AS mean_q, 100.0::DOUBLE - worst / least(n, 250) / {scores.UNIT / 100}::DOUBLE AS window_q FROM t),
+sc AS (SELECT *, sqrt(100.0::DOUBLE * n / (n + 5000) * mean_q) * (window_q / mean_q) AS score FROM q)"""
+
+
+@query(f"{_SCORED}, b AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before, sum(n) OVER (PARTITION BY sample_id) AS al FROM sc WHERE n >= 200 AND window_q >= 99.5 WINDOW w AS (PARTITION BY sample_id ORDER BY score DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT sample_id, read_id, mean_q, window_q, score FROM b WHERE before < al * 0.9::DOUBLE")
+def best_scored_reads(spark, d):
+    own = scores.scored(A.reads(spark, d).filter("sequence <> ''"))
+    return scores.keep_best(own, ["sample_id"], 90, min_length=200, min_window_q=99.5).select("sample_id", "read_id", "mean_q", "window_q", "score")
+
+
+@query(f"{_SCORED}, b AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before FROM sc WINDOW w AS (PARTITION BY sample_id ORDER BY score DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT sample_id, read_id FROM b WHERE before < 50000")
+def best_reads_to_target(spark, d):
+    return scores.keep_best(scores.scored(A.reads(spark, d).filter("sequence <> ''")), ["sample_id"], target=50_000).select("sample_id", "read_id")
+
+
+_ENDS = "GGTTACGTCCATTGCA"
+
+
+@query(f"""WITH r AS (SELECT p_partkey AS read_id, repeat('A', (p_partkey % 5)::INT) || '{_ENDS[:7]}' || CASE p_partkey % 3 WHEN 0 THEN '{_ENDS[7]}' WHEN 1 THEN '' ELSE 'N' END || '{_ENDS[8:]}' AS head, repeat('N', 40 + (p_partkey % 9)::INT) AS body, CASE WHEN p_partkey % 4 = 0 THEN '{_ENDS}' || repeat('N', 60) ELSE '' END AS rest FROM part)
+SELECT read_id, 1 AS piece, body AS sequence FROM r UNION ALL SELECT read_id, 2, repeat('N', 60) FROM r WHERE rest <> ''""")
+def adapters_with_errors(spark, d):
+    k = F.col("p_partkey")
+    middle = F.when(k % 3 == 0, _ENDS[7]).when(k % 3 == 1, "").otherwise("N")
+    head = F.concat(F.repeat(F.lit("A"), (k % 5).cast("int")), F.lit(_ENDS[:7]), middle, F.lit(_ENDS[8:]))
+    body = F.concat(F.repeat(F.lit("N"), (k % 9 + 40).cast("int")), F.when(k % 4 == 0, _ENDS + "N" * 60).otherwise(""))
+    own = A.table(spark, d, "part").select(k.alias("read_id"), F.concat(head, body).alias("sequence"), F.concat(head, body).alias("quality"))
+    return trimming.split_reads(own, [_ENDS], window=32, end_share=0.1, inner_share=0.05, least=20).select("read_id", "piece", "sequence")
