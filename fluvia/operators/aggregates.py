@@ -89,12 +89,13 @@ def alerts(state: DataFrame, min_files: float | None = None, max_age_ms: float |
 
 def merge_read_stats(stats: DataFrame, keys: list[str]) -> DataFrame:
     """Merge read statistics of batches: sums, extremes over batches with reads, rates weighted by bases; the quartiles
-    and N50 of the merged set are estimates from its mean length."""
+    and N50 of the merged set are estimates from its mean length. sum_gap and sum_n are summed where stats have them."""
     w = lambda c: F.coalesce(F.try_divide(F.sum(F.col(c) * F.col("sum_len")), F.sum("sum_len")), F.lit(0.0))
     some = F.col("num_seqs") > 0
     out = stats.groupBy(*keys).agg(
         F.sum("num_seqs").alias("num_seqs"), F.sum("sum_len").alias("sum_len"), F.coalesce(F.min(F.when(some, F.col("min_len"))), F.lit(0)).alias("min_len"), F.coalesce(F.max(F.when(some, F.col("max_len"))), F.lit(0)).alias("max_len"),
         w("q20").alias("q20"), w("q30").alias("q30"), w("avg_qual").alias("avg_qual"), w("gc").alias("gc"),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("sum_gap", "sum_n") if c in stats.columns),
     )
     mean = ratio(F.col("sum_len"), F.col("num_seqs"))
     return out.withColumns({"avg_len": mean, "q1": mean * 0.75, "q2": mean, "q3": mean * 1.5, "n50": F.floor(mean).cast("long"), "n50_num": F.floor(F.col("num_seqs") / 2).cast("long")})

@@ -7,6 +7,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .aggregates import read_set_stats
+from .reads import quality_stats
+from .windows import half_mass
+
 #: Error probabilities are whole numbers of 10**-12, so that sums do not depend on their order.
 UNIT = 10**12
 _ERRORS = np.array([min(UNIT, round(UNIT * 10 ** (-q / 10))) for q in range(-33, 223)], np.int64)
@@ -60,3 +64,14 @@ def keep_best(rows: DataFrame, keys: list[str], percent: float | None = None, ta
     w = Window.partitionBy(*keys).orderBy(F.desc("score"), "read_id").rowsBetween(Window.unboundedPreceding, -1)
     ranked = met.filter("_part").withColumn("_more", F.coalesce(F.sum("_n").over(w), F.lit(0))).filter("_before + _more < _bound")
     return met.filter("not _part").select(rows.columns).unionByName(ranked.select(rows.columns))
+
+
+def full_stats(reads: DataFrame, keys: list[str]) -> DataFrame:
+    """All statistics of read sets: read_set_stats(), N50 and the reads that reach it, quality_stats(), and avg_qual, the
+    score of the mean error probability of all letters (two places; null without letters). Keys are not null."""
+    own = reads.withColumns({"length": F.length("sequence"), "_e": errors(F.col("quality"))["total"]})
+    mean = F.sum("_e").cast("double") / F.lit(float(UNIT)) / F.sum(F.length("quality"))
+    qualities = own.groupBy(*keys).agg(F.when(F.sum(F.length("quality")) > 0, F.round(F.log10(mean) * -10, 2)).alias("avg_qual"))
+    half = half_mass(own, keys).select(*keys, "n50", F.col("l50").alias("n50_num"))
+    rates = quality_stats(reads, keys).select(*keys, "q20", "q30", "gc", "sum_gap", "sum_n")
+    return read_set_stats(reads, keys).join(half, keys, "left").join(rates, keys).join(qualities, keys)

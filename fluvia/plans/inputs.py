@@ -237,3 +237,30 @@ def adapters_with_errors(spark, d):
     body = F.concat(F.repeat(F.lit("N"), (k % 9 + 40).cast("int")), F.when(k % 4 == 0, _ENDS + "N" * 60).otherwise(""))
     own = A.table(spark, d, "part").select(k.alias("read_id"), F.concat(head, body).alias("sequence"), F.concat(head, body).alias("quality"))
     return trimming.split_reads(own, [_ENDS], window=32, end_share=0.1, inner_share=0.05, least=20).select("read_id", "piece", "sequence")
+
+
+_COUNT = "sum(length(regexp_replace({c}, '[^{x}]', '', 'g')))::BIGINT"
+_FULL = f"""WITH {A.READS}, ln AS (SELECT sample_id, batch, read_id, sequence, quality, length(sequence) AS length FROM reads),
+hf AS (SELECT sample_id, batch, max(length) AS n50, min(rn) AS n50_num FROM (SELECT *, sum(length) OVER w AS cum, sum(length) OVER (PARTITION BY sample_id, batch) AS al, row_number() OVER w AS rn FROM ln WINDOW w AS (PARTITION BY sample_id, batch ORDER BY length DESC, read_id ROWS UNBOUNDED PRECEDING)) WHERE cum * 2 >= al GROUP BY ALL),
+pq AS (SELECT sample_id, batch, sum(least({scores.UNIT}, round({scores.UNIT} * power(10::DOUBLE, (33 - ascii(c)) / 10::DOUBLE)))::BIGINT)::DOUBLE / {float(scores.UNIT)}::DOUBLE / count(*) AS p FROM (SELECT sample_id, batch, unnest(string_split(quality, '')) AS c FROM ln WHERE quality <> '') GROUP BY ALL),
+st AS (SELECT sample_id, batch, count(*) AS num_seqs, sum(length)::BIGINT AS sum_len, min(length)::INTEGER AS min_len, avg(length) AS avg_len, max(length)::INTEGER AS max_len, quantile_cont(length, 0.25)::DOUBLE AS q1, quantile_cont(length, 0.5)::DOUBLE AS q2, quantile_cont(length, 0.75)::DOUBLE AS q3,
+  {_COUNT.format(c='quality', x='5-~')} * 100 / sum(length)::DOUBLE AS q20, {_COUNT.format(c='quality', x='?-~')} * 100 / sum(length)::DOUBLE AS q30, {_COUNT.format(c='sequence', x='GCgc')} * 100 / sum(length)::DOUBLE AS gc, {_COUNT.format(c='sequence', x='. -')} AS sum_gap, {_COUNT.format(c='sequence', x='Nn')} AS sum_n FROM ln GROUP BY ALL),
+fs AS (SELECT st.*, n50, n50_num, round(log10(p) * -10, 2) AS avg_qual FROM st LEFT JOIN hf USING (sample_id, batch) JOIN pq USING (sample_id, batch))"""
+
+
+def _full(spark, d):
+    return scores.full_stats(A.reads(spark, d).filter("sample_id is not null and batch is not null"), ["sample_id", "batch"])
+
+
+@query(f"{_FULL} SELECT * FROM fs")
+def full_read_stats(spark, d):
+    return _full(spark, d)
+
+
+_MEAN = "sum({c} * sum_len) / sum(sum_len)"
+
+
+@query(f"""{_FULL}, m AS (SELECT sample_id, sum(num_seqs)::BIGINT AS num_seqs, sum(sum_len)::BIGINT AS sum_len, min(min_len) AS min_len, max(max_len) AS max_len, sum(sum_gap)::BIGINT AS sum_gap, sum(sum_n)::BIGINT AS sum_n, {', '.join(f"{_MEAN.format(c=c)} AS {c}" for c in ('q20', 'q30', 'avg_qual', 'gc'))} FROM fs GROUP BY 1)
+SELECT *, sum_len / num_seqs::DOUBLE AS avg_len, sum_len / num_seqs::DOUBLE * 0.75 AS q1, sum_len / num_seqs::DOUBLE AS q2, sum_len / num_seqs::DOUBLE * 1.5 AS q3, floor(sum_len / num_seqs::DOUBLE)::BIGINT AS n50, (num_seqs // 2)::BIGINT AS n50_num FROM m""")
+def merged_read_stats(spark, d):
+    return aggregates.merge_read_stats(_full(spark, d), ["sample_id"])
