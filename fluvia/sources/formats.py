@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from fluvia.functions import scalars
 
+from . import records
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, line_no, value) of text files. A file is one row first, as only so lines keep their order; for report-sized files."""
@@ -113,10 +115,8 @@ def flye_info(df: DataFrame) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(path, name, sequence): records are cut at their headers; names end at the first blank. Gzip by the file's name."""
-    records = spark.read.option("lineSep", "\n>").text(path).select(F.input_file_name().alias("path"), F.regexp_replace("value", "^>", "").alias("v")).filter(F.trim("v") != "")
-    head = F.regexp_extract("v", r"^([^\n]*)", 1)
-    return records.select("path", F.element_at(F.split(F.trim(head), r"\s+"), 1).alias("name"), F.regexp_replace(F.substr("v", F.length(head) + 1), r"\s", "").alias("sequence"))
+    """(path, name, sequence), read in splits that end at records; names end at the first blank, gzip is told by its bytes."""
+    return records.read(spark, "fasta", path)
 
 
 def numbered(spark: SparkSession, path: str) -> DataFrame:
@@ -130,11 +130,8 @@ def numbered(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(path, read_id, sequence, quality) of four-line records, also such as cross the splits of a large file."""
-    whole = numbered(spark, path).filter("value <> ''").withColumn("record", F.floor(F.col("line_no") / 4))
-    part = lambda i: F.max(F.when(F.col("line_no") % 4 == i, F.col("value")))
-    got = whole.groupBy("path", "record").agg(part(0).alias("h"), part(1).alias("sequence"), part(3).alias("quality"))
-    return got.filter(F.col("h").startswith("@") & (F.length("sequence") == F.length("quality"))).select("path", F.regexp_extract("h", r"^@(\S+)", 1).alias("read_id"), "sequence", "quality")
+    """(path, read_id, sequence, quality) of four-line records, read in splits that end at records, without a shuffle."""
+    return records.read(spark, "fastq", path)
 
 
 def genome_map(spark: SparkSession, path: str) -> DataFrame:
