@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import running_sums
+from .windows import last_n, running_sums
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -69,6 +69,36 @@ def session(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def session_report(snapshots: DataFrame) -> DataFrame:
+    """Totals, averages, rates and duration of a session at each batch, from snapshot() rows with batch_id and at_ms, when
+    the batch was done. The session starts with its first batch; rates are 0 until time has passed. Figures have two places,
+    those of reads none, halves up; the sizes summed are the batches' rounded megabytes."""
+    own = snapshots.withColumn("_mb", F.round(F.col("total_mb") * 100).cast("long"))
+    sums = {"total_batches": F.lit(1), "total_files": F.col("files"), "total_bytes_so_far": F.col("total_bytes"), "_total": F.col("_mb"), "total_reads": F.col("reads"), "total_compressed": F.col("compressed")}
+    s = running_sums(own.select("batch_id", "at_ms", "files", "total_bytes", "_mb", "reads", "compressed"), "batch_id", sums)
+    start = snapshots.agg(F.min_by("at_ms", "batch_id").alias("_start"))  # one row
+    s = s.crossJoin(F.broadcast(start)).withColumns({"_s": (F.col("at_ms") - F.col("_start")) / F.lit(1000.0), "_all_mb": F.col("_total") / F.lit(100.0)})
+    near = lambda x, places: F.floor(x * 10**places + 0.5) / 10**places
+    rate = lambda a, places=2, by=1.0: near(F.when(F.col("_s") > 0, F.col(a).cast("double") / F.col("_s") * F.lit(by)).otherwise(0.0), places)
+    mean = lambda a, b, places=2: near(ratio(F.col(a), F.col(b)), places)
+    n = lambda c: F.col(c).cast("long")
+    return s.select(
+        "batch_id", n("total_batches").alias("total_batches"), n("total_files").alias("total_files"), n("total_bytes_so_far").alias("total_bytes"), F.col("_all_mb").alias("total_mb"), n("total_reads").alias("total_reads"), n("total_compressed").alias("total_compressed"),
+        near(F.col("_s"), 2).alias("duration_seconds"), rate("total_files").alias("files_per_second"), rate("_all_mb").alias("mb_per_second"), rate("total_reads", 0).alias("reads_per_second"), rate("total_batches", 2, 60.0).alias("batches_per_minute"),
+        mean("total_files", "total_batches").alias("files_per_batch"), mean("_all_mb", "total_batches").alias("mb_per_batch"), mean("total_reads", "total_batches", 0).alias("reads_per_batch"), mean("_all_mb", "total_files").alias("mb_per_file"),
+    )
+
+
+#: The trends of a session and the columns of a snapshot they follow.
+TRENDS = {"batch_timestamps": "at_ms", "batch_file_counts": "files", "batch_sizes_mb": "total_mb", "batch_read_counts": "reads", "compression_ratios": "compressed_ratio", "priority_scores": "avg_priority", "large_file_ratios": "large_ratio"}
+
+
+def session_trends(snapshots: DataFrame, n: int = 100) -> DataFrame:
+    """(batch_id, trends): each figure of TRENDS over the last n batches, oldest first, in one pass."""
+    own = snapshots.select("batch_id", F.struct(*(F.col(c).alias(k) for k, c in TRENDS.items())).alias("_x"))
+    return last_n(own, [], "batch_id", "_x", n).select("batch_id", *(F.col(f"trend.{k}").alias(k) for k in TRENDS))
+
+
 def distinct_so_far(files: DataFrame, key: str) -> DataFrame:
     """(batch_id, new, known): values of key first seen in a batch, and seen until then."""
     first = files.groupBy(key).agg(F.min("batch_id").alias("batch_id")).groupBy("batch_id").agg(F.count("*").alias("new"))
@@ -139,6 +169,33 @@ def advice(compared: DataFrame) -> DataFrame:
     return own.unionByName(both.select(F.lit(None).cast("string").alias("tool"), F.explode(general).alias("advice")))
 
 
+def coverage(tests: DataFrame) -> DataFrame:
+    """(component, priority, tests, covered, percent) from rows (component, priority, hit): each pair, each component, all
+    components of P0 and P1 together ('all', 'P0+P1') and all ('all', 'all'). A missing component or priority counts in
+    the totals only."""
+    pairs = tests.groupBy("component", "priority").agg(F.count("*").alias("tests"), F.count_if("hit").alias("covered"))
+    urgent = F.col("priority").isin("P0", "P1")
+    levels = F.array_compact(F.array(
+        F.when(F.col("component").isNotNull() & F.col("priority").isNotNull(), F.struct("component", "priority")),
+        F.when(F.col("component").isNotNull(), F.struct(F.col("component").alias("component"), F.lit("all").alias("priority"))),
+        F.when(urgent, F.struct(F.lit("all").alias("component"), F.lit("P0+P1").alias("priority"))),
+        F.struct(F.lit("all").alias("component"), F.lit("all").alias("priority")),
+    ))
+    out = pairs.select(F.explode(levels).alias("_l"), "tests", "covered").groupBy("_l").agg(F.sum("tests").alias("tests"), F.sum("covered").alias("covered"))
+    return out.select("_l.*", "tests", "covered", (ratio(F.col("covered"), F.col("tests")) * 100).alias("percent"))
+
+
+def qc_records(tool: str, category: str, reads: DataFrame, side: DataFrame | None = None, stats: DataFrame | None = None, optional: bool = False) -> DataFrame:
+    """A tool's records for comparison: (sample_id, tool, category, reads, side, stats), structs of the other columns of the
+    three, each keyed by sample_id. side is what the tool says of itself (a report or a log). A sample that lacks a part is
+    left out; where the side is optional, it, or the reads, may be null. A part that is not given is null."""
+    packed = lambda t, name: t.select("sample_id", F.struct(*(c for c in t.columns if c != "sample_id")).alias(name))
+    out = packed(reads, "reads")
+    for part, name, how in ((side, "side", "full" if optional else "inner"), (stats, "stats", "inner")):
+        out = out.join(packed(part, name), "sample_id", how) if part is not None else out.withColumn(name, F.lit(None))
+    return out.select("sample_id", F.lit(tool).alias("tool"), F.lit(category).alias("category"), "reads", "side", "stats")
+
+
 def regressions(baseline: DataFrame, current: DataFrame, threshold: float = 0.1) -> DataFrame:
     """(name, delta, verdict) of tests in both runs; a baseline of 0 is left out."""
     out = baseline.select("name", F.col("value").alias("_b")).join(current.select("name", F.col("value").alias("_c")), "name").filter("_b <> 0")

@@ -141,3 +141,8 @@ def truncation(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
 def trim_masked(sequence: Column) -> Column:
     """A consensus without the N at its ends."""
     return F.regexp_replace(sequence, "^N+|N+$", "")
+
+
+def wrapped(sequence: Column, width: int = 70) -> Column:
+    """A sequence in lines of `width` letters; no break at its end."""
+    return F.regexp_replace(sequence, f"(.{{{width}}})(?=.)", "$1\n")

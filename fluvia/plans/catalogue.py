@@ -675,4 +675,4 @@ def stream_hourly_windows(spark, d):
     return batches.upserted(out, ["window_start", "event_type"]).select(F.unix_timestamp("window_start").alias("hour"), "event_type", "n", "most")
 
 
-from . import inputs, streams  # noqa: E402, F401  register their queries, and need query()
+from . import inputs, results, streams  # noqa: E402, F401  register their queries, and need query()
