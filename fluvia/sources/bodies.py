@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from fluvia.operators.reads import assembly_summary
 
+from .staging import staged_with
+
 #: The first and the last line of a body, whatever the numbers of those between are.
 FIRST, LAST = -1, (1 << 63) - 1
 FORMAT = "1.0.0"
@@ -105,12 +107,17 @@ def validation_lines(verdicts: DataFrame, order: Column, file: Column) -> DataFr
     return rows.unionByName(rows.select("file").distinct().select("file", F.lit(FIRST).cast("long").alias("row_no"), F.lit("\t".join(TABLE)).alias("value")))
 
 
+#: Samples whose counts are broadcast (some ten bytes each and a name); beyond, the join is left to Spark.
+BROADCAST_SAMPLES = 100_000
+
+
 def fastq_lines(reads: DataFrame, per_file: int = 1_000_000) -> DataFrame:
     """FASTQ files of each sample's reads (sample_id, read_id, sequence, quality), of about per_file reads each, so that a
     large sample is many tasks': a read's number in them is a hash of its id. A read is one value of four lines; reads are
-    in order of a hash, then of their text."""
-    counts = reads.groupBy(F.coalesce("sample_id", F.lit("none")).alias("_s")).agg(F.ceil(F.count("*") / per_file).cast("long").alias("_n"))
-    own = reads.withColumn("_s", F.coalesce("sample_id", F.lit("none"))).join(counts, "_s")
+    in order of another hash of the id. Only the samples' counts are joined, so that reads are shuffled once, by file."""
+    named = F.coalesce("sample_id", F.lit("none")).alias("_s")
+    counts, n = staged_with(reads.groupBy(named).agg(F.ceil(F.count("*") / per_file).cast("long").alias("_n")), "read-counts", F.lit(True))
+    own = reads.withColumn("_s", named).join(F.broadcast(counts) if n <= BROADCAST_SAMPLES else counts, "_s")
     value = F.concat(F.lit("@"), F.coalesce("read_id", F.lit("")), F.lit("\n"), F.coalesce("sequence", F.lit("")), F.lit("\n+\n"), F.coalesce("quality", F.lit("")))
     part = F.pmod(F.xxhash64("read_id"), F.col("_n"))
-    return own.select(F.concat(_file(F.col("_s"), ""), F.lit("/"), F.lpad(part.cast("string"), 6, "0"), F.lit(".fastq")).alias("file"), F.struct(F.xxhash64("read_id", F.lit(1)).alias("h"), value.alias("v")).alias("row_no"), value.alias("value"))
+    return own.select(F.concat(_file(F.col("_s"), ""), F.lit("/"), F.lpad(part.cast("string"), 6, "0"), F.lit(".fastq")).alias("file"), F.xxhash64("read_id", F.lit(1)).alias("row_no"), value.alias("value"))
