@@ -111,12 +111,15 @@ def validation_lines(verdicts: DataFrame, order: Column, file: Column) -> DataFr
 BROADCAST_SAMPLES = 100_000
 
 
-def fastq_lines(reads: DataFrame, per_file: int = 1_000_000) -> DataFrame:
-    """FASTQ files of each sample's reads (sample_id, read_id, sequence, quality), of about per_file reads each, so that a
-    large sample is many tasks': a read's number in them is a hash of its id. A read is one value of four lines; reads are
-    in order of another hash of the id. Only the samples' counts are joined, so that reads are shuffled once, by file."""
+def fastq_lines(reads: DataFrame, per_file: int = 1_000_000, file_letters: int = 64 << 20) -> DataFrame:
+    """FASTQ files of each sample's reads (sample_id, read_id, sequence, quality), of about per_file reads or file_letters
+    letters each, whichever makes more files, so that a large sample is many tasks': a read's file is told by a hash of its
+    id. A read is one value of four lines; reads are in order of another hash of the id. Only the samples' counts are
+    joined, so that reads are shuffled once, by file."""
     named = F.coalesce("sample_id", F.lit("none")).alias("_s")
-    counts, n = staged_with(reads.groupBy(named).agg(F.ceil(F.count("*") / per_file).cast("long").alias("_n")), "read-counts", F.lit(True))
+    letters = F.coalesce(F.sum(F.length("sequence").cast("long") + F.length("quality")), F.lit(0))
+    parts = F.greatest(F.ceil(F.count("*") / per_file), F.ceil(letters / file_letters)).cast("long")
+    counts, n = staged_with(reads.groupBy(named).agg(parts.alias("_n")), "read-counts", F.lit(True))
     own = reads.withColumn("_s", named).join(F.broadcast(counts) if n <= BROADCAST_SAMPLES else counts, "_s")
     value = F.concat(F.lit("@"), F.coalesce("read_id", F.lit("")), F.lit("\n"), F.coalesce("sequence", F.lit("")), F.lit("\n+\n"), F.coalesce("quality", F.lit("")))
     part = F.pmod(F.xxhash64("read_id"), F.col("_n"))

@@ -61,6 +61,8 @@ def test_reads_of_a_large_sample_go_to_many_files(spark, tmp_path):
     rows = [("big", f"r{i}", "ACGT", "!@+I") for i in range(500)] + [(None, "n", "", ""), ("a b", "dup", "A", "!"), ("a b", "dup", "A", "!")]
     committed.write(bodies.fastq_lines(spark.createDataFrame(rows, "sample_id string, read_id string, sequence string, quality string"), 50), str(tmp_path))
     assert len(list((tmp_path / "big").iterdir())) == 10
+    long = spark.createDataFrame([("one", f"r{i}", "A" * 100, "!" * 100) for i in range(200)], "sample_id string, read_id string, sequence string, quality string")
+    assert bodies.fastq_lines(long, file_letters=4000).select("file").distinct().count() == 10
     found = sorted((r.path.split("/")[-2], r.read_id, r.sequence, r.quality) for r in formats.fastq(spark, str(tmp_path)).collect())
     assert found == sorted(({"a b": "a_b", None: "none"}.get(s, s), i, q, p) for s, i, q, p in rows)
 
