@@ -1,7 +1,8 @@
 """Streams with keyed state: count-or-timer batches, running taxa of samples, results kept by batch.
 
-The state lives in the state store and survives a restart from the checkpoint. What is still held when a stream ends is
-read from the checkpoint (remainder(), final_taxa()), so nothing is lost at close. Rows of a key are taken in their own
+The state lives in the state store, or in tables that each micro-batch makes anew where a key may have more rows than a
+task should hold, and survives a restart from the checkpoint. What is still held when a stream ends is read from there
+(remainder(), final_taxa()), so nothing is lost at close. Rows of a key are taken in their own
 order within a micro-batch, so the result does not depend on how files are dealt to micro-batches as long as they come in
 that order.
 """
@@ -10,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
-from fluvia.sources.staging import fresh_path
+from fluvia.sources.staging import fresh_path, staged
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -133,13 +135,107 @@ def remainder(spark: SparkSession, checkpoint: str) -> DataFrame:
     return items.join(clock, "stream").select("stream", "number", "at", "item")
 
 
+class Versions:
+    """Small and large tables that each micro-batch of foreachBatch() makes anew from those before it. A batch that runs
+    again finds the same tables before it; of each table the last two are kept."""
+
+    def __init__(self, spark: SparkSession, path: str, schemas: dict[str, str]):
+        self.spark, self.path, self.schemas = spark, path, schemas
+
+    def _folders(self, name: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        files = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return files, {int(x.getPath().getName()[6:]): x.getPath() for x in (files.listStatus(at) if files.exists(at) else ()) if x.getPath().getName().startswith("batch=")}
+
+    def before(self, batch_id: int | None = None) -> list[DataFrame]:
+        """The tables as they were before a micro-batch, or as they are; empty before the first."""
+        # The table named last is written last, so a batch of which it is missing was not finished.
+        known = [i for i in self._folders(list(self.schemas)[-1])[1] if batch_id is None or i < batch_id]
+        read = lambda name, schema: self.spark.read.schema(schema).parquet(f"{self.path}/{name}/batch={max(known)}") if known else self.spark.createDataFrame([], schema)
+        return [read(*x) for x in self.schemas.items()]
+
+    def put(self, batch_id: int, *tables: DataFrame) -> None:
+        for name, table in zip(self.schemas, tables):
+            table.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch_id}")
+        for name in self.schemas:
+            files, found = self._folders(name)
+            for i in sorted(i for i in found if i < batch_id)[:-1]:
+                files.delete(found[i], True)
+
+
+def _each(stream: DataFrame, checkpoint: str, work) -> None:
+    """Run a stream over what is there: work(rows, batch_id) for each micro-batch, its rows as a table of the stream's own
+    session, which plans adaptively."""
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at = fresh_path(spark, "arrived")
+        batch.write.parquet(at)
+        work(spark.read.schema(batch.schema).parquet(at), batch_id)
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+_CLOCK = "stream string, start long, tick long, given long, newest long"
+
+
+def _dealt(rows: DataFrame, held: DataFrame, clock: DataFrame, n: int, period: int | None, late: int, first: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(batches, held, clock) after rows (stream, at, item), by the rules of CountOrTick. held: (stream, pos, at, item).
+
+    A key's rows are not gathered: all rows are sorted by range over the tasks, a row's place in its tick is its place in
+    its range and the rows of the ranges before, and only counts of ticks meet in windows.
+    """
+    newest = clock.agg(F.max("newest")).first()[0]
+    if newest is not None:
+        rows = rows.filter(F.col("at") > newest - late)
+    came = rows.groupBy("stream").agg(F.min("at").alias("_least"), F.max("at").alias("_most"))
+    clock = came.join(clock, "stream", "full").select("stream", F.coalesce("start", F.lit(first).cast("long"), "_least").alias("start"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("tick", "given")), F.greatest("newest", "_most").alias("newest"))
+    clock = staged(clock, "ticks-clock")
+    tick = F.greatest("tick", F.expr(f"(at - start) div {period}L")) if period else F.col("tick")
+    new = rows.join(clock, "stream").select("stream", tick.alias("tick"), F.lit(n).cast("long").alias("pos"), "at", "item")
+    order = ("stream", "tick", "pos", "at", "item")
+    every = new.unionByName(held.join(clock, "stream").select(*order))
+    ranked = staged(every.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_i", F.monotonically_increasing_id()), "ticks-ranked")
+    ranked = ranked.withColumn("_part", F.shiftright("_i", 33))
+    ranges = ranked.groupBy("stream", "tick", "_part").agg(F.count("*").alias("_c"), F.min("_i").alias("_first"))
+    ahead = Window.partitionBy("stream", "tick").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = staged(ranges.withColumn("_ahead", F.coalesce(F.sum("_c").over(ahead), F.lit(0))), "ticks-ranges")
+    by_tick = Window.partitionBy("stream").orderBy("tick")
+    full = F.ceil(F.col("_n") / n)
+    ticks = ranges.groupBy("stream", "tick").agg(F.sum("_c").alias("_n")).join(clock.select("stream", "start", "given"), "stream")
+    ticks = ticks.select("stream", "tick", "start", "_n", (F.col("given") + F.coalesce(F.sum(full).over(by_tick.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_base"), F.lead("tick").over(by_tick).isNull().alias("_last"))
+    most = clock.agg(F.max("newest")).first()[0]
+    # The watermark may have passed the end of a key's last tick, which gives out what is held.
+    over = F.lit(False) if not period or most is None else F.col("start") + (F.col("tick") + 1) * period <= most - late
+    ticks = ticks.withColumns({"_whole": F.col("_n") - F.when(F.col("_last") & ~over, F.col("_n") % n).otherwise(0), "_over": F.col("_last") & over & (F.col("_n") % n > 0)})
+    ticks = staged(ticks, "ticks")
+    places = ranges.join(ticks.select("stream", "tick", "_base", "_whole"), ["stream", "tick"]).drop("_c")
+    placed = ranked.join(places, ["stream", "tick", "_part"]).withColumn("_row", F.col("_i") - F.col("_first") + F.col("_ahead"))
+    out = placed.filter("_row < _whole").select("stream", (F.col("_base") + F.expr(f"_row div {n}L")).alias("number"), "at", "item")
+    left = placed.filter("_row >= _whole").select("stream", (F.col("_row") - F.col("_whole")).alias("pos"), "at", "item")
+    last = ticks.filter("_last").select("stream", (F.col("tick") + F.col("_over").cast("long")).alias("_tick"), (F.col("_base") + F.ceil(F.col("_whole") / n)).alias("_given"))
+    clock = clock.join(last, "stream", "left").select("stream", "start", F.coalesce("_tick", "tick").alias("tick"), F.coalesce("_given", "given").alias("given"), "newest")
+    return out, left, clock
+
+
 def batched(stream: DataFrame, n: int, seconds: float | None, path: str | None = None, late: str = "1 day") -> DataFrame:
-    """Run count_or_tick() over what is there: all batches, the remainder at close included."""
+    """All batches of a stream over what is there, by the rules of count_or_tick(), the remainder at close included. A key
+    may have any number of rows: they are numbered by ranges (see _dealt()), no task holds a key. What is held goes from
+    micro-batch to micro-batch in tables."""
     spark = stream.sparkSession
     path = path or fresh_path(spark, "batched")
-    made = count_or_tick(stream, n, seconds, late)
-    run(made, f"{path}/table", f"{path}/checkpoint")
-    return written(spark, f"{path}/table", made.schema).drop("batch").unionByName(remainder(spark, f"{path}/checkpoint"))
+    state = Versions(spark, f"{path}/state", {"held": "stream string, pos long, at long, item long", "clock": _CLOCK})
+    wait = int(pd.Timedelta(late).total_seconds() * 1000)
+
+    def work(rows: DataFrame, batch_id: int) -> None:
+        out, held, clock = _dealt(rows, *state.before(batch_id), n, int(seconds * 1000) if seconds else None, wait)
+        out.write.mode("overwrite").parquet(f"{path}/table/batch={batch_id}")
+        state.put(batch_id, held, clock)
+
+    _each(stream.select("stream", F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), F.col("item").cast("long").alias("item")), f"{path}/checkpoint", work)
+    held, clock = state.before()
+    rest = held.join(clock.select("stream", F.col("given").alias("number")), "stream").select("stream", "number", "at", "item")
+    return written(spark, f"{path}/table", rest.schema).drop("batch").unionByName(rest)
 
 
 class RunningTaxa(StatefulProcessor):
