@@ -2,7 +2,7 @@
 
 The state lives in the state store, or in tables that each micro-batch makes anew where a key may have more rows than a
 task should hold, and survives a restart from the checkpoint. What is still held when a stream ends is read from there
-(remainder(), final_taxa()), so nothing is lost at close. Rows of a key are taken in their own
+(remainder()), so nothing is lost at close. Rows of a key are taken in their own
 order within a micro-batch, so the result does not depend on how files are dealt to micro-batches as long as they come in
 that order.
 """
@@ -238,61 +238,56 @@ def batched(stream: DataFrame, n: int, seconds: float | None, path: str | None =
     return written(spark, f"{path}/table", rest.schema).drop("batch").unionByName(rest)
 
 
-class RunningTaxa(StatefulProcessor):
-    """The merged report of each sample: reads and cumul added up over batches, rank and name as first seen, the first
-    known parent. The whole report is given out after a sample's first batch and each k-th one (k <= 0: each). Rows are
-    (sample_id, batch_id, taxid, reads, cumul, rank, name, parent); a batch's rows come in one micro-batch."""
-
-    def __init__(self, k: int):
-        self.k = k
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.taxa = handle.getMapState("taxa", "taxid string", "reads long, cumul long, rank string, name string, parent string")
-        self.seen = handle.getValueState("seen", "batches long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n = self.seen.get()[0] if self.seen.exists() else 0
-        batches: dict[int, list[Row]] = {}
-        for r in rows:
-            batches.setdefault(r.batch_id, []).append(r)
-        for batch_id in sorted(batches):
-            for r in batches[batch_id]:
-                old = self.taxa.getValue((r.taxid,)) if self.taxa.containsKey((r.taxid,)) else (0, 0, r["rank"], r.name, None)
-                self.taxa.updateValue((r.taxid,), (old[0] + r.reads, old[1] + r.cumul, old[2], old[3], r.parent if old[4] is None else old[4]))
-            n += 1
-            if n == 1 or self.k <= 0 or n % self.k == 0:
-                for taxid, x in self.taxa.iterator():
-                    yield Row(sample_id=key[0], batches=n, taxid=taxid[0], reads=x[0], cumul=x[1], rank=x[2], name=x[3], parent=x[4])
-        self.seen.update((n,))
-
-    def close(self) -> None:
-        pass
-
-
 REPORT = "sample_id string, batches long, taxid string, reads long, cumul long, rank string, name string, parent string"
+_TAXA = "sample_id string, taxid string, reads long, cumul long, rank string, name string, parent string"
 
 
-def running_taxa(stream: DataFrame, k: int) -> DataFrame:
-    columns = ("sample_id", "batch_id", "taxid", "reads", "cumul", "rank", "name", "parent")
-    return stream.select(*columns).groupBy("sample_id").transformWithState(RunningTaxa(k), REPORT, "update", "None")
+def _merged(rows: DataFrame, taxa: DataFrame, seen: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(reports, taxa, seen) after a micro-batch of rows.
 
-
-def final_taxa(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """The report of each sample at the end of its stream, whatever k is."""
-    if not started(spark, checkpoint):
-        return spark.createDataFrame([], REPORT)
-    taxa = held(spark, checkpoint, "taxa").select(F.col("key.*"), F.col("user_map_key.*"), F.col("user_map_value.*"))
-    seen = held(spark, checkpoint, "seen").select(F.col("key.*"), F.col("value.batches").alias("batches"))
-    return taxa.join(seen, "sample_id").select("sample_id", "batches", "taxid", "reads", "cumul", "rank", "name", "parent")
+    Rows are summed up by the report that they are due for, and sums run over a taxon's reports; each stands until the
+    taxon's next one. Nothing gathers a sample.
+    """
+    own = rows.select("sample_id", "batch_id").distinct().join(seen, "sample_id", "left")
+    number = F.coalesce("batches", F.lit(0)) + F.row_number().over(Window.partitionBy("sample_id").orderBy("batch_id"))
+    own = staged(own.select("sample_id", "batch_id", number.cast("long").alias("_n")), "taxa-batches")
+    due = F.when(F.col("_n") == 1, 1).otherwise(F.ceil(F.col("_n") / k) * k) if k > 0 else F.col("_n")
+    first = F.struct("_n", "rank", "name")
+    new = rows.join(F.broadcast(own.withColumn("_due", due)), ["sample_id", "batch_id"]).groupBy("sample_id", "taxid", "_due").agg(
+        F.sum("reads").alias("reads"), F.sum("cumul").alias("cumul"), F.min(first).alias("_first"), F.min(F.when(F.col("parent").isNotNull(), F.struct("_n", "parent"))).alias("_parent"),
+    )
+    new = new.select("sample_id", "taxid", F.col("_due").cast("long").alias("_due"), "reads", "cumul", F.col("_first.rank").alias("rank"), F.col("_first.name").alias("name"), F.col("_parent.parent").alias("parent"))
+    w = Window.partitionBy("sample_id", "taxid").orderBy("_due")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    every = taxa.withColumn("_due", F.lit(0).cast("long")).unionByName(new)
+    every = every.select("sample_id", "taxid", *(F.sum(c).over(so_far).alias(c) for c in ("reads", "cumul")), *(F.first(c).over(so_far).alias(c) for c in ("rank", "name")), F.first("parent", ignorenulls=True).over(so_far).alias("parent"), "_due", F.lead("_due").over(w).alias("_next"))
+    every = staged(every, "taxa-sums")
+    dues = own.filter((F.col("_n") == 1) | (F.lit(k <= 0) | (F.col("_n") % max(k, 1) == 0))).groupBy("sample_id").agg(F.collect_list("_n").alias("_dues"))
+    stands = F.filter("_dues", lambda x: (x >= F.col("_due")) & (F.col("_next").isNull() | (x < F.col("_next"))))
+    reports = every.join(F.broadcast(dues), "sample_id").withColumn("batches", F.explode(stands)).select("sample_id", "batches", "taxid", "reads", "cumul", "rank", "name", "parent")
+    now = own.groupBy("sample_id").agg(F.max("_n").alias("_now")).join(seen, "sample_id", "full").select("sample_id", F.coalesce("_now", "batches").alias("batches"))
+    return reports, every.filter("_next is null").drop("_due", "_next"), now
 
 
 def reported(stream: DataFrame, k: int, path: str | None = None) -> DataFrame:
-    """Run running_taxa() over what is there: the reports after each sample's first and each k-th batch, and the last."""
+    """The merged report of each sample over what is there: reads and cumul added up over batches, rank and name as first
+    seen, the first known parent. The whole report is given out after a sample's first batch, each k-th one (k <= 0: each)
+    and the last. Rows are (sample_id, batch_id, taxid, reads, cumul, rank, name, parent); a batch's rows come in one
+    micro-batch. The sums so far go from micro-batch to micro-batch in tables."""
     spark = stream.sparkSession
     path = path or fresh_path(spark, "taxa")
-    made = running_taxa(stream, k)
-    run(made, f"{path}/table", f"{path}/checkpoint")
-    return written(spark, f"{path}/table", made.schema).drop("batch").unionByName(final_taxa(spark, f"{path}/checkpoint")).distinct()
+    state = Versions(spark, f"{path}/state", {"taxa": _TAXA, "seen": "sample_id string, batches long"})
+
+    def work(rows: DataFrame, batch_id: int) -> None:
+        reports, taxa, seen = _merged(rows, *state.before(batch_id), k)
+        reports.write.mode("overwrite").parquet(f"{path}/table/batch={batch_id}")
+        state.put(batch_id, taxa, seen)
+
+    _each(stream.select("sample_id", "batch_id", "taxid", "reads", "cumul", "rank", "name", "parent"), f"{path}/checkpoint", work)
+    taxa, seen = state.before()
+    given = written(spark, f"{path}/table", spark.createDataFrame([], REPORT).schema).drop("batch")
+    last = seen.join(given.select("sample_id", "batches").distinct(), ["sample_id", "batches"], "left_anti")
+    return given.unionByName(taxa.join(last, "sample_id").select(*given.columns))
 
 
 class ByBatch(StatefulProcessor):
