@@ -296,21 +296,15 @@ class ByBatch(StatefulProcessor):
     hits); of several rows of one batch in a micro-batch the one of the greatest arrival counts."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.results = handle.getMapState("results", "batch_id string", "place long, total long, hits long")
-        self.next = handle.getValueState("next", "place long")
+        # One value for a key: it is given out whole anyway, and each call of the state is a round trip.
+        self.results = handle.getValueState("results", "results array<struct<batch_id: string, total: bigint, hits: bigint>>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        place = self.next.get()[0] if self.next.exists() else 0
+        found = {x[0]: (x[1], x[2]) for x in self.results.get()[0]} if self.results.exists() else {}
         for r in sorted(rows, key=lambda r: r.arrival):
-            own, at = (str(r.batch_id),), place
-            if self.results.containsKey(own):
-                at = self.results.getValue(own)[0]
-            else:
-                place += 1
-            self.results.updateValue(own, (at, r.total, r.hits))
-        self.next.update((place,))
-        found = sorted((x[0], b[0], x[1], x[2]) for b, x in self.results.iterator())
-        yield Row(sample_id=key[0], taxid=key[1], batches=[b for _, b, _, _ in found], total=sum(x[2] for x in found), hits=sum(x[3] for x in found))
+            found[str(r.batch_id)] = (r.total, r.hits)  # one that is there keeps its place
+        self.results.update(([(b, *x) for b, x in found.items()],))
+        yield Row(sample_id=key[0], taxid=key[1], batches=list(found), total=sum(x[0] for x in found.values()), hits=sum(x[1] for x in found.values()))
 
     def close(self) -> None:
         pass
