@@ -235,7 +235,8 @@ def adapters_with_errors(spark, d):
     middle = F.when(k % 3 == 0, _ENDS[7]).when(k % 3 == 1, "").otherwise("N")
     head = F.concat(F.repeat(F.lit("A"), (k % 5).cast("int")), F.lit(_ENDS[:7]), middle, F.lit(_ENDS[8:]))
     body = F.concat(F.repeat(F.lit("N"), (k % 9 + 40).cast("int")), F.when(k % 4 == 0, _ENDS + "N" * 60).otherwise(""))
-    own = A.table(spark, d, "part").select(k.alias("read_id"), F.concat(head, body).alias("sequence"), F.concat(head, body).alias("quality"))
+    # The table is small for what its reads take, so they are dealt to all cores before they are made.
+    own = A.table(spark, d, "part").select("p_partkey").repartition(4 * spark.sparkContext.defaultParallelism).select(k.alias("read_id"), F.concat(head, body).alias("sequence"), F.concat(head, body).alias("quality"))
     return trimming.split_reads(own, [_ENDS], window=32, end_share=0.1, inner_share=0.05, least=20).select("read_id", "piece", "sequence")
 
 
