@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluvia.sources.staging import staged
+
 from .aggregates import read_set_stats
 from .reads import quality_stats
 from .windows import half_mass
@@ -44,15 +46,18 @@ def scored(reads: DataFrame, window: int = 250, half_length: int = 5000) -> Data
     return out.withColumn("score", F.coalesce(score, F.lit(0.0))).drop("_e")
 
 
-def keep_best(rows: DataFrame, keys: list[str], percent: float | None = None, target: int | None = None, min_length: int = 0, max_length: int | None = None, min_mean_q: float = 0, min_window_q: float = 0) -> DataFrame:
+def keep_best(rows: DataFrame, keys: list[str], percent: float | None = None, target: int | None = None, min_length: int = 0, max_length: int | None = None, min_mean_q: float = 0, min_window_q: float = 0, columns: list[str] | None = None) -> DataFrame:
     """Of scored() reads within the limits, each key's best (ties by id) while those before have fewer bases than the
-    share of the key's bases and than the target.
+    share of the key's bases and than the target. columns: those of the result (all, if not given); they are staged, so
+    that the reads are scored once.
 
     Bases are summed over thousandths of the score; only reads of the one thousandth at which a bound is reached are ranked.
     """
     n = F.length("sequence")
     within = (n >= min_length) & (F.col("mean_q") >= min_mean_q) & (F.col("window_q") >= min_window_q)
     own = rows.filter(within & (n <= max_length if max_length is not None else F.lit(True))).withColumns({"_n": n.cast("long"), "_grade": F.floor(F.col("score") * 1000)})
+    columns = columns or rows.columns
+    own = staged(own.select(*dict.fromkeys([*columns, *keys, "read_id", "score"]), "_n", "_grade"), "scored")
     before = Window.partitionBy(*keys).orderBy(F.desc("_grade")).rowsBetween(Window.unboundedPreceding, -1)
     grades = own.groupBy(*keys, "_grade").agg(F.sum("_n").alias("_sum"))
     grades = grades.select("*", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"), F.sum("_sum").over(Window.partitionBy(*keys)).alias("_all"))
@@ -63,7 +68,7 @@ def keep_best(rows: DataFrame, keys: list[str], percent: float | None = None, ta
     met = own.join(grades.select(*(F.col(k).alias(f"_{k}_key") for k in keys), F.col("_grade").alias("_g"), "_before", "_bound", "_part"), [*(F.col(k).eqNullSafe(F.col(f"_{k}_key")) for k in keys), F.col("_grade") == F.col("_g")])
     w = Window.partitionBy(*keys).orderBy(F.desc("score"), "read_id").rowsBetween(Window.unboundedPreceding, -1)
     ranked = met.filter("_part").withColumn("_more", F.coalesce(F.sum("_n").over(w), F.lit(0))).filter("_before + _more < _bound")
-    return met.filter("not _part").select(rows.columns).unionByName(ranked.select(rows.columns))
+    return met.filter("not _part").select(columns).unionByName(ranked.select(columns))
 
 
 def full_stats(reads: DataFrame, keys: list[str]) -> DataFrame:

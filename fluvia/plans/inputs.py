@@ -217,12 +217,12 @@ sc AS (SELECT *, sqrt(100.0::DOUBLE * n / (n + 5000) * mean_q) * (window_q / mea
 @query(f"{_SCORED}, b AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before, sum(n) OVER (PARTITION BY sample_id) AS al FROM sc WHERE n >= 200 AND window_q >= 99.5 WINDOW w AS (PARTITION BY sample_id ORDER BY score DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT sample_id, read_id, mean_q, window_q, score FROM b WHERE before < al * 0.9::DOUBLE")
 def best_scored_reads(spark, d):
     own = scores.scored(A.reads(spark, d).filter("sequence <> ''"))
-    return scores.keep_best(own, ["sample_id"], 90, min_length=200, min_window_q=99.5).select("sample_id", "read_id", "mean_q", "window_q", "score")
+    return scores.keep_best(own, ["sample_id"], 90, min_length=200, min_window_q=99.5, columns=["sample_id", "read_id", "mean_q", "window_q", "score"])
 
 
 @query(f"{_SCORED}, b AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before FROM sc WINDOW w AS (PARTITION BY sample_id ORDER BY score DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT sample_id, read_id FROM b WHERE before < 50000")
 def best_reads_to_target(spark, d):
-    return scores.keep_best(scores.scored(A.reads(spark, d).filter("sequence <> ''")), ["sample_id"], target=50_000).select("sample_id", "read_id")
+    return scores.keep_best(scores.scored(A.reads(spark, d).filter("sequence <> ''")), ["sample_id"], target=50_000, columns=["sample_id", "read_id"])
 
 
 _ENDS = "GGTTACGTCCATTGCA"
