@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluvia.sources.staging import staged
+
 from .windows import half_mass
 
 
@@ -44,11 +46,23 @@ def phred(quality: Column) -> Column:
     return F.transform(F.filter(F.split(quality, ""), lambda c: c != ""), lambda c: F.ascii(c) - 33)
 
 
+_ERRORS = np.array([10.0 ** (q / -10.0) for q in range(-33, 223)])
+
+
 def mean_quality(quality: Column) -> Column:
-    """The score of the mean error probability."""
-    n = F.size(phred(quality))
-    total = F.aggregate(phred(quality), F.lit(0.0), lambda a, q: a + F.pow(F.lit(10.0), q / -10.0))
-    return F.when(n > 0, -10 * F.log10(total / n))
+    """The score of the mean error probability, which is summed up from the first letter to the last."""
+
+    @F.pandas_udf("double")
+    def expected(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            if text:
+                own = _ERRORS[np.frombuffer(text.encode("latin-1"), np.uint8)] if text.isascii() else 10.0 ** ((np.array([ord(c) for c in text]) - 33) / -10.0)
+                out[i] = np.cumsum(own)[-1]
+        return pd.Series(out)
+
+    n = F.length(quality)
+    return F.when(n > 0, -10 * F.log10(expected(quality) / n))
 
 
 def arithmetic_quality(quality: Column) -> Column:
@@ -69,12 +83,15 @@ def filter_reads(reads: DataFrame, f: ReadFilter = ReadFilter(), quality: Column
     return crop(kept, f.headcrop, f.tailcrop)
 
 
-def keep_best_reads(reads: DataFrame, keys: list[str], percent: float | None = 90, target: int | None = None, min_length: int = 1000) -> DataFrame:
-    """The longest reads that make up the share of bases (ties by id).
+def keep_best_reads(reads: DataFrame, keys: list[str], percent: float | None = 90, target: int | None = None, min_length: int = 1000, columns: list[str] | None = None) -> DataFrame:
+    """The longest reads that make up the share of bases (ties by id). columns: those of the result (all, if not given);
+    they are staged, so that what the reads are made of runs once.
 
     The windows run over lengths and their counts; only reads of the one length at which the share is reached are ranked.
     """
+    columns = columns or reads.columns
     n = reads.withColumn("_len", F.length("sequence")).filter(F.col("_len") >= min_length)
+    n = staged(n.select(*dict.fromkeys([*columns, *keys, "read_id"]), "_len"), "reads")
     w = Window.partitionBy(*keys).orderBy(F.desc("_len"))
     bases = F.col("_len") * F.col("_c")
     sizes = n.groupBy(*keys, "_len").agg(F.count("*").alias("_c")).select(*keys, "_len", "_c", F.coalesce(F.sum(bases).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum(bases).over(Window.partitionBy(*keys)).alias("_all"))
@@ -85,7 +102,7 @@ def keep_best_reads(reads: DataFrame, keys: list[str], percent: float | None = 9
     taken = sizes.select(*keys, "_len", "_c", F.greatest(F.lit(0), F.least("_c", most)).cast("long").alias("_take")).filter("_take > 0")
     own = n.join(taken, [*keys, "_len"])
     part = own.filter("_take < _c").withColumn("_i", F.row_number().over(Window.partitionBy(*keys, "_len").orderBy("read_id"))).filter("_i <= _take")
-    return own.filter("_take = _c").select(reads.columns).unionByName(part.select(reads.columns))
+    return own.filter("_take = _c").select(columns).unionByName(part.select(columns))
 
 
 def cut_ends(reads: DataFrame, quality: float, window: int = 4) -> DataFrame:
@@ -112,14 +129,16 @@ def cut_ends(reads: DataFrame, quality: float, window: int = 4) -> DataFrame:
     return out.withColumns({c: F.substring(c, F.col("_kept.start"), F.col("_kept.size")) for c in ("sequence", "quality")}).drop("_kept")
 
 
-def apply_preset(reads: DataFrame, keys: list[str], f: ReadFilter | str) -> DataFrame:
+def apply_preset(reads: DataFrame, keys: list[str], f: ReadFilter | str, columns: list[str] | None = None) -> DataFrame:
     """All that a preset asks for, in its tool's order: ends cut by quality, reads filtered by length and mean quality,
-    and of each key's the best that make up keep_percent of the bases."""
+    and of each key's the best that make up keep_percent of the bases. columns: those of the result (all, if not given)."""
     f = PRESETS[f] if isinstance(f, str) else f
     if f.tool == "fastp" and f.cut_quality is not None:
         reads = cut_ends(reads, f.cut_quality)
     kept = filter_reads(reads, f)
-    return keep_best_reads(kept, keys, f.keep_percent, min_length=0) if f.keep_percent is not None else kept
+    if f.keep_percent is not None:
+        return keep_best_reads(kept, keys, f.keep_percent, min_length=0, columns=columns)
+    return kept.select(columns) if columns else kept
 
 
 def base_count(sequence: Column, bases: str) -> Column:

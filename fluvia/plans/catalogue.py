@@ -452,7 +452,7 @@ def read_filter_lengths(spark, d):
 
 @query(f"WITH {A.READS}, r AS (SELECT sample_id, read_id, length(sequence) AS n FROM reads WHERE length(sequence) >= 1000), c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY sample_id ORDER BY n DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY sample_id) AS al FROM r) SELECT sample_id, read_id FROM c WHERE before * 100 < al * 90")
 def keep_best_percent(spark, d):
-    return reads.keep_best_reads(A.reads(spark, d), ["sample_id"], 90).select("sample_id", "read_id")
+    return reads.keep_best_reads(A.reads(spark, d), ["sample_id"], 90, columns=["sample_id", "read_id"])
 
 
 @query(f"WITH {A.READS} SELECT sample_id, sum(length(regexp_replace(sequence, '[^GCgc]', '', 'g')))::BIGINT AS gc, sum(length(regexp_replace(sequence, '[^ACGTacgt]', '', 'g')))::BIGINT AS acgt, sum(length(regexp_replace(sequence, '[^GCgc]', '', 'g'))) / sum(length(regexp_replace(sequence, '[^ACGTacgt]', '', 'g')))::DOUBLE AS gc_fraction FROM reads GROUP BY 1")

@@ -189,7 +189,7 @@ def quality_cut_reads(spark, d):
 @query(f"""WITH {A.READS}, m AS (SELECT sample_id, read_id, length(sequence) AS n, -10 * log10(list_sum(list_transform({_Q}, lambda x: pow(10.0, x / -10.0))) / length(quality)) AS mq FROM reads WHERE length(sequence) >= 1000),
 k AS (SELECT * FROM m WHERE mq >= 9), c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY sample_id ORDER BY n DESC, read_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY sample_id) AS al FROM k) SELECT sample_id, read_id FROM c WHERE before * 100 < al * 85""")
 def preset_reads(spark, d):
-    return reads.apply_preset(A.reads(spark, d), ["sample_id"], "metagenomics").select("sample_id", "read_id")
+    return reads.apply_preset(A.reads(spark, d), ["sample_id"], "metagenomics", ["sample_id", "read_id"])
 
 
 @query("""WITH t AS (SELECT CASE l_returnflag WHEN 'A' THEN 'fastp' WHEN 'N' THEN 'chopper' ELSE 'filtlong' END AS tool, l_quantity > 15 AS k, l_linenumber * 3 AS q, l_discount < 0.04 AS h FROM lineitem),
