@@ -143,16 +143,17 @@ def classify_minimizers(reads: DataFrame, table: DataFrame, taxonomy: DataFrame,
 
 
 def _best_paths(reads: DataFrame, hits: DataFrame, taxonomy: DataFrame, confidence: float, min_hit_groups: int) -> DataFrame:
-    """hits: (read_id, total, taxid, n, groups)."""
+    """hits: (read_id, total, taxid, n, groups). Joins by read are merged: both sides grow with the reads, and what looks small
+    as compressed shuffle files would be sent through the driver."""
     votes = hits.groupBy("read_id", "taxid").agg(F.sum("n").alias("n"), F.sum("groups").alias("groups"), F.max("total").alias("total"))
     up = ancestors(taxonomy)
     depth = up.groupBy("taxid").agg(F.count("*").alias("depth"))
-    scores = votes.select("read_id", "taxid", "total", "groups").join(up, "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "n"), ["read_id", "ancestor"])
+    scores = votes.select("read_id", "taxid", "total", "groups").join(up, "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "n").hint("merge"), ["read_id", "ancestor"])
     scores = scores.groupBy("read_id", "taxid", "total").agg(F.sum("n").alias("score"), F.max("groups").alias("groups")).join(depth, "taxid")
     order = F.struct(F.negative("score"), F.negative("depth"), F.col("taxid"))
     best = scores.groupBy("read_id").agg(F.min_by(F.struct("taxid", "score", "total"), order).alias("b"), F.sum("groups").alias("groups"))
     good = (F.col("b.score") >= F.col("b.total") * confidence) & (F.col("groups") >= min_hit_groups)
-    out = reads.select("read_id").join(best, "read_id", "left")
+    out = reads.select("read_id").join(best.hint("merge"), "read_id", "left")
     ok = F.coalesce(good, F.lit(False))
     return out.select("read_id", F.when(ok, "C").otherwise("U").alias("status"), F.when(ok, F.col("b.taxid")).otherwise("0").alias("taxid"))
 
