@@ -6,6 +6,8 @@ taxid) is the smaller one for long k: neighbouring k-mers share their least l-me
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,6 +30,22 @@ def kmers(sequence: Column, k: int) -> Column:
     return F.when(n >= k, F.filter(found, lambda x: ~x.rlike("[^ACGT]"))).otherwise(F.array().cast("array<string>"))
 
 
+def counted_kmers(sequence: Column, k: int) -> Column:
+    """An array of (kmer, n): the distinct k-mers of kmers(); null has none."""
+    good = re.compile("[ACGTacgt]*")
+
+    @F.pandas_udf("array<struct<kmer: string, n: int>>")
+    def found(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            text = text or ""
+            n = Counter(text[i : i + k].upper() for m in good.finditer(text) for i in range(m.start(), m.end() - k + 1))
+            out.append(list(n.items()))
+        return pd.Series(out)
+
+    return found(sequence)
+
+
 @dataclass(frozen=True)
 class Minimizers:
     """k-mers of k letters, minimizers of l (31 at most). Of an l-mer's letters `spaces` do not count: every second one from the
@@ -128,9 +146,11 @@ def store_table(table: DataFrame, name: str, buckets: int) -> DataFrame:
 def classify(reads: DataFrame, table: DataFrame, taxonomy: DataFrame, k: int, confidence: float = 0.0, min_hit_groups: int = 0) -> DataFrame:
     """(read_id, status, taxid): C with the taxon whose path has the most k-mer hits (ties to the deeper, then the lesser
     taxid), U with taxid 0 where none is hit, the path's share of k-mers is under confidence, or too few k-mers hit."""
-    words = reads.select("read_id", F.size(kmers(F.col("sequence"), k)).alias("total"), F.explode_outer(kmers(F.col("sequence"), k)).alias("kmer"))
-    hits = words.groupBy("read_id", "kmer").agg(F.count("*").alias("n"), F.max("total").alias("total")).join(table, "kmer")
-    return _best_paths(reads, hits.withColumn("groups", F.lit(1)), taxonomy, confidence, min_hit_groups)
+    # A read's k-mers are counted in the read and meet the table before any shuffle where the table is small.
+    own = reads.select("read_id", counted_kmers(F.col("sequence"), k).alias("x"))
+    own = own.select("read_id", F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("total"), F.explode("x").alias("x"))
+    hits = own.select("read_id", "total", F.col("x.kmer").alias("kmer"), F.col("x.n").cast("long").alias("n"), F.lit(1).cast("long").alias("groups")).join(table, "kmer")
+    return _best_paths(reads, hits, taxonomy, confidence, min_hit_groups)
 
 
 def classify_minimizers(reads: DataFrame, table: DataFrame, taxonomy: DataFrame, m: Minimizers = Minimizers(), confidence: float = 0.0, min_hit_groups: int = 0) -> DataFrame:
