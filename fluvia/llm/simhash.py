@@ -14,7 +14,9 @@ or fewer are compared by a second word of 64 one-bit min-hashes of the same shin
 texts apart; pairs are candidates if at most SKETCH_RADIUS of these differ. A bucket gives the spanning forest of its
 candidates that takes the least differing ones first, so that texts which are truly similar hang together by
 similar ones. first_rows() then compares the shingle sets of each link's two texts, and only pairs of a Jaccard
-similarity of LEAST_SIMILARITY or more stay linked: each row it drops has a partner of that similarity in its group.
+similarity of LEAST_SIMILARITY or more stay linked. A forest holds no second way between texts whose link is not
+confirmed, and not all such pairs collide; so the prefixes of the shingle sets of different groups are joined (setjoin),
+and what may be similar is compared in the same way. Two texts are linked exactly if their similarity is that.
 
 Defined cases: a null text counts as empty; an empty text has fingerprint zero and links like any other;
 repeated rows get one row each and the same result; a row whose id is null gets a fingerprint and the
@@ -23,7 +25,7 @@ component of its text's linked documents (null if no linked document has an id).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -32,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, slices, staged
+from . import setjoin
+from .common import WORD, row_key, slices, staged
 
 RADIUS, BITS, SEED, SHINGLE = 4, 64, 42, 4
 WIDE_PARTS, WIDE_RADIUS, SKETCH_RADIUS = 2, 15, 13
@@ -296,8 +299,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(staged(named, "simhash-named"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def confirmed(links: DataFrame, texts: DataFrame, words: int, least: tuple[int, int] = LEAST_SIMILARITY) -> DataFrame:
-    """The links (a, b) between texts (node, text) whose sets of word shingles have a Jaccard similarity of `least`."""
+def frequent_shingles(texts: DataFrame, words: int, n_texts: int, sample: int = 10_000, least: int = 4, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ranks), sorted by hash: shingles in `least` or more of some `sample` texts (node, text), the rarest of them first.
+
+    They only say which shingles the set join puts last, so that its groups are small; its pairs do not depend on them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [np.unique(shingle_hashes(x, words)) for x in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
+
+    picked = texts.filter(F.pmod("node", F.lit(max(1, n_texts // sample))) == 0).dropDuplicates(["node"])
+    counts = picked.select("node", "text").mapInArrow(run, "h long").groupBy("h").count().filter(F.col("count") >= least)
+    found = counts.orderBy(F.desc("count"), "h").limit(most).toArrow()
+    h, n = np.asarray(found.column("h")).view(np.uint64), np.asarray(found.column("count"))
+    by = np.argsort(h)
+    ranks = np.empty(len(h), np.int64)
+    ranks[np.lexsort((h, n))] = np.arange(len(h))
+    return h[by], ranks[by]
+
+
+def described(texts: DataFrame, words: int, least: tuple[int, int], frequent: np.ndarray, ranks: np.ndarray) -> DataFrame:
+    """(node, fp, s, n, prefix, parity) of texts (node, text): fingerprint, one-bit min-hashes, and of the set of shingles
+    its size, prefix and parities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            hashes = [shingle_hashes(x, words) for x in part.column(1).to_pylist()]
+            sets = [np.unique(h) for h in hashes]
+            firsts = [setjoin.prefix(h, frequent, ranks, least) for h in sets]
+            bounds = pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32())
+            words_of = [pa.array(np.array([f(h) for h in hashes], np.uint64).view(np.int64)) for f in (majority, minima)]
+            prefixes = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(firsts).view(np.int64)))
+            rest = [pa.array([len(h) for h in sets], pa.int64()), prefixes, pa.array([setjoin.parities(h) for h in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column(0), *words_of, *rest], ["node", "fp", "s", "n", "prefix", "parity"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, s long, n long, prefix array<long>, parity binary")
+
+
+def confirmed(links: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, least: tuple[int, int] = LEAST_SIMILARITY) -> DataFrame:
+    """The links (a, b) whose texts' sets of word shingles have a Jaccard similarity of `least`; texts gives the (node, text) of nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -307,30 +349,43 @@ def confirmed(links: DataFrame, texts: DataFrame, words: int, least: tuple[int,
 
     links = staged(links, "simhash-candidates")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = staged(texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(run, "node long, h array<long>"), "simhash-sets")
+    sets = staged(texts(nodes).select("node", "text").mapInArrow(run, "node long, h array<long>"), "simhash-sets")
     one, two = (sets.select(F.col("node").alias(x), F.col("h").alias(f"h{x}")) for x in "ab")
     both = F.size(F.array_intersect("ha", "hb"))
     pairs = links.join(one, "a").join(two, "b").withColumn("both", both)
-    return pairs.filter(least[1] * F.col("both") >= least[0] * (F.size("ha") + F.size("hb") - F.col("both"))).select("a", "b")
+    near = pairs.filter(least[1] * F.col("both") >= least[0] * (F.size("ha") + F.size("hb") - F.col("both"))).select("a", "b")
+    return staged(near, "simhash-confirmed")
 
 
 def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bucket: int = 20_000, words: int = 5) -> DataFrame:
-    """(key): the row_key() of the row to keep of each group of texts with confirmed links, the first by id, then by key.
+    """(key): the row_key() of the row to keep of each group of texts with links, the first by id, then by key.
 
-    Groups are of texts, so that rows of one id whose texts do not link stay in groups of their own. Rows whose
-    id is null are in no group.
+    Texts link if their sets of shingles have a Jaccard similarity of LEAST_SIMILARITY, and no such link is lost: the
+    fingerprints find most groups, the set join the links between what is not one group yet. Groups are of texts, so that
+    rows of one id whose texts do not link stay in groups of their own; texts without words are one text. Rows whose id
+    is null are in no group.
     """
     ident, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
-    rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), F.coalesce(text, F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
+    rows = docs.filter(ident.isNotNull()).select(row_key(ident, text).alias("key"), ident.alias("ident"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = rows.withColumn("node", F.xxhash64(F.when(F.col("text").rlike(WORD), F.col("text")).otherwise("")))
     # Of a large group of one text a single row goes on.
     first = staged(rows.groupBy("node").agg(F.min(F.struct("ident", "key")).alias("first")), "simhash-nodes")
-    keys = first.select(F.col("first.key").alias("key"))
-    texts = rows.join(keys, "key", "left_semi").select("node", "text").dropDuplicates(["node"])
-    fps = staged(fingerprints(texts, "node", "text", words, wide=True).withColumnRenamed("doc_id", "node"), "simhash")
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        keys = nodes.select(F.col("first.key").alias("key"))
+        return rows.join(keys, "key", "left_semi").dropDuplicates(["key"])
+
+    sets = staged(described(texts(first), words, LEAST_SIMILARITY, *frequent_shingles(rows, words, first.count())), "simhash")
+    of = lambda nodes: texts(first.join(nodes, "node", "left_semi"))
+    fps = sets.select("node", "fp", "s")
     # A text of each fingerprint is compared with the others of it, and stands for them in the buckets.
-    distinct = staged(fps.groupBy("fp").agg(F.min(F.struct("node", "sketch")).alias("x")).select("fp", F.col("x.node").alias("id"), F.col("x.sketch").alias("s")), "simhash-distinct")
-    same = fps.join(distinct, "fp").filter("node <> id").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
-    found = components(confirmed(links(distinct, max_bucket=max_bucket, wide=True).unionByName(same), texts, words))
+    distinct = staged(fps.groupBy("fp").agg(F.min(F.struct("node", "s")).alias("x")).select("fp", F.col("x.node").alias("id"), F.col("x.s").alias("s")), "simhash-distinct")
+    same = fps.join(distinct.select("fp", "id"), "fp").filter("node <> id").select(F.least("id", "node").alias("a"), F.greatest("id", "node").alias("b"))
+    found = components(confirmed(links(distinct, max_bucket=max_bucket, wide=True).unionByName(same), of, words))
+    found = staged(found, "simhash-found")
+    grouped = sets.join(found, "node", "left").select("node", "n", "prefix", F.coalesce("component", "node").alias("c"))
+    more = confirmed(setjoin.maybe_similar(setjoin.meeting(grouped, LEAST_SIMILARITY), sets, LEAST_SIMILARITY), of, words)
+    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     least = first.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("first").alias("first"))
     return least.select(F.col("first.key").alias("key"))
 
