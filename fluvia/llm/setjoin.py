@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -37,21 +37,21 @@ def prefix(h: np.ndarray, frequent: np.ndarray, ranks: np.ndarray, least: tuple[
     return h[: n + least[0] * n // -least[1] + 1]
 
 
-def parities(h: np.ndarray) -> bytes:
+def parities(h: np.ndarray) -> np.ndarray:
     """The parity of the number of hashes in each bin; the bins are a power of two, 0.8 of the hashes or more, 64 at least."""
     bins = 1 << max(6, int(np.ceil(np.log2(max(1, 0.8 * len(h))))))
     found = np.bincount((h & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
-    return np.packbits(found.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(found.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def differing(a: bytes, b: bytes) -> int:
+def differing(a: Column, b: Column) -> Column:
     """The bins in which parities differ; the longer ones are folded to the bins of the shorter."""
-    if len(a) > len(b):
-        a, b = b, a
-    x = int.from_bytes(a, "little")
-    for at in range(0, len(b), len(a)):
-        x ^= int.from_bytes(b[at : at + len(a)], "little")
-    return x.bit_count()
+    least = F.least(F.size(a), F.size(b))
+
+    def folded(x: Column, i: Column) -> Column:
+        return F.aggregate(F.sequence(i, F.size(x) - 1, least), F.lit(0).cast("long"), lambda y, at: y.bitwiseXOR(F.get(x, at)))
+
+    return F.aggregate(F.sequence(F.lit(0), least - 1), F.lit(0), lambda n, i: n + F.bit_count(folded(a, i).bitwiseXOR(folded(b, i))))
 
 
 def _meeting(limit: int | None, least: tuple[int, int]):
@@ -112,6 +112,7 @@ def _meeting(limit: int | None, least: tuple[int, int]):
             if batch.num_rows:
                 held.append([np.asarray(x) for x in batch.columns])
                 yield from through(False)
+                pa.default_memory_pool().release_unused()
         if held:
             yield from through(True)
 
@@ -152,12 +153,6 @@ def meeting(sets: DataFrame, least: tuple[int, int], max_bucket: int = 8192) ->
 def maybe_similar(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of sets (node, n, parity) that may be similar by their parities."""
     p, q = least
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            na, nb, one, two = (x.to_pylist() for x in batch.columns[2:])
-            near = [(p + q) * differing(x, y) <= (q - p) * (n + m) for n, m, x, y in zip(na, nb, one, two)]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
     one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
+    both = pairs.join(one, "a").join(two, "b")
+    return both.filter((p + q) * differing(F.col("pa"), F.col("pb")) <= (q - p) * (F.col("na") + F.col("nb"))).select("a", "b")

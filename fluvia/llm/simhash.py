@@ -332,10 +332,10 @@ def described(texts: DataFrame, words: int, least: tuple[int, int], frequent: np
             bounds = pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32())
             words_of = [pa.array(np.array([f(h) for h in hashes], np.uint64).view(np.int64)) for f in (majority, minima)]
             prefixes = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(firsts).view(np.int64)))
-            rest = [pa.array([len(h) for h in sets], pa.int64()), prefixes, pa.array([setjoin.parities(h) for h in sets], pa.binary())]
+            rest = [pa.array([len(h) for h in sets], pa.int64()), prefixes, pa.array([setjoin.parities(h) for h in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([part.column(0), *words_of, *rest], ["node", "fp", "s", "n", "prefix", "parity"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, fp long, s long, n long, prefix array<long>, parity binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, s long, n long, prefix array<long>, parity array<long>")
 
 
 def confirmed(links: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, least: tuple[int, int] = LEAST_SIMILARITY) -> DataFrame:

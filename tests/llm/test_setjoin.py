@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fluvia.llm import setjoin, simhash
@@ -37,8 +38,8 @@ def test_no_similar_pair_is_lost(spark, max_bucket, flush, monkeypatch):
     frequent, count = np.unique(np.concatenate(sets), return_counts=True)
     frequent, count = frequent[count > 20], count[count > 20]
     ranks = np.argsort(np.argsort(count, kind="stable"))
-    rows = [(i, len(h), setjoin.prefix(h, frequent, ranks, (4, 5)).view(np.int64).tolist(), i % 40, setjoin.parities(h)) for i, h in enumerate(sets)]
-    table = spark.createDataFrame(rows, "node long, n long, prefix array<long>, c long, parity binary").repartition(3)
+    rows = [(i, len(h), setjoin.prefix(h, frequent, ranks, (4, 5)).view(np.int64).tolist(), i % 40, setjoin.parities(h).tolist()) for i, h in enumerate(sets)]
+    table = spark.createDataFrame(rows, "node long, n long, prefix array<long>, c long, parity array<long>").repartition(3)
     met = setjoin.meeting(table, (4, 5), max_bucket)
     found = {(r.a, r.b) for r in setjoin.maybe_similar(met, table, (4, 5)).collect()}
     whole = [set(h.tolist()) for h in sets]
@@ -50,13 +51,16 @@ def test_no_similar_pair_is_lost(spark, max_bucket, flush, monkeypatch):
     assert len(found) < met.count() or max_bucket == 3
 
 
-def test_parities_bound_the_difference():
-    rng = np.random.default_rng(5)
+def test_parities_bound_the_difference(spark):
+    rng, rows = np.random.default_rng(5), []
     for _ in range(200):
         a = rng.integers(0, 1 << 63, rng.integers(0, 900)).astype(np.uint64)
         b = np.concatenate([a[: rng.integers(0, len(a) + 1)], rng.integers(0, 1 << 63, rng.integers(0, 900)).astype(np.uint64)])
-        assert setjoin.differing(setjoin.parities(a), setjoin.parities(b)) <= len(np.setxor1d(a, b))
-    assert setjoin.differing(setjoin.parities(a), setjoin.parities(a)) == 0
+        rows += [(setjoin.parities(a).tolist(), setjoin.parities(x).tolist(), len(np.setxor1d(a, x))) for x in (a, b)]
+    for r in spark.createDataFrame(rows, "a array<long>, b array<long>, n long").withColumn("found", setjoin.differing(F.col("a"), F.col("b"))).collect():
+        assert r.found <= r.n
+        if len(r.a) == len(r.b):
+            assert r.found == sum((x ^ y).bit_count() for x, y in zip(np.array(r.a).view(np.uint64).tolist(), np.array(r.b).view(np.uint64).tolist()))
 
 
 def test_groups_equal_those_of_all_similar_pairs(spark, tmp_path):
