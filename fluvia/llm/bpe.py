@@ -7,8 +7,8 @@ to one state, so the states are the last tokens, and the arcs of w's state are t
 came. The arcs are kept that way, as arrays: for each state, the state it was split from and when, and the arcs taken
 away (the merge rules). A token sequence is the encoding of its bytes if and only if the automaton reads it.
 
-Over bytes an arc is spelled out along its label, by a table (node, byte) -> node of the beginnings of all labels. One
-path at most spells each beginning of a word, so every place in a word has one state: the words of a slice are read
+Over bytes an arc is spelled out along its label, by a table (node, byte) -> node of the beginnings of all labels; it is
+kept as a sorted list of its entries, as nearly all of (node, byte) are none and each Python worker has a copy. One path at most spells each beginning of a word, so every place in a word has one state: the words of a slice are read
 side by side, a byte a step, without going back, and each place keeps the arc that led to it. Decoding emits the labels
 of the arcs. Words that came up lately are kept with their ids.
 
@@ -23,6 +23,8 @@ from __future__ import annotations
 import functools
 import json
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ from .common import read_table, slices
 #: Fixed value: the pattern that splits a text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
-LONG, WORDS = 64, 1 << 18
+LONG, WORDS, SLICE_BYTES = 64, 1 << 16, 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -117,15 +119,20 @@ class Automaton:
 
     def _spell(self, live: dict[bytes, int]) -> None:
         """The table (node, byte) -> node of the beginnings of the tokens; node 0 is the empty one, -1 none. Nodes that
-        go on have numbers below len(next)."""
+        go on have numbers below inner."""
         inner = {t[:n] for t in live for n in range(len(t))}
         number = {t: i for i, t in enumerate(sorted(inner))} | {t: len(inner) + i for i, t in enumerate(sorted(live.keys() - inner))}
-        self.next = np.full((len(inner), 256), -1, np.int32)
-        self.token = np.full(len(number), -1, np.int32)
-        for t, i in number.items():
-            if t:
-                self.next[number[t[:-1]], t[-1]] = i
-                self.token[i] = live.get(t, -1)
+        self.inner = len(inner)
+        self.token = np.fromiter((live.get(t, -1) for t in number), np.int32, len(number))
+        steps = sorted((number[t[:-1]] << 8 | t[-1], i) for t, i in number.items() if t)
+        self.steps = array("i", [k for k, _ in steps] + [(1 << 31) - 1])
+        self.nodes = np.array([i for _, i in steps] + [-1], np.int32)
+
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        key = node << 8 | byte
+        steps = np.frombuffer(self.steps, np.int32)
+        at = np.searchsorted(steps, key.astype(np.int32))
+        return np.where(steps[at] == key, self.nodes[at], -1).astype(np.int64)
 
     def arcs(self, p: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Whether each state p has the arc x; any label leads from the start, p = -1."""
@@ -165,7 +172,7 @@ class Automaton:
             word = np.concatenate([word[stay], np.arange(more)])
             start = np.concatenate([start[stay], places[:more] + e])
             node = np.concatenate([node[stay], np.zeros(more, np.int64)])
-            node = self.next[node, data[base[word] + e]].astype(np.int64)
+            node = self.step(node, data[base[word] + e])
             on = np.flatnonzero(node >= 0)
             word, start, node = word[on], start[on], node[on]
             hit = np.flatnonzero(self.token[node] >= 0)
@@ -173,7 +180,7 @@ class Automaton:
             good = self.arcs(state[start[hit]], label)
             to = places[word[hit[good]]] + e + 1
             state[to], since[to] = label[good], start[hit[good]]
-            on = np.flatnonzero(node < len(self.next))
+            on = np.flatnonzero(node < self.inner)
             word, start, node = word[on], start[on], node[on]
         ends = np.zeros(len(state), bool)
         at = (places + n)[n > 0]
@@ -190,16 +197,17 @@ class Automaton:
 
     def encode_long(self, word: bytes) -> bytes:
         """The same for one word, by a plain loop with the arcs known lately: each step of the table costs little."""
-        nexts, token, state, since, live = self.next, self.token, [-1], [0], []
+        steps, nodes, token, state, since, live = self.steps, self.nodes, self.token, [-1], [0], []
         known: dict[tuple[int, int], bool] = {}
         for e, b in enumerate(word):
             state.append(-1)
             since.append(0)
             on = []
             for s, v in [*live, (e, 0)]:
-                v = int(nexts[v, b])
-                if v < 0:
+                at = bisect_left(steps, v << 8 | b)
+                if steps[at] != v << 8 | b:
                     continue
+                v = int(nodes[at])
                 x = int(token[v])
                 if x >= 0:
                     key = (state[s], x)
@@ -209,7 +217,7 @@ class Automaton:
                         known[key] = bool(self.arcs(np.array([key[0]]), np.array([x]))[0])
                     if known[key]:
                         state[-1], since[-1] = x, s
-                if v < len(nexts):
+                if v < self.inner:
                     on.append((s, v))
             live = on
         out, at = [], len(word)
@@ -308,7 +316,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(spec.value)
-        for part in slices(batches):
+        for part in slices(batches, max_bytes=SLICE_BYTES):
             ids = codec.encode_many([x or "" for x in part.column(1).to_pylist()])
             columns = [part.column(0), pa.array(ids, pa.binary())]
             if decode:

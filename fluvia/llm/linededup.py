@@ -21,17 +21,17 @@ one row each; a document whose lines all go has an empty text. Columns of docs s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, read_table, row_key, slices, staged
 
-WINDOW, DIVISOR = 2, 4
+WINDOW, DIVISOR, SLICE_BYTES = 2, 4, 1 << 19
 CHUNK, PAIR = 0, 1
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,9 +84,9 @@ def cut(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFr
     """(kind, h, size, _id, _key, start, chunk): one row for each of pieces()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             out = [[] for _ in range(7)]
-            for key, ident, text in zip(*(c.to_pylist() for c in part.columns)):
+            for key, ident, text in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = text.encode()
                 for kind, s, e, chunk in pieces(raw, window, divisor):
                     for column, x in zip(out, (kind, xxhash.xxh3_64_intdigest(raw[s:e]), e - s, ident, key, s, chunk)):
@@ -97,6 +97,16 @@ def cut(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFr
     return docs.filter("_id is not null and _text is not null").mapInArrow(run, "kind byte, h long, size long, _id long, _key long, start long, chunk long")
 
 
+def of_bytes(text_col: str, f: Callable[[Column], Column]) -> Column:
+    """f of a text's bytes, which are made once a text, not once for each use in f."""
+    return F.element_at(F.transform(F.array(F.col(text_col).cast("string").cast("binary")), f), 1)
+
+
+def part(raw: Column, start: Column, size: Column) -> Column:
+    """`size` bytes from place `start`, counted from 0."""
+    return F.substring(raw, (start + 1).cast("int"), size.cast("int"))
+
+
 def repeated(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """(_key, spans): the pieces (start, size), in order, to remove from each text of docs (_key, _id, _text)."""
     place = F.struct("_id", "_key", "start")
@@ -111,21 +121,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> D
     pairs = staged(pairs.select("h", "size", "_id", "_key", "start"), "lines-pairs")
     pairs = pairs.join(common(pairs, "lines-common"), ["h", "size"]).select("_key", "_id", "start", "size")
     meet = chunks.drop("copy").unionByName(pairs).groupBy("_key", "_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    texts = docs.select("_key", "_text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text"):
-            keys, idents, starts, bodies = [], [], [], []
-            for key, ident, spans, text in zip(*(part.column(x).to_pylist() for x in ("_key", "_id", "spans", "_text"))):
-                raw = text.encode()
-                for x in spans:
-                    keys.append(key)
-                    idents.append(ident)
-                    starts.append(x["start"])
-                    bodies.append(raw[x["start"] : x["start"] + x["size"]])
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, idents, starts)] + [pa.array(bodies, pa.binary())], ["_key", "_id", "start", "body"])
-
-    bodies = meet.join(texts, "_key").select("_key", "_id", "spans", "_text").mapInArrow(run, "_key long, _id long, start long, body binary")
+    body = lambda raw: F.transform("spans", lambda x: F.struct(x["start"].alias("start"), part(raw, x["start"], x["size"]).alias("body")))
+    bodies = meet.join(docs.select("_key", "_text"), "_key").select("_key", "_id", F.inline(of_bytes("_text", body)))
     bodies = bodies.withColumns({"b": F.xxhash64("body"), "size": F.length("body")})
     bodies = staged(bodies.dropDuplicates(["_key", "start", "size"]), "lines-bodies")
     first = bodies.groupBy("body").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").select(F.xxhash64("body").alias("b"), F.length("body").alias("size"), "body", "first")
@@ -144,19 +141,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = keyed.join(gone, F.col(own) == F.col(key), "left")
     joined = joined.withColumns({starts: F.col(spans)["start"], ends: F.transform(spans, lambda x: x["start"] + x["size"])})
 
-    @F.pandas_udf("string")
-    def without(text, starts, ends):
-        out = text.astype(object).copy()
-        for i, (t, begin, end) in enumerate(zip(text, starts, ends)):
-            if t is not None and begin is not None:
-                raw, left, at = t.encode(), [], 0
-                for s, e in zip(begin, end):
-                    left.append(raw[at:s])
-                    at = max(at, e + (raw[e : e + 1] == b"\n"))  # a piece goes with the newline after it
-                out.iat[i] = b"".join([*left, raw[at:]]).decode()
-        return out
-
-    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col(starts), F.col(ends)))
+    def without(raw: Column) -> Column:
+        # Spans lie in order by their starts and by their ends too: a chunk that goes has no other piece inside it.
+        at = F.transform(ends, lambda e: e + F.when(part(raw, e, F.lit(1)) == F.lit(b"\n"), 1).otherwise(0))  # a piece goes with the newline after it
+        at, to = F.concat(F.array(F.lit(0).cast("long")), at), F.concat(starts, F.array(F.length(raw).cast("long")))
+        return F.array_join(F.zip_with(at, to, lambda s, e: part(raw, s, F.greatest(e - s, F.lit(0))).cast("string")), "")
+
+    text = F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(of_bytes(text_col, without))
     if not counts:
         return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
     before = F.concat(F.array(F.lit(-2).cast("long")), ends)

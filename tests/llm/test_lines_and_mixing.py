@@ -36,6 +36,15 @@ def test_repeated_chunks_go(spark):
     assert {r._key for r in found.collect()} == {5}
 
 
+def test_texts_are_cut_by_builtin_functions(spark):
+    """Whole batches of texts, old and new, in Python workers are what took an executor over its memory."""
+    a, b = "é one\ntwo €\n\n", "x\ny"
+    docs = spark.createDataFrame([(1, a + "own"), (2, "first\n" + a + b), (3, b), (4, a[:-2]), (5, "own\n" + b + "\n")], "doc_id long, text string")
+    found = linededup.dedup_lines(docs, counts=("runs", "bytes"))
+    assert {r.doc_id: (r.text, r.runs, r.bytes) for r in found.collect()} == {1: (a + "own", 0, 0), 2: ("first\n\n" + b, 1, 15), 3: ("", 1, 3), 4: ("", 1, 14), 5: ("own\n", 1, 4)}
+    assert not any(x in found._jdf.queryExecution().toString() for x in ("Python", "InArrow"))
+
+
 def test_boundaries_resist_shifts():
     lines = [f"line {i * i % 97}".encode() for i in range(200)]
 
