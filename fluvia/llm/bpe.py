@@ -38,7 +38,7 @@ from .common import read_table, slices
 #: Fixed value: the pattern that splits a text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
-LONG, WORDS, SLICE_BYTES = 64, 1 << 16, 1 << 20
+LONG, WORDS, FEW_WORDS, SLICE_BYTES = 64, 1 << 18, 1 << 16, 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -254,10 +254,10 @@ class Codec:
         self.label_size = np.diff(self.label_at)
         self.words: dict[str, bytes] = {}
 
-    def learn(self, texts: Iterable[list[str]]) -> None:
-        """Encode the words of texts that are not known yet. Of more than WORDS known, only these texts' are kept."""
+    def learn(self, texts: Iterable[list[str]], most: int = WORDS) -> None:
+        """Encode the words of texts that are not known yet. Of more than `most` known, only these texts' are kept."""
         now = set().union(*texts)
-        if len(self.words) > WORDS:
+        if len(self.words) > most:
             self.words = {w: x for w, x in self.words.items() if w in now}
         new = [w for w in now if w not in self.words]
         raw = [w.encode() for w in new]
@@ -276,7 +276,7 @@ class Codec:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         parts = [self.parts(x) for x in texts]
-        self.learn(parts)
+        self.learn(parts, FEW_WORDS)
         self.words.update((s, np.array([i], "<u4").tobytes()) for s, i in self.special.items())
         return [b"".join(map(self.words.__getitem__, x)) for x in parts]
 
