@@ -5,17 +5,22 @@ n - ceil(p n / q) + 1 of each, so sets that share no hash of these prefixes are
 1 + min(n - 1 - i, m - 1 - j) common hashes at most, which must be p (n + m) / (p + q) or more. The order may be any:
 hashes that are frequent in some of the sets come last, the others by value, so that few sets meet at a prefix.
 
+A hash that the sample did not show as frequent may still be of more sets the more there are, and their pairs would grow
+with the square. So a set gives its pairs at a hash if these are CROWD or fewer. Sets with more at some hash meet each other
+anew, by the prefixes of a second order, from the hash of the fewest of them to that of the most, counted in all of them:
+a pair is given where one of the two has few there, and where both have more, both are in the second order.
+
 Of pairs that meet, parities are compared: two sets differ in as many hashes at least as there are bins in which the
 parities of their numbers of hashes differ. What passes is left to an exact comparison.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -23,6 +28,8 @@ from .common import staged
 _ROW = ("h", "g", "block", "node", "n", "i", "c")
 #: Pairs that are given out at once.
 FLUSH = 1 << 18
+#: Pairs that a set gives at a hash in the first order.
+CROWD = 32
 
 
 def prefix(h: np.ndarray, frequent: np.ndarray, ranks: np.ndarray, least: tuple[int, int]) -> np.ndarray:
@@ -54,10 +61,11 @@ def differing(a: Column, b: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), least - 1), F.lit(0), lambda n, i: n + F.bit_count(folded(a, i).bitwiseXOR(folded(b, i))))
 
 
-def _meeting(limit: int | None, least: tuple[int, int]):
+def _meeting(limit: int | None, least: tuple[int, int], crowd: int | None = None):
     """For mapInArrow over rows of _ROW sorted by (h, g, c): the pairs (a, b) of different c that may be similar.
 
-    Rows of one block do not meet, unless the block is negative. Rows of an (h, g) over the limit come back as they are.
+    Rows of one block do not meet, unless the block is negative. Rows of an (h, g) over the limit come back as they are,
+    and so do rows that are in more than crowd pairs, without the pairs of two such rows.
     """
     p, q = least
 
@@ -66,21 +74,35 @@ def _meeting(limit: int | None, least: tuple[int, int]):
         _, _, block, node, n, i, c = columns
         new = np.flatnonzero((ends[1:] != ends[:-1]) | (c[1:] != c[:-1])) + 1
         sizes = np.diff(np.concatenate([[0], new, [len(c)]]))
-        rows, other, found, size = np.arange(len(c)), np.repeat(np.cumsum(sizes), sizes), [], 0
-        while True:
-            more = other < ends[rows]
-            rows, other = rows[more], other[more]
-            if size > FLUSH or not len(rows):
-                yield _batch(*np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), [x[:0] for x in columns])
+
+        def met() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            rows, other = np.arange(len(c)), np.repeat(np.cumsum(sizes), sizes)
+            while True:
+                more = other < ends[rows]
+                rows, other = rows[more], other[more]
+                if not len(rows):
+                    return
+                left = 1 + np.minimum(n[rows] - 1 - i[rows], n[other] - 1 - i[other])
+                may = ((p + q) * left >= p * (n[rows] + n[other])) & ((block[rows] != block[other]) | (block[rows] < 0))
+                yield rows[may], other[may]
+                other = other + 1
+
+        many = np.zeros(len(c), bool)
+        if crowd:
+            count = np.zeros(len(c), np.int64)
+            for one, two in met():
+                count[one] += 1
+                count[two] += 1
+            many = count > crowd
+        nothing, found, size = np.empty((2, 0), np.int64), [], 0
+        for one, two in met():
+            few = ~(many[one] & many[two])
+            found.append(np.array([node[one[few]], node[two[few]]]))
+            size += int(few.sum())
+            if size > FLUSH:
+                yield _batch(*np.concatenate(found, axis=1), [x[:0] for x in columns])
                 found, size = [], 0
-            if not len(rows):
-                return
-            left = 1 + np.minimum(n[rows] - 1 - i[rows], n[other] - 1 - i[other])
-            may = ((p + q) * left >= p * (n[rows] + n[other])) & ((block[rows] != block[other]) | (block[rows] < 0))
-            if may.any():
-                found.append(np.array([node[rows[may]], node[other[may]]]))
-                size += int(may.sum())
-            other = other + 1
+        yield _batch(*np.concatenate([nothing, *found], axis=1), [x[many] for x in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, over = [], None  # over: the bucket whose rows are given back
@@ -125,24 +147,50 @@ def _batch(a: np.ndarray, b: np.ndarray, back: list[np.ndarray]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*found, *(pa.concat_arrays([nulls(len(a)), pa.array(x)]) for x in back)], ["a", "b", *_ROW])
 
 
-def meeting(sets: DataFrame, least: tuple[int, int], max_bucket: int = 8192) -> DataFrame:
+def rarest_first(sets: DataFrame, hashes: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """(node, n, c, i, h): prefixes of sets (node, n, c) with their hashes (node, h array), the hashes of the fewest sets first.
+
+    Hashes of sets of one c only come before all others; no pair meets at them, so they are counted and not given.
+    """
+    p, q = least
+    each = hashes.join(sets.select("node", "c"), "node").select("node", "c", F.explode("h").alias("h"))
+    counts = each.groupBy("h").agg(F.count("*").alias("sets"), F.min("c").alias("one"), F.max("c").alias("two"))
+    shared = each.select("node", "h").join(counts.filter("one < two").select("h", "sets"), "h")
+    own = Window.partitionBy("node")
+    shared = shared.withColumn("at", F.row_number().over(own.orderBy("sets", "h"))).withColumn("k", F.count("*").over(own))
+    found = shared.join(sets.select("node", "n", "c"), "node").withColumn("i", F.col("n") - F.col("k") + F.col("at") - 1)
+    return found.filter(q * (F.col("n") - F.col("i")) >= p * F.col("n")).select("node", "n", "c", "i", "h")
+
+
+def meeting(sets: DataFrame, least: tuple[int, int], max_bucket: int = 8192, hashes: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(a, b), a < b, of sets (node, n, prefix, c) of different c that meet at a hash and may be similar by sizes and places.
 
-    The sets of a hash are compared in one task, up to max_bucket; more are dealt into blocks, of which each two meet in
-    a task, so that memory is bounded and no task has a group of any size.
+    hashes gives the (node, h array) of nodes, for the second order; without it there is the first one only. The sets of a
+    hash are compared in one task, up to max_bucket; more go to the second order and are dealt into blocks there, of which
+    each two meet in a task, so that memory is bounded and no task has a group of any size.
     """
     schema = ", ".join(f"{x} long" for x in ("a", "b", *_ROW))
     zero = F.lit(0).cast("long")
 
-    def met(rows: DataFrame, limit: int | None) -> DataFrame:
-        return rows.select(*(F.col(x).cast("long").alias(x) for x in _ROW)).repartition("h", "g").sortWithinPartitions("h", "g", "c").mapInArrow(_meeting(limit, least), schema)
+    def met(rows: DataFrame, limit: int | None, crowd: int | None = None) -> DataFrame:
+        return rows.select(*(F.col(x).cast("long").alias(x) for x in _ROW)).repartition("h", "g").sortWithinPartitions("h", "g", "c").mapInArrow(_meeting(limit, least, crowd), schema)
+
+    def told(rows: DataFrame, crowd: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """The pairs, and the rows that are still to meet."""
+        found = staged(met(rows.select("*", zero.alias("g"), (zero - 1).alias("block")), max_bucket, crowd), "setjoin-meeting")
+        return found.filter("a is not null").select("a", "b"), found.filter("a is null")
+
+    def sizes(large: DataFrame) -> DataFrame:
+        return large.groupBy("h").agg(F.count("*").alias("size"), F.min("c").alias("one"), F.max("c").alias("two")).filter("one < two")
 
-    rows = sets.select(zero.alias("g"), (zero - 1).alias("block"), "node", "n", "c", F.posexplode("prefix").alias("i", "h"))
-    first = staged(met(rows, max_bucket), "setjoin-meeting")
-    pairs, large = first.filter("a is not null").select("a", "b"), first.filter("a is null")
+    pairs, large = told(sets.select("node", "n", "c", F.posexplode("prefix").alias("i", "h")), CROWD if hashes else None)
+    if hashes and not large.isEmpty():
+        crowded = staged(large.join(sizes(large), "h", "left_semi").select("node", "n", "c").distinct(), "setjoin-crowded")
+        more, large = told(rarest_first(crowded, staged(hashes(crowded.select("node")), "setjoin-hashes"), least))
+        pairs = pairs.unionByName(more)
     if not large.isEmpty():
-        blocks = large.groupBy("h").agg(F.ceil(F.count("*") / max_bucket).alias("blocks"), F.min("c").alias("one"), F.max("c").alias("two"))
-        dealt = large.drop("g", "block").join(blocks.filter("one < two").select("h", "blocks"), "h").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+        blocks = sizes(large).select("h", F.ceil(F.col("size") / max_bucket).alias("blocks"))
+        dealt = large.drop("g", "block").join(blocks, "h").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
         dealt = dealt.withColumn("with", F.explode(F.sequence(zero, F.col("blocks") - 1)))
         g = F.least("own", "with") * F.col("blocks") + F.greatest("own", "with")
         dealt = dealt.select("h", g.alias("g"), F.when(F.col("own") == F.col("with"), -1).otherwise(F.col("own")).alias("block"), "node", "n", "i", "c")

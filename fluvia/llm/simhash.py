@@ -299,10 +299,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(staged(named, "simhash-named"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def frequent_shingles(texts: DataFrame, words: int, n_texts: int, sample: int = 10_000, least: int = 4, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, ranks), sorted by hash: shingles in `least` or more of some `sample` texts (node, text), the rarest of them first.
+def frequent_shingles(texts: DataFrame, words: int, n_texts: int, sample: int = 10_000, share: int = 5, least: int = 4, most: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ranks), sorted by hash: shingles in `least` or more of some of the texts (node, text), the rarest of them first.
 
-    They only say which shingles the set join puts last, so that its groups are small; its pairs do not depend on them.
+    Some are one text in `share`, or `sample` if these are more, so that what is frequent does not depend on how many there
+    are. They only say which shingles the set join puts last, so that its groups are small; its pairs do not depend on them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +311,7 @@ def frequent_shingles(texts: DataFrame, words: int, n_texts: int, sample: int =
             found = [np.unique(shingle_hashes(x, words)) for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["h"])
 
-    picked = texts.filter(F.pmod("node", F.lit(max(1, n_texts // sample))) == 0).dropDuplicates(["node"])
+    picked = texts.filter(F.pmod("node", F.lit(min(share, max(1, n_texts // sample)))) == 0).dropDuplicates(["node"])
     counts = picked.select("node", "text").mapInArrow(run, "h long").groupBy("h").count().filter(F.col("count") >= least)
     found = counts.orderBy(F.desc("count"), "h").limit(most).toArrow()
     h, n = np.asarray(found.column("h")).view(np.uint64), np.asarray(found.column("count"))
@@ -338,8 +339,8 @@ def described(texts: DataFrame, words: int, least: tuple[int, int], frequent: np
     return texts.select("node", "text").mapInArrow(run, "node long, fp long, s long, n long, prefix array<long>, parity array<long>")
 
 
-def confirmed(links: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, least: tuple[int, int] = LEAST_SIMILARITY) -> DataFrame:
-    """The links (a, b) whose texts' sets of word shingles have a Jaccard similarity of `least`; texts gives the (node, text) of nodes."""
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, h) of texts (node, text): the different hashes of the shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -347,9 +348,14 @@ def confirmed(links: DataFrame, texts: Callable[[DataFrame], DataFrame], words:
             bounds = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(found)))], ["node", "h"])
 
+    return texts.select("node", "text").mapInArrow(run, "node long, h array<long>")
+
+
+def confirmed(links: DataFrame, texts: Callable[[DataFrame], DataFrame], words: int, least: tuple[int, int] = LEAST_SIMILARITY) -> DataFrame:
+    """The links (a, b) whose texts' sets of word shingles have a Jaccard similarity of `least`; texts gives the (node, text) of nodes."""
     links = staged(links, "simhash-candidates")
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = staged(texts(nodes).select("node", "text").mapInArrow(run, "node long, h array<long>"), "simhash-sets")
+    sets = staged(shingle_sets(texts(nodes), words), "simhash-sets")
     one, two = (sets.select(F.col("node").alias(x), F.col("h").alias(f"h{x}")) for x in "ab")
     both = F.size(F.array_intersect("ha", "hb"))
     pairs = links.join(one, "a").join(two, "b").withColumn("both", both)
@@ -384,7 +390,8 @@ def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = components(confirmed(links(distinct, max_bucket=max_bucket, wide=True).unionByName(same), of, words))
     found = staged(found, "simhash-found")
     grouped = sets.join(found, "node", "left").select("node", "n", "prefix", F.coalesce("component", "node").alias("c"))
-    more = confirmed(setjoin.maybe_similar(setjoin.meeting(grouped, LEAST_SIMILARITY), sets, LEAST_SIMILARITY), of, words)
+    met = setjoin.meeting(grouped, LEAST_SIMILARITY, hashes=lambda nodes: shingle_sets(of(nodes), words))
+    more = confirmed(setjoin.maybe_similar(met, sets, LEAST_SIMILARITY), of, words)
     found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     least = first.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("first").alias("first"))
     return least.select(F.col("first.key").alias("key"))

@@ -79,3 +79,29 @@ def test_groups_equal_those_of_all_similar_pairs(spark, tmp_path):
                 old, new = max(group[a], group[b]), min(group[a], group[b])
                 group = [new if g == old else g for g in group]
     assert kept == sorted(set(group))
+
+
+@pytest.mark.parametrize("max_bucket", [8192, 30])
+@pytest.mark.parametrize("flush", [1 << 18, 5])
+def test_pairs_of_a_shared_passage_do_not_grow_with_the_square(spark, max_bucket, flush, monkeypatch):
+    """Texts with one passage in common, four times as many: pairs grow with the texts, and no similar pair is lost."""
+    monkeypatch.setattr(setjoin, "FLUSH", flush)
+    made = {}
+    for size in (80, 320):
+        rng = random.Random(size)
+        passage = [f"p{i}" for i in range(40)]
+        texts = [" ".join(rng.choices([f"v{i}" for i in range(5000)], k=60) + passage) for _ in range(size)]
+        texts += _near_copies(rng, [f"u{i}" for i in range(3000)], (60,) * (size // 20), 4)
+        texts += [" ".join(passage + t.split()[:1]) for t in texts[:25]]
+        sets = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+        none = np.empty(0, np.uint64)
+        rows = [(i, len(h), setjoin.prefix(h, none, none, (4, 5)).view(np.int64).tolist(), i, h.view(np.int64).tolist()) for i, h in enumerate(sets)]
+        table = spark.createDataFrame(rows, "node long, n long, prefix array<long>, c long, h array<long>").repartition(3)
+        whole = lambda nodes: table.join(nodes, "node", "left_semi").select("node", "h")  # noqa: B023, E731
+        met = [(r.a, r.b) for r in setjoin.meeting(table, (4, 5), max_bucket, whole).collect()]
+        of = [set(h.tolist()) for h in sets]
+        similar = {(a, b) for b in range(len(of)) for a in range(b) if _similar(of[a], of[b])}
+        assert len(met) == len(set(met)) and similar <= set(met)
+        made[size] = len(met) - len(similar)
+        assert made[size] <= setjoin.CROWD * sum(len(r[2]) for r in rows) and (size < 100 or len(similar) > 300)
+    assert made[320] <= 6 * max(made[80], 320)
