@@ -13,11 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fluvia.sources.staging import staged
+
 from .tree import ancestors
 
+#: Rows of a table that is sent to all executors.
+_FEW = 1 << 18
+
 _BASES = np.full(256, 4, np.uint8)
 for _i, _b in enumerate("ACGT"):
     _BASES[ord(_b)] = _BASES[ord(_b.lower())] = _i
@@ -34,14 +40,16 @@ def counted_kmers(sequence: Column, k: int) -> Column:
     """An array of (kmer, n): the distinct k-mers of kmers(); null has none."""
     good = re.compile("[ACGTacgt]*")
 
-    @F.pandas_udf("array<struct<kmer: string, n: int>>")
-    def found(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
+    @F.arrow_udf("array<struct<kmer: string, n: int>>")
+    def found(texts: pa.Array) -> pa.Array:
+        names, counts, ends = [], [], [0]
+        for text in texts.to_pylist():
             text = text or ""
             n = Counter(text[i : i + k].upper() for m in good.finditer(text) for i in range(m.start(), m.end() - k + 1))
-            out.append(list(n.items()))
-        return pd.Series(out)
+            names += n.keys()
+            counts += n.values()
+            ends.append(len(names))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int32())], ["kmer", "n"]))
 
     return found(sequence)
 
@@ -114,17 +122,29 @@ def minimizers(sequence: Column, m: Minimizers) -> Column:
 
 def lowest_common(pairs: DataFrame, taxonomy: DataFrame, key: str) -> DataFrame:
     """(key, taxid) from distinct pairs: the deepest taxon above all of a key's taxa."""
-    up = ancestors(taxonomy)
-    depth = up.groupBy("taxid").agg(F.count("*").alias("depth")).withColumnRenamed("taxid", "ancestor")
+    up = _with_depth(taxonomy)
+    depth = up.filter("taxid = ancestor").select("ancestor", "depth")
     many = pairs.groupBy(key).agg(F.count("*").alias("n"))
-    shared = pairs.join(up, "taxid").groupBy(key, "ancestor").agg(F.count("*").alias("m")).join(many, key).filter("m = n").join(depth, "ancestor")
-    return shared.groupBy(key).agg(F.max_by("ancestor", "depth").alias("taxid"))
+    shared = looked_up(pairs, up.drop("depth"), "taxid").groupBy(key, "ancestor").agg(F.count("*").alias("m")).join(many.hint("merge"), key).filter("m = n")
+    return looked_up(shared, depth, "ancestor").groupBy(key).agg(F.max_by("ancestor", "depth").alias("taxid"))
+
+
+def _with_depth(taxonomy: DataFrame) -> DataFrame:
+    """(taxid, ancestor, depth): ancestors() with the depth of the taxon."""
+    return staged(ancestors(taxonomy).withColumn("depth", F.count("*").over(Window.partitionBy("taxid"))), "ancestors")
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """rows joined with a table. rows grow with the reads or the genomes, whatever their files' size makes Spark expect: a table
+    of few rows goes to them, no other is broadcast, and they never are."""
+    few = table.limit(_FEW + 1).count() <= _FEW
+    return rows.join(F.broadcast(table) if few else table.hint("merge"), key)
 
 
 def build_table(genomes: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
     """(kmer, taxid) from genomes (taxid, sequence): the deepest taxon above all genomes that have the k-mer."""
     pairs = genomes.select("taxid", F.explode(F.array_distinct(kmers(F.col("sequence"), k))).alias("kmer")).distinct()
-    return lowest_common(pairs, taxonomy, "kmer")
+    return staged(lowest_common(staged(pairs, "pairs"), taxonomy, "kmer"), "kmers")
 
 
 def build_minimizer_table(genomes: DataFrame, taxonomy: DataFrame, m: Minimizers = Minimizers(), piece: int = 1 << 16) -> DataFrame:
@@ -149,8 +169,8 @@ def classify(reads: DataFrame, table: DataFrame, taxonomy: DataFrame, k: int, co
     # A read's k-mers are counted in the read and meet the table before any shuffle where the table is small.
     own = reads.select("read_id", counted_kmers(F.col("sequence"), k).alias("x"))
     own = own.select("read_id", F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("total"), F.explode("x").alias("x"))
-    hits = own.select("read_id", "total", F.col("x.kmer").alias("kmer"), F.col("x.n").cast("long").alias("n"), F.lit(1).cast("long").alias("groups")).join(table, "kmer")
-    return _best_paths(reads, hits, taxonomy, confidence, min_hit_groups)
+    own = own.select("read_id", "total", F.col("x.kmer").alias("kmer"), F.col("x.n").cast("long").alias("n"), F.lit(1).cast("long").alias("groups"))
+    return _best_paths(reads, looked_up(own, table, "kmer"), taxonomy, confidence, min_hit_groups)
 
 
 def classify_minimizers(reads: DataFrame, table: DataFrame, taxonomy: DataFrame, m: Minimizers = Minimizers(), confidence: float = 0.0, min_hit_groups: int = 0) -> DataFrame:
@@ -164,12 +184,11 @@ def classify_minimizers(reads: DataFrame, table: DataFrame, taxonomy: DataFrame,
 
 def _best_paths(reads: DataFrame, hits: DataFrame, taxonomy: DataFrame, confidence: float, min_hit_groups: int) -> DataFrame:
     """hits: (read_id, total, taxid, n, groups). Joins by read are merged: both sides grow with the reads, and what looks small
-    as compressed shuffle files would be sent through the driver."""
+    as compressed shuffle files would be sent through the driver. Votes are staged, so reads are searched once."""
     votes = hits.groupBy("read_id", "taxid").agg(F.sum("n").alias("n"), F.sum("groups").alias("groups"), F.max("total").alias("total"))
-    up = ancestors(taxonomy)
-    depth = up.groupBy("taxid").agg(F.count("*").alias("depth"))
-    scores = votes.select("read_id", "taxid", "total", "groups").join(up, "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "n").hint("merge"), ["read_id", "ancestor"])
-    scores = scores.groupBy("read_id", "taxid", "total").agg(F.sum("n").alias("score"), F.max("groups").alias("groups")).join(depth, "taxid")
+    votes = staged(votes, "votes")
+    scores = looked_up(votes.drop("n"), _with_depth(taxonomy), "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "n").hint("merge"), ["read_id", "ancestor"])
+    scores = scores.groupBy("read_id", "taxid", "total", "depth").agg(F.sum("n").alias("score"), F.max("groups").alias("groups"))
     order = F.struct(F.negative("score"), F.negative("depth"), F.col("taxid"))
     best = scores.groupBy("read_id").agg(F.min_by(F.struct("taxid", "score", "total"), order).alias("b"), F.sum("groups").alias("groups"))
     good = (F.col("b.score") >= F.col("b.total") * confidence) & (F.col("groups") >= min_hit_groups)

@@ -20,3 +20,13 @@ def test_reads_are_not_broadcast(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("SortMergeJoin [read_id") == 2
     assert [tuple(r) for r in found.collect()] == [("r", "C", "2")]
+
+
+def test_kmers_of_reads_are_not_broadcast_where_their_files_are_small(spark, monkeypatch):
+    reads = spark.createDataFrame([("r", "ACGTACGTAC")], "read_id string, sequence string")
+    table = spark.createDataFrame([(f"{i:09d}", "2") for i in range(1000)], "kmer string, taxid string")
+    monkeypatch.setattr(kmer, "_best_paths", lambda reads, hits, *_: hits)
+    plan = lambda: kmer.classify(reads, table, None, 9)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin [kmer" in plan() and "BuildLeft" not in plan()
+    monkeypatch.setattr(kmer, "_FEW", 999)
+    assert "SortMergeJoin [kmer" in plan() and "Broadcast" not in plan()
