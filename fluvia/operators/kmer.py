@@ -12,7 +12,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,8 +20,8 @@ from fluvia.sources.staging import staged
 
 from .tree import ancestors
 
-#: Rows of a table that is sent to all executors.
-_FEW = 1 << 18
+#: Rows of a table that is sent to all executors, and letters that are searched at once for minimizers.
+_FEW, _LETTERS = 1 << 18, 1 << 20
 
 _BASES = np.full(256, 4, np.uint8)
 for _i, _b in enumerate("ACGT"):
@@ -103,19 +102,31 @@ def minimizers(sequence: Column, m: Minimizers) -> Column:
     """An array of (minimizer, n, groups): the k-mers with the minimizer, and the runs that they make up. null and texts
     under k letters have none."""
 
-    @F.pandas_udf("array<struct<minimizer: bigint, n: int, groups: int>>")
-    def found(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            codes, good = m.codes(text or "")
-            codes, after = codes[good], np.flatnonzero(good)
-            if not len(codes):
-                out.append([])
-                continue
-            starts = np.append(True, (codes[1:] != codes[:-1]) | (np.diff(after) > 1))
-            values, where, n = np.unique(codes, return_inverse=True, return_counts=True)
-            out.append(list(zip(values.tolist(), n.tolist(), np.bincount(where, starts).astype(int).tolist())))
-        return pd.Series(out)
+    def counted(texts: list[str]) -> pa.Array:
+        """Of texts joined by a break: no k-mer with it counts, so no run goes on in the next text."""
+        codes, good = m.codes("\n".join(texts))
+        at = np.flatnonzero(good)
+        codes = codes[at].astype(np.int64)
+        text = np.searchsorted(np.cumsum([len(x) + 1 for x in texts]), at, "right")
+        starts = np.append(True, (codes[1:] != codes[:-1]) | (np.diff(at) > 1))[: len(at)]
+        order = np.lexsort((codes, text))
+        codes, text = codes[order], text[order]
+        first = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (text[1:] != text[:-1]))[: len(at)])
+        n, groups = np.diff(np.append(first, len(at))), np.add.reduceat(starts[order].astype(np.int64), first) if len(at) else first
+        ends = np.append(0, np.cumsum(np.bincount(text[first], minlength=len(texts))))
+        values = [pa.array(codes[first]), pa.array(n, pa.int32()), pa.array(groups, pa.int32())]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(values, ["minimizer", "n", "groups"]))
+
+    @F.arrow_udf("array<struct<minimizer: bigint, n: int, groups: int>>")
+    def found(texts: pa.Array) -> pa.Array:
+        own, out, size = [], [], 0
+        for text in texts.to_pylist():
+            own.append(text or "")
+            size += len(own[-1])
+            if size >= _LETTERS:
+                out.append(counted(own))
+                own, size = [], 0
+        return pa.concat_arrays([*out, counted(own)] if own or not out else out)
 
     return found(sequence)
 
@@ -154,7 +165,7 @@ def build_minimizer_table(genomes: DataFrame, taxonomy: DataFrame, m: Minimizers
     cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1)), F.lit(piece)), lambda i: F.substring(s, i, F.lit(piece + m.k - 1)))
     pieces = genomes.filter(s.isNotNull()).select("taxid", F.explode(cut).alias("sequence"))
     pairs = pieces.select("taxid", F.explode(minimizers(s, m)).alias("x")).select("taxid", "x.minimizer").distinct()
-    return lowest_common(pairs, taxonomy, "minimizer")
+    return staged(lowest_common(staged(pairs, "pairs"), taxonomy, "minimizer"), "minimizers")
 
 
 def store_table(table: DataFrame, name: str, buckets: int) -> DataFrame:
@@ -178,8 +189,8 @@ def classify_minimizers(reads: DataFrame, table: DataFrame, taxonomy: DataFrame,
     minimizer is a hit group. One row for each distinct minimizer of a read is shuffled."""
     own = reads.select("read_id", minimizers(F.col("sequence"), m).alias("x"))
     own = own.select("read_id", F.aggregate("x", F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("total"), F.explode("x").alias("x"))
-    hits = own.select("read_id", "total", F.col("x.minimizer").alias("minimizer"), F.col("x.n").cast("long").alias("n"), F.col("x.groups").cast("long").alias("groups")).join(table, "minimizer")
-    return _best_paths(reads, hits, taxonomy, confidence, min_hit_groups)
+    own = own.select("read_id", "total", F.col("x.minimizer").alias("minimizer"), F.col("x.n").cast("long").alias("n"), F.col("x.groups").cast("long").alias("groups"))
+    return _best_paths(reads, looked_up(own, table, "minimizer"), taxonomy, confidence, min_hit_groups)
 
 
 def _best_paths(reads: DataFrame, hits: DataFrame, taxonomy: DataFrame, confidence: float, min_hit_groups: int) -> DataFrame:

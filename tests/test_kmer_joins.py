@@ -30,3 +30,23 @@ def test_kmers_of_reads_are_not_broadcast_where_their_files_are_small(spark, mon
     assert "BroadcastHashJoin [kmer" in plan() and "BuildLeft" not in plan()
     monkeypatch.setattr(kmer, "_FEW", 999)
     assert "SortMergeJoin [kmer" in plan() and "Broadcast" not in plan()
+
+
+def test_minimizers_do_not_depend_on_the_slices_of_texts(spark, monkeypatch):
+    m = kmer.Minimizers(6, 4, 0)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(["ACGTACGTTA", "", None, "AAAAAAAAA", "AAAAAAAAA", "CGNACGTTGCA"] * 3)], "i int, s string").coalesce(1)
+    found = lambda: rows.select("i", kmer.minimizers(kmer.F.col("s"), m)).collect()
+    whole = found()
+    for n in (1, 12):
+        monkeypatch.setattr(kmer, "_LETTERS", n)
+        assert found() == whole
+
+
+def test_minimizers_of_reads_are_not_broadcast_where_their_files_are_small(spark, monkeypatch):
+    reads = spark.createDataFrame([("r", "ACGTACGTAC")], "read_id string, sequence string")
+    table = spark.createDataFrame([(i, "2") for i in range(1000)], "minimizer long, taxid string")
+    monkeypatch.setattr(kmer, "_best_paths", lambda reads, hits, *_: hits)
+    plan = lambda: kmer.classify_minimizers(reads, table, None, kmer.Minimizers(6, 4, 0))._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin [minimizer" in plan() and "BuildLeft" not in plan()
+    monkeypatch.setattr(kmer, "_FEW", 999)
+    assert "SortMergeJoin [minimizer" in plan() and "Broadcast" not in plan()
