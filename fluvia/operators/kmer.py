@@ -195,15 +195,19 @@ def classify_minimizers(reads: DataFrame, table: DataFrame, taxonomy: DataFrame,
 
 def _best_paths(reads: DataFrame, hits: DataFrame, taxonomy: DataFrame, confidence: float, min_hit_groups: int) -> DataFrame:
     """hits: (read_id, total, taxid, n, groups). Joins by read are merged: both sides grow with the reads, and what looks small
-    as compressed shuffle files would be sent through the driver. Votes are staged, so reads are searched once."""
+    as compressed shuffle files would be sent through the driver. Votes are staged, so reads are searched once, and dealt by
+    read before the ancestors multiply them; what follows is summed where it lies."""
+    up = _with_depth(taxonomy)
     votes = hits.groupBy("read_id", "taxid").agg(F.sum("n").alias("n"), F.sum("groups").alias("groups"), F.max("total").alias("total"))
-    votes = staged(votes, "votes")
-    scores = looked_up(votes.drop("n"), _with_depth(taxonomy), "taxid").join(votes.select("read_id", F.col("taxid").alias("ancestor"), "n").hint("merge"), ["read_id", "ancestor"])
-    scores = scores.groupBy("read_id", "taxid", "total", "depth").agg(F.sum("n").alias("score"), F.max("groups").alias("groups"))
+    votes = staged(looked_up(votes, up.filter("taxid = ancestor").select("taxid", "depth"), "taxid"), "votes")
+    sums = votes.groupBy("read_id").agg(F.sum("groups").alias("groups"), F.max("total").alias("total"))
+    paths = looked_up(votes.select("read_id", "taxid", "depth", "n").repartition("read_id"), up.drop("depth"), "taxid")
+    own = F.sum(F.when(F.col("taxid") == F.col("ancestor"), F.col("n"))).over(Window.partitionBy("read_id", "ancestor"))
+    scores = paths.withColumn("_own", own).groupBy("read_id", "taxid", "depth").agg(F.sum("_own").alias("score"))
     order = F.struct(F.negative("score"), F.negative("depth"), F.col("taxid"))
-    best = scores.groupBy("read_id").agg(F.min_by(F.struct("taxid", "score", "total"), order).alias("b"), F.sum("groups").alias("groups"))
-    good = (F.col("b.score") >= F.col("b.total") * confidence) & (F.col("groups") >= min_hit_groups)
-    out = reads.select("read_id").join(best.hint("merge"), "read_id", "left")
+    best = scores.groupBy("read_id").agg(F.min_by(F.struct("taxid", "score"), order).alias("b"))
+    good = (F.col("b.score") >= F.col("total") * confidence) & (F.col("groups") >= min_hit_groups)
+    out = reads.select("read_id").join(best.hint("merge"), "read_id", "left").join(sums.hint("merge"), "read_id", "left")
     ok = F.coalesce(good, F.lit(False))
     return out.select("read_id", F.when(ok, "C").otherwise("U").alias("status"), F.when(ok, F.col("b.taxid")).otherwise("0").alias("taxid"))
 
